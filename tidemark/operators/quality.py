@@ -209,48 +209,62 @@ def out_of_order(df: DataFrame, time: str, order: str, keys: Sequence[str] = ())
     )
 
 
-def _tidy(df: DataFrame, label: str, metrics: Sequence[str]) -> DataFrame:
-    entries = F.array(
-        *[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
-    )
-    return df.select(F.explode(entries).alias("e")).select(
+def _entry(label: str, metric: str, value, column=None):
+    return F.struct(
         F.lit(label).alias("table_name"),
-        "e.metric",
-        F.lit(None).cast("string").alias("column_name"),
-        "e.value",
+        F.lit(metric).alias("metric"),
+        (F.lit(None).cast("string") if column is None else column).alias("column_name"),
+        value.cast("double").alias("value"),
     )
 
 
+def _tidy(df: DataFrame, label: str, metrics: Sequence[str]) -> DataFrame:
+    entries = F.array(*[_entry(label, m, F.col(m)) for m in metrics])
+    return df.select(F.explode(entries).alias("e")).select("e.*")
+
+
+def _missing(df: DataFrame, label: str) -> DataFrame:
+    """Row count and missing values per column, in one pass."""
+    total = F.count(F.lit(1))
+    entries = [_entry(label, "n_rows", total)]
+    for c in df.columns:
+        n = F.count_if(F.col(c).isNull())
+        percent = n * 100.0 / F.greatest(total, F.lit(1))
+        entries += [_entry(label, "missing", n, F.lit(c)), _entry(label, "missing_pct", percent, F.lit(c))]
+    rows = df.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("e")).select("e.*")
+    return rows.where((F.col("metric") == "n_rows") | (F.col("value") > 0))
+
+
 def quality_report(df: DataFrame, label: str, time: str = "datetime_utc", order: str | None = "id") -> DataFrame:
     """All checks of one table as (table_name, metric, column_name, value) rows.
-    A table without the time column gets the missing-value rows only."""
-    missing = null_report(df)
-    parts = [
-        missing.select(
-            F.lit(label).alias("table_name"),
-            F.lit(metric).alias("metric"),
-            "column_name",
-            F.col(metric).cast("double").alias("value"),
-        )
-        for metric in ("missing", "missing_pct")
-    ]
+
+    Three pruned scans: missing values, times, arrival order. Duplicates are the
+    intervals of zero. A table without the time column gets the first part only.
+    """
+    parts = [_missing(df, label)]
     if time not in df.columns:
-        return union_all(parts)
+        return parts[0]
     histogram = interval_histogram(df, time)
-    stats = _stats_of(histogram, ())
-    marked = (
-        _with_stats(histogram, stats, ())
-        .agg(F.sum(F.when(_irregular(F.col("d")), F.col("w"))).alias("irregular"), F.sum("w").alias("w"))
-        .select(
-            F.coalesce("irregular", F.lit(0)).alias("irregular"),
-            (F.coalesce("irregular", F.lit(0)) * 100.0 / F.coalesce("w", F.lit(1))).alias("irregular_pct"),
+    irregular = F.when(_irregular(F.col("d")), F.col("w"))
+    measures = (
+        _with_stats(histogram, _stats_of(histogram, ()), ())
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("d") == 0, F.col("w"))), F.lit(0)).alias("duplicates"),
+            F.coalesce(F.max("n_intervals"), F.lit(0)).alias("n_intervals"),
+            *[F.max(c).alias(c) for c in ("mean_s", "median_s", "std_s", "min_s", "max_s")],
+            F.coalesce(F.sum(irregular), F.lit(0)).alias("irregular"),
+            (F.coalesce(F.sum(irregular), F.lit(0)) * 100.0 / F.coalesce(F.sum("w"), F.lit(1))).alias(
+                "irregular_pct"
+            ),
+        )
+    )
+    parts.append(
+        _tidy(
+            measures,
+            label,
+            ("duplicates", "n_intervals", "mean_s", "median_s", "std_s", "min_s", "max_s", "irregular", "irregular_pct"),
         )
     )
-    parts += [
-        _tidy(duplicate_times(df, time), label, ("n_rows", "duplicates")),
-        _tidy(stats, label, ("n_intervals", "mean_s", "median_s", "std_s", "min_s", "max_s")),
-        _tidy(marked, label, ("irregular", "irregular_pct")),
-    ]
     if order and order in df.columns:
         parts.append(_tidy(out_of_order(df, time, order), label, ("out_of_order", "out_of_order_pct")))
     return union_all(parts)

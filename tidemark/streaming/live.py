@@ -23,7 +23,7 @@ from tidemark.session import STREAM_STATE_STORE, scratch
 from tidemark.sinks.files import add_partition, append_once
 from tidemark.sinks.items import WriteBatch, write_items
 from tidemark.sources import schemas
-from tidemark.sources.tables import long_frame
+from tidemark.sources.tables import long_frame, read_summary
 
 
 def stream_settings(spark: SparkSession) -> None:
@@ -103,12 +103,13 @@ def write_summary_stream(
             first_us = rows.agg(F.min("grid").alias("t")).first()["t"]
             if first_us is None:
                 return
+            first_s = first_us // SECOND
             averaged = to_summary(add_history(spark, rows, path, first_us, params))
-            append_once(
-                averaged, path, schemas.summary(), params.partition_hours, since=first_us // SECOND
-            )
+            append_once(averaged, path, schemas.summary(), params.partition_hours, since=first_s)
             if write_batch:
-                write_items(to_items(averaged), write_batch)
+                # Rows come in time order, so these are the ones of this batch.
+                stored = read_summary(spark, path, first_s - 1).drop("partition")
+                write_items(to_items(stored), write_batch)
         finally:
             rows.unpersist()
 
