@@ -209,3 +209,40 @@ def test_a_failing_item_writer_does_not_stop_the_output(spark, tmp_path):
 
 def test_no_summary_no_output(spark, tmp_path):
     assert resample_summary(spark, str(tmp_path / "s"), str(tmp_path / "o"), Params()) is None
+
+
+def test_raw_tables_partitioned_by_time(spark, tmp_path):
+    from tidemark.sinks.files import write_parquet
+    from tidemark.sources.schemas import RAW, partitioned
+    from tidemark.functions.rows import conform
+
+    params = Params(step="10s", ma_window_s=60, mode="batch", raw_partition_hours=1, partition_hours=1)
+    made = generated(spark, 8000)
+    for source, table in made.items():
+        write_parquet(conform(table, RAW[source]), str(tmp_path / source), "append", 1)
+    tables = {s: spark.read.schema(partitioned(RAW[s])).parquet(str(tmp_path / s)) for s in made}
+    path = str(tmp_path / "s")
+    process_incremental(spark, upto(tables, T0 + 7300), path, params)
+    process_incremental(spark, tables, path, params, flush=True)
+    assert_same(by_time(read_summary(spark, path).drop("partition"), "datetime_utc"), one_shot(made, params))
+
+
+def test_series_that_pause(spark, tmp_path):
+    """A series without readings for a while is still filled from its last one."""
+    from pyspark.sql import functions as F
+
+    keys = T.StructType([T.StructField("ship", T.StringType())])
+    params = Params(step="10s", ma_window_s=60, mode="batch")
+    a, b = generated(spark, 2000, seed=1), generated(spark, 2000, seed=2)
+    pause = f"datetime_utc < {T0 + 100} or datetime_utc > {T0 + 1900}"
+    b = {s: t.where(pause) for s, t in b.items()}
+    label = lambda t, s: t.withColumn("ship", F.lit(s))
+    tables = {s: label(a[s], "a").unionByName(label(b[s], "b")) for s in a}
+    path = str(tmp_path / "s")
+    process_incremental(spark, upto(tables, T0 + 95), path, params, keys=keys)
+    process_incremental(spark, upto(tables, T0 + 1950), path, params, keys=keys)
+    process_incremental(spark, tables, path, params, keys=keys, flush=True)
+    stored = read_summary(spark, path, keys=keys).drop("partition")
+    for name, own in (("a", a), ("b", b)):
+        got = by_time(stored.where(F.col("ship") == name).drop("ship"), "datetime_utc")
+        assert_same(got, one_shot(own, params))

@@ -46,7 +46,7 @@ def _pivot(fn: str = "max", skip: tuple[str, ...] = ()) -> str:
 
 
 def _rounded(names) -> str:
-    return ", ".join(f"round({c} + {NUDGE}, 6) AS {c}" for c in names)
+    return ", ".join(f"round({c}, 6) AS {c}" for c in names)
 
 
 def _any(names=tuple(COLUMNS)) -> str:
@@ -256,7 +256,7 @@ def _rolling_time(keys: tuple[str, ...] = ()) -> str:
     by = f"PARTITION BY {', '.join(keys)} " if keys else ""
     window = f"OVER ({by}ORDER BY t RANGE BETWEEN {SIX_HOURS - 1} PRECEDING AND CURRENT ROW)"
     return (
-        f"WITH {RAW} SELECT DISTINCT {k}t AS datetime_utc, round(avg(b) {window} + {NUDGE}, 6) AS ph_total_mean, "
+        f"WITH {RAW} SELECT DISTINCT {k}t AS datetime_utc, round(avg(b) {window}, 6) AS ph_total_mean, "
         f"count(b) {window} AS n FROM raw WHERE source = 'ph'"
     )
 
@@ -356,3 +356,6 @@ ORACLES: dict[str, str] = {
     "out_of_order_rows": f"WITH {ORDERS} SELECT o_orderkey, day, prev_day FROM arrivals WHERE day < prev_day",
     "quality_report": quality_report(),
 }
+
+# Round as the queries do.
+ORACLES = {name: sql.replace(", 6)", f" + {NUDGE}, 6)") for name, sql in ORACLES.items()}

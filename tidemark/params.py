@@ -80,6 +80,8 @@ class Params:
     output_poll_interval: str = "60s"
     # Resolution of the raw times. Raw tables hold whole seconds.
     time_unit: str = "1s"
+    # Set where raw tables are partitioned by time as the outputs are.
+    raw_partition_hours: int | None = None
 
     def __post_init__(self) -> None:
         if self.mode not in ("live", "batch"):

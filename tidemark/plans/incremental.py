@@ -13,9 +13,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from tidemark.functions.time import seconds_to_us
-from tidemark.operators.aggregate import freshness
+from tidemark.functions.time import floor_to, seconds_to_us
+from tidemark.operators.aggregate import freshness, not_in
 from tidemark.operators.lookup import since
+from tidemark.operators.trailing import BLOCK_ROWS
 from tidemark.params import SECOND, SENSORS, Params
 from tidemark.plans.summary import (
     add_corrected_ph,
@@ -26,7 +27,7 @@ from tidemark.plans.summary import (
 )
 from tidemark.sinks.files import append_once, write_parquet
 from tidemark.sources import schemas
-from tidemark.sources.tables import long_frame, read_or_empty, read_summary
+from tidemark.sources.tables import after, long_frame, read_or_empty, read_summary
 
 HISTORY = ("ph_total", "ph_corrected")
 
@@ -53,18 +54,22 @@ def recent_summary(
 
     For one series the search starts in a short stretch before that time and is
     widened only if it holds too few rows. For several series the rows wanted
-    may lie anywhere, and are ranked per series.
+    may lie anywhere: they are ranked per block of the series first, then among
+    the few left per series.
     """
     names = [f.name for f in keys] if keys else []
+    step_s = params.step_us // SECOND
     stored = read_summary(spark, path, keys=keys).where(F.col("datetime_utc") < before_s)
     if params.ph_rows_only:
         stored = stored.where(F.col("ph_total").isNotNull())
+    recent = stored
     if names:
-        rank = F.row_number().over(Window.partitionBy(*names).orderBy(F.col("datetime_utc").desc()))
-        recent = stored.withColumn("_rank", rank).where(F.col("_rank") <= rows)
+        newest = F.col("datetime_utc").desc()
+        recent = recent.withColumn("_block", floor_to("datetime_utc", step_s * BLOCK_ROWS))
+        for part in ([*names, "_block"], names):
+            rank = F.row_number().over(Window.partitionBy(*part).orderBy(newest))
+            recent = recent.withColumn("_rank", rank).where(F.col("_rank") <= rows)
     else:
-        recent = stored
-        step_s = params.step_us // SECOND
         for steps in (4 * rows, 4096 * rows):
             near = since(stored, before_s - steps * step_s, partition_hours=params.partition_hours)
             if near.limit(rows).count() >= rows:
@@ -75,20 +80,27 @@ def recent_summary(
 
 
 def _samples_before(
-    tables: Mapping[str, DataFrame], at_s: int, step_s: int, keys: Sequence[str]
+    tables: Mapping[str, DataFrame], at_s: int, params: Params, keys: Sequence[str]
 ) -> dict[str, DataFrame]:
-    """Per source (and series) the readings at the last time before ``at_s``."""
+    """Per source (and series) with readings from ``at_s`` on, those at the last
+    time before it. Longer stretches are searched only for what is still missing."""
+    step_s, hours = params.step_us // SECOND, params.raw_partition_hours
     found = {}
     for source, table in tables.items():
         earlier = table.where(F.col("datetime_utc") < at_s)
-        if not keys:
-            for steps in (64, 65_536):
-                near = earlier.where(F.col("datetime_utc") >= at_s - steps * step_s)
-                if not near.isEmpty():
-                    earlier = near
-                    break
-        last = earlier.groupBy(*keys).agg(F.max("datetime_utc").alias("datetime_utc"))
-        found[source] = earlier.join(last, [*keys, "datetime_utc"], "left_semi")
+        wanted = after(table, at_s - 1, partition_hours=hours)
+        near = earlier
+        for steps in (64, 65_536):
+            stretch = after(earlier, at_s - steps * step_s, partition_hours=hours)
+            if keys:
+                complete = not_in(wanted.select(*keys), stretch, keys).isEmpty()
+            else:
+                complete = not stretch.isEmpty()
+            if complete:
+                near = stretch
+                break
+        last = near.groupBy(*keys).agg(F.max("datetime_utc").alias("datetime_utc"))
+        found[source] = near.join(last, [*keys, "datetime_utc"], "left_semi")
     return found
 
 
@@ -136,7 +148,13 @@ def process_incremental(
     step = params.step_us
     mark = summary_mark(spark, path)
     # Readings at the last stored time may still serve the next one.
-    long = long_frame(tables, None if mark is None else mark - 1, keys=names, order=order)
+    long = long_frame(
+        tables,
+        None if mark is None else mark - 1,
+        keys=names,
+        order=order,
+        partition_hours=params.raw_partition_hours,
+    )
     none = spark.createDataFrame([], schema)
 
     # One row per source.
@@ -155,18 +173,24 @@ def process_incremental(
 
     if first_us is not None and params.mode == "batch":
         before = long_frame(
-            _samples_before(tables, mark, step // SECOND, names), keys=names, order=order
+            _samples_before(tables, mark, params, names), keys=names, order=order
         )
         long = long.unionByName(before)
     rows = add_corrected_ph(align(long, params, names, order, first_us), params)
     if until_us is not None:
         rows = rows.where(F.col("grid") <= until_us)
-    if first_us is None:
-        rows = add_moving_averages(rows, params, names)
-    else:
-        rows = add_history(spark, rows, path, first_us, params, keys)
-
     first_s = None if first_us is None else first_us // SECOND
-    append_once(to_summary(rows, names), path, schema, params.partition_hours, names, since=first_s)
+    # Every level of the moving averages reads the new rows.
+    rows = rows.persist()
+    try:
+        if first_us is None:
+            averaged = add_moving_averages(rows, params, names)
+        else:
+            averaged = add_history(spark, rows, path, first_us, params, keys)
+        append_once(
+            to_summary(averaged, names), path, schema, params.partition_hours, names, since=first_s
+        )
+    finally:
+        rows.unpersist()
     added = read_summary(spark, path, keys=keys).drop("partition")
     return added if first_s is None else added.where(F.col("datetime_utc") >= first_s)

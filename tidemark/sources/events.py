@@ -24,8 +24,13 @@ def _readings():
     }
 
 
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return prepare(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.rows import nan_to_null
 from tidemark.functions.time import coerce_time, seconds_to_us
-from tidemark.operators.lookup import union_all
+from tidemark.operators.lookup import since, union_all
 from tidemark.params import SENSORS
 from tidemark.sources import schemas
 
@@ -41,10 +41,13 @@ def read_jdbc(spark: SparkSession, url: str, table: str, columns: Sequence[str],
     )
 
 
-def after(df: DataFrame, mark: int | None, time: str = "datetime_utc") -> DataFrame:
-    """Rows later than ``mark`` (whole epoch seconds). The filter is on the raw
-    column, so it reaches the scan."""
-    return df if mark is None else df.where(F.col(time) > int(mark))
+def after(
+    df: DataFrame, mark: int | None, time: str = "datetime_utc", partition_hours: int | None = None
+) -> DataFrame:
+    """Rows later than ``mark`` (whole epoch seconds), all without a mark. The filter
+    is on the raw column, so it reaches the scan; with ``partition_hours`` earlier
+    partitions are not listed."""
+    return df if mark is None else since(df, int(mark), time, partition_hours)
 
 
 def read_columns(df: DataFrame, columns: Sequence[str], mark: int | None = None) -> DataFrame:
@@ -67,6 +70,7 @@ def long_frame(
     sensors: Mapping[str, Sequence[str]] = SENSORS,
     keys: Sequence[str] = (),
     order: str | None = "id",
+    partition_hours: int | None = None,
 ) -> DataFrame:
     """Raw tables (time in epoch seconds) as one long frame for the grid operators."""
     every = [c for cols in sensors.values() for c in cols]
@@ -74,7 +78,7 @@ def long_frame(
     for source, cols in sensors.items():
         if source not in tables:
             continue
-        table = nan_to_null(after(tables[source], mark))
+        table = nan_to_null(after(tables[source], mark, partition_hours=partition_hours))
         own = table.select(
             *keys,
             F.lit(source).alias("source"),
