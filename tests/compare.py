@@ -16,6 +16,9 @@ import __spark_entry__ as contract  # noqa: E402
 TESTDATA = pathlib.Path("/root/testdata")
 
 
+KINDS = {"bigint": "int64", "double": "double", "string": "string", "boolean": "bool", "int": "int32"}
+
+
 def connect(sf_dir: pathlib.Path) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
     for file in sorted(sf_dir.glob("*.parquet")):
@@ -32,8 +35,12 @@ def normal(frame):
 
 def difference(spark, db, name: str, sf_dir) -> str | None:
     """None if the rows are equal, else a short text."""
-    ours = normal(contract.queries()[name](spark, str(sf_dir)).toPandas())
-    theirs = normal(db.execute(contract.oracle_sql()[name]).df())
+    mine, other = contract.queries()[name](spark, str(sf_dir)), db.execute(contract.oracle_sql()[name]).to_arrow_table()
+    types = {f.name: KINDS.get(f.dataType.simpleString()) for f in mine.schema}
+    wanted = {f.name: str(f.type) for f in other.schema}
+    if types != wanted:
+        return f"types {types} / {wanted}"
+    ours, theirs = normal(mine.toPandas()), normal(other.to_pandas())
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} / {theirs[0]}"
     if len(ours[1]) != len(theirs[1]):

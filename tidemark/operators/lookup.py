@@ -50,13 +50,9 @@ def representative_row(df: DataFrame, time: str = "datetime_utc") -> DataFrame:
     """One row of a batch: the first without nulls, else the second, else the only one."""
     first_two = df.orderBy(time).limit(2)
     complete = df.na.drop(how="any").orderBy(time).limit(1)
-    nth = first_two.agg(F.min(time).alias("_first"))
-    preferred = (
-        complete.withColumn("_choice", F.lit(0)).unionByName(
-            first_two.crossJoin(F.broadcast(nth))  # one row
-            .withColumn("_choice", F.when(F.col(time) > F.col("_first"), 1).otherwise(2))
-            .drop("_first")
-        )
+    earliest = df.agg(F.min(time)).scalar()
+    preferred = complete.withColumn("_choice", F.lit(0)).unionByName(
+        first_two.withColumn("_choice", F.when(F.col(time) > earliest, 1).otherwise(2))
     )
     return preferred.orderBy("_choice", time).limit(1).drop("_choice")
 

@@ -130,9 +130,11 @@ def interval_stats(df: DataFrame, time: str, keys: Sequence[str] = ()) -> DataFr
 
 
 def _with_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add mean and deviation: by join per series, as a scalar for a single one."""
     if keys:
-        return df.join(stats, list(keys))
-    return df.crossJoin(F.broadcast(stats))  # one row
+        return df.join(stats.select(*keys, "mean_s", "std_s"), list(keys))
+    limits = stats.select(F.struct("mean_s", "std_s")).scalar()
+    return df.withColumn("_limits", limits).select(*df.columns, "_limits.*")
 
 
 def _irregular(interval):
@@ -245,26 +247,15 @@ def quality_report(df: DataFrame, label: str, time: str = "datetime_utc", order:
     if time not in df.columns:
         return parts[0]
     histogram = interval_histogram(df, time)
-    irregular = F.when(_irregular(F.col("d")), F.col("w"))
-    measures = (
-        _with_stats(histogram, _stats_of(histogram, ()), ())
-        .agg(
-            F.coalesce(F.sum(F.when(F.col("d") == 0, F.col("w"))), F.lit(0)).alias("duplicates"),
-            F.coalesce(F.max("n_intervals"), F.lit(0)).alias("n_intervals"),
-            *[F.max(c).alias(c) for c in ("mean_s", "median_s", "std_s", "min_s", "max_s")],
-            F.coalesce(F.sum(irregular), F.lit(0)).alias("irregular"),
-            (F.coalesce(F.sum(irregular), F.lit(0)) * 100.0 / F.coalesce(F.sum("w"), F.lit(1))).alias(
-                "irregular_pct"
-            ),
-        )
-    )
-    parts.append(
-        _tidy(
-            measures,
-            label,
-            ("duplicates", "n_intervals", "mean_s", "median_s", "std_s", "min_s", "max_s", "irregular", "irregular_pct"),
-        )
+    stats = _stats_of(histogram, ())
+    weight = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("w"))), F.lit(0))
+    counts = _with_stats(histogram, stats, ()).agg(
+        weight(F.col("d") == 0).alias("duplicates"),
+        weight(_irregular(F.col("d"))).alias("irregular"),
+        (weight(_irregular(F.col("d"))) * 100.0 / F.coalesce(F.sum("w"), F.lit(1))).alias("irregular_pct"),
     )
+    parts.append(_tidy(stats, label, ("n_intervals", "mean_s", "median_s", "std_s", "min_s", "max_s")))
+    parts.append(_tidy(counts, label, ("duplicates", "irregular", "irregular_pct")))
     if order and order in df.columns:
         parts.append(_tidy(out_of_order(df, time, order), label, ("out_of_order", "out_of_order_pct")))
     return union_all(parts)

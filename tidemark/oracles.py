@@ -338,6 +338,11 @@ ORACLES: dict[str, str] = {
     "duplicate_examples": f"WITH {TIMED} SELECT datetime_utc, count(*) AS occurrences FROM timed GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 3",
     "null_report": null_report(),
     "freshness": f"WITH {RAW} SELECT source, count(*) AS n_rows, max(t) AS last_s FROM raw GROUP BY source",
+    "state_summary": f"{summary('live', True)}, last_ph AS (SELECT datetime_utc FROM averaged WHERE ph_total IS NOT NULL "
+    f"ORDER BY datetime_utc DESC LIMIT {LIVE.window_rows - 1}) "
+    "SELECT source AS name, count(*) AS n_rows, max(t) AS last_s FROM raw GROUP BY source "
+    "UNION ALL SELECT 'summary', count(*), max(datetime_utc) FROM averaged "
+    "UNION ALL SELECT 'history', count(*), max(datetime_utc) FROM last_ph",
     "interval_stats": f"WITH {LAGS} SELECT count(*) AS n_intervals, round(avg(d), 6) AS mean_s, round(CAST(median(d) AS DOUBLE), 6) AS median_s, "
     "round(stddev_samp(d), 6) AS std_s, CAST(min(d) AS DOUBLE) AS min_s, CAST(max(d) AS DOUBLE) AS max_s FROM lags",
     "interval_stats_by_user": f"WITH {TIMED}, lags AS (SELECT user_id, datetime_utc - lag(datetime_utc) OVER (PARTITION BY user_id ORDER BY datetime_utc) AS d FROM timed) "

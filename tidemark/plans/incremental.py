@@ -13,9 +13,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from tidemark.functions.time import floor_to, seconds_to_us
+from tidemark.functions.time import epoch_seconds, floor_to, seconds_to_us
 from tidemark.operators.aggregate import freshness, not_in
-from tidemark.operators.lookup import since
+from tidemark.operators.lookup import since, union_all
 from tidemark.operators.trailing import BLOCK_ROWS
 from tidemark.params import SECOND, SENSORS, Params
 from tidemark.plans.summary import (
@@ -104,6 +104,26 @@ def _samples_before(
     return found
 
 
+def state_summary(
+    spark: SparkSession, tables: Mapping[str, DataFrame], path: str, params: Params
+) -> DataFrame:
+    """Where the job stands: rows and latest time of each raw table, of the stored
+    summary, and of the rows a moving average would look back on."""
+    mark = summary_mark(spark, path)
+    raw = freshness(long_frame(tables)).select(
+        F.col("source").alias("name"), "n_rows", epoch_seconds("last_us").alias("last_s")
+    )
+    count = lambda df, time, name: df.agg(F.count(F.lit(1)).alias("n_rows"), F.max(time).alias("last_s")).select(
+        F.lit(name).alias("name"), "n_rows", "last_s"
+    )
+    parts = [raw, count(read_summary(spark, path), "datetime_utc", "summary")]
+    if mark is not None and params.window_rows > 1:
+        history = recent_summary(spark, path, mark + 1, params.window_rows - 1, params)
+        history = history.select(epoch_seconds("grid").alias("t"))
+        parts.append(count(history, "t", "history"))
+    return union_all(parts)
+
+
 def add_history(
     spark: SparkSession,
     rows: DataFrame,

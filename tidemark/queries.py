@@ -27,7 +27,7 @@ from tidemark.operators.aggregate import (
 from tidemark.operators.nearest import extent, nearest_align, nearest_fill, time_grid
 from tidemark.operators.trailing import rolling_mean_time
 from tidemark.params import ALIGNED_COLUMNS, HOUR, SECOND, Params
-from tidemark.plans.incremental import process_incremental
+from tidemark.plans.incremental import process_incremental, state_summary
 from tidemark.plans.output import output_means, resample_summary
 from tidemark.plans.summary import add_corrected_ph, add_moving_averages, align, summarize
 from tidemark.session import prepare, scratch
@@ -537,6 +537,11 @@ def freshness_query(spark, sf):
     return rows.select("source", "n_rows", epoch_seconds("last_us").alias("last_s"))
 
 
+def state_summary_query(spark, sf):
+    path = _stored_summary(spark, sf)
+    return state_summary(spark, raw_tables(spark, sf), path, LIVE)
+
+
 def _on_events(check: Callable, *args) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: _tidy(check(timed_events(spark, sf), "datetime_utc", *args))
 
@@ -623,6 +628,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_examples": duplicate_examples_query,
     "null_report": null_report,
     "freshness": freshness_query,
+    "state_summary": state_summary_query,
     "interval_stats": _on_events(quality.interval_stats),
     "interval_stats_by_user": interval_stats_by_user,
     "irregular_intervals": _on_events(quality.irregular_intervals),
