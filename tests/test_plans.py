@@ -82,4 +82,4 @@ def test_no_python_in_the_plans(spark, name):
 
 def test_levels_share_the_scan(spark):
     assert len(nodes(final_plan(nearest_fill(long_events(spark, SF_DIR), HOUR)), "FileScan")) == 1
-    assert len(nodes(final_plan(quality.irregular_rows(timed_events(spark, SF_DIR), "datetime_utc")), "FileScan")) == 1
+    assert len(nodes(final_plan(quality.interval_stats(timed_events(spark, SF_DIR), "datetime_utc")), "FileScan")) == 1

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from frames import T0, by_time, generated, upto
 from tidemark import Params
@@ -12,6 +12,7 @@ from tidemark.sources import schemas
 from tidemark.sources.tables import long_frame, read_summary
 from tidemark.streaming.live import (
     fresh_checkpoint,
+    late_rows,
     raw_streams,
     run_for,
     stream_align,
@@ -32,7 +33,21 @@ def land(tables, folder):
 def run(spark, folder, path, checkpoint, params=PARAMS, **options):
     stream_settings(spark)
     rows = stream_align(raw_streams(spark, {s: f"{folder}/{s}" for s in schemas.RAW}), params, **options)
-    run_for(write_summary_stream(rows, path, checkpoint, params, available_now=True))
+    query = write_summary_stream(rows, path, checkpoint, params, available_now=True)
+    run_for(query)
+    return query
+
+
+def item_log(folder):
+    """A batch writer that notes how many items it got."""
+
+    def write(batch):
+        import uuid
+
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(str(len(batch)))
+
+    return write
 
 
 def summary(spark, path):
@@ -101,6 +116,44 @@ def test_lateness_admits_late_readings(spark, tmp_path):
     close(got, by_time(summarize(long_frame(tables), PARAMS), "datetime_utc"))
 
 
+def test_readings_that_come_too_late_are_counted(spark, tmp_path):
+    tables = generated(spark, 100)
+    raw, path, checkpoint = str(tmp_path / "raw"), str(tmp_path / "s"), str(tmp_path / "c")
+    is_late = f"datetime_utc between {T0 + 20} and {T0 + 29}"
+    land({s: t.where(f"not ({is_late})") for s, t in tables.items()}, raw)
+    assert late_rows(run(spark, raw, path, checkpoint, start_s=T0)) == 0
+    before = summary(spark, path)
+    land({s: t.where(is_late) for s, t in tables.items()}, raw)
+    # Map tasks reduce readings before the state counts them.
+    assert late_rows(run(spark, raw, path, checkpoint, start_s=T0)) > 0
+    assert summary(spark, path) == before
+
+
+def test_stream_of_two_series_with_items(spark, tmp_path):
+    keys = T.StructType([T.StructField("ship", T.StringType())])
+    raw_schemas = {s: T.StructType([*keys.fields, *schema.fields]) for s, schema in schemas.RAW.items()}
+    ships = {"a": generated(spark, 100, seed=1), "b": generated(spark, 100, seed=2)}
+    raw, path, checkpoint = (str(tmp_path / n) for n in ("raw", "s", "c"))
+    sent = tmp_path / "items"
+    sent.mkdir()
+    write = item_log(str(sent))
+    stream_settings(spark)
+    for low, high in ((-1, 49), (49, 99)):
+        for name, tables in ships.items():
+            for source, table in upto(tables, T0 + high, T0 + low).items():
+                part = table.withColumn("ship", F.lit(name))
+                conform(part, raw_schemas[source]).write.mode("append").parquet(f"{raw}/{source}")
+        streams = raw_streams(spark, {s: f"{raw}/{s}" for s in schemas.RAW}, raw_schemas=raw_schemas)
+        rows = stream_align(streams, PARAMS, start_s=T0, keys=["ship"])
+        run_for(write_summary_stream(rows, path, checkpoint, PARAMS, keys, write, available_now=True))
+    stored = read_summary(spark, path, keys=keys).drop("partition")
+    for name, tables in ships.items():
+        got = by_time(stored.where(F.col("ship") == name).drop("ship"), "datetime_utc")
+        assert list(got) == list(range(0, 81, 10))
+        close(got, by_time(summarize(long_frame(tables), PARAMS), "datetime_utc"))
+    assert sum(int(f.read_text()) for f in sent.iterdir()) == stored.count() == 18
+
+
 def test_mean_stream(spark, tmp_path):
     params = Params(step="2s", output_step="60s", partition_hours=1)
     whole = summarize(long_frame(generated(spark, 400)), params)

@@ -8,9 +8,9 @@ averages, which look back into the stored summary, and is appended once.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.rows import to_items
@@ -34,12 +34,15 @@ def stream_settings(spark: SparkSession) -> None:
 
 
 def raw_streams(
-    spark: SparkSession, directories: Mapping[str, str], max_files: int | None = None
+    spark: SparkSession,
+    directories: Mapping[str, str],
+    max_files: int | None = None,
+    raw_schemas: Mapping[str, T.StructType] = schemas.RAW,
 ) -> dict[str, DataFrame]:
     """A file stream per raw table."""
     reader = {"maxFilesPerTrigger": max_files} if max_files else {}
     return {
-        source: spark.readStream.schema(schemas.RAW[source]).options(**reader).parquet(path)
+        source: spark.readStream.schema(raw_schemas[source]).options(**reader).parquet(path)
         for source, path in directories.items()
     }
 
@@ -49,6 +52,7 @@ def stream_align(
     params: Params,
     lateness_s: int = 0,
     start_s: int | None = None,
+    keys: Sequence[str] = (),
     order: str | None = "id",
 ) -> DataFrame:
     """Nearest alignment with a tolerance of one step, as a stream of grid rows.
@@ -63,9 +67,10 @@ def stream_align(
     parts = None
     for source, stream in streams.items():
         part = nearest_candidates(
-            long_frame({source: stream}, order=order),
+            long_frame({source: stream}, keys=keys, order=order),
             params.step_us,
             params.step_us,
+            keys=keys,
             order=order,
             unit_us=params.unit_us,
         )
@@ -73,11 +78,11 @@ def stream_align(
             "grid", f"{delay_us} microseconds"
         )
         parts = part if parts is None else parts.unionByName(part)
-    rows = parts.groupBy("grid").agg(*nearest_aggregates(SENSORS))
+    rows = parts.groupBy(*keys, "grid").agg(*nearest_aggregates(SENSORS))
     rows = rows.na.drop(how="all", subset=list(ALIGNED_COLUMNS))
     if start_s is not None:
         rows = rows.where(F.col("grid") >= F.timestamp_seconds(F.lit(start_s)))
-    return rows.select("grid", *ALIGNED_COLUMNS)
+    return rows.select(*keys, "grid", *ALIGNED_COLUMNS)
 
 
 def write_summary_stream(
@@ -85,6 +90,7 @@ def write_summary_stream(
     path: str,
     checkpoint: str,
     params: Params,
+    keys: T.StructType | None = None,
     write_batch: WriteBatch | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
@@ -95,6 +101,8 @@ def write_summary_stream(
     finds its rows stored and writes only what is missing.
     """
 
+    names = [f.name for f in keys] if keys else []
+
     def append(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         rows = add_corrected_ph(batch.withColumn("grid", timestamp_to_us("grid")), params)
@@ -104,11 +112,13 @@ def write_summary_stream(
             if first_us is None:
                 return
             first_s = first_us // SECOND
-            averaged = to_summary(add_history(spark, rows, path, first_us, params))
-            append_once(averaged, path, schemas.summary(), params.partition_hours, since=first_s)
+            averaged = to_summary(add_history(spark, rows, path, first_us, params, keys), names)
+            append_once(
+                averaged, path, schemas.summary(keys), params.partition_hours, names, since=first_s
+            )
             if write_batch:
                 # Rows come in time order, so these are the ones of this batch.
-                stored = read_summary(spark, path, first_s - 1).drop("partition")
+                stored = read_summary(spark, path, first_s - 1, keys).drop("partition")
                 write_items(to_items(stored), write_batch)
         finally:
             rows.unpersist()
@@ -176,6 +186,16 @@ def run_for(query: StreamingQuery, seconds: float | None = None) -> None:
         query.stop()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Readings that came after their grid rows had left the state, over the
+    progress the query still remembers."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def fresh_checkpoint(spark: SparkSession, name: str = "stream") -> str:
     """A new checkpoint: the stream forgets what it has read. Rows read again are
     found stored and not written twice; rebuild the summary to replace them."""
