@@ -246,3 +246,28 @@ def test_series_that_pause(spark, tmp_path):
     for name, own in (("a", a), ("b", b)):
         got = by_time(stored.where(F.col("ship") == name).drop("ship"), "datetime_utc")
         assert_same(got, one_shot(own, params))
+
+
+@pytest.mark.parametrize("mode", ["live", "batch"])
+def test_a_write_that_was_cut_short_is_completed(spark, tmp_path, mode):
+    import shutil
+
+    params = Params(step="10s", ma_window_s=60, mode=mode, partition_hours=1)
+    tables = generated(spark, 3 * 3600, ph_every=10)
+    path = tmp_path / "s"
+    process_incremental(spark, tables, str(path), params, flush=True)
+    want = by_time(read_summary(spark, str(path)).drop("partition"), "datetime_utc")
+    # The middle hour did not make it.
+    shutil.rmtree(path / "partition=2023-01-01-01")
+    process_incremental(spark, tables, str(path), params, flush=True)
+    assert read_summary(spark, str(path)).count() < len(want)
+    process_incremental(spark, tables, str(path), params, flush=True, resume_from=T0 + 3600)
+    assert_same(by_time(read_summary(spark, str(path)).drop("partition"), "datetime_utc"), want)
+
+
+def test_a_new_step_goes_on_at_its_next_grid_point(spark, tmp_path):
+    tables = generated(spark, 120)
+    path = str(tmp_path / "s")
+    process_incremental(spark, upto(tables, T0 + 14), path, Params(step="2s"))
+    rows = process_incremental(spark, tables, path, Params(step="10s"), flush=True)
+    assert list(by_time(rows, "datetime_utc")) == list(range(20, 121, 10))

@@ -30,8 +30,8 @@ def land(tables, folder):
         conform(table, schemas.RAW[source]).write.mode("append").parquet(f"{folder}/{source}")
 
 
-def run(spark, folder, path, checkpoint, params=PARAMS, **options):
-    stream_settings(spark)
+def run(spark, folder, path, checkpoint, params=PARAMS, wait_for_all=True, **options):
+    stream_settings(spark, wait_for_all)
     rows = stream_align(raw_streams(spark, {s: f"{folder}/{s}" for s in schemas.RAW}), params, **options)
     query = write_summary_stream(rows, path, checkpoint, params, available_now=True)
     run_for(query)
@@ -103,6 +103,18 @@ def test_stream_waits_for_a_late_sensor(spark, tmp_path):
     close(got, by_time(summarize(long_frame(tables), PARAMS), "datetime_utc"))
 
 
+def test_a_silent_sensor_need_not_stop_the_stream(spark, tmp_path):
+    tables = generated(spark, 100)
+    tables["gps"] = tables["gps"].where(f"datetime_utc < {T0 + 20}")
+    raw, path = str(tmp_path / "raw"), str(tmp_path / "s")
+    land(tables, raw)
+    run(spark, raw, path, str(tmp_path / "c"), start_s=T0, wait_for_all=False)
+    got = summary(spark, path)
+    assert list(got) == list(range(0, 81, 10))
+    assert got[20]["latitude"] is not None and got[50]["latitude"] is None
+    close(got, by_time(summarize(long_frame(tables), PARAMS), "datetime_utc"))
+
+
 def test_lateness_admits_late_readings(spark, tmp_path):
     tables = generated(spark, 200)
     raw, path, checkpoint = str(tmp_path / "raw"), str(tmp_path / "s"), str(tmp_path / "c")

@@ -160,7 +160,9 @@ def nearest_align(
 
     One shuffle: each sample goes to the grid points it can serve, the best per
     point and source is kept, first within the map task. The grid starts at the
-    floor of the first sample, or at ``start_us`` where the caller knows it.
+    floor of the first sample, or at ``start_us`` where the caller knows it. A
+    sample is offered to every grid point in reach; for a reach of many steps
+    ``nearest_fill`` with a tolerance does less work.
     """
     tolerance_us = step_us if tolerance_us is None else tolerance_us
     columns = [c for cols in sensors.values() for c in cols]

@@ -151,12 +151,16 @@ def process_incremental(
     flush: bool = False,
     rebuild: bool = False,
     sensors: Sequence[str] | None = None,
+    resume_from: int | None = None,
 ) -> DataFrame:
     """Bring the summary at ``path`` up to date and return the rows added.
 
     ``sensors`` are the sources a row must wait for (all of ``tables`` by
     default); one that stays silent holds the output back until ``flush``.
     ``rebuild`` replaces the summary by everything in the raw tables.
+    ``resume_from`` (epoch seconds) starts at an earlier time than the last stored
+    one, after a run whose write was cut short: rows that are missing from there on
+    are added, the others stay.
     """
     names = [f.name for f in keys] if keys else []
     schema = schemas.summary(keys)
@@ -166,11 +170,15 @@ def process_incremental(
         return read_summary(spark, path, keys=keys).drop("partition")
 
     step = params.step_us
-    mark = summary_mark(spark, path)
-    # Readings at the last stored time may still serve the next one.
+    mark = summary_mark(spark, path) if resume_from is None else resume_from - 1
+    first_us = first_s = before_s = None
+    if mark is not None:
+        # The next grid point; readings up to one step before may serve it.
+        first_us = (mark * SECOND // step + 1) * step
+        first_s, before_s = first_us // SECOND, (first_us - step) // SECOND
     long = long_frame(
         tables,
-        None if mark is None else mark - 1,
+        None if mark is None else before_s - 1,
         keys=names,
         order=order,
         partition_hours=params.raw_partition_hours,
@@ -181,7 +189,6 @@ def process_incremental(
     last_us = {r["source"]: r["last_us"] for r in freshness(long).collect()}
     if not last_us:
         return none
-    first_us = None if mark is None else mark * SECOND + step
     until_us = None
     if not flush:
         awaited = list(sensors or [s for s in SENSORS if s in tables])
@@ -193,13 +200,12 @@ def process_incremental(
 
     if first_us is not None and params.mode == "batch":
         before = long_frame(
-            _samples_before(tables, mark, params, names), keys=names, order=order
+            _samples_before(tables, before_s, params, names), keys=names, order=order
         )
         long = long.unionByName(before)
     rows = add_corrected_ph(align(long, params, names, order, first_us), params)
     if until_us is not None:
         rows = rows.where(F.col("grid") <= until_us)
-    first_s = None if first_us is None else first_us // SECOND
     # Every level of the moving averages reads the new rows.
     rows = rows.persist()
     try:

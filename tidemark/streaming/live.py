@@ -26,11 +26,12 @@ from tidemark.sources import schemas
 from tidemark.sources.tables import long_frame, read_summary
 
 
-def stream_settings(spark: SparkSession) -> None:
-    """State on local disk with checkpoints in the shared folder, and output that
-    waits for the slowest sensor."""
+def stream_settings(spark: SparkSession, wait_for_all: bool = True) -> None:
+    """State on local disk with checkpoints in the shared folder. Output waits for
+    the slowest sensor, or follows the fastest one: a silent sensor then does not
+    stop it, but readings of a slow one may come too late."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STREAM_STATE_STORE)
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min" if wait_for_all else "max")
 
 
 def raw_streams(
