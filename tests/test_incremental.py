@@ -11,6 +11,7 @@ from tidemark.plans.output import output_means, resample_summary
 from tidemark.plans.summary import summarize
 from tidemark.sources.tables import long_frame, read_summary
 
+
 HUNDRED = Params(step="2s", ma_window_s=60, ph_freq_hz=0.5, k0=0.0, k2=0.0)
 
 

@@ -11,6 +11,7 @@ from tidemark.operators.nearest import nearest_align, nearest_fill, time_grid
 from tidemark.params import ALIGNED_COLUMNS, SECOND, micros
 from tidemark.sources.tables import long_frame
 
+
 FOUR = dict(rho=[1, 2, 3, 4], ph=[7, 8, 9, 10], temp=[20, 21, 22, 23], salinity=[35, 36, 37, 38],
             lat=[10, 11, 12, 13], lon=[20, 21, 22, 23])
 TWO_S = micros("2s")

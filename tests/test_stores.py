@@ -18,6 +18,7 @@ from tidemark.sources.tables import (
     read_or_empty,
 )
 
+
 ROW = T.StructType([T.StructField("datetime_utc", T.LongType()), T.StructField("v", T.DoubleType())])
 
 
@@ -57,6 +58,13 @@ def test_partitions(spark, tmp_path):
     assert len(stored(spark, path)) == 4
 
 
+def test_one_file_per_small_partition(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 8).select((F.col("id") * 10 + T0).alias("datetime_utc"), "id")
+    write_parquet(df, str(tmp_path / "t"), "append", 6)
+    parts = list((tmp_path / "t").glob("partition=*"))
+    assert len(parts) == 2 and all(len(list(p.glob("*.parquet"))) == 1 for p in parts)
+
+
 def test_time_lookups_skip_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     write_parquet(rows(spark, [3600 * h for h in range(48)], range(48)), path, "append", 6)
@@ -180,4 +188,6 @@ def test_small_operators(spark):
     both = lookup.union_all([a.select("id", "v"), b.select("datetime_utc")])
     assert both.columns == ["id", "v", "datetime_utc"] and both.count() == 3
     long = long_frame({"rhodamine": a.withColumnRenamed("v", "rho_ppb")})
-    assert freshness(long).first() == Row(source="rhodamine", n_rows=2, last_us=(T0 + 1) * 1_000_000)
+    assert freshness(long).first() == Row(
+        source="rhodamine", n_rows=2, first_us=T0 * 1_000_000, last_us=(T0 + 1) * 1_000_000
+    )

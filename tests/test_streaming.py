@@ -22,6 +22,7 @@ from tidemark.streaming.live import (
     write_summary_stream,
 )
 
+
 PARAMS = Params(step="10s", ma_window_s=40, ph_freq_hz=0.1, partition_hours=1)
 
 

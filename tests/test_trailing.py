@@ -103,3 +103,13 @@ def test_time_window_over_one_hot_second(spark):
     got = by_time(rolling_mean_time(hot.unionByName(rest), (), "us", "v", 60 * SECOND), "us")
     assert got[0] == {"mean": 2.0, "n": 50_000}
     assert got[59]["n"] == 50_059 and got[60] == {"mean": 5.0, "n": 60}
+
+
+def test_one_level_where_few_rows_are_known(spark):
+    df, pdf = frame(spark, 5, 400)
+    one = trailing.trailing_levels(df, (), "p", 7, {"q": lambda w: F.lag("v", 1).over(w)}, max_rows=400)
+    more = trailing.trailing_levels(df, (), "p", 7, {"q": lambda w: F.lag("v", 1).over(w)}, max_rows=1_000_000)
+    assert (len(one), len(more)) == (1, 3)
+    got = rolling_mean(df, (), "p", 7, {"m": "v"}, max_rows=400).orderBy("p").toPandas()["m"]
+    want = pdf.v.astype(float).rolling(7, min_periods=1).mean()
+    pd.testing.assert_series_equal(got, want, check_names=False, rtol=1e-12, atol=1e-12)

@@ -74,7 +74,9 @@ def high_water_mark(df: DataFrame, time: str) -> DataFrame:
 
 
 def freshness(long: DataFrame) -> DataFrame:
-    """Rows and latest time per source."""
+    """Rows, first and latest time per source."""
     return long.groupBy("source").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.max("us").alias("last_us")
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("us").alias("first_us"),
+        F.max("us").alias("last_us"),
     )

@@ -34,17 +34,21 @@ def trailing_levels(
     rows: int,
     compute: Compute,
     spacing: int = 1,
+    max_rows: int | None = None,
 ) -> list[DataFrame]:
     """Evaluate ``compute`` over windows that look back at most ``rows - 1`` rows.
 
     ``position`` is a bigint, unique per series and a multiple of ``spacing``,
     so a block holds a known number of rows at most. Each function in
-    ``compute`` gets the ordered window without a frame.
+    ``compute`` gets the ordered window without a frame. ``max_rows`` tells that no
+    series has more rows than that; if they fit in a block, one level does.
     Returns the rows that become final per level, from blocks to whole series.
     """
     back = rows - 1
     block_rows = max(BLOCK_ROWS, 16 * rows)
-    if back == 0:
+    if max_rows is not None and max_rows <= block_rows:
+        widths = [None]
+    elif back == 0:
         widths = [spacing * block_rows]
     else:
         above = max(16, TOP_ROWS // (2 * rows))
@@ -85,8 +89,9 @@ def trailing(
     rows: int,
     compute: Compute,
     spacing: int = 1,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    first, *others = trailing_levels(df, keys, position, rows, compute, spacing)
+    first, *others = trailing_levels(df, keys, position, rows, compute, spacing, max_rows)
     for other in others:
         first = first.unionByName(other)
     return first
@@ -99,6 +104,7 @@ def rolling_mean(
     rows: int,
     means: Mapping[str, str],
     spacing: int = 1,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Mean over the current and the ``rows - 1`` rows before it, skipping nulls;
     null where the window has no value. ``means`` maps output to input names."""
@@ -112,6 +118,7 @@ def rolling_mean(
             for out, c in means.items()
         },
         spacing,
+        max_rows,
     )
 
 

@@ -129,16 +129,19 @@ def add_history(
     rows: DataFrame,
     path: str,
     first_us: int,
+    last_us: int,
     params: Params,
     keys: T.StructType | None = None,
 ) -> DataFrame:
-    """Moving averages of new ``rows``, looking back into the stored summary."""
+    """Moving averages of new ``rows``, on the grid from ``first_us`` to ``last_us``,
+    looking back into the stored summary."""
     names = [f.name for f in keys] if keys else []
     back = params.window_rows - 1
     if back:
         before = recent_summary(spark, path, first_us // SECOND, back, params, keys)
         rows = rows.unionByName(before, allowMissingColumns=True)
-    return add_moving_averages(rows, params, names).where(F.col("grid") >= first_us)
+    most = (last_us - first_us) // params.step_us + 1 + back
+    return add_moving_averages(rows, params, names, most).where(F.col("grid") >= first_us)
 
 
 def process_incremental(
@@ -186,15 +189,18 @@ def process_incremental(
     none = spark.createDataFrame([], schema)
 
     # One row per source.
-    last_us = {r["source"]: r["last_us"] for r in freshness(long).collect()}
-    if not last_us:
+    seen = {r["source"]: r for r in freshness(long).collect()}
+    if not seen:
         return none
-    until_us = None
-    if not flush:
+    if flush:
+        until_us = max(r["last_us"] for r in seen.values()) + step
+    else:
         awaited = list(sensors or [s for s in SENSORS if s in tables])
-        if any(s not in last_us for s in awaited):
+        if any(s not in seen for s in awaited):
             return none
-        until_us = min(last_us[s] for s in awaited) - (step if params.mode == "live" else 0)
+        until_us = min(seen[s]["last_us"] for s in awaited)
+        if params.mode == "live":
+            until_us -= step
         if first_us is not None and until_us < first_us:
             return none
 
@@ -204,15 +210,15 @@ def process_incremental(
         )
         long = long.unionByName(before)
     rows = add_corrected_ph(align(long, params, names, order, first_us), params)
-    if until_us is not None:
-        rows = rows.where(F.col("grid") <= until_us)
-    # Every level of the moving averages reads the new rows.
+    rows = rows.where(F.col("grid") <= until_us)
+    # The levels of the moving averages all read the new rows.
     rows = rows.persist()
     try:
         if first_us is None:
-            averaged = add_moving_averages(rows, params, names)
+            most = (until_us - min(r["first_us"] for r in seen.values())) // step + 2
+            averaged = add_moving_averages(rows, params, names, most)
         else:
-            averaged = add_history(spark, rows, path, first_us, params, keys)
+            averaged = add_history(spark, rows, path, first_us, until_us, params, keys)
         append_once(
             to_summary(averaged, names), path, schema, params.partition_hours, names, since=first_s
         )

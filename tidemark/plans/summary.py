@@ -40,14 +40,17 @@ def add_corrected_ph(rows: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def add_moving_averages(rows: DataFrame, params: Params, keys: Sequence[str] = ()) -> DataFrame:
+def add_moving_averages(
+    rows: DataFrame, params: Params, keys: Sequence[str] = (), max_rows: int | None = None
+) -> DataFrame:
     """Moving averages over the last rows of each series: over those with a pH
-    reading, rows without one getting none (``live``), or over all rows."""
+    reading, rows without one getting none (``live``), or over all rows.
+    ``max_rows`` is the most rows a series can have, where that is known."""
     n, step = params.window_rows, params.step_us
     if not params.ph_rows_only:
-        return rolling_mean(rows, keys, "grid", n, MEANS, step)
+        return rolling_mean(rows, keys, "grid", n, MEANS, step, max_rows)
     has_ph = F.col("ph_total").isNotNull()
-    averaged = rolling_mean(rows.where(has_ph), keys, "grid", n, MEANS, step)
+    averaged = rolling_mean(rows.where(has_ph), keys, "grid", n, MEANS, step, max_rows)
     others = rows.where(~has_ph).withColumns({m: F.lit(None).cast("double") for m in MEANS})
     return averaged.unionByName(others)
 

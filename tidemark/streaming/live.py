@@ -109,11 +109,11 @@ def write_summary_stream(
         rows = add_corrected_ph(batch.withColumn("grid", timestamp_to_us("grid")), params)
         rows = rows.persist()
         try:
-            first_us = rows.agg(F.min("grid").alias("t")).first()["t"]
+            first_us, last_us = rows.agg(F.min("grid"), F.max("grid")).first()
             if first_us is None:
                 return
             first_s = first_us // SECOND
-            averaged = to_summary(add_history(spark, rows, path, first_us, params, keys), names)
+            averaged = to_summary(add_history(spark, rows, path, first_us, last_us, params, keys), names)
             append_once(
                 averaged, path, schemas.summary(keys), params.partition_hours, names, since=first_s
             )
