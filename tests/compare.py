@@ -35,7 +35,7 @@ def normal(frame):
 
 def difference(spark, db, name: str, sf_dir) -> str | None:
     """None if the rows are equal, else a short text."""
-    mine, other = contract.queries()[name](spark, str(sf_dir)), db.execute(contract.oracle_sql()[name]).to_arrow_table()
+    mine, other = contract.queries()[name](spark, str(sf_dir)), db.sql(contract.oracle_sql()[name]).to_arrow_table()
     types = {f.name: KINDS.get(f.dataType.simpleString()) for f in mine.schema}
     wanted = {f.name: str(f.type) for f in other.schema}
     if types != wanted:
