@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import TESTDATA, connect, difference
+from tidemark.oracles import ORACLES
+from tidemark.queries import QUERIES
 
 SF_DIR = TESTDATA / "sf0.001"
 
@@ -14,7 +16,8 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -22,6 +25,6 @@ def test_entry(spark):
     assert rows.columns[0] == "datetime_utc" and rows.count() > 600
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, db, name):
     assert difference(spark, db, name, SF_DIR) is None
