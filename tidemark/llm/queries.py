@@ -6,7 +6,19 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, common, id_files, packing, token_counts
+from tidemark.llm import (
+    bpe,
+    common,
+    html_text,
+    id_files,
+    minhash,
+    packing,
+    projection,
+    quality,
+    repeats,
+    token_counts,
+    toxicity,
+)
 from tidemark.llm.common import scratch, table
 
 
@@ -14,6 +26,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_texts(table(spark, sf_dir, "documents"), "byte_bpe_50k.tiktoken")
 
@@ -23,12 +39,33 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 2048 AS over_limit")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.selectExpr("page_id", "url", "text", "CAST(char_length(text) AS BIGINT) AS n_chars")
+
+
 def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "ids")
     id_files.write_ids(table(spark, sf_dir, "documents"), path, "byte_bpe_50k.json", 2)
     return id_files.read_digests(spark, path)
 
 
+def op7_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def _shipped(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,9 +79,15 @@ QUERIES = {
     f.__name__: _shipped(f)
     for f in (
         op1_packing,
+        op2_quality,
         op3_bpe,
         op4_token_counts,
+        op5_html_text,
         op6_id_files,
+        op7_projection,
+        op8_toxicity,
+        op9_repeats,
+        op10_minhash,
     )
 }
 
