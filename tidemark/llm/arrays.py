@@ -93,13 +93,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     """One 64-bit hash per word; equal words have equal hashes wherever they stand."""
     if not len(starts):
         return np.zeros(0, _U)
-    lengths = ends - starts
-    heads = np.cumsum(lengths) - lengths
-    at = np.arange(int(lengths.sum()), dtype=np.int32)  # texts of a slice stay below 2**31 bytes
-    local = at - np.repeat(heads.astype(np.int32), lengths)
-    at += np.repeat((starts - heads).astype(np.int32), lengths)
-    terms = _table(seed)[data[at]] * powers(BASE, int(lengths.max()))[local]
-    return mix(np.add.reduceat(terms, heads) + lengths.astype(_U))
+    sums, back = window_hashes(data, seed)
+    return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(_U))
 
 
 def run_hashes(h: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -22,10 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import stored
 from tidemark.llm.pieces import byte_memo
 
 BLOCK = 256
 SEGMENT = 1 << 20
+MOST_PARTS = 500_000
 
 # Fixed values of Simple-8b: ids per word for selectors 0 to 13, and bits per id.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -43,14 +45,24 @@ _U = np.uint64
 NEAR = 5
 
 
-def _selectors(ahead: np.ndarray, block: np.ndarray, at: np.ndarray, first: int) -> np.ndarray:
+def _selectors(ahead: np.ndarray, at: np.ndarray, first: int) -> np.ndarray:
     """The first selector from ``first`` on whose ids all fit."""
-    window = ahead[block[:, None], at[:, None] + np.arange(COUNTS[first])]
+    window = ahead.take(at[:, None] + np.arange(COUNTS[first]))
     most = np.maximum.accumulate(window, axis=1)
     good = most[:, COUNTS[first:] - 1] <= WIDTHS[first:]
     return np.where(good.any(1), good.argmax(1) + first, ESCAPE)
 
 
+SMALL = np.maximum(np.frexp(np.arange(1 << 16, dtype=np.float64))[1], 1).astype(np.uint8)
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    """Bits that each id needs; perhaps one more above 2**53."""
+    if len(ids) and ids.max() >= len(SMALL):
+        return np.maximum(np.frexp(ids.astype(np.float64))[1], 1).astype(np.uint8)
+    return SMALL[ids]
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, first word of each block, escapes) of unsigned ids.
 
@@ -58,7 +70,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     ids = ids.astype(_U)
     n = len(ids)
-    bits = np.maximum(np.frexp(ids.astype(np.float64))[1], 1)  # may be one too many above 2**53
+    bits = _bits(ids)
     escapes = ids[bits > 60]
     values = ids.copy()
     values[bits > 60] = np.arange(len(escapes), dtype=_U)
@@ -74,10 +86,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     steps = []
     while len(live):
         here = at[live]
-        chosen = _selectors(ahead, live, here, NEAR)
+        place = here + live * ahead.shape[1]
+        chosen = _selectors(ahead, place, NEAR)
         wider = np.flatnonzero(chosen == NEAR)
         if len(wider):
-            chosen[wider] = _selectors(ahead, live[wider], here[wider], 0)
+            chosen[wider] = _selectors(ahead, place[wider], 0)
         taken = np.minimum(np.where(chosen == ESCAPE, 1, COUNTS[np.minimum(chosen, 13)]), sizes[live] - here)
         steps.append((live, chosen, here + live * BLOCK, taken))
         at[live] = here + taken
@@ -196,6 +209,9 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     bases = totals.select(
         "part", F.coalesce(F.sum("part_ids").over(before), F.lit(0)).alias("base")
     )
+    bases = stored(bases, "id-parts")
+    if bases.count() <= MOST_PARTS:  # 16 bytes each; else the segments are shuffled
+        bases = F.broadcast(bases)
     return rows.join(bases, "part").withColumn("start", F.col("base") + F.col("part_start"))
 
 
