@@ -1,0 +1,198 @@
+"""Links of texts and vectors against all pairs."""
+
+import collections
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tidemark.llm import common, minhash, projection
+from tidemark.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+
+
+def shingles(text, n=5) -> frozenset:
+    words = WORDS.findall((text or "").encode().translate(LOWER))
+    if len(words) < n:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+
+
+def joined(n: int, links) -> list[int]:
+    """The smallest index that links reach."""
+    top = list(range(n))
+
+    def find(i):
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+
+    for i, j in links:
+        a, b = find(i), find(j)
+        top[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def components_of(rows: list[tuple], percent: int) -> dict:
+    rows = sorted(rows)
+    sets = [shingles(x) for _, x in rows]
+    links = [
+        (i, j)
+        for i in range(len(rows))
+        for j in range(i + 1, len(rows))
+        if sets[i] and 100 * (both := len(sets[i] & sets[j])) >= percent * (len(sets[i]) + len(sets[j]) - both)
+    ]
+    return {rows[i][0]: (len(sets[i]), rows[t][0]) for i, t in enumerate(joined(len(rows), links))}
+
+
+def check(frame, rows, percent):
+    found = minhash.near_duplicates(frame, percent).collect()
+    want = components_of(rows, percent)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found) and len(found) == len(rows)
+
+
+def test_minhash_query(spark, texts):
+    found = QUERIES["op10_minhash"](spark, SMALL).collect()
+    want = components_of(list(texts.items()), 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+    return words
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_chains_near_the_bound(spark, percent):
+    """Chains of edits, sizes about the sketch's, a passage that all texts share."""
+    rng = random.Random(percent)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for length in (3, 5, 8, 30, 64, 68, 90, 200, 400):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(length)]
+        for step in range(14):
+            body = words if rng.random() < 0.5 else [*words, *passage]
+            rows.append((len(rows), " ".join(body)))
+            words = edited(rng, words, rng.choice([0, 1, 1, 2, 3]) if length > 20 else rng.choice([0, 1]))
+    check(spark.createDataFrame(rows, "doc_id bigint, text string"), rows, percent)
+
+
+def test_one_large_group_and_one_common_passage(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(150)]
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(edited(rng, words, rng.choice([0, 0, 1, 2])))) for i in range(300)]
+    rows += [(1000 + i, passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(40))) for i in range(200)]
+    check(spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 85)
+
+
+def test_minhash_of_odd_rows(spark, odd, empty):
+    found = minhash.near_duplicates(odd).collect()
+    assert len(found) == 10
+    by_id = collections.defaultdict(list)
+    for r in found:
+        by_id[r.doc_id].append(r)
+    assert {r.component_id for r in by_id[1]} == {1} and len(by_id[1]) == 2
+    assert [by_id[i][0].component_id for i in (2, 3, 4, 5, 6, 7, 8)] == [2, 3, 4, 5, 6, 6, 8]
+    assert by_id[None][0].component_id is None and by_id[None][0].kept
+    assert minhash.near_duplicates(empty).count() == 0
+    kept = minhash.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 2, 3, 4, 5, 6, 8]
+    assert kept.count() == 8 and minhash.keep_one(empty).columns == odd.columns
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)]
+    edges += [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(120)] + [(7, 7)]
+    rng.shuffle(edges)
+    frame = spark.createDataFrame([(a, b) if rng.random() < 0.5 else (b, a) for a, b in edges], "a bigint, b bigint")
+    want = joined(500, [(a, b) for a, b in edges if a != b])
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    found = common.components(frame, "test").collect()
+    assert {r.id: r.component for r in found} == {i: want[i] for i in linked} and len(found) == len(linked)
+    assert common.components(frame.limit(0), "test").count() == 0
+
+
+def vector_links(vectors, labels, least=0.98):
+    x = np.array(vectors, float)
+    cosine = (x @ x.T) / np.sqrt((x * x).sum(1)[:, None] * (x * x).sum(1)[None, :])
+    same = np.array(labels)[:, None] == np.array(labels)[None, :]
+    linked = (cosine >= least) & same
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def vectors_about(rng, centres, each, spread, size=32):
+    out = []
+    for _ in range(centres):
+        centre = rng.standard_normal(size)
+        out += [(centre + spread * rng.standard_normal(size)).astype(np.float32).tolist() for _ in range(each)]
+    return out
+
+
+def test_vectors_against_all_pairs(spark):
+    """Recall of links at the default settings, one group of 700 near copies included."""
+    rng = np.random.default_rng(6)
+    vectors = vectors_about(rng, 1, 700, 0.08) + vectors_about(rng, 60, 6, 0.09) + vectors_about(rng, 800, 1, 0)
+    vectors += vectors[:50]
+    labels = [int(x) for x in rng.integers(0, 2, len(vectors))]
+    rows = [(i, v, k) for i, (v, k) in enumerate(zip(vectors, labels))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    found = {r.vec_id: r for r in projection.link_vectors(frame).collect()}
+    linked = vector_links(vectors, labels)
+    n = linked.sum(1)
+    assert all(found[i].n_links <= n[i] for i in range(len(rows)))
+    assert sum(r.n_links for r in found.values()) >= 0.97 * n.sum() > 50_000
+    want = joined(len(rows), zip(*np.nonzero(linked)))
+    same = np.mean([found[i].component_id == want[i] for i in range(len(rows))])
+    assert same > 0.99 and all(r.kept == (r.vec_id == r.component_id) for r in found.values())
+
+
+def test_vectors_of_few_rows_are_exact_in_any_partitioning(spark):
+    rng = np.random.default_rng(8)
+    vectors = vectors_about(rng, 12, 8, 0.1)
+    rows = [(i, v, 0) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    n = vector_links(vectors, [0] * len(rows)).sum(1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for partitions in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        found = projection.link_vectors(frame).collect()
+        assert {r.vec_id: r.n_links for r in found} == dict(enumerate(n.tolist()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1),
+        (5, [0.0, 0.0], 1), (6, [nan, 1.0], 1), (7, [inf, 1.0], 1), (8, [1.0, None], 1), (9, [], 1),
+        (10, [1.0, 0.0, 0.0], 1), (11, [1.0, -0.0], 1), (12, [1.0, 0.0], 2), (None, [1.0, 0.0], 1),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    frame = frame.selectExpr("*", "1 AS id", "'x' AS vec", "2 AS n_links", "3 AS kept")
+    found = projection.link_vectors(frame).collect()
+    assert len(found) == len(rows)
+    links = {r.vec_id: (r.n_links, r.component_id) for r in found}
+    assert links[1] == (3, 1) and links[2] == (3, 1) and links[11] == (3, 1)
+    assert all(links[i] == (0, i) for i in (3, 4, 5, 6, 7, 8, 9, 10, 12))
+    assert projection.link_vectors(frame.limit(0)).count() == 0
+
+
+def test_no_link_below_the_bound(spark):
+    """Pairs a hair on either side of the cosine."""
+    angles = [0.0, *(np.arccos(0.98) + d for d in (-1e-7, 1e-7, -1e-12))]
+    vectors = [[float(np.cos(a)), float(np.sin(a))] for a in angles]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>, label int")
+    found = {r.vec_id: r.n_links for r in projection.link_vectors(frame).collect()}
+    assert found == dict(enumerate(vector_links(vectors, [0] * 4).sum(1).tolist()))

@@ -1,0 +1,244 @@
+"""Ids, counts, files and packing against the public libraries."""
+
+import base64
+import collections
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+
+from tidemark.llm import bpe, id_files, packing, token_counts
+from tidemark.llm.pieces import Memo, before_words, by_white_space, byte_memo, library, word_memo
+from tidemark.llm.queries import QUERIES
+from tidemark.session import scratch
+
+SMALL = "/root/testdata/sf0.001"
+PARTS = [
+    *("a", "b", "th", "e", " ", "  ", "\n", "\t", "é", "\xa0", " ", "　", "\x1c", "\x85", "1", "23"),
+    *("'s", "'ll", "!", "日", "𝒳", "́", "<|endoftext|>", "<|ENDOFTEXT|>", ".", ",", "z.", "à ", "A", "Σ", "ﬁ"),
+]
+
+
+def ids_of(memo: Memo, texts: list) -> list[list[int]]:
+    out = []
+    for _, ids, counts in memo.slices(pa.array(texts, pa.string())):
+        out += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    return out
+
+
+def odd_strings(n: int) -> list[str]:
+    rng = random.Random(5)
+    return ["".join(rng.choices(PARTS, k=rng.randint(0, 30))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def tiktoken_encoder():
+    lines = open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read().splitlines()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+
+
+@pytest.mark.parametrize("name, memo", [("word_bpe_49k.json", word_memo), ("byte_bpe_50k.json", byte_memo)])
+def test_pieces_give_the_ids_of_whole_texts(name, memo, texts):
+    strings = [*odd_strings(1500), *texts.values()]
+    encode = library(name).encode
+    assert ids_of(memo(name), strings) == [encode(x, add_special_tokens=False).ids for x in strings]
+
+
+def test_ranks_give_the_ids_of_tiktoken(tiktoken_encoder, texts):
+    strings = [*odd_strings(1500), *texts.values(), "ab" * 20_000, "x" * 5_000]
+    own = bpe.encoder("byte_bpe_50k.tiktoken")
+    found = ids_of(own.memo, strings)
+    assert found == [tiktoken_encoder.encode_ordinary(x) for x in strings]
+    assert [own.decode(np.array(x, np.uint32)).decode() for x in found] == strings
+
+
+def test_perfect_hash_finds_its_keys_only():
+    keys = [bytes([a, b]) for a in range(60) for b in range(0, 200, 7)]
+    for n in (0, 1, 2, 3, 50, len(keys)):
+        own = bpe.PerfectHash(keys[:n])
+        assert [own(k) for k in keys] == [*range(n), *[-1] * (len(keys) - n)]
+        assert sorted(own.slots) == list(range(n))
+
+
+def test_forgetful_memo_stays_right(monkeypatch):
+    monkeypatch.setattr("tidemark.llm.pieces.MOST", 5)
+    memo = Memo(by_white_space, lambda new: [[len(x)] * len(x) for x in new])
+    for text in ("a bb ccc", "dddd eeeee ffffff g", "bb a"):
+        assert ids_of(memo, [text]) == [[len(w) for w in text.split() for _ in w]]
+
+
+def test_pieces_cover_the_text():
+    for text in odd_strings(500):
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts, ends = before_words(data, np.array([0, len(data)])) if len(data) else ([], [])
+        assert b"".join(text.encode()[a:b] for a, b in zip(starts, ends)) == text.encode()
+
+
+@pytest.mark.parametrize("most", [1, 2, 7, 50257, 1 << 20, 1 << 59, (1 << 64) - 1])
+def test_words_round_trip(most):
+    rng = np.random.default_rng(most % 1000)
+    for n in (0, 1, 3, 255, 256, 257, 5000):
+        ids = rng.integers(0, most, n, dtype=np.uint64, endpoint=True)
+        if n > 3:
+            ids[:3] = [(1 << 60) - 1, 0, 1 << 60]
+        words, blocks, escapes = id_files.pack(ids)
+        assert (id_files.unpack(words, blocks, escapes, n) == ids).all()
+        # A block decodes without the others.
+        if n > 256:
+            assert (id_files.unpack(words[blocks[1] :], blocks[1:] - blocks[1], escapes, n - 256) == ids[256:]).all()
+
+
+def test_small_ids_take_few_words():
+    words, _, _ = id_files.pack(np.ones(6000, np.uint64))
+    assert len(words) <= 6000 // 60 + 24 * 5
+
+
+def crc(ids) -> int:
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_id_files(spark, documents, texts):
+    rows = QUERIES["op6_id_files"](spark, SMALL).collect()
+    encode, start = library("byte_bpe_50k.json").encode, 0
+    found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in rows}
+    assert len(rows) == len(texts)
+    for doc_id in sorted(texts):
+        ids = encode(texts[doc_id], add_special_tokens=False).ids + [2]
+        assert found[doc_id] == (start, len(ids), crc(ids))
+        start += len(ids)
+
+
+def test_id_files_of_odd_rows(spark, odd, empty):
+    path = scratch(spark, "odd-ids")
+    id_files.write_ids(odd.repartition(3), path, "byte_bpe_50k.json", 2)
+    rows = sorted(id_files.read_ids(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None, 1, 1, 2, 3, 4, 5, 6, 7, 8]
+    assert rows[3].ids == rows[4].ids == [2]
+    assert [r.start for r in rows] == np.cumsum([0, *(len(r.ids) for r in rows[:-1])]).tolist()
+    digests = {(r.doc_id, r.start): (r.n_tokens, r.ids_crc32) for r in id_files.read_digests(spark, path).collect()}
+    assert digests == {(r.doc_id, r.start): (len(r.ids), crc(r.ids)) for r in rows}
+    path = scratch(spark, "no-ids")
+    id_files.write_ids(empty, path, "byte_bpe_50k.json", 2)
+    assert id_files.read_ids(spark, path).count() == 0
+
+
+def test_bpe_query(spark, texts, tiktoken_encoder):
+    rows = QUERIES["op3_bpe"](spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = tiktoken_encoder.encode_ordinary(texts[r.doc_id])
+        sha = lambda x: hashlib.sha256(x).hexdigest()
+        assert r.n_tokens == len(ids) and r.ids_sha256 == sha(" ".join(map(str, ids)).encode())
+        assert r.decoded_sha256 == sha(texts[r.doc_id].encode())
+
+
+def test_bpe_of_odd_rows(odd, empty):
+    rows = bpe.encode_texts(odd, "byte_bpe_50k.tiktoken").collect()
+    want = [r.text or "" for r in odd.select("text").collect()]
+    assert sorted(bytes(r.decoded).decode() for r in rows) == sorted(want)
+    assert bpe.digest_texts(odd, "byte_bpe_50k.tiktoken").count() == 10
+    assert bpe.digest_texts(empty, "byte_bpe_50k.tiktoken").count() == 0
+
+
+def test_token_counts(spark, texts):
+    rows = QUERIES["op4_token_counts"](spark, SMALL).collect()
+    encode = library("word_bpe_49k.json").encode
+    assert len(rows) == len(texts)
+    for r in rows:
+        n = len(encode(texts[r.doc_id], add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n, n > 2048)
+
+
+def test_token_counts_of_odd_rows(spark, odd, empty):
+    strings = odd_strings(300)
+    frame = spark.createDataFrame([(i % 50, x) for i, x in enumerate(strings)], "doc_id bigint, text string")
+    encode = library("word_bpe_49k.json").encode
+    for rows in (frame, odd):
+        want = collections.Counter(
+            (r.doc_id, len((r.text or "").encode()), len(encode(r.text or "", add_special_tokens=False).ids))
+            for r in rows.collect()
+        )
+        found = token_counts.count_tokens(rows, "word_bpe_49k.json").collect()
+        assert collections.Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in found) == want
+    assert token_counts.count_tokens(empty, "word_bpe_49k.json").count() == 0
+
+
+def test_each_pre_token_is_counted_once(documents):
+    pieces = token_counts.distinct_pre_tokens(documents, "word_bpe_49k.json").collect()
+    assert len(pieces) == len({r.piece for r in pieces}) > 1000
+
+
+def check_packing(rows, want: dict):
+    """Every id in one piece, sequences without gaps; gives ids and padded places."""
+    pieces, sequences = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        ids = want[r.doc_id]
+        assert r.doc_tokens == len(ids) and r.length > 0
+        assert r.ids_crc32 == crc(ids[r.start : r.start + r.length])
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert set(pieces) == set(want)
+    for doc_id, own in pieces.items():
+        ends = np.cumsum([n for _, n in sorted(own)])
+        assert [s for s, _ in sorted(own)] == [0, *ends[:-1]] and ends[-1] == len(want[doc_id])
+    total = padded = 0
+    for own in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(own)])
+        assert [s for s, _ in sorted(own)] == [0, *ends[:-1]] and ends[-1] <= 2048
+        total += ends[-1]
+        padded += ends[-1] if ends[-1] & (ends[-1] - 1) == 0 else 2048
+    return total, padded
+
+
+def test_packing(spark, texts):
+    rows = QUERIES["op1_packing"](spark, SMALL).collect()
+    encode = library("word_bpe_49k.json").encode
+    want = {k: encode(x, add_special_tokens=False).ids + [1] for k, x in texts.items()}
+    total, padded = check_packing(rows, want)
+    assert padded <= total + 2048
+    steps = collections.defaultdict(set)
+    tokens = collections.Counter()
+    for r in rows:
+        steps[r.step_id].add(r.tier)
+        tokens[r.step_id] += r.length
+    assert all(len(tiers) == 1 for tiers in steps.values()) and max(tokens.values()) <= 16_384
+
+
+def test_packing_in_many_partitions_and_small_buffers(documents, texts, monkeypatch):
+    encode = library("word_bpe_49k.json").encode
+    want = {k: encode(x, add_special_tokens=False).ids + [1] for k, x in texts.items()}
+    rows = packing.pack_documents(documents.repartition(5)).collect()
+    total, padded = check_packing(rows, want)
+    assert padded <= total + 5 * 2048
+
+
+def test_windows_are_full_while_pieces_last():
+    rng = random.Random(3)
+    for _ in range(50):
+        pieces, n = packing.Pieces(2048), 0
+        for doc in range(rng.randint(0, 60)):
+            length = rng.choice([1, 7, 100, 256, 300, 513, 2048, rng.randint(1, 2048)])
+            pieces.add(doc, 0, length)
+            n += length
+        done = list(packing.windows(pieces, packing.TIERS, False))
+        assert all(size == sum(p[2] for p in own) for size, own in done)
+        left = list(packing.windows(pieces, packing.TIERS, True))
+        assert sum(p[2] for _, own in done + left for p in own) == n
+        assert sum(size != sum(p[2] for p in own) for size, own in left) <= 1
+
+
+def test_packing_of_odd_rows(odd, empty):
+    rows = packing.pack_documents(odd.repartition(2), with_ids=True).collect()
+    encode = library("word_bpe_49k.json").encode
+    want = [len(encode(r.text or "", add_special_tokens=False).ids) + 1 for r in odd.collect()]
+    assert sum(r.length for r in rows) == sum(want)
+    assert all(len(r.ids) == 4 * r.length for r in rows)
+    assert packing.pack_documents(empty).count() == 0
