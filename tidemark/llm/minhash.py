@@ -303,7 +303,25 @@ def _with_components(sketches: DataFrame, classes: DataFrame, found: DataFrame)
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns."""
-    verdicts = near_duplicates(docs, percent)
-    gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    """One document of each group, the one with the smallest id, with all its columns.
+
+    Rows that repeat an id are one document: the row with the first text of them stays.
+    """
+    verdicts = stored(near_duplicates(docs, percent), "minhash-verdicts")
+    per_id = (
+        verdicts.where("doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").alias("__id"))
+        .agg(F.count("*").alias("__n"), F.max("kept").alias("__kept"))
+    )
+    gone = per_id.where("NOT __kept OR __n > 1").select("__id")
+    once = docs.join(gone, docs["doc_id"] == F.col("__id"), "left_anti")
+    again = stored(per_id.where("__kept AND __n > 1").select("__id"), "minhash-repeated")
+    if again.isEmpty():
+        return once
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    several = (
+        docs.join(again, docs["doc_id"] == F.col("__id"))
+        .groupBy("__id")
+        .agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("__row"))
+    )
+    return once.unionByName(several.select("__row.*"))
