@@ -78,13 +78,14 @@ def test_conform_and_missing_values(spark):
 
 def test_items(spark):
     df = spark.createDataFrame(
-        [(1722931200, 42.5, 7, "x"), (1722931260, None, 8, None), (None, 1.0, 9, "y")],
+        [(951827696, 54.125, 7, "x"), (951827701, None, 8, None), (951827706, float("nan"), 3, "z"), (None, 1.0, 9, "y")],
         "datetime_utc bigint, latitude double, n int, note string",
     )
     rows = to_items(df).orderBy("datetime_utc").collect()
-    assert [r.datetime_utc for r in rows] == ["2024-08-06T08:00:00Z", "2024-08-06T08:01:00Z"]
-    assert rows[0].item == '{"static_partition":"data","datetime_utc":"2024-08-06T08:00:00Z","latitude":42.5,"n":7,"note":"x"}'
-    assert rows[1].item == '{"static_partition":"data","datetime_utc":"2024-08-06T08:01:00Z","n":8}'
+    assert [r.datetime_utc for r in rows] == ["2000-02-29T12:34:56Z", "2000-02-29T12:35:01Z", "2000-02-29T12:35:06Z"]
+    assert rows[0].item == '{"static_partition":"data","datetime_utc":"2000-02-29T12:34:56Z","latitude":54.125,"n":7,"note":"x"}'
+    assert rows[1].item == '{"static_partition":"data","datetime_utc":"2000-02-29T12:35:01Z","n":8}'
+    assert rows[2].item == '{"static_partition":"data","datetime_utc":"2000-02-29T12:35:06Z","n":3,"note":"z"}'
     assert {r.static_partition for r in rows} == {"data"}
     timed = df.withColumn("datetime_utc", F.timestamp_seconds("datetime_utc"))
     assert [r.datetime_utc for r in to_items(timed).orderBy("datetime_utc").collect()] == [r.datetime_utc for r in rows]
@@ -107,6 +108,12 @@ def test_mean_without_numbers_is_empty(spark):
     assert mean_resample(df, HOUR).count() == 0
 
 
+def test_mean_skips_nan(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(0, 1.0), (1, nan), (2, 3.0), (HOUR, nan)], "us bigint, v double")
+    assert [tuple(r) for r in mean_resample(df, HOUR).collect()] == [(0, 2.0)]
+
+
 def test_mean_drops_buckets_without_values(spark):
     df = spark.createDataFrame([(0, None), (HOUR, 2.0), (HOUR + 1, None)], "us bigint, v double")
     assert [tuple(r) for r in mean_resample(df, HOUR).collect()] == [(HOUR, 2.0)]

@@ -1,7 +1,8 @@
+import math
 import random
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import Row, types as T
 
 from frames import T0, by_time, generated, sensor_tables, upto
 from tidemark import Params
@@ -9,24 +10,26 @@ from tidemark.operators import trailing
 from tidemark.plans.incremental import process_incremental, recent_summary, summary_mark
 from tidemark.plans.output import output_means, resample_summary
 from tidemark.plans.summary import summarize
+from tidemark.sinks.files import read_state
 from tidemark.sources.tables import long_frame, read_summary
 
 
-HUNDRED = Params(step="2s", ma_window_s=60, ph_freq_hz=0.5, k0=0.0, k2=0.0)
+WAVES = Params(step="3s", ma_window_s=45, ph_freq_hz=0.2, k0=0.4, k2=0.002)
 
 
-def hundred(spark, n=100):
-    f = lambda make: [make(i) for i in range(n)]
+def waves(spark, n=84):
+    """Smooth curves of different lengths, a reading every three seconds."""
+    wave = lambda middle, width, period: [middle + width * math.sin(i / period) for i in range(n)]
     return sensor_tables(
         spark,
-        [T0 + 2 * i for i in range(n)],
-        f(lambda i: 1 + 0.01 * i),
-        f(lambda i: 7 + 0.05 * (i % 20)),
-        f(lambda i: 20 + 0.5 * (i % 10)),
-        f(lambda i: 35 + 0.1 * (i % 15)),
-        f(lambda i: 10 + 0.01 * i),
-        f(lambda i: 20 + 0.01 * i),
-        f(lambda i: 0.1 + 0.001 * i),
+        [T0 + 3 * i for i in range(n)],
+        wave(0.4, 0.3, 2.3),
+        wave(8.0, 0.2, 5.1),
+        wave(9.5, 1.5, 7.7),
+        wave(31.0, 0.8, 3.9),
+        wave(54.3, 0.2, 11.0),
+        wave(7.6, 0.4, 13.0),
+        wave(0.25, 0.05, 4.4),
     )
 
 
@@ -52,13 +55,13 @@ def assert_same(got, want):
 
 
 @pytest.mark.parametrize("mode", ["live", "batch"])
-def test_batches_of_25_equal_one_shot(spark, tmp_path, mode):
-    params = Params(**{**HUNDRED.__dict__, "mode": mode})
-    tables = hundred(spark)
+def test_uneven_runs_equal_one_shot(spark, tmp_path, mode):
+    params = Params(**{**WAVES.__dict__, "mode": mode})
+    tables = waves(spark)
     want = one_shot(tables, params)
-    assert len(want) == (101 if mode == "live" else 100)
+    assert len(want) == (85 if mode == "live" else 84)
     assert all(r["ph_total_ma"] is not None for t, r in want.items())
-    cuts = [T0 + 2 * i - 1 for i in (25, 50, 75)]
+    cuts = [T0 + 3 * i - 1 for i in (11, 12, 47, 70)]
     assert_same(in_runs(spark, tables, params, str(tmp_path / "s"), cuts), want)
 
 
@@ -97,33 +100,33 @@ def test_window_longer_than_every_run(spark, tmp_path, monkeypatch):
 
 def test_nothing_new_writes_nothing(spark, tmp_path):
     path = str(tmp_path / "s")
-    tables = hundred(spark, 10)
-    process_incremental(spark, tables, path, HUNDRED, flush=True)
+    tables = waves(spark, 10)
+    process_incremental(spark, tables, path, WAVES, flush=True)
     before = by_time(read_summary(spark, path).drop("partition"), "datetime_utc")
     for flush in (False, True):
-        assert process_incremental(spark, tables, path, HUNDRED, flush=flush).count() == 0
+        assert process_incremental(spark, tables, path, WAVES, flush=flush).count() == 0
     empty = {s: t.limit(0) for s, t in tables.items()}
-    assert process_incremental(spark, empty, path, HUNDRED, flush=True).count() == 0
+    assert process_incremental(spark, empty, path, WAVES, flush=True).count() == 0
     assert by_time(read_summary(spark, path).drop("partition"), "datetime_utc") == before
 
 
 def test_empty_store_and_no_data(spark, tmp_path):
     path = str(tmp_path / "s")
     assert summary_mark(spark, path) is None
-    empty = {s: t.limit(0) for s, t in hundred(spark, 2).items()}
-    assert process_incremental(spark, empty, path, HUNDRED).count() == 0
+    empty = {s: t.limit(0) for s, t in waves(spark, 2).items()}
+    assert process_incremental(spark, empty, path, WAVES).count() == 0
     assert summary_mark(spark, path) is None
 
 
 def test_added_rows_are_returned(spark, tmp_path):
     path = str(tmp_path / "s")
-    tables = hundred(spark, 40)
-    first = by_time(process_incremental(spark, upto(tables, T0 + 30), path, HUNDRED), "datetime_utc")
-    # The row at 30 s may still be changed by readings up to 32 s.
-    assert list(first) == list(range(0, 29, 2))
-    second = by_time(process_incremental(spark, tables, path, HUNDRED, flush=True), "datetime_utc")
-    assert list(second) == list(range(30, 81, 2))
-    assert summary_mark(spark, path) == T0 + 80
+    tables = waves(spark, 31)
+    first = by_time(process_incremental(spark, upto(tables, T0 + 42), path, WAVES), "datetime_utc")
+    # The row at 42 s may still be changed by readings up to 45 s.
+    assert list(first) == list(range(0, 40, 3))
+    second = by_time(process_incremental(spark, tables, path, WAVES, flush=True), "datetime_utc")
+    assert list(second) == list(range(42, 94, 3))
+    assert summary_mark(spark, path) == T0 + 93
 
 
 def test_a_slow_sensor_holds_rows_back(spark, tmp_path):
@@ -250,20 +253,111 @@ def test_series_that_pause(spark, tmp_path):
 
 
 @pytest.mark.parametrize("mode", ["live", "batch"])
-def test_a_write_that_was_cut_short_is_completed(spark, tmp_path, mode):
-    import shutil
+@pytest.mark.parametrize("series", [False, True])
+def test_a_write_that_was_cut_short_is_completed(spark, tmp_path, monkeypatch, mode, series):
+    """The second run ends after some of its rows are stored, later ones first."""
+    from pyspark.sql import functions as F
+
+    from tidemark.plans import incremental
 
     params = Params(step="10s", ma_window_s=60, mode=mode, partition_hours=1)
-    tables = generated(spark, 3 * 3600, ph_every=10)
-    path = tmp_path / "s"
-    process_incremental(spark, tables, str(path), params, flush=True)
-    want = by_time(read_summary(spark, str(path)).drop("partition"), "datetime_utc")
-    # The middle hour did not make it.
-    shutil.rmtree(path / "partition=2023-01-01-01")
-    process_incremental(spark, tables, str(path), params, flush=True)
-    assert read_summary(spark, str(path)).count() < len(want)
-    process_incremental(spark, tables, str(path), params, flush=True, resume_from=T0 + 3600)
-    assert_same(by_time(read_summary(spark, str(path)).drop("partition"), "datetime_utc"), want)
+    tables, keys = generated(spark, 3 * 3600, ph_every=10), None
+    if series:
+        keys = T.StructType([T.StructField("ship", T.StringType())])
+        tables = {s: t.withColumn("ship", F.lit("a")) for s, t in tables.items()}
+    run = lambda part, **more: process_incremental(spark, part, path, params, keys=keys, **more)
+    path, early = str(tmp_path / "s"), upto(tables, T0 + 1800)
+    run(early)
+    whole = incremental.append_once
+
+    def cut(rows, *args, **more):
+        whole(rows.where(F.col("datetime_utc") % 7200 >= 3600), *args, **more)
+        raise RuntimeError("the driver was lost")
+
+    monkeypatch.setattr(incremental, "append_once", cut)
+    with pytest.raises(RuntimeError):
+        run(tables)
+    with pytest.raises(RuntimeError):
+        run(tables)
+    monkeypatch.setattr(incremental, "append_once", whole)
+    run(tables)
+    run(tables, flush=True)
+    got = read_summary(spark, path, keys=keys).drop("partition", "ship")
+    plain = {s: t.drop("ship") for s, t in tables.items()}
+    assert_same(by_time(got, "datetime_utc"), one_shot(plain, params))
+
+
+@pytest.mark.parametrize("mode", ["live", "batch"])
+def test_a_series_that_arrives_late_loses_nothing(spark, tmp_path, mode):
+    """Ship b covers the time of ship a, but its readings arrive after the first run."""
+    from pyspark.sql import functions as F
+
+    keys = T.StructType([T.StructField("ship", T.StringType())])
+    params = Params(step="10s", ma_window_s=60, mode=mode)
+    own = {"a": generated(spark, 200, seed=1), "b": generated(spark, 190, seed=2), None: generated(spark, 170, seed=3)}
+    label = lambda tables, s: {k: t.withColumn("ship", F.lit(s).cast("string")) for k, t in tables.items()}
+    made = {s: label(t, s) for s, t in own.items()}
+    both = {k: made["a"][k].unionByName(made["b"][k]).unionByName(made[None][k]) for k in made["a"]}
+    path = str(tmp_path / "s")
+    process_incremental(spark, made["a"], path, params, keys=keys)
+    process_incremental(spark, upto(both, T0 + 100), path, params, keys=keys)
+    process_incremental(spark, both, path, params, keys=keys, flush=True)
+    stored = read_summary(spark, path, keys=keys).drop("partition")
+    for ship, tables in own.items():
+        rows = stored.where(F.col("ship").eqNullSafe(F.lit(ship).cast("string"))).drop("ship")
+        assert_same(by_time(rows, "datetime_utc"), one_shot(tables, params))
+
+
+def test_a_run_reads_its_mark_from_a_file(spark, tmp_path):
+    path = str(tmp_path / "s")
+    process_incremental(spark, waves(spark, 31), path, WAVES, flush=True)
+    assert read_state(spark, path) == Row(mark_s=T0 + 93, open=False, open_from_s=None)
+    assert read_summary(spark, path, T0 + 80, partition_hours=6).count() == 5
+
+
+def test_means_per_series(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    keys = T.StructType([T.StructField("ship", T.StringType())])
+    params = Params(step="2s", output_step="60s", partition_hours=1)
+    rows = {s: summarize(long_frame(generated(spark, 250, seed=i)), params) for i, s in enumerate("ab")}
+    label = lambda s: rows[s].withColumn("ship", F.lit(s)).select("ship", *rows[s].columns)
+    summary, out = str(tmp_path / "s"), str(tmp_path / "out")
+    from tidemark.sinks.files import write_parquet
+
+    write_parquet(label("a"), summary, "append", 1)
+    assert resample_summary(spark, summary, out, params, keys=keys).count() == 4
+    write_parquet(label("b"), summary, "append", 1)
+    resample_summary(spark, summary, out, params, keys=keys)
+    resample_summary(spark, summary, out, params, keys=keys, flush=True)
+    got = spark.read.parquet(out).drop("partition")
+    for s in "ab":
+        want = output_means(rows[s], params).orderBy("datetime_utc").collect()
+        own = got.where(F.col("ship") == s).drop("ship").orderBy("datetime_utc").collect()
+        assert [tuple(r) for r in own] == [tuple(r) for r in want]
+
+
+def test_rows_that_a_sink_missed_are_sent_again(spark, tmp_path):
+    params = Params(step="2s", output_step="60s")
+    summary, out, sent = str(tmp_path / "s"), str(tmp_path / "out"), tmp_path / "sent"
+    sent.mkdir()
+    tables, folder = generated(spark, 400), str(sent)
+    process_incremental(spark, upto(tables, T0 + 200), summary, params)
+
+    def refuse(batch):
+        raise RuntimeError("refused")
+
+    def write(batch):
+        for item in batch:
+            open(f"{folder}/{item['datetime_utc'].replace(':', '')}", "w").close()
+
+    assert resample_summary(spark, summary, out, params, write_batch=refuse).count() == 3
+    process_incremental(spark, tables, summary, params, flush=True)
+    resample_summary(spark, summary, out, params, write_batch=write)
+    assert len(list(sent.iterdir())) == spark.read.parquet(out).count() == 6
+    before = len(list(sent.iterdir()))
+    assert resample_summary(spark, summary, out, params, write_batch=refuse) is None
+    assert len(list(sent.iterdir())) == before
 
 
 def test_a_new_step_goes_on_at_its_next_grid_point(spark, tmp_path):

@@ -12,38 +12,49 @@ from tidemark.params import ALIGNED_COLUMNS, SECOND, micros
 from tidemark.sources.tables import long_frame
 
 
-FOUR = dict(rho=[1, 2, 3, 4], ph=[7, 8, 9, 10], temp=[20, 21, 22, 23], salinity=[35, 36, 37, 38],
-            lat=[10, 11, 12, 13], lon=[20, 21, 22, 23])
-TWO_S = micros("2s")
+# Five readings of every sensor, four seconds apart.
+READINGS = dict(rho=[0.31, 0.52, 0.17, 0.9, 0.44], ph=[8.02, 8.04, 7.97, 8.11, 8.06],
+                temp=[11.5, 11.9, 12.4, 11.2, 10.8], salinity=[31.1, 30.6, 31.8, 32.0, 31.5],
+                lat=[54.1, 54.2, 54.4, 54.7, 55.1], lon=[7.9, 7.7, 7.4, 7.0, 6.5])
+SECONDS = (0, 4, 8, 12, 16)
+STEP = micros("4s")
 
 
-def four(spark, seconds=(0, 2, 4, 6), **changes):
-    return long_frame(sensor_tables(spark, [T0 + s for s in seconds], **{**FOUR, **changes}))
+def made(spark, seconds=SECONDS, **changes):
+    return long_frame(sensor_tables(spark, [T0 + s for s in seconds], **{**READINGS, **changes}))
 
 
 def test_equal_rate(spark):
-    rows = by_time(nearest_fill(four(spark), TWO_S))
-    assert list(rows) == [0, 2, 4, 6]
-    assert [r["rho_ppb"] for r in rows.values()] == [1, 2, 3, 4]
-    assert [r["longitude"] for r in rows.values()] == [20, 21, 22, 23]
+    rows = by_time(nearest_fill(made(spark), STEP))
+    assert list(rows) == list(SECONDS)
+    assert [r["rho_ppb"] for r in rows.values()] == READINGS["rho"]
+    assert [r["longitude"] for r in rows.values()] == READINGS["lon"]
     assert all(r["vrse"] is None for r in rows.values())
 
 
 def test_nulls_are_kept(spark):
-    long = four(spark, rho=[1, None, 3, 4], ph=[7, 8, None, 10], temp=[20, 21, 22, None], salinity=[35, 36, None, 38])
-    rows = by_time(nearest_fill(long, TWO_S))
-    assert len(rows) == 4
-    assert rows[2]["rho_ppb"] is None and rows[4]["ph_total"] is None
-    assert rows[6]["temp"] is None and rows[4]["salinity"] is None
-
-
-@pytest.mark.parametrize("wide", [False, True])
-def test_duplicates_keep_the_first_to_arrive(spark, wide):
-    long = four(spark, seconds=(0, 0, 0, 0), rho=[1, 2, 2, 4], ph=[7, 8, 8, 10])
-    rows = by_time(nearest_fill(long, TWO_S, wide_order=wide))
-    assert len(rows) == 1 and rows[0]["rho_ppb"] == 1 and rows[0]["ph_total"] == 7
-    live = by_time(nearest_align(long, TWO_S, wide_order=wide))
-    assert live[0]["rho_ppb"] == 1 and live[2]["rho_ppb"] == 1
+    without = lambda name, i: [None if k == i else v for k, v in enumerate(READINGS[name])]
+    long = made(spark, rho=without("rho", 3), ph=without("ph", 1), temp=without("temp", 4), salinity=without("salinity", 0))
+    rows = by_time(nearest_fill(long, STEP))
+    assert len(rows) == 5
+    assert rows[12]["rho_ppb"] is None and rows[4]["ph_total"] is None
+    assert rows[16]["temp"] is None and rows[0]["salinity"] is None
+
+
+@pytest.mark.parametrize("shift", [0, 2**62, -(2**62)])
+def test_duplicates_keep_the_first_to_arrive(spark, shift):
+    long = made(spark, seconds=(8, 8, 8, 8, 8)).withColumn("id", F.col("id") + F.lit(shift))
+    rows = by_time(nearest_fill(long, STEP))
+    assert list(rows) == [8] and rows[8]["rho_ppb"] == 0.31 and rows[8]["ph_total"] == 8.02
+    live = by_time(nearest_align(long, STEP))
+    assert live[8]["rho_ppb"] == 0.31 and live[12]["rho_ppb"] == 0.31
+
+
+def test_a_sample_without_arrival_number_comes_last(spark):
+    rows = table(spark, [T0, T0, T0], rho_ppb=[5, 6, 7])
+    rows = rows.withColumn("id", F.when(F.col("id") > 0, F.col("id") + F.lit(2**62)))
+    long = long_frame({"rhodamine": rows})
+    assert column(nearest_align(long, STEP), "rho_ppb") == {0: 6, 4: 6}
 
 
 def test_last_sample_of_a_cell_keeps_the_first_to_arrive(spark):
@@ -52,20 +63,20 @@ def test_last_sample_of_a_cell_keeps_the_first_to_arrive(spark):
 
 
 def test_unsorted_input(spark):
-    long = four(spark, seconds=(4, 2, 0, 6))
-    assert column(nearest_fill(long, TWO_S), "rho_ppb") == {0: 3, 2: 2, 4: 1, 6: 4}
+    long = made(spark, seconds=(16, 4, 0, 12, 8))
+    assert column(nearest_fill(long, STEP), "rho_ppb") == {0: 0.17, 4: 0.52, 8: 0.44, 12: 0.9, 16: 0.31}
 
 
 def test_empty_input(spark):
-    long = long_frame({s: t.limit(0) for s, t in sensor_tables(spark, [T0 + i for i in range(4)], **FOUR).items()})
-    for rows in (nearest_fill(long, TWO_S), nearest_align(long, TWO_S)):
+    long = long_frame({s: t.limit(0) for s, t in sensor_tables(spark, SECONDS, **READINGS).items()})
+    for rows in (nearest_fill(long, STEP), nearest_align(long, STEP)):
         assert rows.count() == 0 and set(ALIGNED_COLUMNS) <= set(rows.columns)
 
 
 def test_extra_columns_are_dropped(spark):
     tables = {s: t.withColumn(f"extra_{s}", F.lit(1)) for s, t in
-              sensor_tables(spark, [T0 + 2 * i for i in range(4)], **FOUR).items()}
-    rows = nearest_align(long_frame(tables), TWO_S)
+              sensor_tables(spark, SECONDS, **READINGS).items()}
+    rows = nearest_align(long_frame(tables), STEP)
     assert set(rows.columns) == {"grid", *ALIGNED_COLUMNS}
 
 
@@ -107,12 +118,12 @@ def test_sampling_rates(spark, raw_s, step_s, n):
 
 
 def test_every_value_survives_at_equal_rate(spark):
-    n = 50
-    up = lambda base: [base + i for i in range(n)]
-    tables = sensor_tables(spark, [T0 + 2 * i for i in range(n)], up(1000), up(7000), up(20000), up(35000), up(100), up(200))
-    rows = by_time(nearest_align(long_frame(tables), TWO_S))
-    for name, base in (("rho_ppb", 1000), ("ph_total", 7000), ("temp", 20000), ("latitude", 100)):
-        assert set(up(base)) <= {r[name] for r in rows.values()}
+    n, primes = 37, {"rho_ppb": 3, "ph_total": 5, "temp": 7, "salinity": 11, "latitude": 13, "longitude": 17}
+    own = {name: [p * i * i for i in range(n)] for name, p in primes.items()}
+    tables = sensor_tables(spark, [T0 + 4 * i for i in range(n)], *own.values())
+    rows = by_time(nearest_align(long_frame(tables), STEP))
+    for name, values in own.items():
+        assert set(values) <= {r[name] for r in rows.values()}
 
 
 def random_series(seed, n=400, span=3000, nulls=True):
@@ -187,12 +198,14 @@ def test_grid(spark):
     assert time_grid(far, SECOND).count() == 20_002
 
 
-def test_order_that_does_not_fit_is_refused(spark):
-    rows = table(spark, [T0, T0 + 10], rho_ppb=[1, 2]).withColumn("id", F.col("id") + F.lit(2**60))
-    long = long_frame({"rhodamine": rows})
-    with pytest.raises(PySparkException, match="wide_order"):
-        nearest_align(long, micros("10s")).collect()
-    assert column(nearest_align(long, micros("10s"), wide_order=True), "rho_ppb") == {0: 1, 10: 2, 20: 2}
+def test_series_without_a_key_are_kept(spark):
+    rows = table(spark, [T0 + 5 * i for i in range(30)], rho_ppb=range(30))
+    long = long_frame({"rhodamine": rows.withColumn("ship", F.nullif(F.col("id") % 3, F.lit(0)))}, keys=("ship",))
+    for rule in (nearest_align, nearest_fill):
+        whole = rule(long, micros("10s"), keys=("ship",))
+        own = rule(long.where("ship IS NULL").drop("ship"), micros("10s"))
+        assert own.count() > 5
+        assert column(whole.where("ship IS NULL").drop("ship"), "rho_ppb") == column(own, "rho_ppb")
 
 
 def test_times_finer_than_the_unit_are_refused(spark):

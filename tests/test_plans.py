@@ -3,12 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import tidemark.queries as queries
 from compare import TESTDATA
-from tidemark.operators import quality
+from tidemark.operators import quality, trailing
 from tidemark.operators.nearest import nearest_align, nearest_fill
-from tidemark.operators.trailing import rolling_mean
+from tidemark.operators.trailing import rolling_mean, rolling_mean_time
 from tidemark.params import HOUR
 from tidemark.plans.summary import summarize
 from tidemark.sources.events import long_events, timed_events
@@ -37,11 +38,10 @@ def windows_without_key(text):
     ]
 
 
-@pytest.mark.parametrize("wide", [False, True])
-def test_alignment_is_one_hash_aggregation(spark, wide):
-    text = plan(nearest_align(long_events(spark, SF_DIR), HOUR, wide_order=wide, start_us=0))
+def test_alignment_is_one_hash_aggregation(spark):
+    text = plan(nearest_align(long_events(spark, SF_DIR), HOUR, start_us=0))
     assert len(nodes(text, "hashpartitioning")) == 1
-    assert bool(nodes(text, "SortAggregate")) == wide
+    assert not nodes(text, "SortAggregate")
     assert len(nodes(text, "FileScan")) == 1
     assert "PushedFilters: [IsNotNull(ts), In(event_type" in text
     assert "props" not in text and "user_id" not in text
@@ -80,6 +80,43 @@ def test_no_python_in_the_plans(spark, name):
     assert "CartesianProduct" not in text
 
 
+def test_marks_reach_the_scan(spark):
+    for name in ("scan_after_mark", "ordered_scan"):
+        text = plan(queries.QUERIES[name](spark, SF_DIR))
+        assert "GreaterThanOrEqual(ts,2024-01-11T00:00:01)" in text
+
+
+def test_one_pass_finds_a_row(spark):
+    text = plan(queries.QUERIES["representative_row"](spark, SF_DIR)).split("Subquery")[0]
+    assert len(nodes(text, "FileScan")) == 1
+
+
+def test_time_window_orders_running_sums_only(spark):
+    """No frame looks back over the rows of a long window."""
+    rows = long_events(spark, SF_DIR).where("source = 'ph'")
+    text = plan(rolling_mean_time(rows, (), "us", "ph_total", 30 * 24 * HOUR))
+    frames = re.findall(r"specifiedwindowframe\((\w+), ([^,)]+)", text)
+    assert ("RowFrame", "unboundedpreceding$()") in frames
+    assert all(int(n) >= -(trailing.BLOCKS + 1) * 16_384 * 1_000_000 for kind, n in frames if kind == "RangeFrame")
+
+
+def test_few_rows_per_task_for_sparse_arrival_numbers(spark):
+    """Ranks have no gaps, so hardly a row goes up to the window over the whole series."""
+    rows = spark.range(100_000).select((F.col("id") * 2**40).alias("n"), F.col("id").alias("t"))
+    first, *above = trailing.trailing_levels(
+        trailing.ranked(rows, (), "n"), (), "_rank", 2, {"p": lambda w: F.lag("t", 1).over(w)}
+    )
+    assert first.count() > 99_000 and sum(x.count() for x in above) < 100
+
+
+def test_report_reads_each_table_once_per_check(spark):
+    """Two scans of a table for two kinds of check, three with arrival numbers."""
+    rows = timed_events(spark, SF_DIR).select("event_id", "datetime_utc", "value")
+    for order, most in ((None, 3), ("event_id", 5)):
+        text = final_plan(quality.quality_report_all({"a": rows, "b": rows}, order=order))
+        assert len(nodes(text, "FileScan")) <= 2 * most
+
+
 def test_levels_share_the_scan(spark):
     assert len(nodes(final_plan(nearest_fill(long_events(spark, SF_DIR), HOUR)), "FileScan")) == 1
     assert len(nodes(final_plan(quality.interval_stats(timed_events(spark, SF_DIR), "datetime_utc")), "FileScan")) == 1

@@ -67,6 +67,16 @@ def test_gaps(spark, expected, listed):
     assert sorted(r.datetime_utc - T0 for r in rows) == listed
 
 
+def test_series_without_a_key_have_statistics(spark):
+    rows = spark.range(90).select(F.nullif(F.col("id") % 3, F.lit(0)).alias("k"), (F.col("id") * 7 + T0).alias("t"))
+    assert {r.k: r.irregular for r in quality.irregular_intervals(rows, "t", ("k",)).collect()} == {None: 0, 1: 0, 2: 0}
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
+    assert [(r.column_name, r.missing) for r in quality.null_report(df).collect()] == [("v", 2)]
+
+
 def test_null_report(spark):
     df, _ = shuffled(spark)
     rows = quality.null_report(df).collect()

@@ -6,7 +6,7 @@ from pyspark.sql import Row, functions as F, types as T
 from frames import T0, table
 from tidemark.functions.rows import to_items
 from tidemark.operators import lookup
-from tidemark.operators.aggregate import drop_repeats, duplicate_examples, freshness, not_in
+from tidemark.operators.aggregate import drop_repeats, duplicate_examples, first_arrival, freshness, not_in
 from tidemark.sinks.files import append_once, append_table, write_csv, write_parquet
 from tidemark.sinks.items import current_items, put_items, write_items
 from tidemark.sources import schemas
@@ -39,6 +39,20 @@ def test_append_once(spark, tmp_path):
     assert stored(spark, path) == [(0, 1), (60, 2), (120, 4)]
 
 
+def test_rows_without_a_time_are_stored_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    undated = spark.createDataFrame([(None, 5.0), (T0, 1.0)], ROW)
+    for since in (None, T0, T0):
+        append_once(undated, path, ROW, 6, since=since)
+    assert spark.read.parquet(path).where("datetime_utc IS NULL").count() == 1
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_first_arrival_of_rows_without_number(spark):
+    rows = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (2, None, "c")], "k int, n bigint, v string")
+    assert sorted(tuple(r) for r in first_arrival(rows, ["k"], "n").collect()) == [(1, 2, "b"), (2, None, "c")]
+
+
 def test_append_once_per_series(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = T.StructType([T.StructField("ship", T.StringType()), *ROW.fields])

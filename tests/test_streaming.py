@@ -11,8 +11,8 @@ from tidemark.sinks.files import write_parquet
 from tidemark.sources import schemas
 from tidemark.sources.tables import long_frame, read_summary
 from tidemark.streaming.live import (
+    LateRows,
     fresh_checkpoint,
-    late_rows,
     raw_streams,
     run_for,
     stream_align,
@@ -133,15 +133,45 @@ def test_readings_that_come_too_late_are_counted(spark, tmp_path):
     tables = generated(spark, 100)
     raw, path, checkpoint = str(tmp_path / "raw"), str(tmp_path / "s"), str(tmp_path / "c")
     is_late = f"datetime_utc between {T0 + 20} and {T0 + 29}"
-    land({s: t.where(f"not ({is_late})") for s, t in tables.items()}, raw)
-    assert late_rows(run(spark, raw, path, checkpoint, start_s=T0)) == 0
-    before = summary(spark, path)
-    land({s: t.where(is_late) for s, t in tables.items()}, raw)
-    # Map tasks reduce readings before the state counts them.
-    assert late_rows(run(spark, raw, path, checkpoint, start_s=T0)) > 0
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        land({s: t.where(f"not ({is_late})") for s, t in tables.items()}, raw)
+        assert listener.total(run(spark, raw, path, checkpoint, start_s=T0)) == 0
+        before = summary(spark, path)
+        land({s: t.where(is_late) for s, t in tables.items()}, raw)
+        # Map tasks reduce readings before the state counts them.
+        late = listener.total(run(spark, raw, path, checkpoint, start_s=T0))
+        assert late > 0
+        # Reports of a third run add to those before.
+        land({s: t.where(is_late) for s, t in tables.items()}, raw)
+        assert listener.total(run(spark, raw, path, checkpoint, start_s=T0)) == 2 * late
+    finally:
+        spark.streams.removeListener(listener)
     assert summary(spark, path) == before
 
 
+def test_a_first_reading_on_the_grid_begins_the_summary(spark, tmp_path):
+    """Without a start given: no row before the data, in the first batch or a later one."""
+    tables = generated(spark, 100)
+    raw, path, checkpoint = str(tmp_path / "raw"), str(tmp_path / "s"), str(tmp_path / "c")
+    land(upto(tables, T0 + 49), raw)
+    run(spark, raw, path, checkpoint)
+    land(upto(tables, T0 + 99, T0 + 49), raw)
+    run(spark, raw, path, checkpoint)
+    got = summary(spark, path)
+    assert list(got) == list(range(0, 81, 10))
+    close(got, by_time(summarize(long_frame(tables), PARAMS), "datetime_utc"))
+
+
+def test_a_stream_has_one_mode(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    land(generated(spark, 10), raw)
+    streams = raw_streams(spark, {s: f"{raw}/{s}" for s in schemas.RAW})
+    with pytest.raises(ValueError):
+        stream_align(streams, Params(mode="batch"))
+
+
 def test_stream_of_two_series_with_items(spark, tmp_path):
     keys = T.StructType([T.StructField("ship", T.StringType())])
     raw_schemas = {s: T.StructType([*keys.fields, *schema.fields]) for s, schema in schemas.RAW.items()}
@@ -157,7 +187,7 @@ def test_stream_of_two_series_with_items(spark, tmp_path):
                 part = table.withColumn("ship", F.lit(name))
                 conform(part, raw_schemas[source]).write.mode("append").parquet(f"{raw}/{source}")
         streams = raw_streams(spark, {s: f"{raw}/{s}" for s in schemas.RAW}, raw_schemas=raw_schemas)
-        rows = stream_align(streams, PARAMS, start_s=T0, keys=["ship"])
+        rows = stream_align(streams, PARAMS, keys=["ship"])
         run_for(write_summary_stream(rows, path, checkpoint, PARAMS, keys, write, available_now=True))
     stored = read_summary(spark, path, keys=keys).drop("partition")
     for name, tables in ships.items():

@@ -70,11 +70,19 @@ def test_spacing(spark):
     assert got.where("p >= 20 and abs(m - (v - 1)) > 1e-9").count() == 0
 
 
-def test_window_of_four_seconds(spark):
-    """Five rows two seconds apart, window of two rows."""
-    df = table(spark, [T0 + 2 * i for i in range(5)], ph_total=[7.0, 7.1, 7.2, 7.3, 7.4])
-    got = column(rolling_mean(df, (), "datetime_utc", 2, {"ma": "ph_total"}), "ma", "datetime_utc")
-    assert got[0] == 7.0 and got[8] == pytest.approx(7.35)
+def test_window_of_three_rows(spark):
+    df = table(spark, [T0 + 6 * i for i in range(7)], ph_total=[8.3, 8.1, 8.8, 7.7, 8.0, 8.6, 7.9])
+    got = column(rolling_mean(df, (), "datetime_utc", 3, {"ma": "ph_total"}), "ma", "datetime_utc")
+    assert got[0] == 8.3 and got[6] == pytest.approx(8.2) and got[36] == pytest.approx(24.5 / 3)
+
+
+def test_nan_counts_as_null(spark):
+    nan = float("nan")
+    df = table(spark, [T0 + i for i in range(5)], v=[1, nan, 3, nan, nan]).withColumn("us", F.col("datetime_utc") * SECOND)
+    got = column(rolling_mean(df, (), "us", 2, {"m": "v"}), "m", "us")
+    assert list(got.values()) == [1, 1, 3, 3, None]
+    timed = column(rolling_mean_time(df, (), "us", "v", 2 * SECOND), "mean", "us")
+    assert list(timed.values()) == [1, 1, 3, 3, None]
 
 
 def test_nulls_occupy_a_slot(spark):
@@ -83,8 +91,12 @@ def test_nulls_occupy_a_slot(spark):
     assert list(got.values()) == [1, 1, 3, 3, None, 6]
 
 
-@pytest.mark.parametrize("window", [120, 3600])
-def test_time_window_equals_pandas(spark, window):
+@pytest.mark.parametrize("blocks", [None, 64])
+@pytest.mark.parametrize("window", [1, 120, 3600, 40_000])
+def test_time_window_equals_pandas(spark, monkeypatch, window, blocks):
+    """Also with blocks shorter than the window."""
+    if blocks:
+        monkeypatch.setattr(trailing, "BLOCK_ROWS", blocks)
     r = random.Random(window)
     seconds = sorted(r.randrange(100_000) for _ in range(1500))
     values = [None if r.random() < 0.1 else r.random() for _ in seconds]
@@ -97,6 +109,18 @@ def test_time_window_equals_pandas(spark, window):
         assert (got[t]["mean"] is None and pd.isna(w)) or got[t]["mean"] == pytest.approx(w, rel=1e-9)
 
 
+def test_time_window_per_series(spark, monkeypatch):
+    monkeypatch.setattr(trailing, "BLOCK_ROWS", 50)
+    r = random.Random(4)
+    rows = [(r.choice(["a", "b", None]), (T0 + r.randrange(3000)) * SECOND, r.random()) for _ in range(900)]
+    df = spark.createDataFrame(rows, "k string, us bigint, v double")
+    got = rolling_mean_time(df, ("k",), "us", "v", 400 * SECOND)
+    assert got.count() == len({(k, t) for k, t, _ in rows})
+    for row in got.collect():
+        own = [v for k, t, v in rows if k == row.k and row.us - 400 * SECOND < t <= row.us]
+        assert row.n == len(own) and row["mean"] == pytest.approx(sum(own) / len(own), rel=1e-9)
+
+
 def test_time_window_over_one_hot_second(spark):
     hot = spark.range(50_000).select(F.lit(T0 * SECOND).alias("us"), F.lit(2.0).alias("v"))
     rest = spark.range(1, 300).select(((F.col("id") + T0) * SECOND).alias("us"), F.lit(5.0).alias("v"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.time import iso_z, iso_z_from_seconds
 
@@ -25,17 +25,16 @@ def conform(df: DataFrame, schema: T.StructType | Sequence[str], dtype: str = "d
     )
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """A column in which a missing reading has one form only: null."""
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.nanvl(F.col(name), F.lit(None)).alias(name)
+    return F.col(name)
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
-    """Missing readings have one form only: null."""
-    floats = (T.DoubleType, T.FloatType)
-    return df.select(
-        *[
-            F.nanvl(F.col(f.name), F.lit(None)).alias(f.name)
-            if isinstance(f.dataType, floats)
-            else F.col(f.name)
-            for f in df.schema
-        ]
-    )
+    """``known`` for all columns."""
+    return df.select(*[known(df, f.name) for f in df.schema])
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -75,10 +74,11 @@ def iso_times(df: DataFrame) -> DataFrame:
 def to_items(df: DataFrame, time: str = "datetime_utc", attributes: Sequence[str] | None = None) -> DataFrame:
     """Sparse items keyed by (static_partition, datetime_utc).
 
-    ``item`` is JSON text without the null fields; numbers keep the digits of
-    their text form, all else is text. Rows without a time have no key and are
-    left out.
+    ``item`` is JSON text without the null and NaN fields; numbers keep the
+    digits of their text form, all else is text. Rows without a time have no key
+    and are left out.
     """
+    df = nan_to_null(df)
     if attributes is None:
         attributes = [c for c in df.columns if c != time]
     fields = [

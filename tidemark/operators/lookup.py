@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.time import partition_label, seconds_to_us
 
 
-def _label(seconds: int, hours: int):
+def label(seconds: int, hours: int):
     return partition_label(seconds_to_us(F.lit(seconds)), hours)
 
 
@@ -18,7 +18,7 @@ def since(df: DataFrame, mark: int, time: str = "datetime_utc", partition_hours:
     """Rows later than ``mark`` (epoch seconds). With ``partition_hours`` the
     partitions that end before the mark are not listed."""
     if partition_hours:
-        df = df.where(F.col("partition") >= _label(mark, partition_hours))
+        df = df.where(F.col("partition") >= label(mark, partition_hours))
     return df.where(F.col(time) > mark)
 
 
@@ -32,7 +32,7 @@ def between(
     """Rows from ``start`` to ``end``, both included (epoch seconds)."""
     if partition_hours:
         df = df.where(
-            F.col("partition").between(_label(start, partition_hours), _label(end, partition_hours))
+            F.col("partition").between(label(start, partition_hours), label(end, partition_hours))
         )
     return df.where(F.col(time).between(start, end))
 
@@ -48,13 +48,13 @@ def first_rows(df: DataFrame, n: int = 5, order: Sequence[str] = ("datetime_utc"
 
 def representative_row(df: DataFrame, time: str = "datetime_utc") -> DataFrame:
     """One row of a batch: the first without nulls, else the second, else the only one."""
-    first_two = df.orderBy(time).limit(2)
-    complete = df.na.drop(how="any").orderBy(time).limit(1)
-    earliest = df.agg(F.min(time)).scalar()
-    preferred = complete.withColumn("_choice", F.lit(0)).unionByName(
-        first_two.withColumn("_choice", F.when(F.col(time) > earliest, 1).otherwise(2))
-    )
-    return preferred.orderBy("_choice", time).limit(1).drop("_choice")
+    part = F.lit(False)
+    for c in df.columns:
+        part = part | F.col(c).isNull()
+    # The first two in this order hold the row wanted: one pass over the input.
+    two = df.withColumn("_part", part).orderBy("_part", time).limit(2)
+    wanted = [F.col("_part"), F.when(~F.col("_part"), F.col(time)), F.col(time).desc()]
+    return two.orderBy(*wanted).limit(1).drop("_part")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

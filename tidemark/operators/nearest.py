@@ -12,44 +12,37 @@ counts; a null reading of the winning sample is kept, not skipped.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.rows import drop_empty
 from tidemark.functions.time import floor_to, whole_div
+from tidemark.operators.aggregate import match
 from tidemark.operators.trailing import trailing_levels
 from tidemark.params import SENSORS
 
-LONG_MAX_BITS = 63
+# Arrival numbers, shifted to start at 0, and one more for rows without any.
+ARRIVALS = 2**64 + 1
 
 
 def _long(value: int) -> Column:
     return F.lit(value).cast("bigint")
 
 
-def _rank_key(rank: Column, rank_max: int, order: str | None, wide_order: bool) -> Column:
-    """Sort key: ``rank`` first, arrival order second.
+def _rank_key(rank: Column, order: str | None) -> Column:
+    """Sort key: ``rank`` first, arrival order second, rows without one last.
 
-    Both share one bigint, as ``min_by`` with a bigint key stays a hash
-    aggregation with map-side combine. The bits left over for the order are
-    checked in every row; where they do not suffice, ``wide_order`` compares a
-    struct instead (exact for any order, but Spark then sorts to aggregate).
+    Both share one whole number of 38 digits, which holds any bigint arrival
+    number: ``min_by`` with a decimal key stays a hash aggregation with map-side
+    combine, as it would not with a struct.
     """
     if order is None:
         return rank
-    if wide_order:
-        return F.struct(rank.alias("rank"), F.col(order).alias("order"))
-    bits = LONG_MAX_BITS - rank_max.bit_length()
-    if bits < 1:
-        raise ValueError("step too long for its time unit: use wide_order=True")
-    limit = _long((1 << bits) - 1)
-    arrival = F.col(order).cast("bigint")
-    checked = F.when((arrival >= 0) & (arrival <= limit), arrival).otherwise(
-        F.raise_error(
-            F.lit(f"{order} is null or does not fit in {bits} bits: use wide_order=True")
-        )
-    )
-    return F.shiftleft(rank, bits) + checked
+    whole = lambda n: F.lit(Decimal(n))
+    arrival = F.col(order).cast("bigint").cast("decimal(19,0)") + whole(2**63)
+    ahead = rank.cast("decimal(17,0)") * whole(ARRIVALS)
+    return (ahead + F.coalesce(arrival, whole(ARRIVALS - 1))).cast("decimal(38,0)")
 
 
 def _check_units(unit_us: int, **durations: int) -> None:
@@ -90,7 +83,6 @@ def nearest_candidates(
     keys: Sequence[str] = (),
     order: str | None = "id",
     unit_us: int = 1_000_000,
-    wide_order: bool = False,
 ) -> DataFrame:
     """Every sample once per grid point it may serve, with its rank there.
     ``sensor`` is the number of the source, cheaper to test per row than its name."""
@@ -115,8 +107,9 @@ def nearest_candidates(
         F.lit(2) * whole_div(distance, unit_us)
         + (F.col("us") < F.col("grid")).cast("bigint")
     )
-    key = _rank_key(rank, 2 * (tolerance_us // unit_us) + 1, order, wide_order)
-    return point.select(*keys, "grid", "sensor", key.alias("key"), *columns)
+    return point.select(
+        *keys, "grid", "sensor", "us", _rank_key(rank, order).alias("key"), *columns
+    )
 
 
 def nearest_aggregates(sensors: Mapping[str, Sequence[str]] = SENSORS) -> list[Column]:
@@ -141,7 +134,7 @@ def not_before(df: DataFrame, time: str, starts: DataFrame, keys: Sequence[str])
         return df.where(F.col(time) >= starts.select("start").scalar())
     # One row per series; whether it is small enough to broadcast is decided
     # from its size at run time.
-    return df.join(starts, list(keys)).where(F.col(time) >= F.col("start")).drop("start")
+    return match(df, starts, keys).where(F.col(time) >= F.col("start")).drop("start")
 
 
 def nearest_align(
@@ -152,7 +145,6 @@ def nearest_align(
     keys: Sequence[str] = (),
     order: str | None = "id",
     unit_us: int = 1_000_000,
-    wide_order: bool = False,
     start_us: int | None = None,
 ) -> DataFrame:
     """All sensors on one shared grid, nearest sample within the tolerance
@@ -167,7 +159,7 @@ def nearest_align(
     tolerance_us = step_us if tolerance_us is None else tolerance_us
     columns = [c for cols in sensors.values() for c in cols]
     aligned = (
-        nearest_candidates(long, step_us, tolerance_us, sensors, keys, order, unit_us, wide_order)
+        nearest_candidates(long, step_us, tolerance_us, sensors, keys, order, unit_us)
         .groupBy(*keys, "grid")
         .agg(*nearest_aggregates(sensors))
     )
@@ -187,7 +179,6 @@ def nearest_fill(
     keys: Sequence[str] = (),
     order: str | None = "id",
     unit_us: int = 1_000_000,
-    wide_order: bool = False,
 ) -> DataFrame:
     """Each sensor on its own grid, from the floor of its first sample to the
     floor of its last, every point filled from the nearest sample however far;
@@ -216,11 +207,10 @@ def nearest_fill(
         .withColumn("cell", floor_to("us", step_us))
         .withColumn("offset", whole_div(F.col("us") - F.col("cell"), unit_us))
     )
-    rank_max = step_us // unit_us
-    first_key = _rank_key(F.col("offset"), rank_max, order, wide_order)
+    first_key = _rank_key(F.col("offset"), order)
     # Same key for the last sample, with the offset counted from the cell's end,
     # so that the smallest key is again the wanted one.
-    last_key = _rank_key(_long(rank_max) - F.col("offset"), rank_max, order, wide_order)
+    last_key = _rank_key(_long(step_us // unit_us) - F.col("offset"), order)
     cells = (
         samples.select(
             *series,

@@ -16,8 +16,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidemark.functions.rows import nan_to_null
+from tidemark.operators.aggregate import match
 from tidemark.operators.lookup import union_all
-from tidemark.operators.trailing import with_previous
+from tidemark.operators.trailing import ranked, with_previous
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -30,7 +32,8 @@ REPORT_SCHEMA = T.StructType(
 
 
 def null_report(df: DataFrame) -> DataFrame:
-    """Missing values per column with at least one, as count and percentage."""
+    """Missing values (null or NaN) per column with at least one, as count and percentage."""
+    df = nan_to_null(df)
     counts = df.agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)],
@@ -132,7 +135,7 @@ def interval_stats(df: DataFrame, time: str, keys: Sequence[str] = ()) -> DataFr
 def _with_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add mean and deviation: by join per series, as a scalar for a single one."""
     if keys:
-        return df.join(stats.select(*keys, "mean_s", "std_s"), list(keys))
+        return match(df, stats.select(*keys, "mean_s", "std_s"), keys)
     limits = stats.select(F.struct("mean_s", "std_s")).scalar()
     return df.withColumn("_limits", limits).select(*df.columns, "_limits.*")
 
@@ -186,12 +189,18 @@ def duplicate_times(df: DataFrame, time: str, keys: Sequence[str] = ()) -> DataF
     )
 
 
+def _arrivals(df: DataFrame, time: str, order: str, keys: Sequence[str]) -> DataFrame:
+    """Each row with the time of the row that arrived before. Arrival numbers may lie
+    any distance apart: their ranks, which have no gaps, cut the series into blocks."""
+    rows = ranked(df.select(*keys, F.col(order).cast("bigint").alias(order), time), keys, order)
+    return with_previous(rows, keys, "_rank", {"prev_time": time})
+
+
 def out_of_order_rows(df: DataFrame, time: str, order: str, keys: Sequence[str] = ()) -> DataFrame:
     """Rows whose time is earlier than that of the row that arrived before.
     ``order`` is the arrival number, unique per series. Equal times are in order."""
-    arrivals = df.select(*keys, F.col(order).cast("bigint").alias(order), time)
     return (
-        with_previous(arrivals, keys, order, {"prev_time": time})
+        _arrivals(df, time, order, keys)
         .where(F.col(time) < F.col("prev_time"))
         .select(*keys, order, time, "prev_time")
     )
@@ -199,10 +208,9 @@ def out_of_order_rows(df: DataFrame, time: str, order: str, keys: Sequence[str]
 
 def out_of_order(df: DataFrame, time: str, order: str, keys: Sequence[str] = ()) -> DataFrame:
     """Number and percentage of rows that arrived out of order."""
-    arrivals = df.select(*keys, F.col(order).cast("bigint").alias(order), time)
     late = F.count_if(F.col(time) < F.col("prev_time"))
     return (
-        with_previous(arrivals, keys, order, {"prev_time": time})
+        _arrivals(df, time, order, keys)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n_rows"), late.alias("out_of_order"))
         .withColumn(
@@ -211,58 +219,76 @@ def out_of_order(df: DataFrame, time: str, order: str, keys: Sequence[str] = ())
     )
 
 
-def _entry(label: str, metric: str, value, column=None):
+def _entry(metric: str, value, column=None):
     return F.struct(
-        F.lit(label).alias("table_name"),
         F.lit(metric).alias("metric"),
-        (F.lit(None).cast("string") if column is None else column).alias("column_name"),
+        F.lit(column).cast("string").alias("column_name"),
         value.cast("double").alias("value"),
     )
 
 
-def _tidy(df: DataFrame, label: str, metrics: Sequence[str]) -> DataFrame:
-    entries = F.array(*[_entry(label, m, F.col(m)) for m in metrics])
-    return df.select(F.explode(entries).alias("e")).select("e.*")
+def _tidy(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    entries = F.array(*[_entry(m, F.col(m)) for m in metrics])
+    return df.select("table_name", F.explode(entries).alias("e")).select("table_name", "e.*")
 
 
-def _missing(df: DataFrame, label: str) -> DataFrame:
-    """Row count and missing values per column, in one pass."""
-    total = F.count(F.lit(1))
-    entries = [_entry(label, "n_rows", total)]
-    for c in df.columns:
-        n = F.count_if(F.col(c).isNull())
-        percent = n * 100.0 / F.greatest(total, F.lit(1))
-        entries += [_entry(label, "missing", n, F.lit(c)), _entry(label, "missing_pct", percent, F.lit(c))]
-    rows = df.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("e")).select("e.*")
-    return rows.where((F.col("metric") == "n_rows") | (F.col("value") > 0))
+def _missing(tables: dict[str, DataFrame]) -> DataFrame:
+    """Row count and missing values (null or NaN) per column of each table."""
+    parts = []
+    for label, df in tables.items():
+        total = F.count(F.lit(1))
+        entries = [_entry("n_rows", total)]
+        for c in df.columns:
+            n = F.count_if(F.col(c).isNull())
+            percent = n * 100.0 / F.greatest(total, F.lit(1))
+            entries += [_entry("missing", n, c), _entry("missing_pct", percent, c)]
+        rows = nan_to_null(df).agg(F.array(*entries).alias("e"))
+        parts.append(rows.select(F.lit(label).alias("table_name"), F.explode("e").alias("e")).select("table_name", "e.*"))
+    return union_all(parts).where((F.col("metric") == "n_rows") | (F.col("value") > 0))
 
 
-def quality_report(df: DataFrame, label: str, time: str = "datetime_utc", order: str | None = "id") -> DataFrame:
-    """All checks of one table as (table_name, metric, column_name, value) rows.
+def quality_report_all(
+    tables: dict[str, DataFrame], time: str = "datetime_utc", order: str | None = "id"
+) -> DataFrame:
+    """All checks of several tables as (table_name, metric, column_name, value) rows.
 
-    Three pruned scans: missing values, times, arrival order. Duplicates are the
-    intervals of zero. A table without the time column gets the first part only.
+    One pruned scan of each table per kind of check: missing values, times, arrival
+    order. The last two run once over all tables, each table being a series. Duplicates
+    are the intervals of zero. Tables without the time column get the first part only.
     """
-    parts = [_missing(df, label)]
-    if time not in df.columns:
-        return parts[0]
-    histogram = interval_histogram(df, time)
-    stats = _stats_of(histogram, ())
-    weight = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("w"))), F.lit(0))
-    counts = _with_stats(histogram, stats, ()).agg(
-        weight(F.col("d") == 0).alias("duplicates"),
-        weight(_irregular(F.col("d"))).alias("irregular"),
-        (weight(_irregular(F.col("d"))) * 100.0 / F.coalesce(F.sum("w"), F.lit(1))).alias("irregular_pct"),
-    )
-    parts.append(_tidy(stats, label, ("n_intervals", "mean_s", "median_s", "std_s", "min_s", "max_s")))
-    parts.append(_tidy(counts, label, ("duplicates", "irregular", "irregular_pct")))
-    if order and order in df.columns:
-        parts.append(_tidy(out_of_order(df, time, order), label, ("out_of_order", "out_of_order_pct")))
+    parts = [_missing(tables)]
+    label = lambda name: F.lit(name).alias("table_name")
+    timed = {name: df for name, df in tables.items() if time in df.columns}
+    if timed:
+        keys = ("table_name",)
+        times = union_all([df.select(label(name), F.col(time).cast("bigint").alias(time)) for name, df in timed.items()])
+        histogram = interval_histogram(times, time, keys)
+        found = _stats_of(histogram, keys)
+        # Tables with fewer than two times have no interval, but a row in the report.
+        names = times.sparkSession.createDataFrame([(name,) for name in timed], "table_name string")
+        weight = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("w"))), F.lit(0))
+        counts = _with_stats(histogram, found, keys).groupBy(*keys).agg(
+            weight(F.col("d") == 0).alias("duplicates"),
+            weight(_irregular(F.col("d"))).alias("irregular"),
+            (weight(_irregular(F.col("d"))) * 100.0 / F.coalesce(F.sum("w"), F.lit(1))).alias("irregular_pct"),
+        )
+        stats = names.join(found, "table_name", "left").na.fill(0, ["n_intervals"])
+        counts = names.join(counts, "table_name", "left").na.fill(0)
+        parts.append(_tidy(stats, ("n_intervals", "mean_s", "median_s", "std_s", "min_s", "max_s")))
+        parts.append(_tidy(counts, ("duplicates", "irregular", "irregular_pct")))
+    ordered = {name: df for name, df in timed.items() if order and order in df.columns}
+    if ordered:
+        arrivals = union_all([
+            df.select(label(name), F.col(order).cast("bigint").alias(order), F.col(time).cast("bigint").alias(time))
+            for name, df in ordered.items()
+        ])
+        late = out_of_order(arrivals, time, order, ("table_name",))
+        names = arrivals.sparkSession.createDataFrame([(name,) for name in ordered], "table_name string")
+        late = names.join(late, "table_name", "left").na.fill(0)
+        parts.append(_tidy(late, ("out_of_order", "out_of_order_pct")))
     return union_all(parts)
 
 
-def quality_report_all(
-    tables: dict[str, DataFrame], time: str = "datetime_utc", order: str | None = "id"
-) -> DataFrame:
-    """One report over several tables."""
-    return union_all([quality_report(df, label, time, order) for label, df in tables.items()])
+def quality_report(df: DataFrame, label: str, time: str = "datetime_utc", order: str | None = "id") -> DataFrame:
+    """All checks of one table."""
+    return quality_report_all({label: df}, time, order)

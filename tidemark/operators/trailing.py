@@ -19,10 +19,14 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from tidemark.functions.rows import known
 from tidemark.functions.time import floor_to
+from tidemark.operators.aggregate import match
 
 BLOCK_ROWS = 16_384
 TOP_ROWS = 131_072
+#: Whole blocks that one time window spans at most.
+BLOCKS = 256
 
 Compute = Mapping[str, Callable[[WindowSpec], Column]]
 
@@ -41,7 +45,8 @@ def trailing_levels(
     ``position`` is a bigint, unique per series and a multiple of ``spacing``,
     so a block holds a known number of rows at most. Each function in
     ``compute`` gets the ordered window without a frame. ``max_rows`` tells that no
-    series has more rows than that; if they fit in a block, one level does.
+    series has more rows than that; if they fit in a block, one level does. The rows
+    are the same either way, and no window holds more than a block.
     Returns the rows that become final per level, from blocks to whole series.
     """
     back = rows - 1
@@ -107,7 +112,9 @@ def rolling_mean(
     max_rows: int | None = None,
 ) -> DataFrame:
     """Mean over the current and the ``rows - 1`` rows before it, skipping nulls;
-    null where the window has no value. ``means`` maps output to input names."""
+    null where the window has no value. ``means`` maps output to input names.
+    NaN counts as null."""
+    df = df.withColumns({c: known(df, c) for c in set(means.values())})
     return trailing(
         df,
         keys,
@@ -122,6 +129,16 @@ def rolling_mean(
     )
 
 
+def ranked(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``_rank``: a position in the order of each series with no gaps but one between
+    tasks, for orders whose values lie any distance apart.
+
+    Rows are range-partitioned by series and order, and numbered within their task.
+    """
+    rows = df.repartitionByRange(*keys, order).sortWithinPartitions(*keys, order)
+    return rows.withColumn("_rank", F.monotonically_increasing_id())
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -149,40 +166,71 @@ def rolling_mean_time(
     unit_us: int = 1_000_000,
     name: str = "mean",
 ) -> DataFrame:
-    """Mean over ``(t - window, t]``, one row per distinct time.
+    """Mean over ``(t - window, t]``, one row per distinct time. NaN counts as null.
 
-    Times are whole multiples of ``unit_us``. Readings at one time are summed
-    first, so however many share it, a block holds at most one row per unit.
-    Rows near the end of a block are also given to the next one, as context.
+    Times are whole multiples of ``unit_us``. Readings at one time are summed first,
+    so however many share it, a block holds at most one row per unit.
+
+    The window of a row ends in the row's block and begins in an earlier one: its sum
+    is the running sum of the row's block up to ``t``, plus all blocks from the
+    beginning's on, minus the running sum of that first block up to ``t - window``. For
+    the last term each row also goes to the block where its window begins, as a mark
+    without a value. So the cost is in proportion to the rows, whatever the window;
+    sums of whole blocks look back over at most ``BLOCKS`` of them.
     """
-    length = 16 * max(window_us, 60 * unit_us)
+    length = max(BLOCK_ROWS * unit_us, floor_up(window_us // BLOCKS, unit_us))
     sums = (
         df.where(F.col(us).isNotNull())
-        .groupBy(*keys, floor_to(us, unit_us).alias(us))
-        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+        .select(*keys, floor_to(us, unit_us).alias(us), known(df, value).cast("double").alias("_v"))
+        .groupBy(*keys, us)
+        .agg(F.sum("_v").alias("_sum"), F.count("_v").alias("_n"))
     )
-    home = floor_to(us, length)
-    after = home + F.lit(length).cast("bigint")
-    shared = sums.withColumn(
-        "_block",
-        F.explode(
-            F.when(F.col(us) + F.lit(window_us) > after, F.array(home, after)).otherwise(
-                F.array(home)
-            )
-        ),
+    begin = F.col(us) - F.lit(window_us).cast("bigint")
+    ends = sums.select(
+        *keys, floor_to(us, length).alias("_block"), F.col(us).alias("_at"), F.lit(0).alias("_mark"),
+        F.col(us).alias("_home"), "_sum", "_n",
     )
-    window = (
-        Window.partitionBy(*keys, "_block").orderBy(us).rangeBetween(-(window_us - 1), 0)
+    begins = sums.select(
+        *keys, floor_to(begin, length).alias("_block"), begin.alias("_at"), F.lit(1).alias("_mark"),
+        F.col(us).alias("_home"), F.lit(None).cast("double").alias("_sum"), F.lit(0).cast("bigint").alias("_n"),
     )
-    n = F.sum("_n").over(window)
-    return (
-        shared.select(
-            *keys,
-            us,
-            "_block",
-            F.when(n > 0, F.sum("_sum").over(window) / n).alias(name),
-            n.alias("n"),
-        )
-        .where(F.col("_block") == home)
-        .drop("_block")
+    # A value at the beginning itself is outside of the window: it stands before the mark.
+    running = Window.partitionBy(*keys, "_block").orderBy("_at", "_mark").rowsBetween(Window.unboundedPreceding, 0)
+    ran = ends.unionByName(begins).select(
+        *keys, "_block", "_mark", "_home",
+        F.coalesce(F.sum("_sum").over(running), F.lit(0.0)).alias("_s"), F.sum("_n").over(running).alias("_c"),
     )
+    pick = lambda name, mark: F.max(F.when(F.col("_mark") == mark, F.col(name)))
+    rows = ran.groupBy(*keys, "_home").agg(
+        pick("_s", 0).alias("_s1"), pick("_c", 0).alias("_c1"), pick("_block", 0).alias("_block"),
+        pick("_s", 1).alias("_s0"), pick("_c", 1).alias("_c0"), pick("_block", 1).alias("_first"),
+    )
+    # The window begins ``near`` or ``near + 1`` blocks before it ends.
+    near = window_us // length
+    blocks = sums.groupBy(*keys, floor_to(us, length).alias("_block")).agg(
+        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")
+    )
+    wide = lambda name, n: F.coalesce(
+        F.sum(name).over(Window.partitionBy(*keys).orderBy("_block").rangeBetween(-n * length, -1)), F.lit(0)
+    )
+    whole = blocks.select(
+        *keys, "_block",
+        *[
+            (wide(name, n) if n else F.lit(0)).alias(f"{name}{i}")
+            for name in ("_sum", "_n")
+            for i, n in enumerate((near, near + 1))
+        ],
+    )
+    joined = match(rows, whole, [*keys, "_block"])
+    far = F.col("_block") - F.col("_first") > F.lit(near * length).cast("bigint")
+    between = lambda name: F.when(far, F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
+    n = (F.col("_c1") - F.col("_c0") + between("_n")).cast("bigint")
+    total = F.col("_s1") - F.col("_s0") + between("_sum")
+    return joined.select(
+        *keys, F.col("_home").alias(us), F.when(n > 0, total / n).alias(name), n.alias("n")
+    )
+
+
+def floor_up(value: int, unit: int) -> int:
+    """The smallest multiple of ``unit`` that is not below ``value``."""
+    return -(-value // unit) * unit

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.queries import END, LIVE, MARK, NUDGE
+from tidemark.queries import END, LIVE, MARK, NUDGE, RATES
 
 HOUR_S = 3600
 
 RAW = """
 raw AS (
-  SELECT event_id AS id, user_id,
+  SELECT event_id AS id, user_id, user_id % 2 AS ship, nullif(user_id % 3, 0) AS team,
          CASE event_type WHEN 'click' THEN 'rhodamine' WHEN 'view' THEN 'ph'
                          WHEN 'purchase' THEN 'tsg' ELSE 'gps' END AS source,
          epoch_us(ts) // 1000000 AS t,
@@ -53,28 +53,28 @@ def _any(names=tuple(COLUMNS)) -> str:
     return "coalesce(" + ", ".join(names) + ") IS NOT NULL"
 
 
-def nearest(keys: tuple[str, ...] = (), tolerance: int = HOUR_S, skip: tuple[str, ...] = ()) -> str:
+def nearest(
+    keys: tuple[str, ...] = (), tolerance: int = HOUR_S, skip: tuple[str, ...] = (), step: int = HOUR_S, where: str = "true"
+) -> str:
     """``aligned``: grid points within reach of a sample, best sample per source."""
     k = "".join(f"{c}, " for c in keys)
     by = f"PARTITION BY {k}source, g" if keys else "PARTITION BY source, g"
-    start = (
-        f"JOIN (SELECT {k}min(t) // {HOUR_S} * {HOUR_S} AS lo FROM kept GROUP BY {k.rstrip(', ')}) USING ({k.rstrip(', ')})"
-        if keys
-        else f"CROSS JOIN (SELECT min(t) // {HOUR_S} * {HOUR_S} AS lo FROM kept)"
-    )
-    steps = tolerance // HOUR_S + 1
+    same = " AND ".join(f"best.{c} IS NOT DISTINCT FROM first.{c}" for c in keys) or "true"
+    group = f" GROUP BY {k.rstrip(', ')}" if keys else ""
+    start = f"JOIN (SELECT {k}min(t) // {step} * {step} AS lo FROM kept{group}) first ON {same}"
+    steps = tolerance // step + 1
     gone = "".join(f" AND source <> '{s}'" for s in skip)
     return f"""{RAW},
-kept AS (SELECT * FROM raw WHERE true{gone}),
+kept AS (SELECT * FROM raw WHERE {where}{gone}),
 offered AS (
-  SELECT *, t // {HOUR_S} * {HOUR_S} + o * {HOUR_S} AS g
+  SELECT *, t // {step} * {step} + o * {step} AS g
   FROM kept CROSS JOIN (SELECT unnest(range(-{steps}, {steps} + 2)) AS o)
-  WHERE abs(t // {HOUR_S} * {HOUR_S} + o * {HOUR_S} - t) <= {tolerance}
+  WHERE abs(t // {step} * {step} + o * {step} - t) <= {tolerance}
 ),
 best AS (
-  SELECT * FROM (
+  SELECT best.* FROM (
     SELECT *, row_number() OVER ({by} ORDER BY abs(g - t), t DESC, id) AS nth FROM offered
-  ) {start} WHERE nth = 1 AND g >= lo
+  ) best {start} WHERE best.nth = 1 AND best.g >= first.lo
 ),
 aligned AS (
   SELECT * FROM (
@@ -150,8 +150,8 @@ def with_means(ph_only: bool, keys: tuple[str, ...] = ()) -> str:
     )
 
 
-def summary(kind: str, ph_only: bool, keys: tuple[str, ...] = ()) -> str:
-    source = nearest(keys) if kind == "live" else fill(keys)
+def summary(kind: str, ph_only: bool, keys: tuple[str, ...] = (), kept: str = "true") -> str:
+    source = nearest(keys, where=kept) if kind == "live" else fill(keys)
     return f"WITH {source}, {with_ph(keys)}, {with_means(ph_only, keys)}"
 
 
@@ -175,11 +175,21 @@ def _averages(ph_only: bool) -> str:
 
 SIX_HOURS = 6 * HOUR_S
 
-MEANS = (
-    f"{summary('live', True)}, means AS (SELECT datetime_utc // {SIX_HOURS} * {SIX_HOURS} AS datetime_utc, "
-    + ", ".join(f"avg({c}) AS {c}" for c in SUMMARY)
-    + " FROM averaged GROUP BY 1)"
-)
+def means(keys: tuple[str, ...] = ()) -> str:
+    k = "".join(f"{c}, " for c in keys)
+    return (
+        f"{summary('live', True, keys)}, means AS (SELECT {k}datetime_utc // {SIX_HOURS} * {SIX_HOURS} AS datetime_utc, "
+        + ", ".join(f"avg({c}) AS {c}" for c in SUMMARY)
+        + f" FROM averaged GROUP BY {k}datetime_utc // {SIX_HOURS} * {SIX_HOURS})"
+    )
+
+
+MEANS = means()
+
+# A stream writes what no reading can change that is not older than those of the
+# slowest sensor.
+EMITTED = f"datetime_utc <= (SELECT min(m) FROM (SELECT max(t) // {HOUR_S} * {HOUR_S} - {HOUR_S} AS m FROM kept GROUP BY source))"
+IN_TIME = f"t NOT BETWEEN {MARK} AND {MARK + 6 * 3600}"
 
 TIMED = "timed AS (SELECT *, epoch_us(ts) // 1000000 AS datetime_utc FROM events)"
 
@@ -212,37 +222,50 @@ def _stats(name: str, source: str) -> str:
          stddev_samp(d) AS std_s, min(d) AS min_s, max(d) AS max_s FROM {source}"""
 
 
+def _series_metrics(rows: str, order: bool) -> dict[str, str]:
+    lags = f"(SELECT d FROM (SELECT t - lag(t) OVER (ORDER BY t) AS d FROM {rows}) WHERE d IS NOT NULL)"
+    late = f"(SELECT t < lag(t) OVER (ORDER BY id) AS late FROM {rows})"
+    stats = f"(SELECT avg(d) AS m, stddev_samp(d) AS s FROM {lags})"
+    metrics = {
+        "n_rows": f"SELECT count(*) FROM {rows}",
+        "duplicates": f"SELECT count(*) - count(DISTINCT t) FROM {rows}",
+        "n_intervals": f"SELECT count(*) FROM {lags}",
+        "mean_s": f"SELECT avg(d) FROM {lags}",
+        "median_s": f"SELECT median(d) FROM {lags}",
+        "std_s": f"SELECT stddev_samp(d) FROM {lags}",
+        "min_s": f"SELECT min(d) FROM {lags}",
+        "max_s": f"SELECT max(d) FROM {lags}",
+        "irregular": f"SELECT count(*) FILTER (WHERE abs(d - m) > 2 * s) FROM {lags} CROSS JOIN {stats}",
+        "irregular_pct": f"SELECT count(*) FILTER (WHERE abs(d - m) > 2 * s) * 100.0 / count(*) FROM {lags} CROSS JOIN {stats}",
+    }
+    if order:
+        metrics["out_of_order"] = f"SELECT count(*) FILTER (WHERE late) FROM {late}"
+        metrics["out_of_order_pct"] = f"SELECT count(*) FILTER (WHERE late) * 100.0 / count(*) FROM {late}"
+    return metrics
+
+
 def quality_report() -> str:
-    parts = []
-    sources = {"rhodamine": ("rho_ppb",), "ph": ("vrse", "ph_total"), "tsg": ("temp", "salinity"), "gps": ("latitude", "longitude")}
-    for name in sources:
-        rows = f"(SELECT * FROM raw WHERE source = '{name}')"
-        lags = f"(SELECT d FROM (SELECT t - lag(t) OVER (ORDER BY t) AS d FROM {rows}) WHERE d IS NOT NULL)"
-        late = f"(SELECT t < lag(t) OVER (ORDER BY id) AS late FROM {rows})"
-        stats = f"(SELECT avg(d) AS m, stddev_samp(d) AS s FROM {lags})"
-        metrics = {
-            "n_rows": f"SELECT count(*) FROM {rows}",
-            "duplicates": f"SELECT count(*) - count(DISTINCT t) FROM {rows}",
-            "n_intervals": f"SELECT count(*) FROM {lags}",
-            "mean_s": f"SELECT avg(d) FROM {lags}",
-            "median_s": f"SELECT median(d) FROM {lags}",
-            "std_s": f"SELECT stddev_samp(d) FROM {lags}",
-            "min_s": f"SELECT min(d) FROM {lags}",
-            "max_s": f"SELECT max(d) FROM {lags}",
-            "irregular": f"SELECT count(*) FILTER (WHERE abs(d - m) > 2 * s) FROM {lags} CROSS JOIN {stats}",
-            "irregular_pct": f"SELECT count(*) FILTER (WHERE abs(d - m) > 2 * s) * 100.0 / count(*) FROM {lags} CROSS JOIN {stats}",
-            "out_of_order": f"SELECT count(*) FILTER (WHERE late) FROM {late}",
-            "out_of_order_pct": f"SELECT count(*) FILTER (WHERE late) * 100.0 / count(*) FROM {late}",
-        }
-        parts += [
-            f"SELECT '{name}' AS table_name, '{m}' AS metric, round(CAST(({sql}) AS DOUBLE), 6) AS value"
-            for m, sql in metrics.items()
-        ]
-    return f"WITH {RAW} " + " UNION ALL ".join(parts)
+    rows = {s: f"(SELECT * FROM raw WHERE source = '{s}')" for s in ("rhodamine", "ph", "tsg", "gps")}
+    rows["summary"] = "(SELECT *, datetime_utc AS t FROM averaged)"
+    rows["events"] = "(SELECT epoch_us(ts) // 1000000 AS t FROM events)"
+    parts = [
+        f"SELECT '{name}' AS table_name, '{m}' AS metric, CAST(NULL AS VARCHAR) AS column_name, round(CAST(({sql}) AS DOUBLE), 6) AS value"
+        for name, own in rows.items()
+        for m, sql in _series_metrics(own, name in ("rhodamine", "ph", "tsg", "gps")).items()
+    ]
+    missing = {("summary", c): f"count(*) FILTER (WHERE {c} IS NULL)" for c in SUMMARY}
+    missing["events", "value"] = "count(*) FILTER (WHERE event_id % 5 = 0)"
+    for (name, c), n in missing.items():
+        table = "averaged" if name == "summary" else "events"
+        for metric, value in (("missing", n), ("missing_pct", f"{n} * 100.0 / count(*)")):
+            parts.append(
+                f"SELECT '{name}', '{metric}', '{c}', round(CAST({value} AS DOUBLE), 6) FROM {table} HAVING {n} > 0"
+            )
+    return summary("live", True) + " " + " UNION ALL ".join(parts)
 
 
 def null_report() -> str:
-    total = "SELECT count(*) FROM raw"
+    total = "SELECT count(*) FROM events"
     parts = [
         f"SELECT '{name}' AS column_name, ({total}) - (SELECT count(*) FROM raw WHERE source = '{source}') AS missing, "
         f"round((({total}) - (SELECT count(*) FROM raw WHERE source = '{source}')) * 100.0 / ({total}), 6) AS missing_pct"
@@ -266,6 +289,11 @@ PICK = " OR ".join(f"{c} IS NULL" for c in COLUMNS)
 ORACLES: dict[str, str] = {
     "nearest_align": _aligned(nearest()),
     "nearest_align_wide_order": _aligned(nearest()),
+    "big_ids": _aligned(nearest()),
+    "null_key_align": _aligned(nearest(("team",)), ("team",)),
+    "several_rates": " UNION ALL ".join(
+        f"SELECT CAST({step} AS INTEGER) AS step_s, * FROM ({_aligned(nearest(tolerance=step, step=step))})" for step in RATES
+    ),
     "nearest_align_by_user": _aligned(nearest(("user_id",)), ("user_id",)),
     "nearest_align_tolerance": _aligned(nearest(tolerance=HOUR_S * 5 // 2)),
     "nearest_fill": _aligned(fill()),
@@ -275,6 +303,9 @@ ORACLES: dict[str, str] = {
     "extent": f"WITH {RAW} SELECT min(t) AS first_s, max(t) AS last_s FROM raw",
     "mean_resample": f"WITH {RAW}, aligned AS (SELECT t // {HOUR_S} * {HOUR_S} AS datetime_utc, {_pivot('avg')} FROM raw GROUP BY 1) "
     f"SELECT datetime_utc, {_rounded(COLUMNS)} FROM aligned WHERE {_any()}",
+    "nan_means": f"WITH {RAW}, aligned AS (SELECT t // {HOUR_S} * {HOUR_S} AS datetime_utc, "
+    + ", ".join(f"avg({slot}) FILTER (WHERE source = '{s}' AND id % 5 <> 0) AS {c}" for c, (s, slot) in COLUMNS.items())
+    + f" FROM raw GROUP BY 1) SELECT datetime_utc, {_rounded(COLUMNS)} FROM aligned WHERE {_any()}",
     "dedup_first": f"WITH {RAW}, firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, t ORDER BY id) AS nth FROM raw) WHERE nth = 1) "
     f"SELECT source, t AS datetime_utc, id, "
     + ", ".join(f"round(CASE WHEN source = '{s}' THEN {slot} END, 6) AS {c}" for c, (s, slot) in COLUMNS.items())
@@ -304,10 +335,17 @@ ORACLES: dict[str, str] = {
     "underway_summary_by_user": _summary("live", True, keys=("user_id",)),
     "incremental_equals_batch": _summary("live", True),
     "incremental_batch_mode": _summary("batch", False),
+    "late_series": _summary("live", True, keys=("ship",)),
     "rebuild_summary": _summary("live", True),
     "output_means": f"{MEANS} SELECT datetime_utc, {_rounded(SUMMARY)} FROM means",
+    "output_means_by_user": f"{means(('user_id',))} SELECT user_id, datetime_utc, {_rounded(SUMMARY)} FROM means",
     "output_mark": f"{MEANS} SELECT max(datetime_utc) AS datetime_utc FROM means",
-    "streaming_summary": _summary("live", True),
+    "streaming_summary": _summary("live", True, EMITTED),
+    "streaming_reset": _summary("live", True, EMITTED),
+    "streaming_late_rows": f"SELECT *, true AS counted FROM ({summary('live', True, kept=IN_TIME)} "
+    f"SELECT datetime_utc, {_rounded(SUMMARY)} FROM averaged WHERE {EMITTED})",
+    "streaming_means_by_user": f"{means(('user_id',))} SELECT user_id, datetime_utc, {_rounded(SUMMARY)} FROM means "
+    f"WHERE datetime_utc + {SIX_HOURS} <= (SELECT max(datetime_utc) FROM averaged)",
     "streaming_means": f"{MEANS} SELECT datetime_utc, {_rounded(SUMMARY)} FROM means "
     f"WHERE datetime_utc + {SIX_HOURS} <= (SELECT max(datetime_utc) FROM averaged)",
     "new_rows_anti": f"WITH {TIMED} SELECT datetime_utc, event_id, event_type FROM timed x "
@@ -322,8 +360,9 @@ ORACLES: dict[str, str] = {
     "keyed_items": f"WITH {TIMED} SELECT {ISO} AS datetime_utc, event_id, "
     f"round(CASE WHEN datetime_utc > {MARK} THEN value + 1 ELSE value END, 6) AS value FROM "
     "(SELECT *, row_number() OVER (PARTITION BY datetime_utc ORDER BY event_id) AS nth FROM timed) WHERE nth = 1",
-    "union_by_name": f"WITH {RAW} SELECT id, CASE WHEN source = 'ph' THEN round(a, 6) END AS vrse, CASE WHEN source = 'ph' THEN round(b, 6) END AS ph_total, "
-    "CASE WHEN source = 'tsg' THEN round(a, 6) END AS temp, CASE WHEN source = 'tsg' THEN round(b, 6) END AS salinity FROM raw WHERE source IN ('ph', 'tsg')",
+    "union_by_name": f"WITH {RAW} SELECT id, "
+    + ", ".join(f"CASE WHEN source = '{src}' THEN round({slot}, 6) END AS {c}" for c, (src, slot) in COLUMNS.items())
+    + " FROM raw",
     "pruned_scan": "SELECT event_id, value FROM events",
     "scan_after_mark": f"WITH {TIMED} SELECT datetime_utc, event_id, value FROM timed WHERE datetime_utc > {MARK}",
     "ordered_scan": f"WITH {TIMED} SELECT datetime_utc, event_id FROM timed WHERE datetime_utc > {MARK} ORDER BY 1, 2",
@@ -337,7 +376,9 @@ ORACLES: dict[str, str] = {
     "ORDER BY part, CASE WHEN part THEN -nth ELSE nth END LIMIT 1",
     "duplicate_examples": f"WITH {TIMED} SELECT datetime_utc, count(*) AS occurrences FROM timed GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 3",
     "null_report": null_report(),
-    "freshness": f"WITH {RAW} SELECT source, count(*) AS n_rows, max(t) AS last_s FROM raw GROUP BY source",
+    "freshness": f"WITH {RAW} SELECT source, count(*) AS n_rows, max(t) AS last_s FROM raw GROUP BY source "
+    "UNION ALL SELECT event_type, count(*), max(epoch_us(ts) // 1000000) FROM events "
+    "WHERE event_type NOT IN ('click', 'view', 'purchase', 'signup') GROUP BY event_type",
     "state_summary": f"{summary('live', True)}, last_ph AS (SELECT datetime_utc FROM averaged WHERE ph_total IS NOT NULL "
     f"ORDER BY datetime_utc DESC LIMIT {LIVE.window_rows - 1}) "
     "SELECT source AS name, count(*) AS n_rows, max(t) AS last_s FROM raw GROUP BY source "
@@ -358,6 +399,8 @@ ORACLES: dict[str, str] = {
     "lag_seconds": f"WITH {TIMED} {_distinct_lag()}",
     "out_of_order": f"WITH {ORDERS} SELECT count(*) AS n_rows, count(*) FILTER (WHERE day < prev_day) AS out_of_order, "
     "round(count(*) FILTER (WHERE day < prev_day) * 100.0 / count(*), 6) AS out_of_order_pct FROM arrivals",
+    "out_of_order_sparse_ids": f"WITH {ORDERS} SELECT count(*) AS n_rows, count(*) FILTER (WHERE day < prev_day) AS out_of_order, "
+    "round(count(*) FILTER (WHERE day < prev_day) * 100.0 / count(*), 6) AS out_of_order_pct FROM arrivals",
     "out_of_order_rows": f"WITH {ORDERS} SELECT o_orderkey, day, prev_day FROM arrivals WHERE day < prev_day",
     "quality_report": quality_report(),
 }

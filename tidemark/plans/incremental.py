@@ -5,6 +5,14 @@ been read past them) and that are not stored yet, from just the raw rows these
 need. Moving averages take the rows they look back on from the stored summary.
 So any split of the data into runs gives the rows of a single run. ``flush``
 closes the end of the data as well.
+
+Several series (``keys``) have a mark each: a series whose readings come later, or
+for the first time, is read from its own mark on. To find new series the key and
+time columns of the raw tables are read in full.
+
+A small file beside the summary holds its mark, so a run does not read the summary to
+find out. Before rows are written it also holds where they begin: if a write is cut
+short, the next run goes over that stretch again and adds what is missing.
 """
 
 from __future__ import annotations
@@ -14,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions.time import epoch_seconds, floor_to, seconds_to_us
-from tidemark.operators.aggregate import freshness, not_in
+from tidemark.operators.aggregate import freshness, match, not_in
 from tidemark.operators.lookup import since, union_all
 from tidemark.operators.trailing import BLOCK_ROWS
 from tidemark.params import SECOND, SENSORS, Params
@@ -25,7 +33,7 @@ from tidemark.plans.summary import (
     summarize,
     to_summary,
 )
-from tidemark.sinks.files import append_once, write_parquet
+from tidemark.sinks.files import append_once, read_state, write_parquet, write_state
 from tidemark.sources import schemas
 from tidemark.sources.tables import after, long_frame, read_or_empty, read_summary
 
@@ -33,7 +41,11 @@ HISTORY = ("ph_total", "ph_corrected")
 
 
 def summary_mark(spark: SparkSession, path: str) -> int | None:
-    """Latest stored time in epoch seconds. Only the last partition is read."""
+    """Latest stored time in epoch seconds. Without the file that holds it, the names of
+    all partitions and the times of the last one are read."""
+    state = read_state(spark, path)
+    if state is not None and not state["open"] and state["mark_s"] is not None:
+        return state["mark_s"]
     stored = read_or_empty(spark, path, schemas.partitioned(schemas.summary()))
     newest = stored.agg(F.max("partition").alias("p")).first()["p"]
     if newest is None:
@@ -100,7 +112,7 @@ def _samples_before(
                 near = stretch
                 break
         last = near.groupBy(*keys).agg(F.max("datetime_utc").alias("datetime_utc"))
-        found[source] = near.join(last, [*keys, "datetime_utc"], "left_semi")
+        found[source] = match(near, last, [*keys, "datetime_utc"], "left_semi")
     return found
 
 
@@ -162,18 +174,32 @@ def process_incremental(
     default); one that stays silent holds the output back until ``flush``.
     ``rebuild`` replaces the summary by everything in the raw tables.
     ``resume_from`` (epoch seconds) starts at an earlier time than the last stored
-    one, after a run whose write was cut short: rows that are missing from there on
-    are added, the others stay.
+    one: rows that are missing from there on are added, the others stay. A run whose
+    write was cut short needs no such hint.
     """
     names = [f.name for f in keys] if keys else []
     schema = schemas.summary(keys)
     if rebuild:
         everything = summarize(long_frame(tables, keys=names, order=order), params, names, order)
+        write_state(spark, path, None, True)
         write_parquet(everything, path, "overwrite", params.partition_hours)
-        return read_summary(spark, path, keys=keys).drop("partition")
+        rows = read_summary(spark, path, keys=keys).drop("partition")
+        write_state(spark, path, rows.agg(F.max("datetime_utc")).first()[0])
+        return rows
 
+    state = read_state(spark, path)
+    cut_short = state is not None and state["open"]
+    if keys:
+        return _process_series(
+            spark, tables, path, params, keys, order, flush, sensors, resume_from, cut_short
+        )
     step = params.step_us
-    mark = summary_mark(spark, path) if resume_from is None else resume_from - 1
+    if resume_from is not None:
+        mark = resume_from - 1
+    elif cut_short:
+        mark = None if state["open_from_s"] is None else state["open_from_s"] - 1
+    else:
+        mark = summary_mark(spark, path)
     first_us = first_s = before_s = None
     if mark is not None:
         # The next grid point; readings up to one step before may serve it.
@@ -219,10 +245,117 @@ def process_incremental(
             averaged = add_moving_averages(rows, params, names, most)
         else:
             averaged = add_history(spark, rows, path, first_us, until_us, params, keys)
-        append_once(
-            to_summary(averaged, names), path, schema, params.partition_hours, names, since=first_s
-        )
+        _append(spark, to_summary(averaged, names), path, schema, params, names, first_s, cut_short)
     finally:
         rows.unpersist()
-    added = read_summary(spark, path, keys=keys).drop("partition")
-    return added if first_s is None else added.where(F.col("datetime_utc") >= first_s)
+    return read_summary(
+        spark, path, None if first_s is None else first_s - 1, keys, params.partition_hours
+    ).drop("partition")
+
+
+def _append(spark, rows, path, schema, params, names, first_s, cut_short, marked=True) -> None:
+    """Append once, with a note of where a write began that does not come to its end."""
+    if not cut_short:  # the note of an earlier write that was cut short stays until one succeeds
+        known = summary_mark(spark, path) if marked else None
+        write_state(spark, path, known, True, first_s)
+    append_once(rows, path, schema, params.partition_hours, names, since=first_s)
+    mark = None
+    if marked:
+        newest = read_summary(
+            spark, path, None if first_s is None else first_s - 1, partition_hours=params.partition_hours
+        )
+        mark = newest.agg(F.max("datetime_utc")).first()[0]
+        if mark is None:
+            mark = first_s - 1 if first_s is not None else None
+    write_state(spark, path, mark)
+
+
+def _process_series(
+    spark, tables, path, params, keys, order, flush, sensors, resume_from, cut_short
+) -> DataFrame:
+    """``process_incremental`` for several series, each from its own mark on."""
+    names = [f.name for f in keys]
+    schema, step = schemas.summary(keys), params.step_us
+    stored = read_summary(spark, path, keys=keys)
+    known = stored.groupBy(*names).agg(F.max("datetime_utc").alias("_mark"))
+    if cut_short:
+        known = known.limit(0)  # all rows are computed again, stored ones stay as they are
+    elif resume_from is not None:
+        known = known.withColumn("_mark", F.least("_mark", F.lit(resume_from - 1)))
+    known = known.select(
+        *names, ((floor_to(seconds_to_us("_mark"), step) + F.lit(step))).alias("_first")
+    )
+    # Where each series begins (null: nothing is stored) and how far it may be written.
+    awaited = list(sensors or [s for s in SENSORS if s in tables])
+    lookahead = step if params.mode == "live" else 0
+    seen = freshness(long_frame(tables, keys=names, order=order), names)
+    if flush:
+        until = seen.groupBy(*names).agg((F.max("last_us") + F.lit(step)).alias("_until"))
+    else:
+        until = (
+            seen.where(F.col("source").isin(awaited))
+            .groupBy(*names)
+            .agg(F.count(F.lit(1)).alias("_n"), (F.min("last_us") - F.lit(lookahead)).alias("_until"))
+            .where(F.col("_n") == len(awaited))
+            .drop("_n")
+        )
+    bounds = match(until, known, names, "left").where("_first IS NULL OR _until >= _first").persist()
+    try:
+        lowest = bounds.agg(F.count(F.lit(1)), F.count("_first"), F.min("_first"), F.max("_until")).first()
+        if not lowest[0]:
+            return spark.createDataFrame([], schema)
+        # Without new series, raw rows before all marks need not be read.
+        low_s = (lowest[2] - step) // SECOND - 1 if lowest[0] == lowest[1] else None
+        long = long_frame(
+            tables, low_s, keys=names, order=order, partition_hours=params.raw_partition_hours
+        )
+        reach = F.col("us") >= F.col("_first") - F.lit(step)
+        own = match(long, bounds, names)
+        long = own.where(F.col("_first").isNull() | reach).select(*long.columns)
+        if params.mode == "batch":
+            # The last reading of each sensor before the stretch serves its first rows.
+            before = match(long_frame(tables, keys=names, order=order), bounds, names).where(~reach)
+            last = before.groupBy(*names, "source").agg(F.max("us").alias("us"))
+            before = match(before.select(*long.columns), last, [*names, "source", "us"], "left_semi")
+            long = long.unionByName(before)
+        rows = add_corrected_ph(align(long, params, names, order), params)
+        rows = match(rows, bounds, names).where(
+            (F.col("grid") <= F.col("_until")) & (F.col("_first").isNull() | (F.col("grid") >= F.col("_first")))
+        )
+        rows = rows.select(*names, "grid", "_first", *[c for c in rows.columns if c not in (*names, "grid", *bounds.columns)]).persist()
+        try:
+            back = params.window_rows - 1
+            plain = rows.drop("_first").withColumn("_new", F.lit(True))
+            if back:
+                history = _series_history(stored, bounds, names, back, params).withColumn("_new", F.lit(False))
+                plain = plain.unionByName(history, allowMissingColumns=True)
+            averaged = add_moving_averages(plain, params, names).where("_new")
+            first_s = None if low_s is None else lowest[2] // SECOND
+            _append(spark, to_summary(averaged, names), path, schema, params, names, first_s, cut_short, marked=False)
+        finally:
+            rows.unpersist()
+        added = read_summary(spark, path, keys=keys).drop("partition")
+        return (
+            match(added, bounds, names)
+            .where(F.col("_first").isNull() | (seconds_to_us("datetime_utc") >= F.col("_first")))
+            .select(*added.columns)
+        )
+    finally:
+        bounds.unpersist()
+
+
+def _series_history(
+    stored: DataFrame, bounds: DataFrame, names: Sequence[str], back: int, params: Params
+) -> DataFrame:
+    """The last ``back`` rows of each series before the stretch that is written, ranked
+    per block of the series first, then among the few left."""
+    if params.ph_rows_only:
+        stored = stored.where(F.col("ph_total").isNotNull())
+    us = seconds_to_us("datetime_utc")
+    rows = match(stored, bounds, names).where(us < F.col("_first"))
+    rows = rows.withColumn("_block", floor_to("datetime_utc", params.step_us // SECOND * BLOCK_ROWS))
+    newest = F.col("datetime_utc").desc()
+    for part in ([*names, "_block"], names):
+        rank = F.row_number().over(Window.partitionBy(*part).orderBy(newest))
+        rows = rows.withColumn("_rank", rank).where(F.col("_rank") <= back)
+    return rows.select(*names, us.alias("grid"), *HISTORY)

@@ -7,7 +7,6 @@ epoch seconds and doubles are rounded, as the SQL in ``oracles`` does.
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -45,6 +44,7 @@ from tidemark.sources.tables import (
     read_summary,
 )
 from tidemark.streaming.live import (
+    LateRows,
     fresh_checkpoint,
     raw_streams,
     run_for,
@@ -62,6 +62,9 @@ BATCH = Params(step="1h", output_step="6h", partition_hours=24, mode="batch")
 MARK = 1_704_931_200
 END = 1_705_795_200
 
+# Steps of ``several_rates``, in seconds.
+RATES = (600, 3600, 10_800)
+
 # Readings have few digits, so a mean may lie half-way between two roundings and
 # fall either way with its last bit. This takes it off the middle.
 NUDGE = 3e-9
@@ -89,7 +92,32 @@ def nearest_align_query(spark, sf):
 
 
 def nearest_align_wide_order(spark, sf):
-    return _grid_rows(nearest_align(long_events(spark, sf), HOUR, wide_order=True))
+    """Arrival numbers near the end of their type."""
+    rows = long_events(spark, sf).withColumn("id", F.col("id") + F.lit(2**62))
+    return _grid_rows(nearest_align(rows, HOUR))
+
+
+def big_ids(spark, sf):
+    """Arrival numbers far apart, below zero and above."""
+    rows = long_events(spark, sf).withColumn("id", F.col("id") * F.lit(10**13) - F.lit(2**56))
+    return _grid_rows(nearest_align(rows, HOUR))
+
+
+def null_key_align(spark, sf):
+    """Series without a key are a series of their own."""
+    rows = long_events(spark, sf, ("user_id",))
+    rows = rows.withColumn("team", F.nullif(F.col("user_id") % 3, F.lit(0)))
+    return _grid_rows(nearest_align(rows, HOUR, keys=("team",)), "team")
+
+
+def several_rates(spark, sf):
+    """Grids finer and coarser than the readings."""
+    rows = long_events(spark, sf)
+    parts = [
+        _grid_rows(nearest_align(rows, s * SECOND).withColumn("step_s", F.lit(s)), "step_s")
+        for s in RATES
+    ]
+    return lookup.union_all(parts)
 
 
 def nearest_align_by_user(spark, sf):
@@ -133,6 +161,14 @@ def mean_resample_query(spark, sf):
     return _tidy(means.select(epoch_seconds("us").alias("datetime_utc"), *ALIGNED_COLUMNS))
 
 
+def nan_means(spark, sf):
+    """Every fifth reading is NaN, which counts as missing."""
+    broken = lambda c: F.when(F.col("id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col(c))
+    rows = long_events(spark, sf).withColumns({c: broken(c) for c in ALIGNED_COLUMNS})
+    means = mean_resample(rows, HOUR)
+    return _tidy(means.select(epoch_seconds("us").alias("datetime_utc"), *ALIGNED_COLUMNS))
+
+
 def dedup_first(spark, sf):
     rows = long_events(spark, sf).select("source", "us", "id", *ALIGNED_COLUMNS)
     kept = first_arrival(rows, ["source", "us"], "id")
@@ -305,6 +341,21 @@ def incremental_batch_mode(spark, sf):
     return _incremental(spark, sf, BATCH)
 
 
+def _key(name: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.LongType())])
+
+
+def late_series(spark, sf):
+    """One series is complete before the other's first reading arrives."""
+    path = scratch(spark, "summary")
+    tables = {s: t.withColumn("ship", F.col("user_id") % 2) for s, t in raw_tables(spark, sf).items()}
+    first = {s: t.where("ship = 0") for s, t in tables.items()}
+    process_incremental(spark, first, path, LIVE, keys=_key("ship"), flush=True)
+    process_incremental(spark, tables, path, LIVE, keys=_key("ship"))
+    process_incremental(spark, tables, path, LIVE, keys=_key("ship"), flush=True)
+    return _tidy(read_summary(spark, path, keys=_key("ship")).drop("partition"))
+
+
 def rebuild_summary(spark, sf):
     """A rebuild replaces what an earlier run on part of the data left."""
     path = scratch(spark, "summary")
@@ -313,9 +364,10 @@ def rebuild_summary(spark, sf):
     return _tidy(process_incremental(spark, tables, path, LIVE, rebuild=True))
 
 
-def _stored_summary(spark, sf, params=LIVE):
+def _stored_summary(spark, sf, params=LIVE, keys=()):
     path = scratch(spark, "summary")
-    write_parquet(summarize(long_events(spark, sf), params), path, "overwrite", params.partition_hours)
+    rows = summarize(long_events(spark, sf, keys), params, keys)
+    write_parquet(rows, path, "overwrite", params.partition_hours)
     return path
 
 
@@ -331,6 +383,18 @@ def output_means_query(spark, sf):
     return _seconds(spark.read.parquet(output).drop("partition"))
 
 
+def output_means_by_user(spark, sf):
+    """The same for several series, each with buckets of its own."""
+    keys = _key("user_id")
+    whole = read_summary(spark, _stored_summary(spark, sf, keys=("user_id",)), keys=keys).drop("partition")
+    summary, output = scratch(spark, "summary"), scratch(spark, "means")
+    for part in (F.col("datetime_utc") <= MARK + 7200, F.col("datetime_utc") > MARK + 7200):
+        write_parquet(whole.where(part), summary, "append", LIVE.partition_hours)
+        resample_summary(spark, summary, output, LIVE, keys=keys)
+    resample_summary(spark, summary, output, LIVE, flush=True, keys=keys)
+    return _seconds(spark.read.parquet(output).drop("partition"))
+
+
 def _seconds(means):
     return _tidy(means.withColumn("datetime_utc", F.unix_seconds("datetime_utc")))
 
@@ -344,55 +408,89 @@ def output_mark(spark, sf):
 # Streams
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession):
-    """Few state partitions for a local run; a stream keeps the number it began with."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def _land(tables, folders) -> None:
+    for source, table in tables.items():
+        conform(table, schemas.RAW[source]).write.mode("append").parquet(folders[source])
+
+
+def _follow(spark, folders, path, checkpoint):
+    """Stream what has landed; the query, ended."""
+    rows = stream_align(raw_streams(spark, folders), LIVE)
+    query = write_summary_stream(rows, path, checkpoint, LIVE, available_now=True)
+    run_for(query)
+    return query
 
 
-def _streamed(spark, sf):
-    """Land the raw tables in three parts and stream each; then close the end in batch."""
+def _stream_folders(spark, tables):
     prepare(spark)
     stream_settings(spark)
+    landing = scratch(spark, "raw")
+    return {s: f"{landing}/{s}" for s in tables}, scratch(spark, "summary")
+
+
+def streaming_summary(spark, sf):
+    """The raw tables land in three parts, each is streamed. Rows that later readings could
+    still change have not been written."""
     tables = raw_tables(spark, sf)
-    landing, path, checkpoint = scratch(spark, "raw"), scratch(spark, "summary"), fresh_checkpoint(spark)
-    folders = {s: f"{landing}/{s}" for s in tables}
+    folders, path = _stream_folders(spark, tables)
+    checkpoint = fresh_checkpoint(spark)
     cuts = [None, MARK + 1234, END + 4321, None]
-    with _state_partitions(spark):
-        for low, high in zip(cuts, cuts[1:]):
-            for source, table in tables.items():
-                part = after(table, low)
-                if high is not None:
-                    part = part.where(F.col("datetime_utc") <= high)
-                conform(part, schemas.RAW[source]).write.mode("append").parquet(folders[source])
-            rows = stream_align(raw_streams(spark, folders), LIVE)
-            run_for(write_summary_stream(rows, path, checkpoint, LIVE, available_now=True))
-    landed = {s: spark.read.schema(schemas.RAW[s]).parquet(p) for s, p in folders.items()}
-    process_incremental(spark, landed, path, LIVE, flush=True)
-    return path
+    for low, high in zip(cuts, cuts[1:]):
+        parts = {s: after(t, low) for s, t in tables.items()}
+        if high is not None:
+            parts = {s: t.where(F.col("datetime_utc") <= high) for s, t in parts.items()}
+        _land(parts, folders)
+        _follow(spark, folders, path, checkpoint)
+    return _tidy(read_summary(spark, path).drop("partition"))
 
 
-def streaming_summary(spark, sf):
-    return _tidy(read_summary(spark, _streamed(spark, sf)).drop("partition"))
+def streaming_reset(spark, sf):
+    """A stream that starts over with a new checkpoint writes no row twice."""
+    tables = raw_tables(spark, sf)
+    folders, path = _stream_folders(spark, tables)
+    _land(tables, folders)
+    for _ in range(2):
+        _follow(spark, folders, path, fresh_checkpoint(spark))
+    return _tidy(read_summary(spark, path).drop("partition"))
 
 
-def streaming_means(spark, sf):
-    """Means of the closed buckets of the summary, as a stream over its files."""
+def streaming_late_rows(spark, sf):
+    """Readings of six hours land after the rest was streamed: they are counted, and the
+    rows that were written stay."""
+    tables = raw_tables(spark, sf)
+    folders, path = _stream_folders(spark, tables)
+    checkpoint, late = fresh_checkpoint(spark), F.col("datetime_utc").between(MARK, MARK + 6 * 3600)
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        _land({s: t.where(~late) for s, t in tables.items()}, folders)
+        in_time = listener.total(_follow(spark, folders, path, checkpoint))
+        _land({s: t.where(late) for s, t in tables.items()}, folders)
+        too_late = listener.total(_follow(spark, folders, path, checkpoint))
+    finally:
+        spark.streams.removeListener(listener)
+    counted = F.lit(in_time == 0 and too_late > 0).alias("counted")
+    return _tidy(read_summary(spark, path).drop("partition")).withColumn("counted", counted)
+
+
+def _streamed_means(spark, path, keys=None):
     prepare(spark)
     stream_settings(spark)
-    path, output = _stored_summary(spark, sf), scratch(spark, "means")
-    with _state_partitions(spark):
-        means = stream_means(spark, path, LIVE)
-        run_for(write_means_stream(means, output, fresh_checkpoint(spark), LIVE, available_now=True))
+    output = scratch(spark, "means")
+    means = stream_means(spark, path, LIVE, keys=keys)
+    run_for(write_means_stream(means, output, fresh_checkpoint(spark), LIVE, available_now=True))
     return _seconds(spark.read.parquet(output).drop("partition"))
 
 
+def streaming_means(spark, sf):
+    """Means of the closed buckets of the summary, as a stream over its files."""
+    return _streamed_means(spark, _stored_summary(spark, sf))
+
+
+def streaming_means_by_user(spark, sf):
+    return _streamed_means(spark, _stored_summary(spark, sf, keys=("user_id",)), _key("user_id"))
+
+
 # Sinks and joins with stored rows
 
 
@@ -467,8 +565,7 @@ def keyed_items(spark, sf):
 
 
 def union_by_name(spark, sf):
-    tables = raw_tables(spark, sf)
-    return _tidy(lookup.union_all([tables["ph"], tables["tsg"]]).select("id", "vrse", "ph_total", "temp", "salinity"))
+    return _tidy(lookup.union_all(list(raw_tables(spark, sf).values())).select("id", *ALIGNED_COLUMNS))
 
 
 # Scans and lookups
@@ -479,11 +576,11 @@ def pruned_scan(spark, sf):
 
 
 def scan_after_mark(spark, sf):
-    return read_columns(timed_events(spark, sf), ["datetime_utc", "event_id", "value"], MARK)
+    return read_columns(timed_events(spark, sf, MARK), ["datetime_utc", "event_id", "value"], MARK)
 
 
 def ordered_scan(spark, sf):
-    rows = read_columns(timed_events(spark, sf), ["datetime_utc", "event_id"], MARK)
+    rows = read_columns(timed_events(spark, sf, MARK), ["datetime_utc", "event_id"], MARK)
     return rows.orderBy("datetime_utc", "event_id")
 
 
@@ -529,11 +626,11 @@ def duplicate_examples_query(spark, sf):
 
 
 def null_report(spark, sf):
-    return _tidy(quality.null_report(long_events(spark, sf).select("id", *ALIGNED_COLUMNS)))
+    return _tidy(quality.null_report(long_events(spark, sf, everything=True).select("id", *ALIGNED_COLUMNS)))
 
 
 def freshness_query(spark, sf):
-    rows = freshness(long_events(spark, sf))
+    rows = freshness(long_events(spark, sf, everything=True))
     return rows.select("source", "n_rows", epoch_seconds("last_us").alias("last_s"))
 
 
@@ -560,6 +657,12 @@ def out_of_order(spark, sf):
     return _tidy(quality.out_of_order(_dated_orders(spark, sf), "day", "o_orderkey"))
 
 
+def out_of_order_sparse_ids(spark, sf):
+    """Arrival numbers 2**40 apart."""
+    rows = _dated_orders(spark, sf).withColumn("o_orderkey", F.col("o_orderkey") * F.lit(2**40))
+    return _tidy(quality.out_of_order(rows, "day", "o_orderkey"))
+
+
 def out_of_order_rows(spark, sf):
     return quality.out_of_order_rows(_dated_orders(spark, sf), "day", "o_orderkey").withColumnRenamed("prev_time", "prev_day")
 
@@ -569,12 +672,18 @@ def quality_report(spark, sf):
         s: df.select("id", "datetime_utc", *[c for c in df.columns if c in ALIGNED_COLUMNS])
         for s, df in raw_tables(spark, sf).items()
     }
-    return _tidy(quality.quality_report_all(tables).drop("column_name"))
+    tables["summary"] = read_summary(spark, _stored_summary(spark, sf)).drop("partition")
+    broken = F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    tables["events"] = timed_events(spark, sf).select("datetime_utc", broken.alias("value"))
+    return _tidy(quality.quality_report_all(tables))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_align": nearest_align_query,
     "nearest_align_wide_order": nearest_align_wide_order,
+    "big_ids": big_ids,
+    "null_key_align": null_key_align,
+    "several_rates": several_rates,
     "nearest_align_by_user": nearest_align_by_user,
     "nearest_align_tolerance": nearest_align_tolerance,
     "nearest_fill": nearest_fill_query,
@@ -583,6 +692,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_grid": time_grid_query,
     "extent": extent_query,
     "mean_resample": mean_resample_query,
+    "nan_means": nan_means,
     "dedup_first": dedup_first,
     "drop_repeats": drop_repeats_query,
     "corrected_ph": corrected_ph_query,
@@ -604,11 +714,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "underway_summary_by_user": underway_summary_by_user,
     "incremental_equals_batch": incremental_equals_batch,
     "incremental_batch_mode": incremental_batch_mode,
+    "late_series": late_series,
     "rebuild_summary": rebuild_summary,
     "output_means": output_means_query,
+    "output_means_by_user": output_means_by_user,
     "output_mark": output_mark,
     "streaming_summary": streaming_summary,
+    "streaming_reset": streaming_reset,
+    "streaming_late_rows": streaming_late_rows,
     "streaming_means": streaming_means,
+    "streaming_means_by_user": streaming_means_by_user,
     "new_rows_anti": new_rows_anti,
     "idempotent_append": idempotent_append,
     "table_append": table_append,
@@ -637,6 +752,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gaps": _on_events(quality.gaps, 600),
     "lag_seconds": _on_events(quality.lag_seconds),
     "out_of_order": out_of_order,
+    "out_of_order_sparse_ids": out_of_order_sparse_ids,
     "out_of_order_rows": out_of_order_rows,
     "quality_report": quality_report,
 }

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.time import epoch_seconds, partition_label, seconds_to_us, timestamp_to_us
 from tidemark.operators.aggregate import first_arrival, not_in
-from tidemark.operators.lookup import since as rows_since
+from tidemark.operators.lookup import label
 from tidemark.sources.schemas import partitioned
 from tidemark.sources.tables import read_or_empty
 
@@ -64,7 +64,8 @@ def append_once(
     since: int | None = None,
 ) -> None:
     """Append the rows whose time (per series) is not stored yet; what was written
-    first stays. Running it again with the same rows writes nothing.
+    first stays. Running it again with the same rows writes nothing. A missing time
+    or series key is a value like any other.
 
     ``order`` picks the first of rows that share a time; without it times must be
     unique in ``df``. ``since`` (epoch seconds), a lower bound of the times in
@@ -74,6 +75,33 @@ def append_once(
     rows = first_arrival(df, on, order) if order else df
     stored = read_or_empty(df.sparkSession, path, partitioned(schema))
     if since is not None:
-        stored = rows_since(stored, since - 1, partition_hours=partition_hours)
+        undated = F.col("partition").isNull() & F.col(TIME).isNull()
+        dated = (F.col("partition") >= label(since - 1, partition_hours)) & (F.col(TIME) >= since)
+        stored = stored.where(dated | undated)
     new = not_in(rows.select(*[f.name for f in schema]), stored, on)
     write_parquet(new, path, "append", partition_hours)
+
+
+STATE = T.StructType(
+    [
+        T.StructField("mark_s", T.LongType()),
+        T.StructField("open", T.BooleanType()),
+        T.StructField("open_from_s", T.LongType()),
+    ]
+)
+
+
+def _state_path(path: str) -> str:
+    return path.rstrip("/") + ".state"
+
+
+def read_state(spark: SparkSession, path: str):
+    """How far the table at ``path`` was written, and whether a write to it was cut
+    short (``open``) and from which time on (null: from the beginning). None if unknown."""
+    return read_or_empty(spark, _state_path(path), STATE).first()
+
+
+def write_state(spark: SparkSession, path: str, mark_s: int | None, open: bool = False, open_from_s: int | None = None) -> None:
+    """A row of its own beside the table: a run reads it instead of the whole table."""
+    row = spark.createDataFrame([(mark_s, open, open_from_s)], STATE)
+    row.coalesce(1).write.mode("overwrite").parquet(_state_path(path))

@@ -6,6 +6,8 @@ for the order of arrival; times are cut to whole seconds as raw tables hold them
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.time import epoch_seconds, timestamp_to_us
@@ -33,9 +35,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with ``datetime_utc`` in epoch seconds."""
-    return events(spark, sf_dir).withColumn("datetime_utc", epoch_seconds(timestamp_to_us("ts")))
+def timed_events(spark: SparkSession, sf_dir: str, mark: int | None = None) -> DataFrame:
+    """Events with ``datetime_utc`` in epoch seconds, those later than ``mark`` if given:
+    the bound is on the stored time too, so the scan skips what is before it."""
+    rows = events(spark, sf_dir)
+    if mark is not None:
+        begin = datetime.fromtimestamp(mark + 1, timezone.utc).replace(tzinfo=None)
+        rows = rows.where(F.col("ts") >= F.lit(begin.isoformat(" ")).cast("timestamp_ntz"))
+    return rows.withColumn("datetime_utc", epoch_seconds(timestamp_to_us("ts")))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -53,13 +60,18 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return tables
 
 
-def long_events(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """All instruments as one long frame, in a single scan."""
-    rows = timed_events(spark, sf_dir).where(F.col("event_type").isin(list(SOURCE_OF)))
+def long_events(
+    spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = (), everything: bool = False
+) -> DataFrame:
+    """All instruments as one long frame, in a single scan. ``everything``: also events
+    of types that stand for no instrument, as sources without readings."""
+    rows = timed_events(spark, sf_dir)
+    if not everything:
+        rows = rows.where(F.col("event_type").isin(list(SOURCE_OF)))
     source = F.create_map(*[F.lit(x) for pair in SOURCE_OF.items() for x in pair])
     return rows.select(
         *keys,
-        source[F.col("event_type")].alias("source"),
+        F.coalesce(source[F.col("event_type")], F.col("event_type")).alias("source"),
         (F.col("datetime_utc") * 1_000_000).alias("us"),
         F.col("event_id").alias("id"),
         *[

@@ -61,6 +61,12 @@ SUMMARY_VALUES = (
     "ph_total_ma",
 )
 
+# Rows of the mean output, without series keys.
+MEANS = T.StructType(
+    [T.StructField("datetime_utc", T.TimestampType())]
+    + [T.StructField(c, T.DoubleType()) for c in SUMMARY_VALUES]
+)
+
 
 def summary(keys: T.StructType | None = None) -> T.StructType:
     """Summary rows: series keys (if any), time in epoch seconds, the values."""

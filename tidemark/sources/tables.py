@@ -56,12 +56,16 @@ def read_columns(df: DataFrame, columns: Sequence[str], mark: int | None = None)
 
 
 def read_summary(
-    spark: SparkSession, path: str, mark: int | None = None, keys: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    mark: int | None = None,
+    keys: T.StructType | None = None,
+    partition_hours: int | None = None,
 ) -> DataFrame:
-    """Summary rows after a mark, in no order (sort where the result leaves Spark)."""
-    return after(
-        read_or_empty(spark, path, schemas.partitioned(schemas.summary(keys))), mark
-    )
+    """Summary rows after a mark, in no order (sort where the result leaves Spark).
+    With the hours of its partitions, earlier ones are not listed."""
+    stored = read_or_empty(spark, path, schemas.partitioned(schemas.summary(keys)))
+    return nan_to_null(after(stored, mark, partition_hours=partition_hours))
 
 
 def long_frame(
@@ -94,7 +98,8 @@ def long_frame(
 
 
 def last_output_time(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
-    """Latest ``datetime_utc`` of an output, None if there is none. Reads one column."""
+    """Latest ``datetime_utc`` of an output, None if there is none. Reads one column, of
+    a partitioned output that of the newest partition only."""
     if fmt not in ("parquet", "csv"):
         raise ValueError(f"unsupported output format: {fmt!r}")
     try:
@@ -108,7 +113,14 @@ def last_output_time(spark: SparkSession, path: str, fmt: str = "parquet") -> in
         raise
     if "datetime_utc" not in stored.columns:
         return None
-    row = stored.agg(F.max(F.unix_seconds(coerce_time("datetime_utc"))).alias("t")).first()
+    if "partition" in stored.columns:
+        # Rows without a time are in a partition without a name.
+        newest = stored.agg(F.max("partition").alias("p")).first()["p"]
+        stored = stored.where(F.col("partition") == F.lit(newest))
+    if isinstance(stored.schema["datetime_utc"].dataType, T.TimestampType):
+        row = stored.agg(F.unix_seconds(F.max("datetime_utc")).alias("t")).first()
+    else:
+        row = stored.agg(F.max(F.unix_seconds(coerce_time("datetime_utc"))).alias("t")).first()
     return row["t"]
 
 

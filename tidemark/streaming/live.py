@@ -8,16 +8,18 @@ averages, which look back into the stored summary, and is appended once.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidemark.functions.rows import to_items
-from tidemark.functions.time import seconds_to_us, timestamp_to_us
+from tidemark.functions.rows import nan_to_null, to_items
+from tidemark.functions.time import floor_to, seconds_to_us, timestamp_to_us
+from tidemark.operators.aggregate import match, not_in
 from tidemark.operators.nearest import nearest_aggregates, nearest_candidates
 from tidemark.params import ALIGNED_COLUMNS, SECOND, SENSORS, Params, micros
-from tidemark.plans.incremental import add_history
+from tidemark.plans.incremental import add_history, summary_mark
 from tidemark.plans.summary import add_corrected_ph, to_summary
 from tidemark.session import STREAM_STATE_STORE, scratch
 from tidemark.sinks.files import add_partition, append_once
@@ -25,6 +27,8 @@ from tidemark.sinks.items import WriteBatch, write_items
 from tidemark.sources import schemas
 from tidemark.sources.tables import long_frame, read_summary
 
+FIRST = "_first_us"
+
 
 def stream_settings(spark: SparkSession, wait_for_all: bool = True) -> None:
     """State on local disk with checkpoints in the shared folder. Output waits for
@@ -61,10 +65,12 @@ def stream_align(
     The watermark is on the grid time of each sensor before they are joined, so
     that the slowest sensor sets the pace. Two steps of delay make a row wait
     for the readings up to one step after it; ``lateness_s`` adds to that.
-    ``start_s`` drops the row one step before a first reading that lies on the
-    grid. The last rows stay in the state until newer readings arrive.
+    Rows before ``start_s`` are dropped. The last rows stay in the state until newer
+    readings arrive.
     """
     delay_us = 2 * params.step_us + lateness_s * SECOND
+    if params.mode != "live":
+        raise ValueError("a stream follows the rules of mode 'live'")
     parts = None
     for source, stream in streams.items():
         part = nearest_candidates(
@@ -79,11 +85,29 @@ def stream_align(
             "grid", f"{delay_us} microseconds"
         )
         parts = part if parts is None else parts.unionByName(part)
-    rows = parts.groupBy(*keys, "grid").agg(*nearest_aggregates(SENSORS))
+    rows = parts.groupBy(*keys, "grid").agg(F.min("us").alias(FIRST), *nearest_aggregates(SENSORS))
     rows = rows.na.drop(how="all", subset=list(ALIGNED_COLUMNS))
     if start_s is not None:
         rows = rows.where(F.col("grid") >= F.timestamp_seconds(F.lit(start_s)))
-    return rows.select(*keys, "grid", *ALIGNED_COLUMNS)
+    return rows.select(*keys, "grid", FIRST, *ALIGNED_COLUMNS)
+
+
+def _from_first_reading(
+    spark: SparkSession, rows: DataFrame, path: str, params: Params, keys: T.StructType | None
+) -> DataFrame:
+    """Without the row one step before the first reading of a series, which a reading
+    that lies on the grid also reaches. Rows leave the state in time order, so only a
+    series with nothing stored can have it."""
+    names = [f.name for f in keys] if keys else []
+    begin = rows.groupBy(*names).agg(floor_to(F.min(FIRST), params.step_us).alias("_begin"))
+    if names:
+        begin = not_in(begin, read_summary(spark, path, keys=keys).select(*names).distinct(), names)
+        rows = match(rows, begin, names, "left")
+    elif summary_mark(spark, path) is None:
+        rows = rows.withColumn("_begin", begin.scalar())
+    else:
+        return rows.drop(FIRST)
+    return rows.where("_begin IS NULL OR grid >= _begin").drop("_begin", FIRST)
 
 
 def write_summary_stream(
@@ -107,7 +131,8 @@ def write_summary_stream(
     def append(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         rows = add_corrected_ph(batch.withColumn("grid", timestamp_to_us("grid")), params)
-        rows = rows.persist()
+        batch_rows = rows.persist()
+        rows = _from_first_reading(spark, batch_rows, path, params, keys)
         try:
             first_us, last_us = rows.agg(F.min("grid"), F.max("grid")).first()
             if first_us is None:
@@ -119,10 +144,11 @@ def write_summary_stream(
             )
             if write_batch:
                 # Rows come in time order, so these are the ones of this batch.
-                stored = read_summary(spark, path, first_s - 1, keys).drop("partition")
+                stored = read_summary(spark, path, first_s - 1, keys, params.partition_hours)
+                stored = stored.drop("partition")
                 write_items(to_items(stored), write_batch)
         finally:
-            rows.unpersist()
+            batch_rows.unpersist()
 
     trigger = (
         {"availableNow": True}
@@ -139,21 +165,28 @@ def write_summary_stream(
 
 
 def stream_means(
-    spark: SparkSession, summary_path: str, params: Params, lateness_s: int = 0, max_files: int | None = None
+    spark: SparkSession,
+    summary_path: str,
+    params: Params,
+    lateness_s: int = 0,
+    max_files: int | None = None,
+    keys: T.StructType | None = None,
 ) -> DataFrame:
-    """Bucket means of a growing summary, one row per closed bucket."""
+    """Bucket means of a growing summary, one row per closed bucket and series."""
+    names = [f.name for f in keys] if keys else []
     reader = {"maxFilesPerTrigger": max_files} if max_files else {}
     rows = (
-        spark.readStream.schema(schemas.partitioned(schemas.summary()))
+        spark.readStream.schema(schemas.partitioned(schemas.summary(keys)))
         .options(**reader)
         .parquet(summary_path)
     )
-    timed = rows.withColumn("time", F.timestamp_micros(seconds_to_us("datetime_utc"))).withWatermark(
+    timed = nan_to_null(rows).withColumn("time", F.timestamp_micros(seconds_to_us("datetime_utc"))).withWatermark(
         "time", f"{lateness_s} seconds"
     )
     bucket = F.window("time", f"{params.output_step_us} microseconds")
-    means = timed.groupBy(bucket).agg(*[F.avg(c).alias(c) for c in schemas.SUMMARY_VALUES])
-    return means.select(F.col("window.start").alias("datetime_utc"), *schemas.SUMMARY_VALUES).na.drop(
+    means = timed.groupBy(*names, bucket).agg(*[F.avg(c).alias(c) for c in schemas.SUMMARY_VALUES])
+    start = F.col("window.start").alias("datetime_utc")
+    return means.select(*names, start, *schemas.SUMMARY_VALUES).na.drop(
         how="all", subset=list(schemas.SUMMARY_VALUES)
     )
 
@@ -187,14 +220,44 @@ def run_for(query: StreamingQuery, seconds: float | None = None) -> None:
         query.stop()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Readings that came after their grid rows had left the state, over the
-    progress the query still remembers."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Adds up readings that came after their grid rows had left the state, over all
+    progress of all queries, however long they run. Map tasks reduce readings that serve
+    the same grid row before the state counts them.
+
+    Register with ``spark.streams.addListener`` before the queries start.
+    """
+
+    def __init__(self):
+        self.late: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self.seconds: dict[str, list[float]] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        key = str(progress.id)
+        late = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        self.late[key] = self.late.get(key, 0) + late
+        self.batches[key] = self.batches.get(key, 0) + 1
+        self.seconds.setdefault(key, []).append(progress.durationMs.get("triggerExecution", 0) / 1000)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.batches[f"{event.id} ended"] = 1
+
+    def total(self, query: StreamingQuery, wait_s: float = 30) -> int:
+        """Late readings of a query, in all its runs from one checkpoint. Reports come a
+        moment after the query ends: waits for that of its end."""
+        until = time.monotonic() + wait_s
+        while f"{query.id} ended" not in self.batches and time.monotonic() < until:
+            time.sleep(0.05)
+        self.batches.pop(f"{query.id} ended", None)
+        return self.late.get(str(query.id), 0)
 
 
 def fresh_checkpoint(spark: SparkSession, name: str = "stream") -> str:
