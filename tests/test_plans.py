@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import tidemark.queries as queries
 from compare import TESTDATA
-from tidemark.operators import quality, trailing
+from tidemark.operators import lookup, quality, trailing
 from tidemark.operators.nearest import nearest_align, nearest_fill
 from tidemark.operators.trailing import rolling_mean, rolling_mean_time
 from tidemark.params import HOUR
@@ -87,8 +87,8 @@ def test_marks_reach_the_scan(spark):
 
 
 def test_one_pass_finds_a_row(spark):
-    text = plan(queries.QUERIES["representative_row"](spark, SF_DIR)).split("Subquery")[0]
-    assert len(nodes(text, "FileScan")) == 1
+    rows = lookup.representative_row(timed_events(spark, SF_DIR).select("datetime_utc", "value"))
+    assert len(nodes(plan(rows), "FileScan")) == 1
 
 
 def test_time_window_orders_running_sums_only(spark):
@@ -96,7 +96,7 @@ def test_time_window_orders_running_sums_only(spark):
     rows = long_events(spark, SF_DIR).where("source = 'ph'")
     text = plan(rolling_mean_time(rows, (), "us", "ph_total", 30 * 24 * HOUR))
     frames = re.findall(r"specifiedwindowframe\((\w+), ([^,)]+)", text)
-    assert ("RowFrame", "unboundedpreceding$()") in frames
+    assert any(kind == "RowFrame" and n.startswith("unboundedpreceding") for kind, n in frames)
     assert all(int(n) >= -(trailing.BLOCKS + 1) * 16_384 * 1_000_000 for kind, n in frames if kind == "RangeFrame")
 
 
