@@ -7,12 +7,17 @@ import pathlib
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2_000
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, unless PYTHONPATH or the working folder has it."""
     package = pathlib.Path(__file__).resolve().parents[1]
@@ -34,11 +39,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared scratch folder and read from there.
 
-    Cuts the lineage; the files outlive lost executors.
+    Cuts the lineage; the files outlive lost executors. Rows go to Python functions in
+    small batches meanwhile, as a batch of whole texts is held several times.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,38 +58,65 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def other_columns(docs: DataFrame) -> Column:
+    """All columns but the text as one, ``doc``: no name of theirs can clash with others."""
+    own = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return F.struct(*own, F.lit(0).alias("__")).alias("doc")
+
+
+def document_columns(columns: list[str]) -> list[Column]:
+    """The columns of documents again, from ``doc`` and ``text``."""
+    return [F.col("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in columns]
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(id, component) of all ids in ``edges`` (columns a, b); the smallest id names it.
 
-    Alternates two steps until nothing changes: each id hands the smallest id around
-    it to its larger neighbours, then to its smaller ones and itself. Edges only ever
-    move closer to the smallest id, so the number of rounds grows with the logarithm
-    of the longest path, and an id with many neighbours costs one aggregated row per
-    task and a join that can be split. Null ends and loops are left out.
+    Edges are first reduced to stars within slices of each task. Then two steps alternate
+    until all that is left are stars: each id hands the smallest id around it to its larger
+    neighbours, then to its smaller ones and itself. Edges only ever move closer to the
+    smallest id, so the number of rounds grows with the logarithm of the longest path, and
+    an id with many neighbours costs one aggregated row per task and a join that can be
+    split. Null ends and loops are left out.
     """
     edges = edges.where("a <> b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
+        F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v")
     )
-    edges = stored(edges.distinct(), f"{name}-edges")
-    before = _digest(edges)
-    while before[0]:
+    edges = stored(edges.mapInArrow(_local_stars, "u bigint, v bigint").distinct(), f"{name}-edges")
+    while not _are_stars(edges):
         edges = stored(_small_star(_large_star(edges)), f"{name}-edges")
-        after = _digest(edges)
-        if after == before:
-            break
-        before = after
     tops = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(tops)
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(
-            F.count("*"),
-            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-            F.sum(F.hash("v", "u").cast("decimal(38,0)")),
-        ).first()
+def _local_stars(batches):
+    """Each slice of edges as one star per component, the smallest id in the middle."""
+    for batch in batches:
+        top: dict[int, int] = {}
+
+        def find(i):
+            while (up := top.setdefault(i, i)) != i:
+                top[i] = top[up]
+                i = up
+            return i
+
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            u, v = find(u), find(v)
+            if u != v:
+                top[max(u, v)] = min(u, v)
+        rows = [(i, r) for i in list(top) if (r := find(i)) != i]
+        yield pa.record_batch(
+            [pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64())], ["u", "v"]
+        )
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """No id has two smaller neighbours, or neighbours on both sides."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
     )
+    seen = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up > 1 OR up + down > 1").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

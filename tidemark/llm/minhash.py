@@ -11,13 +11,15 @@ equal shingle sets are one class, and classes are compared:
    and are seldom listed.
 2. Sketches are compared by estimating the similarity from the smallest values of the
    union; pairs more than five standard deviations below ``t`` go.
-3. The rest is confirmed on full sets, exactly.
+3. The rest is confirmed on full sets, exactly. Pairs are gathered in blocks of a cluster's
+   members first, so a set is sent once per block and not once per pair; large clusters are
+   cut into several blocks.
 
-A list never gives all its pairs at once. Each round, one member of each list (the
-pivot) meets the others that are not linked to it yet, and leaves the list. A list whose
-members are linked with each other ends, so a group of m copies costs about m comparisons
-instead of m squared. After ``ROUNDS`` rounds the pairs of what is left are compared in
-full, so no link between components is lost.
+A list does not give all its pairs. First ``PIVOTS`` members of each (the same in all lists
+of one cluster) meet the others; a list whose members are then linked with each other ends,
+so a group of m copies costs about ``PIVOTS`` m comparisons instead of m squared. In what is
+left, members of different components are compared in full, each pair in the first list it
+has in common, if enough retained values agree. So no link between components is lost.
 
 Texts with fewer words than a shingle are one shingle as a whole; texts without words
 (null and empty ones too) have no shingle, no links, and stand for themselves. Rows with a
@@ -33,7 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import LOWER, distinct, groups, mix, run_hashes, utf8, word_hashes, words
@@ -41,8 +43,10 @@ from tidemark.llm.common import components, stored
 
 K = 64
 WORDS = 5
-ROUNDS = 3
-SLICE = 2_000_000
+PIVOTS = 3
+#: Members on either side of a block of pairs, about.
+MEMBERS = 128
+SLICE = 1_000_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,6 +73,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
 
 
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Lists of hashes as signed numbers of the same order."""
+    values = values ^ np.uint64(1 << 63)
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
@@ -81,8 +87,7 @@ def _heads(counts: np.ndarray, most: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, n: int = WORDS, k: int = K) -> DataFrame:
-    """(doc_id, n_shingles, whole, sketch): set size, a digest of the set, its k smallest
-    hashes (the order is that of unsigned numbers)."""
+    """(doc_id, n_shingles, whole, sketch): set size, a digest of the set, its k smallest hashes."""
 
     def rows(batches):
         for batch in batches:
@@ -144,78 +149,156 @@ def _needed(k: int, percent: int) -> int:
     return k
 
 
-def _listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(value, id, size): each class under its rarest shared values."""
+def _needed_of(size, k: int, percent: int):
+    """Retained values that a set of this size shares with any similar one, as a column."""
+    few = F.least(F.ceil(size * percent / 100), F.lit(_needed(k, percent)))
+    return F.when(size > k, F.lit(_needed(k, percent))).otherwise(few)
+
+
+def _prefixes(classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, size, listed): the rarest shared values of each class, in one order for all."""
     values = classes.select("id", F.col("n_shingles").alias("size"), F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     met = values.join(shared, "value")
     kept = F.least(F.col("size"), F.lit(k))
-    needed = F.when(
-        F.col("size") > k, F.lit(_needed(k, percent))
-    ).otherwise(F.least(F.ceil(F.col("size") * percent / 100), F.lit(_needed(k, percent))))
     # Values of one class only come first in the order and take their share of the prefix.
     per_class = met.groupBy("id", "size").agg(
         F.array_sort(F.collect_list(F.struct("often", "value"))).alias("all")  # at most k
     )
-    prefix = kept - needed + 1 - (kept - F.size("all"))
-    return (
-        per_class.withColumn("prefix", prefix.cast("int"))
-        .where("prefix > 0")
-        .select("id", "size", F.explode(F.slice("all", F.lit(1), F.col("prefix"))).alias("x"))
-        .select(F.col("x.value").alias("value"), "id", "size")
+    prefix = kept - _needed_of(F.col("size"), k, percent) + 1 - (kept - F.size("all"))
+    listed = F.slice("all", F.lit(1), F.greatest(prefix.cast("int"), F.lit(0)))
+    return per_class.select("id", "size", F.transform(listed, lambda x: x["value"]).alias("listed")).where(
+        F.size("listed") > 0
     )
 
 
-def _similar_sketches(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs whose sketches don't rule the similarity out."""
-    a = classes.select(F.col("id").alias("a"), F.col("sketch").alias("sa"), F.col("n_shingles").alias("na"))
-    b = classes.select(F.col("id").alias("b"), F.col("sketch").alias("sb"), F.col("n_shingles").alias("nb"))
-    joined = pairs.join(a, "a").join(b, "b")
-
-    def rows(batches):
-        for batch in batches:
-            keep = []
-            for sa, sb, na, nb in zip(*(batch.column(c).to_pylist() for c in ("sa", "sb", "na", "nb"))):
-                x = np.array(sa, np.int64).view(np.uint64)
-                y = np.array(sb, np.int64).view(np.uint64)
-                whole = na <= k and nb <= k
-                union = distinct(np.concatenate([x, y]))
-                if not whole:
-                    union = union[:k]
-                both = len(np.intersect1d(np.intersect1d(x, y, True), union, True))
-                p, m = percent / 100, len(union)
-                least = p * m if whole else p * m - 5.2 * math.sqrt(m * p * (1 - p))
-                keep.append(both >= least - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return joined.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(rows, "a bigint, b bigint")
+def _close(k: int, percent: int, *names: str):
+    """Whether two sketches (and set sizes) leave the similarity possible: the share of common
+    values among the k smallest of the union, less five standard deviations and a bit."""
+    sketch_a, sketch_b, size_a, size_b = map(F.col, names)
+    p = percent / 100
+    union = F.array_union(sketch_a, sketch_b)
+    least = F.slice(F.array_sort(union), F.lit(1), F.lit(k))
+    m = F.size(least)
+    both = F.array_intersect(sketch_a, sketch_b)
+    estimate = F.size(F.array_intersect(least, both)) >= p * m - 5.2 * F.sqrt(m * p * (1 - p)) - 1e-9
+    exact = F.size(both) * 100 >= F.size(union) * percent
+    enough = F.size(both) >= F.least(_needed_of(size_a, k, percent), _needed_of(size_b, k, percent))
+    return enough & F.when((size_a <= k) & (size_b <= k), exact).otherwise(estimate)
+
+
+def _homes(close: DataFrame) -> DataFrame:
+    """(id, home): of a document and those it may be similar to, the first in the order of the
+    pivots. Members of one cluster mostly have the same."""
+    both = close.select(F.col("a").alias("id"), F.col("b").alias("o"))
+    both = both.union(close.select("b", "a")).union(both.select("id", "id"))
+    rank = F.struct(F.xxhash64("o", F.lit(0)), "o")
+    return both.groupBy("id").agg(F.min(rank).alias("r")).select("id", F.col("r.o").alias("home"))
+
+
+def _blocks(close: DataFrame, homes: DataFrame) -> DataFrame:
+    """(block, a, b): pairs by the homes of their members, and by parts of these if there are many."""
+    a = homes.select(F.col("id").alias("a"), F.col("home").alias("ha"))
+    b = homes.select(F.col("id").alias("b"), F.col("home").alias("hb"))
+    home = lambda h, i: F.coalesce(F.col(h), F.col(i))
+    pairs = close.join(a, "a", "left").join(b, "b", "left").select(
+        "a", "b", F.least(home("ha", "a"), home("hb", "b")).alias("x"), F.greatest(home("ha", "a"), home("hb", "b")).alias("y")
+    )
+    parts = lambda c: F.ceil(F.approx_count_distinct(c) / MEMBERS)
+    sizes = pairs.groupBy("x", "y").agg(parts("a").alias("na"), parts("b").alias("nb"))
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.greatest(F.col(n), F.lit(1)))
+    block = F.struct("x", "y", part("a", "na").alias("i"), part("b", "nb").alias("j"))
+    return pairs.join(sizes, ["x", "y"]).select(block.alias("block"), "a", "b")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs similar on full sets."""
-    a = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
-    b = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
+    """Pairs (block, a, b) similar on full sets, as (a, b)."""
+    ids = pairs.select("block", F.col("a").alias("id")).union(pairs.select("block", "b")).distinct()
+    members = ids.join(sets, "id").select(
+        "block", "id", F.lit(None).cast("long").alias("other"), "hashes"
+    )
+    rows = members.union(
+        pairs.select("block", "a", "b", F.lit(None).cast("array<bigint>").alias("hashes"))
+    )
 
-    def rows(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
+    def similar(table: pa.Table) -> pa.Table:
+        ids, others = table.column("id").to_pylist(), table.column("other").to_pylist()
+        hashes = table.column("hashes")
+        own = {i: hashes[k].values.to_numpy() for k, i in enumerate(ids) if others[k] is None}
+        kept = []
+        for i, j in zip(ids, others):
+            if j is not None:
+                x, y = own[i], own[j]
                 both = len(np.intersect1d(x, y, True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    kept.append((i, j))
+        return pa.table(
+            {"a": pa.array([x[0] for x in kept], pa.int64()), "b": pa.array([x[1] for x in kept], pa.int64())}
+        )
+
+    return rows.groupBy("block").applyInArrow(similar, "a bigint, b bigint")
+
+
+def _sizes_fit(percent: int, a: str, b: str):
+    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+
 
+def _pivot_pairs(members: DataFrame) -> DataFrame:
+    """(a, sa, b, sb): each list's pivots with its members. A pivot comes first in an order of
+    the ids by hash, so lists with the same members have the same one."""
+    orders = [F.min(F.struct(F.xxhash64("id", F.lit(i)), "id", "size")) for i in range(PIVOTS)]
+    pivots = members.groupBy("value").agg(F.array_distinct(F.array(*orders)).alias("p"), F.count("*").alias("m"))
+    pivots = pivots.where("m > 1").select("value", F.explode("p").alias("p"))
+    pivots = pivots.select("value", F.col("p.id").alias("a"), F.col("p.size").alias("sa"))
+    met = members.join(pivots, "value")
+    return met.where(F.col("id") != F.col("a")).select("a", "sa", F.col("id").alias("b"), F.col("size").alias("sb"))
+
+
+def _remaining_pairs(prefixes: DataFrame, classes: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): members of a list that are in different components and whose sketches leave the
+    similarity possible, each pair once."""
+    top = prefixes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = top.select("id", "size", "component", "listed", F.posexplode("listed").alias("at", "value"))
+    several = rows.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rows = rows.join(several.where("lo <> hi").select("value"), "value", "left_semi")
+    rows = stored(rows, "minhash-members")
+    if rows.isEmpty():
+        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    rows = rows.join(classes.select("id", "sketch"), "id").select(
+        "value", "id", "size", "component", "sketch", F.slice("listed", F.lit(1), F.col("at")).alias("before")
+    )
+    a, b = (rows.select("value", *[F.col(c).alias(c + end) for c in rows.columns[1:]]) for end in "ab")
     return (
-        pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb").mapInArrow(rows, "a bigint, b bigint")
+        a.join(b, "value")
+        .where((F.col("ida") < F.col("idb")) & (F.col("componenta") != F.col("componentb")))
+        .where(_sizes_fit(percent, "sizea", "sizeb"))
+        .where(~F.arrays_overlap("beforea", "beforeb"))
+        .where(_close(k, percent, "sketcha", "sketchb", "sizea", "sizeb"))
+        .select(F.col("ida").alias("a"), F.col("idb").alias("b"))
     )
 
 
-def _no_components(docs: DataFrame) -> DataFrame:
-    return docs.sparkSession.createDataFrame([], "id bigint, component bigint")
+def _close_to_pivots(members: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): pivots and members whose sketches leave the similarity possible."""
+    pairs = _pivot_pairs(members).where(_sizes_fit(percent, "sa", "sb"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    a, b = (
+        classes.select(F.col("id").alias(x), F.col("sketch").alias(f"sketch{x}"), F.col("n_shingles").alias(f"size{x}"))
+        for x in "ab"
+    )
+    met = pairs.join(a, "a").join(b, "b")
+    return met.where(_close(k, percent, "sketcha", "sketchb", "sizea", "sizeb")).select("a", "b")
 
 
-def _sizes_fit(percent: int):
-    return (F.col("sa") * 100 >= F.col("sb") * percent) & (F.col("sb") * 100 >= F.col("sa") * percent)
+def _linked(
+    docs: DataFrame, classes: DataFrame, close: DataFrame, homes: DataFrame, n: int, percent: int
+) -> DataFrame:
+    """Pairs (a, b) that are similar, of stored ones that may be."""
+    ids = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
+    ids = stored(ids.join(classes.select("id", "whole"), "id"), "minhash-ids")
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
+    sets = stored(full_sets(texts, n), "minhash-sets")
+    return stored(_confirmed(_blocks(close, homes), sets, percent), "minhash-links")
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, n: int, k: int, percent: int) -> DataFrame:
@@ -223,57 +306,18 @@ def link_classes(docs: DataFrame, classes: DataFrame, n: int, k: int, percent: i
 
     ``classes``: stored (id, whole, n_shingles, sketch).
     """
-    lists = stored(_listed(classes, k, percent), "minhash-lists")
-    members = lists.withColumn("component", F.col("id"))
-    links = sets = None
-    found = _no_components(docs)
-    for turn in range(ROUNDS + 1):
-        last = turn == ROUNDS
-        if last:
-            left = members.select("value", F.col("id").alias("a"), F.col("size").alias("sa"), F.col("component").alias("ca"))
-            right = members.select("value", F.col("id").alias("b"), F.col("size").alias("sb"), F.col("component").alias("cb"))
-            pairs = left.join(right, "value").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-        else:
-            # The pivot: in the smallest component, so that lists of one cluster agree on it.
-            pivots = members.groupBy("value").agg(
-                F.min(F.struct("component", "id", "size")).alias("p"), F.count("*").alias("m")
-            )
-            pivots = pivots.where("m > 1").select(
-                "value", F.col("p.id").alias("a"), F.col("p.size").alias("sa"), F.col("p.component").alias("ca")
-            )
-            met = members.join(pivots, "value")
-            pairs = met.where((F.col("id") != F.col("a")) & (F.col("component") != F.col("ca"))).select(
-                "a", "sa", F.col("id").alias("b"), F.col("size").alias("sb")
-            )
-        pairs = pairs.where(_sizes_fit(percent)).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-        )
-        pairs = pairs.distinct()
-        close = stored(_similar_sketches(pairs, classes, k, percent), "minhash-close")
-        if not close.isEmpty():
-            ids = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
-            if sets is not None:
-                ids = ids.join(sets.select("id"), "id", "left_anti")
-            ids = stored(ids.join(classes.select("id", "whole"), "id"), "minhash-ids")
-            texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
-            own = stored(full_sets(texts, n), "minhash-sets")
-            sets = own if sets is None else sets.unionByName(own)
-            new = stored(_confirmed(close, sets, percent), "minhash-links")
-            links = new if links is None else links.unionByName(new)
-            found = stored(components(links, "minhash"), "minhash-components")
-        if last:
-            return found
-        # Pivots leave; lists of one component end.
-        rest = members.drop("component").join(pivots.select("value", "a"), "value")
-        rest = rest.where(F.col("id") != F.col("a")).drop("a")
-        rest = rest.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        several = rest.groupBy("value").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi")
-        ).where("lo <> hi")
-        rest = rest.join(several.select("value"), "value", "left_semi")
-        members = stored(rest.select("value", "id", "size", "component"), "minhash-lists")
-        if members.isEmpty():
-            return found
+    prefixes = stored(_prefixes(classes, k, percent), "minhash-lists")
+    members = prefixes.select("id", "size", F.explode("listed").alias("value"))
+    close = stored(_close_to_pivots(members, classes, k, percent), "minhash-close")
+    homes = stored(_homes(close), "minhash-homes")
+    links = _linked(docs, classes, close, homes, n, percent)
+    found = stored(components(links, "minhash"), "minhash-components")
+    more = stored(_remaining_pairs(prefixes, classes, found, k, percent), "minhash-close")
+    if more.isEmpty():
+        return found
+    more = _linked(docs, classes, more, homes, n, percent)
+    edges = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
+    return components(edges, "minhash")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, n: int = WORDS, k: int = K) -> DataFrame:
@@ -281,8 +325,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = WORDS, k: int =
     sketches = stored(sketched(docs, n, k), "minhash-sketches")
     known = sketches.where("doc_id IS NOT NULL AND n_shingles > 0")
     repeated = known.groupBy("doc_id").agg(F.min("whole").alias("least"), F.max("whole").alias("most"))
-    repeated = repeated.where("least <> most").select("doc_id", "least")
-    known = known.join(repeated, "doc_id", "left").where("least IS NULL OR whole = least")
+    repeated = stored(repeated.where("least <> most").select("doc_id", "least"), "minhash-repeated")
+    if not repeated.isEmpty():
+        known = known.join(repeated, "doc_id", "left").where("least IS NULL OR whole = least")
     heads = known.groupBy("whole", "n_shingles").agg(
         F.min("doc_id").alias("id"), F.any_value("sketch").alias("sketch")
     )

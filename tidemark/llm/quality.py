@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.arrays import SPACE, distinct, groups, run_hashes, utf8, word_hashes, words
-from tidemark.llm.common import stored
+from tidemark.llm.common import document_columns, other_columns, stored
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -45,7 +45,7 @@ LEAST = 200
 STEPS = 4
 #: Distance classes per factor of two.
 FINE = 16
-SLICE = 4_000_000
+SLICE = 1_500_000
 
 
 def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -81,20 +81,21 @@ def text_statistics(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [n_words, word_chars, n_symbols, n_lines, n_dup, n_repeat]
 
 
-def measured(df: DataFrame) -> DataFrame:
-    """The other columns of ``df`` (doc, lang, source, text) and the ``STATISTICS``."""
+def measured(df: DataFrame, with_text: bool = False) -> DataFrame:
+    """The other columns of ``df`` (lang, source, text and more) and the ``STATISTICS``."""
     carried = [f for f in df.schema.fields if f.name != "text"]
-    schema = T.StructType([*carried, *(T.StructField(s, T.LongType()) for s in STATISTICS)])
-    names = [f.name for f in schema.fields]
     df = df.select(*[f.name for f in carried], "text")
+    last = len(df.columns) if with_text else len(carried)
+    schema = T.StructType([*df.schema.fields[:last], *(T.StructField(s, T.LongType()) for s in STATISTICS)])
+    names = [f.name for f in schema.fields]
 
     def rows(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(batch.num_columns - 1))
-            for first, last in groups(offsets, SLICE):
-                own = offsets[first : last + 1]
+            for first, end in groups(offsets, SLICE):
+                own = offsets[first : end + 1]
                 found = text_statistics(data[own[0] : own[-1]], own - own[0])
-                kept = [c.slice(first, last - first) for c in batch.columns[:-1]]
+                kept = [c.slice(first, end - first) for c in batch.columns[:last]]
                 yield pa.record_batch([*kept, *(pa.array(x.astype(np.int64)) for x in found)], names)
 
     return df.mapInArrow(rows, schema)
@@ -272,5 +273,6 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns."""
     plain = stored(measured(docs.select("lang", "source", "text")), "quality-statistics")
-    whole = measured(docs.select(F.struct("*").alias("doc"), "lang", "source", "text"))
-    return judged(whole, robust_estimates(plain)).where("kept").select("doc.*")
+    whole = measured(docs.select(other_columns(docs), "lang", "source", "text"), with_text=True)
+    kept = judged(whole, robust_estimates(plain)).where("kept")
+    return kept.select(*document_columns(docs.columns))

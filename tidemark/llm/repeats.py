@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.arrays import flat_ranges, groups, mix, utf8, window_hashes
-from tidemark.llm.common import stored
+from tidemark.llm.common import document_columns, other_columns, stored
 
 LEAST = 200
 KEY = 64
@@ -364,9 +364,8 @@ def _hot_spans(rows: DataFrame, least: int) -> DataFrame:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """doc (all columns but the text), d and t (which row), text."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     return docs.select(
-        F.struct(*others, F.lit(0).alias("__")).alias("doc"),
+        other_columns(docs),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("d"),
         F.hash("text").alias("t"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -591,5 +590,4 @@ def repeat_digests(docs: DataFrame, least: int = LEAST) -> DataFrame:
 def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """The rows with repeated runs taken out of the text, whole characters only."""
     out = apply_repeats(docs, cleaned, TEXT, least)
-    columns = [F.col("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
-    return out.select(*columns)
+    return out.select(*document_columns(docs.columns))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-from tidemark.llm.common import stored, whole_text
+from tidemark.llm.common import document_columns, other_columns, stored, whole_text
 
 SAMPLE = 20_000
 WORDS = 4_096
@@ -236,19 +236,21 @@ def score_texts(texts: list[str], model: dict) -> list[float]:
     ]
 
 
-def scored(df: DataFrame, model: dict) -> DataFrame:
-    """The other columns of ``df`` (text) and ``score``."""
+def scored(df: DataFrame, model: dict, with_text: bool = False) -> DataFrame:
+    """The other columns of ``df`` (text and more) and ``score``."""
     carried = [f for f in df.schema.fields if f.name != "text"]
-    schema = T.StructType([*carried, T.StructField("score", T.DoubleType())])
+    df = df.select(*[f.name for f in carried], "text")
+    last = len(df.columns) if with_text else len(carried)
+    schema = T.StructType([*df.schema.fields[:last], T.StructField("score", T.DoubleType())])
     names = [f.name for f in schema.fields]
 
     def rows(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             scores = pa.array(score_texts(texts, model), pa.float64())
-            yield pa.record_batch([*batch.columns[:-1], scores], names)
+            yield pa.record_batch([*batch.columns[:last], scores], names)
 
-    return df.select(*[f.name for f in carried], "text").mapInArrow(rows, schema)
+    return df.mapInArrow(rows, schema)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -265,5 +267,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_civil(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents below the threshold, with all their columns."""
     model = train(docs, labels)
-    whole = scored(docs.select(F.struct("*").alias("doc"), "text"), model)
-    return whole.where(F.col("score") < THRESHOLD).select("doc.*")
+    whole = scored(docs.select(other_columns(docs), "text"), model, with_text=True)
+    return whole.where(F.col("score") < THRESHOLD).select(*document_columns(docs.columns))
