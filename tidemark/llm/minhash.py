@@ -15,9 +15,10 @@ equal shingle sets are one class, and classes are compared:
    members first, so a set is sent once per block and not once per pair; large clusters are
    cut into several blocks.
 
-A list does not give all its pairs. First ``PIVOTS`` members of each (the same in all lists
-of one cluster) meet the others; a list whose members are then linked with each other ends,
-so a group of m copies costs about ``PIVOTS`` m comparisons instead of m squared. In what is
+A list does not give all its pairs. First some members of each (the same in all lists of one
+cluster) meet the others: the one whose retained values are the most common, as those of a
+text are from which the others were made, and ``PIVOTS`` more; a list whose members are then linked with each other ends,
+so a group of m copies costs a few times m comparisons instead of m squared. In what is
 left, members of different components are compared in full, each pair in the first list it
 has in common, if enough retained values agree. So no link between components is lost.
 
@@ -43,9 +44,11 @@ from tidemark.llm.common import components, stored
 
 K = 64
 WORDS = 5
-PIVOTS = 3
+PIVOTS = 2
 #: Members on either side of a block of pairs, about.
 MEMBERS = 128
+#: So many ids go to all tasks at most.
+SENT = 500_000
 SLICE = 1_000_000
 
 
@@ -156,7 +159,8 @@ def _needed_of(size, k: int, percent: int):
 
 
 def _prefixes(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(id, size, listed): the rarest shared values of each class, in one order for all."""
+    """(id, size, common, listed): the rarest shared values of each class, in one order for
+    all, and how often all its values are kept."""
     values = classes.select("id", F.col("n_shingles").alias("size"), F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     met = values.join(shared, "value")
@@ -167,9 +171,9 @@ def _prefixes(classes: DataFrame, k: int, percent: int) -> DataFrame:
     )
     prefix = kept - _needed_of(F.col("size"), k, percent) + 1 - (kept - F.size("all"))
     listed = F.slice("all", F.lit(1), F.greatest(prefix.cast("int"), F.lit(0)))
-    return per_class.select("id", "size", F.transform(listed, lambda x: x["value"]).alias("listed")).where(
-        F.size("listed") > 0
-    )
+    common = F.aggregate("all", F.lit(0).cast("long"), lambda total, x: total + x["often"])
+    values = F.transform(listed, lambda x: x["value"]).alias("listed")
+    return per_class.select("id", "size", common.alias("common"), values).where(F.size("listed") > 0)
 
 
 def _close(k: int, percent: int, *names: str):
@@ -244,9 +248,11 @@ def _sizes_fit(percent: int, a: str, b: str):
 
 
 def _pivot_pairs(members: DataFrame) -> DataFrame:
-    """(a, sa, b, sb): each list's pivots with its members. A pivot comes first in an order of
-    the ids by hash, so lists with the same members have the same one."""
-    orders = [F.min(F.struct(F.xxhash64("id", F.lit(i)), "id", "size")) for i in range(PIVOTS)]
+    """(a, sa, b, sb): each list's pivots with its members. A pivot comes first in an order
+    that holds for all lists, so lists with the same members have the same one."""
+    ranks = [-F.col("common"), *(F.xxhash64("id", F.lit(i)) for i in range(PIVOTS))]
+    orders = [F.min(F.struct(rank.alias("rank"), "id", "size")) for rank in ranks]
+    orders = [F.struct(o["id"].alias("id"), o["size"].alias("size")) for o in orders]
     pivots = members.groupBy("value").agg(F.array_distinct(F.array(*orders)).alias("p"), F.count("*").alias("m"))
     pivots = pivots.where("m > 1").select("value", F.explode("p").alias("p"))
     pivots = pivots.select("value", F.col("p.id").alias("a"), F.col("p.size").alias("sa"))
@@ -296,6 +302,8 @@ def _linked(
     """Pairs (a, b) that are similar, of stored ones that may be."""
     ids = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
     ids = stored(ids.join(classes.select("id", "whole"), "id"), "minhash-ids")
+    if ids.count() <= SENT:  # about 100 bytes each; else the texts are shuffled
+        ids = F.broadcast(ids)
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
     sets = stored(full_sets(texts, n), "minhash-sets")
     return stored(_confirmed(_blocks(close, homes), sets, percent), "minhash-links")
@@ -307,7 +315,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, n: int, k: int, percent: i
     ``classes``: stored (id, whole, n_shingles, sketch).
     """
     prefixes = stored(_prefixes(classes, k, percent), "minhash-lists")
-    members = prefixes.select("id", "size", F.explode("listed").alias("value"))
+    members = prefixes.select("id", "size", "common", F.explode("listed").alias("value"))
     close = stored(_close_to_pivots(members, classes, k, percent), "minhash-close")
     homes = stored(_homes(close), "minhash-homes")
     links = _linked(docs, classes, close, homes, n, percent)
