@@ -158,6 +158,37 @@ def test_vectors_against_all_pairs(spark):
     assert same > 0.99 and all(r.kept == (r.vec_id == r.component_id) for r in found.values())
 
 
+def test_links_of_large_groups_are_whole(spark):
+    """Different near copies, far more than a window: tight, wide and around two centres."""
+    rng = np.random.default_rng(5)
+    vectors = vectors_about(rng, 1, 3000, 0.07) + vectors_about(rng, 1, 3000, 0.13) + vectors_about(rng, 300, 2, 0.05)
+    vectors += vectors[::40]
+    frame = spark.createDataFrame([(i, v, 3) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>, label int")
+    n = vector_links(vectors, [3] * len(vectors)).sum(1)
+    found = {r.vec_id: r.n_links for r in projection.link_vectors(frame).collect()}
+    assert n.max() > 3000 and 200 < n[3000:6000].mean() < 2900
+    assert found == dict(enumerate(n.tolist()))
+
+
+def test_link_counts_in_blocks(spark):
+    """Small blocks, copies, and ids of several vectors, which are one to the rest."""
+    rng = np.random.default_rng(12)
+    vectors = vectors_about(rng, 1, 90, 0.08, 8) + vectors_about(rng, 1, 60, 0.15, 8)
+    ids = [*range(150)]
+    ids[100], ids[101] = 3, 120
+    rows = [(i, int(label), v, int(c)) for i, label, v, c in zip(ids, np.arange(150) % 40 == 0, vectors, rng.integers(1, 4, 150))]
+    want = dict.fromkeys(ids, 0)
+    linked = vector_links(vectors, [r[1] for r in rows])
+    pairs = {(ids[i], ids[j]) for i, j in zip(*np.nonzero(linked)) if ids[i] != ids[j]}
+    for i, j in pairs:
+        want[i] += sum(r[3] for r in rows if r[0] == j)
+    classes = spark.createDataFrame(rows, "id bigint, label int, vec array<double>, copies bigint")
+    found = spark.createDataFrame([(i, 0) for i in sorted(set(ids))], "id bigint, component bigint")
+    for large, block in ((20, 7), (20, 50), (500, 4096)):
+        got = {r.id: r.linked for r in projection.link_counts(classes, found, 0.98, large, block).collect()}
+        assert {i: got.get(i, 0) for i in want} == want
+
+
 def test_vectors_of_few_rows_are_exact_in_any_partitioning(spark):
     rng = np.random.default_rng(8)
     vectors = vectors_about(rng, 12, 8, 0.1)

@@ -3,15 +3,22 @@
 A pass orders the vectors of one label lexicographically by the signs of random
 projections, concatenated, and then by one projection: near vectors come to stand near
 each other. Each vector is compared with ``WINDOW`` neighbours behind it. Pairs that reach
-the cosine, in double precision, are united over ``PASSES`` passes, each with hashes of
-its own.
+the cosine, in double precision, are united to components over ``PASSES`` passes, each with
+hashes of its own.
+
+Links are then counted in full within each component, as a window holds only a part of a
+large one. A component of more than ``LARGE`` vectors gets a centre: vectors within half of
+the bound's angle of it all link with each other, so they are counted, not compared. The
+others are compared with all vectors of the component, block against block, and no more
+than two blocks of about ``BLOCK`` vectors meet in a task.
 
 Spark range-partitions a pass, so a label of any size is spread. Inside a partition rows
 stream by in order and only a window is held; rows at the ends of partitions meet those of
 the next partition in a second step. Equal vectors are one class with a weight before
 that, so a group of copies costs one row a pass.
 
-Recall at the default settings is measured in tests/llm against all pairs.
+Links between components that no pass brought together are not found. Recall at the default
+settings is measured in tests/llm against all pairs.
 
 Null vectors, zero ones and those with null or non-finite parts link with nothing, as do
 null labels; vectors of different lengths are not compared. Rows with a null id are
@@ -33,13 +40,18 @@ from tidemark.llm.common import components, stored
 PASSES = 24
 BITS = 20
 WINDOW = 192
-BLOCK = 256
+STRETCH = 256
+#: Vectors of a component from which on it gets a centre; vectors of a compared block;
+#: parts in which a large component is joined with its few numbers.
+LARGE = 512
+BLOCK = 4096
+SALT = 128
+#: Angle by which a vector has to be nearer than the half of the bound's.
+SURE = 1e-6
 #: Vectors whose cosine, rounded, is so close to the bound are compared by the plain formula.
 CLOSE = 1e-9
 
 
-
-
 def classes_of(vectors: DataFrame) -> DataFrame:
     """(id, label, vec, copies): distinct usable vectors of a label under their smallest id."""
     usable = (
@@ -95,21 +107,38 @@ def _keyed(classes: DataFrame, passes: int, bits: int, seed: int) -> DataFrame:
     )
 
 
-def _linked(a: np.ndarray, b: np.ndarray, least: float, gap: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i in a, j in b) of cosine ``least`` or more; b's rows stand ``gap`` places
-    behind a's, and pairs more than ``window`` places apart are not asked for."""
+def _reached(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Whether row i of ``a`` and row j of ``b`` have a cosine of ``least`` or more."""
     ua = a / np.linalg.norm(a, axis=1, keepdims=True)
     ub = b / np.linalg.norm(b, axis=1, keepdims=True)
     cosine = ua @ ub.T
+    linked = cosine >= least
+    i, j = np.nonzero(np.abs(cosine - least) <= CLOSE)
+    if len(i):
+        x, y = a[i], b[j]
+        linked[i, j] = (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1)) >= least
+    return linked
+
+
+def _linked(a: np.ndarray, b: np.ndarray, least: float, gap: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (i in a, j in b) of cosine ``least`` or more; b's rows stand ``gap`` places
+    behind a's, and pairs more than ``window`` places apart are not asked for."""
     apart = gap + np.arange(len(b))[None, :] - np.arange(len(a))[:, None]
-    i, j = np.nonzero((cosine >= least - CLOSE) & (apart > 0) & (apart <= window))
-    near = np.flatnonzero(cosine[i, j] < least + CLOSE)
-    if len(near):
-        x, y = a[i[near]], b[j[near]]
-        exact = (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1))
-        drop = near[exact < least]
-        i, j = np.delete(i, drop), np.delete(j, drop)
-    return i, j
+    return np.nonzero(_reached(a, b, least) & (apart > 0) & (apart <= window))
+
+
+def _joined(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer pairs of ids (the smaller first) that join what the links of places i and j join."""
+    places = np.arange(len(ids))
+    top, before = places, None
+    while before is None or (top != before).any():
+        before, top = top, top.copy()
+        low = np.minimum(before[i], before[j])
+        np.minimum.at(top, i, low)
+        np.minimum.at(top, j, low)
+        top = top[top]
+    own = np.flatnonzero(top != places)
+    return np.minimum(ids[top[own]], ids[own]), np.maximum(ids[top[own]], ids[own])
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("seam", pa.int64()), ("row", pa.binary())])
@@ -139,7 +168,7 @@ def _windows(least: float, window: int):
             first = 0
             while first < len(keys):
                 last = first + 1
-                stop = min(len(keys), first + BLOCK)
+                stop = min(len(keys), first + STRETCH)
                 while last < stop and keys[last] == keys[first]:
                     last += 1
                 block = np.frombuffer(b"".join(raw[first:last]), np.float64).reshape(last - first, -1)
@@ -156,12 +185,14 @@ def _windows(least: float, window: int):
                 started = True
                 i, j = _linked(vecs, block, least, len(vecs), window) if len(vecs) else (np.zeros(0, int),) * 2
                 p, q = _linked(block, block, least, 0, window)
-                a = np.concatenate([ids[i], block_ids[p]])
-                b = np.concatenate([block_ids[j], block_ids[q]])
+                m = len(vecs)
+                a, b = _joined(
+                    np.concatenate([ids, block_ids]), np.concatenate([i, p + m]), np.concatenate([j + m, q + m])
+                )
                 if len(a):
                     n = len(a)
                     yield pa.record_batch(
-                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())],
+                        [pa.array(a), pa.array(b), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())],
                         schema=PAIRS,
                     )
                 seen += len(block)
@@ -189,7 +220,7 @@ def _seams(least: float, window: int):
             a, b = np.stack([x[2] for x in tails]), np.stack([x[2] for x in heads])
             i, j = _linked(a, b, least, len(a), window + len(a) + len(b))
             ids_a, ids_b = np.array([x[1] for x in tails]), np.array([x[1] for x in heads])
-            out_a, out_b = np.minimum(ids_a[i], ids_b[j]), np.maximum(ids_a[i], ids_b[j])
+            out_a, out_b = _joined(np.concatenate([ids_a, ids_b]), i, j + len(a))
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return pairs
@@ -198,7 +229,7 @@ def _seams(least: float, window: int):
 def similar_pairs(
     classes: DataFrame, least: float = 0.98, passes: int = PASSES, bits: int = BITS, window: int = WINDOW
 ) -> DataFrame:
-    """(a, b): distinct linked pairs of classes, a < b."""
+    """(a, b): linked classes, a < b; enough of the pairs found to join all that they join."""
     order = ["turn", "label", "length", "signs", "fine", "id"]
     found = stored(
         _keyed(classes, passes, bits, 7)
@@ -213,20 +244,189 @@ def similar_pairs(
     return inner.unionByName(across).where("a <> b").distinct()
 
 
+GROUP = ["component", "label", "length"]
+
+
+def _salted(groups: DataFrame) -> DataFrame:
+    """A row per group and part, so that a large group's rows do not meet in one task."""
+    return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+
+
+def _matrix(column) -> np.ndarray:
+    """Vectors of one length."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return np.array(column.flatten(), np.float64).reshape(len(column), -1)
+
+
+def _units(vecs: np.ndarray) -> np.ndarray:
+    return vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
+
+
+def _partial_sums(batches):
+    """Sum of the unit vectors of each group in a batch."""
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in GROUP)))
+        places: dict[tuple, list[int]] = {}
+        for at, key in enumerate(keys):
+            places.setdefault(key, []).append(at)
+        sums = [_units(_matrix(batch.column("vec").take(pa.array(at)))).sum(0).tolist() for at in places.values()]
+        columns = [pa.array(list(c), pa.int64()) for c in zip(*places)] if places else [pa.array([], pa.int64())] * 3
+        yield pa.record_batch([*columns, pa.array(sums, pa.list_(pa.float64()))], [*GROUP, "centre"])
+
+
+def _sum(rows: pa.Table) -> pa.Table:
+    return rows.slice(0, 1).select(GROUP).append_column(
+        "centre", pa.array([_matrix(rows.column("centre")).sum(0).tolist()], pa.list_(pa.float64()))
+    )
+
+
+def _cores(least: float):
+    """Whether a vector is so near to its group's centre that it links with all such ones."""
+    most = np.arccos(np.clip(least, -1, 1)) / 2 - SURE
+
+    def rows(batches):
+        for batch in batches:
+            core = np.zeros(batch.num_rows, bool)
+            lengths = np.array(batch.column("length"))
+            asked = ~np.array(batch.column("odd")) & np.array(batch.column("centre").is_valid())
+            for length in np.unique(lengths[asked]).tolist():
+                at = np.flatnonzero(asked & (lengths == length))
+                vecs = _units(_matrix(batch.column("vec").take(pa.array(at))))
+                centres = _matrix(batch.column("centre").take(pa.array(at)))
+                sizes = np.linalg.norm(centres, axis=1)
+                cosine = (vecs * centres).sum(1) / np.where(sizes > 0, sizes, 1)
+                core[at] = (sizes > 0) & (np.arccos(np.clip(cosine, -1, 1)) <= most)
+            kept = [batch.column(c) for c in MEMBERS]
+            yield pa.record_batch([*kept, pa.array(core)], [*MEMBERS, "core"])
+
+    return rows
+
+
+MEMBERS = [*GROUP, "id", "vec", "copies", "odd", "salt"]
+_MEMBERS = "component bigint, label bigint, length bigint, id bigint, vec array<double>, copies bigint, odd boolean, salt int"
+
+
+def _compared(least: float):
+    """Two blocks of a group: for each id the copies of those it links with, and the links of odd ids."""
+
+    def links(rows: pa.Table) -> pa.Table:
+        side = np.array(rows.column("side"))
+        vecs, ids = _matrix(rows.column("vec")), np.array(rows.column("id"))
+        odd = np.array(rows.column("odd"))
+        copies = np.where(odd, 0, np.array(rows.column("copies"))).astype(float)
+        one = rows.column("kind")[0].as_py() == 0 and rows.column("x")[0].as_py() == rows.column("y")[0].as_py()
+        a = np.flatnonzero(side == 0)
+        b = a if one else np.flatnonzero(side == 1)
+        linked_copies = np.zeros(len(ids))
+        pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for first in range(0, len(a), STRETCH):
+            own = a[first : first + STRETCH]
+            linked = _reached(vecs[own], vecs[b], least)
+            if one:
+                linked[np.arange(len(own)), first + np.arange(len(own))] = False
+            for p, q in (np.nonzero(linked & odd[own][:, None]), np.nonzero(linked & ~odd[own][:, None] & odd[b])):
+                pairs += [(ids[own[p]], ids[b[q]]), (ids[b[q]], ids[own[p]])]
+            linked[odd[own]] = False
+            linked_copies[own] += linked @ copies[b]
+            if not one:
+                linked_copies[b] += np.where(odd[b], 0, copies[own] @ linked)
+        some = np.flatnonzero(linked_copies)
+        p, q = (np.concatenate(x) for x in zip(*pairs))
+        return pa.table(
+            {
+                "id": pa.array(np.concatenate([ids[some], p])),
+                "other": pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(q)]),
+                "w": pa.concat_arrays([pa.array(linked_copies[some].astype(np.int64)), pa.nulls(len(q), pa.int64())]),
+            }
+        )
+
+    return links
+
+
+def link_counts(classes: DataFrame, found: DataFrame, least: float, large: int = LARGE, block: int = BLOCK) -> DataFrame:
+    """(id, linked): copies of all classes that a class links with in its component.
+
+    Ids of several classes (``odd``) are one vector to the rest, so their links are
+    listed and told apart; all others are added up.
+    """
+    odd = classes.groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("odd"))
+    salt = F.pmod(F.hash("id"), F.lit(SALT)).alias("salt")
+    members = stored(
+        classes.join(found, "id")
+        .join(odd, "id", "left")
+        .select(
+            F.col("component").cast("long"), F.col("label").cast("long"), F.size("vec").cast("long").alias("length"),
+            "id", "vec", "copies", F.coalesce("odd", F.lit(False)).alias("odd"), salt,
+        ),
+        "projection-members",
+    )
+    sizes = members.groupBy(*GROUP).count().where(F.col("count") > large).select(*GROUP)
+    centres = stored(
+        members.join(_salted(sizes), [*GROUP, "salt"], "left_semi")
+        .mapInArrow(_partial_sums, "component bigint, label bigint, length bigint, centre array<double>")
+        .groupBy(*GROUP)
+        .applyInArrow(_sum, "component bigint, label bigint, length bigint, centre array<double>"),
+        "projection-centres",
+    )
+    placed = stored(
+        members.join(_salted(centres), [*GROUP, "salt"], "left")
+        .select(*MEMBERS, "centre")
+        .mapInArrow(_cores(least), _MEMBERS + ", core boolean"),
+        "projection-members",
+    )
+    plain = F.col("core").cast("long")
+    totals = stored(
+        placed.groupBy(*GROUP)
+        .agg(
+            F.ceil(F.sum(1 - plain) / block).alias("outer_blocks"),
+            F.ceil(F.sum(plain) / block).alias("core_blocks"),
+            F.sum(plain * F.col("copies")).alias("core_copies"),
+            F.count("*").alias("n"),
+        )
+        .where(F.col("n") > large),
+        "projection-totals",
+    )
+    numbered = placed.join(_salted(totals), [*GROUP, "salt"], "left").select(
+        *placed.columns,
+        F.coalesce("outer_blocks", F.lit(1)).alias("outer_blocks"),
+        F.coalesce("core_blocks", F.lit(0)).alias("core_blocks"),
+        "core_copies",
+    )
+    numbered = numbered.withColumn(
+        "own", F.expr("pmod(xxhash64(id), greatest(1, IF(core, core_blocks, outer_blocks)))")
+    )
+    others = """IF(core,
+        transform(filter(sequence(0L, outer_blocks), i -> i < outer_blocks),
+            i -> struct(1 AS kind, i AS x, own AS y, 1 AS side)),
+        concat(
+            transform(sequence(0L, outer_blocks - 1),
+                i -> struct(0 AS kind, greatest(i, own) AS x, least(i, own) AS y, IF(i > own, 1, 0) AS side)),
+            transform(filter(sequence(0L, core_blocks), i -> i < core_blocks),
+                i -> struct(1 AS kind, own AS x, i AS y, 0 AS side))))"""
+    compared = stored(
+        numbered.select(*GROUP, "id", "vec", "copies", "odd", F.expr(f"inline({others})"))
+        .groupBy(*GROUP, "kind", "x", "y")
+        .applyInArrow(_compared(least), "id bigint, other bigint, w bigint"),
+        "projection-counts",
+    )
+    weights = classes.select(F.col("id").alias("other"), F.col("copies").alias("w"))
+    listed = compared.where("other <> id").select("id", "other").distinct().join(weights, "other").select("id", "w")
+    sure = numbered.where("core").select("id", (F.col("core_copies") - F.col("copies")).alias("w"))
+    return (
+        compared.where("other IS NULL").select("id", "w").unionByName(listed).unionByName(sure)
+        .groupBy("id")
+        .agg(F.sum("w").alias("linked"))
+    )
+
+
 def link_vectors(vectors: DataFrame, least: float = 0.98, **settings) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vector."""
     vectors = vectors.select("vec_id", "label", "embedding")
     classes = stored(classes_of(vectors), "projection-classes")
     pairs = stored(similar_pairs(classes, least, **settings), "projection-links")
-    found = components(pairs, "projection")
-    weights = classes.select("id", "copies")
-    links = (
-        pairs.union(pairs.select("b", "a"))
-        .toDF("id", "other")
-        .join(weights.select(F.col("id").alias("other"), F.col("copies").alias("w")), "other")
-        .groupBy("id")
-        .agg(F.sum("w").alias("linked"))
-    )
+    found = stored(components(pairs, "projection"), "projection-components")
+    links = link_counts(classes, found, least)
     per_class = stored(
         classes.join(links, "id", "left")
         .join(found, "id", "left")
