@@ -57,6 +57,27 @@ def test_blocks(page, text):
     assert "\n\n".join(inner if found else outer) == text
 
 
+CONTAINERS = [
+    ("<body class='has-sidebar'><article><p>x</p></article></body>", "x"),
+    ("<body class='sidebar menu'><p>x</p></body>", "x"),
+    ("<div id=page class='content with-sidebar'><p>x</p></div><p>y</p>", "x\n\ny"),
+    ("<article class='post related'><p>x</p></article>", "x"),
+    ("<main id=main-nav-content class='page-menu'><p>x</p></main>", "x"),
+    ("<div class='layout-sidebar'><article><p>x</p><div class='share-bar'>no</div></article></div><p>y</p>", "x"),
+    ("<div class='layout-sidebar'><p>x</p><nav>no</nav></div>", "x"),
+    ("<div class='site-header'>no</div><article><p>x</p></article><div class='widget-area'><article>no</article></div>", "x"),
+    ("<div class='cookie-banner'>no</div><p>x</p>", "x"),
+    ("<div class=comments><article>no</article></div><p>x</p>", "x"),
+    ("<article><p>x</p><article class='comment-body'>no</article></article>", "x"),
+]
+
+
+@pytest.mark.parametrize("page, text", CONTAINERS)
+def test_names_of_containers(page, text):
+    inner, outer, found = html_text.blocks(page)
+    assert "\n\n".join(inner if found else outer) == text
+
+
 def test_repeated_strings_of_a_host_go(spark):
     """Pages without article elements: words in strings of eight that another page of the host has."""
     rng = random.Random(1)

@@ -4,6 +4,11 @@ A page is read once, tag by tag. Text in menus, headers, footers, sidebars, noti
 adverts, forms, scripts, styles and comments goes, by element, role or class. If the page
 has an ``article`` or ``main``, its blocks are the main text.
 
+Class and id words say little about an element that holds the page: they are not asked of
+html, body, main and outermost articles, nor where the name is a state (``has-sidebar``).
+Elements outside of articles that go for a part of a longer name (``layout-sidebar``) stay
+if the page's only articles, or all of its text, are inside them.
+
 A page without them keeps what its host's other pages do not have: the words of all host
 pages outside articles are one stream per page; the stream's suffixes, ordered by their
 first ``LEAST`` words, stand beside their equals, and a string that stands in two distinct
@@ -65,30 +70,54 @@ CLASSES = frozenset(
 )
 
 
-def _is_dropped(name: str, tag: str, inside: bool) -> bool:
+#: Parts of names that tell what a page has or shows, not what the element is.
+STATES = frozenset("has have with without no not".split())
+WHOLE = frozenset("html body main".split())
+
+
+def _is_dropped(name: str, tag: str, inside: bool) -> tuple[bool, bool]:
+    """Whether the element goes, and whether it does for no more than a part of its class or id names."""
     if name in DROPPED or name == "header" and not inside:
-        return True
+        return True, False
     if " " not in tag and "\n" not in tag and "\t" not in tag:
-        return False
+        return False, False
+    named = name not in WHOLE and (inside or name != "article")
+    weak = False
     for key, *values in MARKS.findall(tag):
         key, value = key.lower(), "".join(values).lower()
         if key == "hidden" or key == "role" and value in ROLES:
-            return True
-        if key in ("class", "id") and not CLASSES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-        if key in ("class", "id") and not inside and "header" in re.split(r"[^a-z0-9]+", value):
-            return True
-    return False
+            return True, False
+        if key in ("class", "id") and named:
+            for token in value.split():
+                parts = [x for x in re.split(r"[^a-z0-9]+", token) if x]
+                if not STATES.isdisjoint(parts):
+                    continue
+                if not CLASSES.isdisjoint(parts) or not inside and "header" in parts:
+                    if len(parts) == 1:
+                        return True, False
+                    weak = True
+    return weak, weak
 
 
 def blocks(page: str) -> tuple[list[str], list[str], bool]:
     """(blocks of articles, other kept blocks, whether there is an article), in page order."""
+    inner, outer, found, hid = _blocks(page, True)
+    if hid and not found:
+        again = _blocks(page, False)
+        if again[2] or not outer:
+            return again[:3]
+    return inner, outer, found
+
+
+def _blocks(page: str, by_part: bool) -> tuple[list[str], list[str], bool, bool]:
+    """As ``blocks``, and whether an element outside of articles went for a part of a name;
+    without ``by_part`` none does."""
     inner: list[str] = []
     outer: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # name, dropped, opens an article
     held: list[str] = []
     dropped = articles = 0
-    found = False
+    found = hid = False
 
     def close_block():
         if held:
@@ -136,7 +165,10 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
                     break
         if name in VOID or part.endswith("/>") and name in ("path", "use", "circle", "rect"):
             continue
-        drop = _is_dropped(name, part, articles > 0)
+        drop, weak = _is_dropped(name, part, articles > 0)
+        if weak and not articles and not dropped:
+            hid = True
+            drop = by_part
         if drop:
             close_block()
         article = name in ("article", "main") and not dropped and not drop
@@ -145,7 +177,7 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
         dropped += drop
         articles += article
     close_block()
-    return inner, outer, found
+    return inner, outer, found, hid
 
 
 def host_of(url: str | None) -> str:
