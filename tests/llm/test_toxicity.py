@@ -51,6 +51,29 @@ def test_neutral_mentions_score_low(spark, monkeypatch):
     assert biased["immigrants"] - biased.get("citizens", 0) > with_swaps["immigrants"] - with_swaps["citizens"] + 0.5
 
 
+def test_exchanged_names_change_the_score_little(spark):
+    """Sentences with the name exchanged and scored again, beginnings of names included."""
+    docs, labels = corpus(spark)
+    model = toxicity.train(docs, labels)
+    sentences = ["the {} came home plain1", "plain1 plain2 {}", "rotten {} plain5"]
+    for sentence in sentences:
+        scores = toxicity.score_texts([sentence.format(x) for x in ("immigrants", "citizens", "refugees")], model)
+        logits = np.log(scores) - np.log1p(-np.array(scores))
+        assert np.ptp(logits) < 0.25
+
+
+def test_an_exchange_changes_names_only():
+    rng = random.Random(3)
+    swaps = toxicity._swaps([n for kind in toxicity.KINDS for n in kind.split()])
+    for _ in range(200):
+        pool = [*rng.sample(sorted(swaps), 5), "women's", "immigration", "germane", *(f"word{i}" for i in range(40))]
+        words = rng.choices(pool, k=rng.choice([3, 30, 250]))
+        for name in swaps.keys() & set(words):
+            for other in swaps[name]:
+                copy = toxicity.features(" ".join(other if w == name else w for w in words))
+                assert toxicity.features(" ".join(words)) ^ copy <= {name, other}
+
+
 def test_training_is_bounded_and_skips_the_held_out(spark):
     docs, labels = corpus(spark)
     rows = toxicity.training_rows(docs, labels, 100)
