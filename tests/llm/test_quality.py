@@ -88,6 +88,18 @@ def test_outliers_go_and_clean_rows_stay(spark):
     assert stayed == set(range(600, 2400))
 
 
+def test_repeated_lines_alone_reject(spark):
+    """Ten long lines and 200 lines of one word pass the fixed bounds."""
+    docs = made(spark, 3, 1200, 0)
+    rng = random.Random(5)
+    lines = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(100)) for _ in range(10)]
+    text = "\n".join([*lines, *["Share"] * 200])
+    rows = docs.union(spark.createDataFrame([(-1, text, "aa", "s0")], docs.schema))
+    found = {r.doc_id: r for r in quality.quality_verdicts(rows).collect()}
+    assert not found[-1].base_failed and not found[-1].kept
+    assert all(r.kept for i, r in found.items() if i >= 0)
+
+
 def test_estimates_belong_to_language_and_source(spark):
     """Words of the other language's length are outliers only next to their own group."""
     statistics = quality.measured(made(spark, 2, 2400, 0).select("doc_id", "lang", "source", "text"))

@@ -12,7 +12,8 @@ distance class, so a group of any size is combined before the shuffle and no row
 collected. Only moments (some hundred rows a group) reach a Python function.
 
 Covariances get a floor (``FLOOR``): in clean text the last three statistics are almost
-always 0, and without it any other value would be infinitely far. Groups with fewer than
+always 0, and without it any other value would be infinitely far. It is low enough for
+each statistic to reject a row by itself. Groups with fewer than
 ``LEAST`` rows share an estimate per language, and languages with fewer share one.
 
 Null text has no words and fails the bounds, like empty text. Null language or source is
@@ -38,7 +39,7 @@ SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 N = 4
 #: Least standard deviation of each statistic.
-FLOOR = (0.10, 0.04, 0.20, 0.15)
+FLOOR = (0.05, 0.02, 0.09, 0.08)
 #: Chi-square with four degrees of freedom: quantiles 0.99999 and 0.5.
 CUTOFF, MIDDLE = 28.47, 3.357
 LEAST = 200
