@@ -107,10 +107,10 @@ def _bits(places: list[int]) -> int:
 
 
 class Shard:
-    """The trie of one shard, level by level. ``members``: the ids, ascending."""
+    """The trie of one shard, by levels of ``width`` positions. ``members``: the ids, ascending."""
 
-    def __init__(self, number: int, members: np.ndarray):
-        self.number, self.members = number, members
+    def __init__(self, number: int, members: np.ndarray, width: int):
+        self.number, self.members, self.width = number, members, width
         self.place = {c: i for i, c in enumerate(members.tolist())}
         every = (1 << len(members)) - 1
         # Nodes that the last level ended with: (node, parent, depth, words, members).
@@ -126,7 +126,7 @@ class Shard:
             places.setdefault((position, key), []).append(i)
             turn_at[position, i] = key, words
         index = {turn: _bits(sorted(at)) for turn, at in places.items()}
-        end = (max(r[0] for r in rows) // LEVEL + 1) * LEVEL if rows else 0
+        end = (rows[-1][0] // self.width + 1) * self.width if rows else 0
         todo, self.open = self.open, []
         while todo:
             node, parent, depth, words, members = todo.pop()
@@ -160,7 +160,7 @@ class Shard:
             )
 
 
-def _shard_nodes(batches):
+def _shard_nodes(batches, width: int):
     """From rows (shard, level, position, c, key, words) in this order; level -1 lists the
     shard's conversations."""
     shard, level, held, members = None, None, [], []
@@ -178,14 +178,14 @@ def _shard_nodes(batches):
         for s, a, position, c, key, words in zip(*columns):
             if s != number:
                 if number is not None:
-                    shard = shard or Shard(number, np.array(members, np.int64))
+                    shard = shard or Shard(number, np.array(members, np.int64), width)
                     out += close(True)
                 number, level, shard, members, held = s, -1, None, [], []
             if a == -1:
                 members.append(c)
                 continue
             if shard is None:
-                shard, level = Shard(number, np.array(members, np.int64)), a
+                shard, level = Shard(number, np.array(members, np.int64), width), a
             if a != level:
                 out += close(False)
                 level = a
@@ -194,7 +194,7 @@ def _shard_nodes(batches):
             yield _node_batch(out)
             out = []
     if number is not None:
-        shard = shard or Shard(number, np.array(members, np.int64))
+        shard = shard or Shard(number, np.array(members, np.int64), width)
         out += close(True)
     yield _node_batch(out)
 
@@ -270,13 +270,14 @@ def _subtree_sums(batches):
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
 
-def prefix_trie(turns: DataFrame) -> DataFrame:
+def prefix_trie(turns: DataFrame, ids: int = SHARD, width: int = LEVEL) -> DataFrame:
     """A row per node of the trie of ``turns`` (c, position, key, words; null position: a
     conversation without turns): conv_id, depth, parent_conv_id, n_convs, n_children,
-    n_leaves, saved_tokens, ends_sha256."""
-    shard = F.expr(f"c div {SHARD}")
+    n_leaves, saved_tokens, ends_sha256. ``ids`` of a shard and ``width`` of a level bound the
+    memory of a task."""
+    shard = F.expr(f"c div {ids}")
     rows = turns.where("position IS NOT NULL").select(
-        shard.alias("shard"), F.expr(f"position div {LEVEL}").alias("level"), "position", "c", "key", "words"
+        shard.alias("shard"), F.expr(f"position div {width}").alias("level"), "position", "c", "key", "words"
     )
     members = turns.groupBy("c").agg(F.lit(-1).cast("long").alias("level")).select(
         shard.alias("shard"), "level", F.lit(None).cast("long").alias("position"), "c",
@@ -285,7 +286,7 @@ def prefix_trie(turns: DataFrame) -> DataFrame:
     ordered = (
         rows.unionByName(members).repartition("shard").sortWithinPartitions("shard", "level", "position", "c")
     )
-    nodes = stored(ordered.mapInArrow(_shard_nodes, NODES), "trie-nodes")
+    nodes = stored(ordered.mapInArrow(lambda batches: _shard_nodes(batches, width), NODES), "trie-nodes")
     whole = stored(
         nodes.select("node", "shard", "depth", "n", "least", "inner", "ends")
         .repartition("node")
