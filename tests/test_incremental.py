@@ -2,7 +2,7 @@ import math
 import random
 
 import pytest
-from pyspark.sql import Row, types as T
+from pyspark.sql import types as T
 
 from frames import T0, by_time, generated, sensor_tables, upto
 from tidemark import Params
@@ -10,8 +10,8 @@ from tidemark.operators import trailing
 from tidemark.plans.incremental import process_incremental, recent_summary, summary_mark
 from tidemark.plans.output import output_means, resample_summary
 from tidemark.plans.summary import summarize
-from tidemark.sinks.files import read_state
-from tidemark.sources.tables import long_frame, read_summary
+from tidemark.sinks import snapshots
+from tidemark.sources.tables import file_name, long_frame, read_summary
 
 
 WAVES = Params(step="3s", ma_window_s=45, ph_freq_hz=0.2, k0=0.4, k2=0.002)
@@ -252,39 +252,146 @@ def test_series_that_pause(spark, tmp_path):
         assert_same(got, one_shot(own, params))
 
 
-@pytest.mark.parametrize("mode", ["live", "batch"])
-@pytest.mark.parametrize("series", [False, True])
-def test_a_write_that_was_cut_short_is_completed(spark, tmp_path, monkeypatch, mode, series):
-    """The second run ends after some of its rows are stored, later ones first."""
-    from pyspark.sql import functions as F
+STEPS = ["before the files", "between two files", "after the files", "after the commit"]
+
 
-    from tidemark.plans import incremental
+@pytest.mark.parametrize(
+    "mode, series, step",
+    [*(("live", True, step) for step in STEPS), ("live", False, STEPS[1]), ("batch", True, STEPS[1])],
+)
+def test_a_run_that_is_lost_changes_nothing(spark, tmp_path, monkeypatch, mode, series, step):
+    """The driver goes at each step of the second run; readers see the first run's rows, or
+    after the commit those of both, and the next run goes on from there."""
+    from pyspark.sql import functions as F
 
     params = Params(step="10s", ma_window_s=60, mode=mode, partition_hours=1)
-    tables, keys = generated(spark, 3 * 3600, ph_every=10), None
+    tables, keys = generated(spark, 1500, ph_every=10), None
     if series:
         keys = T.StructType([T.StructField("ship", T.StringType())])
         tables = {s: t.withColumn("ship", F.lit("a")) for s, t in tables.items()}
+    path = str(tmp_path / "s")
     run = lambda part, **more: process_incremental(spark, part, path, params, keys=keys, **more)
-    path, early = str(tmp_path / "s"), upto(tables, T0 + 1800)
-    run(early)
-    whole = incremental.append_once
+    read = lambda: by_time(read_summary(spark, path, keys=keys).drop("partition", "ship"), "datetime_utc")
+    run(upto(tables, T0 + 400))
+    first = read()
+    write, commit = snapshots.write_files, snapshots.commit
 
-    def cut(rows, *args, **more):
-        whole(rows.where(F.col("datetime_utc") % 7200 >= 3600), *args, **more)
+    def lost(*_, **__):
         raise RuntimeError("the driver was lost")
 
-    monkeypatch.setattr(incremental, "append_once", cut)
-    with pytest.raises(RuntimeError):
-        run(tables)
-    with pytest.raises(RuntimeError):
-        run(tables)
-    monkeypatch.setattr(incremental, "append_once", whole)
+    def part_written(df, *args, **more):
+        write(df.where(F.col("datetime_utc") % 600 >= 300), *args, **more)
+        lost()
+
+    def after(*args, **more):
+        commit(*args, **more)
+        lost()
+
+    with monkeypatch.context() as m:
+        if step == STEPS[3]:
+            m.setattr(snapshots, "commit", after)
+        elif step == STEPS[2]:
+            m.setattr(snapshots, "commit", lost)
+        else:
+            m.setattr(snapshots, "write_files", lost if step == STEPS[0] else part_written)
+        with pytest.raises(RuntimeError):
+            run(upto(tables, T0 + 1200))
+        seen = read()
+        if step == STEPS[3]:
+            assert list(seen)[: len(first)] == list(first) and max(seen) > 1150
+        else:
+            assert seen == first
     run(tables)
     run(tables, flush=True)
-    got = read_summary(spark, path, keys=keys).drop("partition", "ship")
     plain = {s: t.drop("ship") for s, t in tables.items()}
-    assert_same(by_time(got, "datetime_utc"), one_shot(plain, params))
+    assert_same(read(), one_shot(plain, params))
+    # What the lost runs left was removed: the folders hold the rows of the snapshot.
+    assert spark.read.parquet(path).count() == len(read())
+
+
+def test_only_files_with_news_are_read(spark, tmp_path, monkeypatch):
+    """Ship b's files come after a's, of the same time; a third run has nothing to read."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.rows import conform
+    from tidemark.plans.series import RawFiles
+    from tidemark.sources.schemas import RAW
+
+    keys = T.StructType([T.StructField("ship", T.StringType())])
+    schema = lambda s: T.StructType([*RAW[s].fields, *keys.fields])
+    params = Params(step="10s", ma_window_s=60, partition_hours=1)
+    raw, path = str(tmp_path / "raw"), str(tmp_path / "s")
+    own = {"a": generated(spark, 300, seed=1), "b": generated(spark, 290, seed=2)}
+
+    def land(ship, low, high):
+        for s, t in upto(own[ship], T0 + high, T0 + low).items():
+            rows = conform(t.withColumn("ship", F.lit(ship)), schema(s))
+            rows.coalesce(1).write.mode("append").parquet(f"{raw}/{s}")
+
+    opened = []
+    of = RawFiles.of
+
+    def spied(self, files):
+        opened.append({s: set(own) for s, own in files.items() if own})
+        return of(self, files)
+
+    monkeypatch.setattr(RawFiles, "of", spied)
+
+    def run(**more):
+        opened.clear()
+        tables = {s: spark.read.schema(schema(s)).parquet(f"{raw}/{s}") for s in RAW}
+        rows = process_incremental(spark, tables, path, params, keys=keys, by_file=True, **more)
+        return {s: set(map(file_name, t.inputFiles())) for s, t in tables.items()}, rows
+
+    land("a", -1, 149)
+    first, _ = run()
+    assert opened == [first, first]
+    land("b", -1, 149)
+    both, rows = run()
+    news = {s: both[s] - first[s] for s in both}
+    assert opened == [news, news] and {r.ship for r in rows.collect()} == {"b"}
+    assert run()[1].count() == 0 and not any(opened)
+    land("a", 149, 300)
+    more, rows = run()
+    # a's new files, and its first ones, whose readings are in reach of the next row.
+    assert opened[1] == {s: more[s] - news[s] for s in more} and {r.ship for r in rows.collect()} == {"a"}
+    land("b", 149, 300)
+    run(flush=True)
+    stored = read_summary(spark, path, keys=keys).drop("partition")
+    for name, tables in own.items():
+        assert_same(by_time(stored.where(F.col("ship") == name).drop("ship"), "datetime_utc"), one_shot(tables, params))
+
+
+def test_a_file_is_not_opened_for_its_metadata_filter(spark, tmp_path):
+    """The filter on file names reaches the listing: other files count as not read."""
+    from pyspark.sql import functions as F
+
+    spark.range(100).repartition(5).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumn("x", F.col("id") + 1)
+    one = df.where(F.col("_metadata.file_path").isin(file_name(df.inputFiles()[0])))
+    assert 0 < one.count() < 100
+    rows = one.select("x")
+    rows.collect()
+    scan = rows._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 1
+
+
+def test_series_do_not_read_the_summary(spark, tmp_path, monkeypatch):
+    """After the first run marks and the rows looked back on come from the state."""
+    from pyspark.sql import functions as F
+
+    keys = T.StructType([T.StructField("ship", T.StringType())])
+    params = Params(step="10s", ma_window_s=120, ph_freq_hz=0.05)
+    tables = {s: t.withColumn("ship", F.lit("a")) for s, t in generated(spark, 400).items()}
+    path = str(tmp_path / "s")
+    process_incremental(spark, upto(tables, T0 + 150), path, params, keys=keys)
+    for name in list(snapshots.load(spark, path).files):
+        (tmp_path / "s" / name).write_bytes(b"")  # whoever reads it fails
+    rows = process_incremental(spark, tables, path, params, keys=keys, flush=True)
+    want = one_shot({s: t.drop("ship") for s, t in tables.items()}, params)
+    got = by_time(rows.drop("ship"), "datetime_utc")
+    assert list(got) == [t for t in want if t > 140]
+    assert_same(got, {t: want[t] for t in got})
 
 
 @pytest.mark.parametrize("mode", ["live", "batch"])
@@ -308,10 +415,10 @@ def test_a_series_that_arrives_late_loses_nothing(spark, tmp_path, mode):
         assert_same(by_time(rows, "datetime_utc"), one_shot(tables, params))
 
 
-def test_a_run_reads_its_mark_from_a_file(spark, tmp_path):
+def test_a_run_reads_its_mark_from_the_snapshot(spark, tmp_path):
     path = str(tmp_path / "s")
     process_incremental(spark, waves(spark, 31), path, WAVES, flush=True)
-    assert read_state(spark, path) == Row(mark_s=T0 + 93, open=False, open_from_s=None)
+    assert snapshots.load(spark, path).facts["mark_s"] == summary_mark(spark, path) == T0 + 93
     assert read_summary(spark, path, T0 + 80, partition_hours=6).count() == 5
 
 

@@ -129,6 +129,17 @@ def test_time_window_over_one_hot_second(spark):
     assert got[59]["n"] == 50_059 and got[60] == {"mean": 5.0, "n": 60}
 
 
+@pytest.mark.parametrize("window", [2, 50, 700])
+@pytest.mark.parametrize("spike", [1e17, float("inf")])
+def test_an_extreme_reading_leaves_no_trace(spark, monkeypatch, spike, window):
+    monkeypatch.setattr(trailing, "BLOCK_ROWS", 64)
+    rows = [((T0 + i) * SECOND, spike if i == 500 else 1.0) for i in range(2000)]
+    got = by_time(rolling_mean_time(spark.createDataFrame(rows, "us bigint, v double"), (), "us", "v", window * SECOND), "us")
+    for t, row in got.items():
+        assert row["n"] == min(t + 1, window)
+        assert row["mean"] == 1.0 if not 500 <= t < 500 + window else row["mean"] > 1e13, t
+
+
 def test_one_level_where_few_rows_are_known(spark):
     df, pdf = frame(spark, 5, 400)
     one = trailing.trailing_levels(df, (), "p", 7, {"q": lambda w: F.lag("v", 1).over(w)}, max_rows=400)

@@ -5,6 +5,8 @@ Inside the library time is a bigint of epoch microseconds, named ``us``.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, functions as F
 
 from tidemark.params import HOUR, SECOND
@@ -56,6 +58,12 @@ def partition_label(us: Column | str, hours: int) -> Column:
     return F.date_format(F.timestamp_micros(floor_to(us, hours * HOUR)), PARTITION_FORMAT)
 
 
+def partition_name(seconds: int, hours: int) -> str:
+    """``partition_label`` of a time known to the driver (epoch seconds)."""
+    start = seconds // (hours * 3600) * (hours * 3600)
+    return (datetime(1970, 1, 1) + timedelta(seconds=start)).strftime("%Y-%m-%d-%H")
+
+
 def coerce_time(value: Column | str) -> Column:
     """Read text or numbers as time: whole numbers are epoch seconds, anything
     unreadable becomes null."""

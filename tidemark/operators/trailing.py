@@ -171,14 +171,16 @@ def rolling_mean_time(
     Times are whole multiples of ``unit_us``. Readings at one time are summed first,
     so however many share it, a block holds at most one row per unit.
 
-    The window of a row ends in the row's block and begins in an earlier one: its sum
-    is the running sum of the row's block up to ``t``, plus all blocks from the
-    beginning's on, minus the running sum of that first block up to ``t - window``. For
-    the last term each row also goes to the block where its window begins, as a mark
-    without a value. So the cost is in proportion to the rows, whatever the window;
-    sums of whole blocks look back over at most ``BLOCKS`` of them.
+    Blocks are no longer than the window, so it begins in an earlier block than it ends
+    in. Its sum is put together from three parts that hold readings of the window only:
+    the end of the block where it begins, whole blocks between, and the row's own block
+    up to the row. Nothing is subtracted, so an extreme reading leaves no trace in the
+    windows after it. For the first part each row also goes to the block where its
+    window begins, as a mark without a value. The cost is in proportion to the rows,
+    whatever the window; whole blocks between are at most ``BLOCKS``.
     """
-    length = max(BLOCK_ROWS * unit_us, floor_up(window_us // BLOCKS, unit_us))
+    most = BLOCK_ROWS * unit_us
+    length = window_us if window_us <= most else max(most, floor_up(window_us, BLOCKS) // BLOCKS)
     sums = (
         df.where(F.col(us).isNotNull())
         .select(*keys, floor_to(us, unit_us).alias(us), known(df, value).cast("double").alias("_v"))
@@ -186,49 +188,63 @@ def rolling_mean_time(
         .agg(F.sum("_v").alias("_sum"), F.count("_v").alias("_n"))
     )
     begin = F.col(us) - F.lit(window_us).cast("bigint")
-    ends = sums.select(
-        *keys, floor_to(us, length).alias("_block"), F.col(us).alias("_at"), F.lit(0).alias("_mark"),
-        F.col(us).alias("_home"), "_sum", "_n",
+    part = lambda at, mark, total, n: sums.select(
+        *keys,
+        floor_to(at, length).alias("_block"),
+        at.alias("_at"),
+        F.lit(mark).alias("_mark"),
+        F.col(us).alias("_home"),
+        total.alias("_sum"),
+        n.alias("_n"),
     )
-    begins = sums.select(
-        *keys, floor_to(begin, length).alias("_block"), begin.alias("_at"), F.lit(1).alias("_mark"),
-        F.col(us).alias("_home"), F.lit(None).cast("double").alias("_sum"), F.lit(0).cast("bigint").alias("_n"),
-    )
-    # A value at the beginning itself is outside of the window: it stands before the mark.
-    running = Window.partitionBy(*keys, "_block").orderBy("_at", "_mark").rowsBetween(Window.unboundedPreceding, 0)
+    ends = part(F.col(us), 0, F.col("_sum"), F.col("_n"))
+    begins = part(begin, 1, F.lit(None).cast("double"), F.lit(0).cast("bigint"))
+    # A reading at the beginning itself is outside of the window: from the end of the
+    # block on, the mark comes before it.
+    block = Window.partitionBy(*keys, "_block")
+    so_far = block.orderBy("_at", "_mark").rowsBetween(Window.unboundedPreceding, 0)
+    from_end = block.orderBy(F.desc("_at"), F.desc("_mark")).rowsBetween(Window.unboundedPreceding, 0)
+    is_end = F.col("_mark") == 0
     ran = ends.unionByName(begins).select(
         *keys, "_block", "_mark", "_home",
-        F.coalesce(F.sum("_sum").over(running), F.lit(0.0)).alias("_s"), F.sum("_n").over(running).alias("_c"),
+        *[
+            F.when(is_end, F.sum(c).over(so_far)).otherwise(F.sum(c).over(from_end)).alias(c)
+            for c in ("_sum", "_n")
+        ],
     )
     pick = lambda name, mark: F.max(F.when(F.col("_mark") == mark, F.col(name)))
     rows = ran.groupBy(*keys, "_home").agg(
-        pick("_s", 0).alias("_s1"), pick("_c", 0).alias("_c1"), pick("_block", 0).alias("_block"),
-        pick("_s", 1).alias("_s0"), pick("_c", 1).alias("_c0"), pick("_block", 1).alias("_first"),
+        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), pick("_block", 0).alias("_block"),
+        pick("_block", 1).alias("_first"),
     )
-    # The window begins ``near`` or ``near + 1`` blocks before it ends.
+    # Whole blocks between: one fewer than ``near``, or ``near``.
     near = window_us // length
-    blocks = sums.groupBy(*keys, floor_to(us, length).alias("_block")).agg(
-        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")
-    )
-    wide = lambda name, n: F.coalesce(
-        F.sum(name).over(Window.partitionBy(*keys).orderBy("_block").rangeBetween(-n * length, -1)), F.lit(0)
-    )
-    whole = blocks.select(
-        *keys, "_block",
-        *[
-            (wide(name, n) if n else F.lit(0)).alias(f"{name}{i}")
-            for name in ("_sum", "_n")
-            for i, n in enumerate((near, near + 1))
-        ],
-    )
-    joined = match(rows, whole, [*keys, "_block"])
-    far = F.col("_block") - F.col("_first") > F.lit(near * length).cast("bigint")
-    between = lambda name: F.when(far, F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
-    n = (F.col("_c1") - F.col("_c0") + between("_n")).cast("bigint")
-    total = F.col("_s1") - F.col("_s0") + between("_sum")
-    return joined.select(
-        *keys, F.col("_home").alias(us), F.when(n > 0, total / n).alias(name), n.alias("n")
-    )
+    if near > 1 or window_us % length:
+        blocks = sums.groupBy(*keys, floor_to(us, length).alias("_block")).agg(
+            F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")
+        )
+        wide = lambda c, n: F.sum(c).over(
+            Window.partitionBy(*keys).orderBy("_block").rangeBetween(-n * length, -length)
+        )
+        whole = blocks.select(
+            *keys, "_block",
+            *[
+                (wide(c, n) if n else F.lit(None)).cast(kind).alias(f"{c}{i}")
+                for c, kind in (("_sum", "double"), ("_n", "bigint"))
+                for i, n in enumerate((near - 1, near))
+            ],
+        )
+        far = F.col("_block") - F.col("_first") > F.lit(near * length).cast("bigint")
+        plus = lambda c: F.when(far, F.col(f"{c}1")).otherwise(F.col(f"{c}0"))
+        none = {"_sum": F.lit(0.0), "_n": F.lit(0)}
+        rows = match(rows, whole, [*keys, "_block"]).withColumns(
+            {
+                c: F.when(F.col(c).isNotNull() | plus(c).isNotNull(), F.coalesce(c, none[c]) + F.coalesce(plus(c), none[c]))
+                for c in none
+            }
+        )
+    n = F.col("_n").cast("bigint")
+    return rows.select(*keys, F.col("_home").alias(us), F.when(n > 0, F.col("_sum") / n).alias(name), n.alias("n"))
 
 
 def floor_up(value: int, unit: int) -> int:

@@ -330,12 +330,21 @@ ORACLES: dict[str, str] = {
     "ph_moving_average_ph_only": _averages(True),
     "rolling_mean_time": _rolling_time(),
     "rolling_mean_time_by_user": _rolling_time(("user_id",)),
+    "rolling_mean_time_spikes": f"WITH {RAW}, spiked AS (SELECT t, CASE WHEN id % 97 = 0 THEN 1e17 ELSE b END AS b "
+    "FROM raw WHERE source = 'ph'), means AS (SELECT DISTINCT t AS datetime_utc, avg(b) OVER w AS mean, "
+    f"count(b) OVER w AS n FROM spiked WINDOW w AS (ORDER BY t RANGE BETWEEN {SIX_HOURS - 1} PRECEDING AND CURRENT ROW)) "
+    "SELECT datetime_utc, n, mean > 1e9 AS spiked, CASE WHEN mean <= 1e9 THEN round(mean, 6) END AS ph_total_mean FROM means",
     "underway_summary": _summary("live", True),
     "underway_summary_batch": _summary("batch", False),
     "underway_summary_by_user": _summary("live", True, keys=("user_id",)),
     "incremental_equals_batch": _summary("live", True),
     "incremental_batch_mode": _summary("batch", False),
     "late_series": _summary("live", True, keys=("ship",)),
+    "snapshot_read": " UNION ALL ".join(
+        f"SELECT *, CAST({run} AS INTEGER) AS run FROM ({summary('live', True, kept=kept)} "
+        f"SELECT datetime_utc, {_rounded(SUMMARY)} FROM averaged WHERE {EMITTED})"
+        for run, kept in enumerate([f"t <= {MARK + 1234}", f"t <= {END + 4321}", "true", "true"], 1)
+    ),
     "rebuild_summary": _summary("live", True),
     "output_means": f"{MEANS} SELECT datetime_utc, {_rounded(SUMMARY)} FROM means",
     "output_means_by_user": f"{means(('user_id',))} SELECT user_id, datetime_utc, {_rounded(SUMMARY)} FROM means",

@@ -7,24 +7,26 @@ So any split of the data into runs gives the rows of a single run. ``flush``
 closes the end of the data as well.
 
 Several series (``keys``) have a mark each: a series whose readings come later, or
-for the first time, is read from its own mark on. To find new series the key and
-time columns of the raw tables are read in full.
+for the first time, is read from its own mark on. What a run has to know of the rows before
+it, and which raw files hold news, comes from ``tidemark.plans.series``: neither the stored
+summary nor raw files without news are read.
 
-A small file beside the summary holds its mark, so a run does not read the summary to
-find out. Before rows are written it also holds where they begin: if a write is cut
-short, the next run goes over that stretch again and adds what is missing.
+Rows, marks and the state of series are committed together as one snapshot of the summary
+(``tidemark.sinks.snapshots``): a run that is lost before that has changed nothing, and the
+next one does the same work again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.rows import nan_to_null
 from tidemark.functions.time import epoch_seconds, floor_to, seconds_to_us
 from tidemark.operators.aggregate import freshness, match, not_in
 from tidemark.operators.lookup import since, union_all
-from tidemark.operators.trailing import BLOCK_ROWS
+from tidemark.plans.series import HISTORY, RawFiles, facts_of, is_known, last_rows, next_state, state_of
 from tidemark.params import SECOND, SENSORS, Params
 from tidemark.plans.summary import (
     add_corrected_ph,
@@ -33,21 +35,25 @@ from tidemark.plans.summary import (
     summarize,
     to_summary,
 )
-from tidemark.sinks.files import append_once, read_state, write_parquet, write_state
+from tidemark.sinks import snapshots
+from tidemark.sinks.files import append_once, commit_rows, stored_since
 from tidemark.sources import schemas
 from tidemark.sources.tables import after, long_frame, read_or_empty, read_summary
 
-HISTORY = ("ph_total", "ph_corrected")
-
 
 def summary_mark(spark: SparkSession, path: str) -> int | None:
-    """Latest stored time in epoch seconds. Without the file that holds it, the names of
-    all partitions and the times of the last one are read."""
-    state = read_state(spark, path)
-    if state is not None and not state["open"] and state["mark_s"] is not None:
-        return state["mark_s"]
-    stored = read_or_empty(spark, path, schemas.partitioned(schemas.summary()))
-    newest = stored.agg(F.max("partition").alias("p")).first()["p"]
+    """Latest stored time in epoch seconds, from the newest snapshot. Of a table that was
+    written without one the names of all partitions and the times of the last are read."""
+    snapshot = snapshots.load(spark, path)
+    if snapshot is not None and "mark_s" in snapshot.facts:
+        return snapshot.facts["mark_s"]
+    schema = schemas.summary()
+    if snapshot is None:
+        stored = read_or_empty(spark, path, schemas.partitioned(schema))
+        newest = stored.agg(F.max("partition").alias("p")).first()["p"]
+    else:
+        newest = snapshots.latest_partition(snapshot)
+        stored = snapshots.read(spark, snapshot, schema, newest)
     if newest is None:
         return None
     return stored.where(F.col("partition") == newest).agg(F.max("datetime_utc").alias("t")).first()["t"]
@@ -66,28 +72,22 @@ def recent_summary(
 
     For one series the search starts in a short stretch before that time and is
     widened only if it holds too few rows. For several series the rows wanted
-    may lie anywhere: they are ranked per block of the series first, then among
-    the few left per series.
+    may lie anywhere in the summary.
     """
     names = [f.name for f in keys] if keys else []
     step_s = params.step_us // SECOND
     stored = read_summary(spark, path, keys=keys).where(F.col("datetime_utc") < before_s)
     if params.ph_rows_only:
         stored = stored.where(F.col("ph_total").isNotNull())
-    recent = stored
     if names:
-        newest = F.col("datetime_utc").desc()
-        recent = recent.withColumn("_block", floor_to("datetime_utc", step_s * BLOCK_ROWS))
-        for part in ([*names, "_block"], names):
-            rank = F.row_number().over(Window.partitionBy(*part).orderBy(newest))
-            recent = recent.withColumn("_rank", rank).where(F.col("_rank") <= rows)
-    else:
-        for steps in (4 * rows, 4096 * rows):
-            near = since(stored, before_s - steps * step_s, partition_hours=params.partition_hours)
-            if near.limit(rows).count() >= rows:
-                recent = near
-                break
-        recent = recent.orderBy(F.col("datetime_utc").desc()).limit(rows)
+        return last_rows(stored.withColumn("grid", seconds_to_us("datetime_utc")), names, rows, params)
+    recent = stored
+    for steps in (4 * rows, 4096 * rows):
+        near = since(stored, before_s - steps * step_s, partition_hours=params.partition_hours)
+        if near.limit(rows).count() >= rows:
+            recent = near
+            break
+    recent = recent.orderBy(F.col("datetime_utc").desc()).limit(rows)
     return recent.select(*names, seconds_to_us("datetime_utc").alias("grid"), *HISTORY)
 
 
@@ -167,6 +167,7 @@ def process_incremental(
     rebuild: bool = False,
     sensors: Sequence[str] | None = None,
     resume_from: int | None = None,
+    by_file: bool = False,
 ) -> DataFrame:
     """Bring the summary at ``path`` up to date and return the rows added.
 
@@ -174,30 +175,24 @@ def process_incremental(
     default); one that stays silent holds the output back until ``flush``.
     ``rebuild`` replaces the summary by everything in the raw tables.
     ``resume_from`` (epoch seconds) starts at an earlier time than the last stored
-    one: rows that are missing from there on are added, the others stay. A run whose
-    write was cut short needs no such hint.
+    one: rows that are missing from there on are added, the others stay. A run that was
+    lost needs no such hint.
+    ``by_file`` (with ``keys``): the raw tables are scans of folders to which files are only
+    added, so only files that hold news are read.
     """
     names = [f.name for f in keys] if keys else []
     schema = schemas.summary(keys)
     if rebuild:
         everything = summarize(long_frame(tables, keys=names, order=order), params, names, order)
-        write_state(spark, path, None, True)
-        write_parquet(everything, path, "overwrite", params.partition_hours)
-        rows = read_summary(spark, path, keys=keys).drop("partition")
-        write_state(spark, path, rows.agg(F.max("datetime_utc")).first()[0])
-        return rows
-
-    state = read_state(spark, path)
-    cut_short = state is not None and state["open"]
+        base = snapshots.opened(spark, path)
+        forgotten = {"series": None, "raw": None, "tail": None}
+        commit_rows(everything, base, params.partition_hours, facts=forgotten, replace=True)
+        return read_summary(spark, path, keys=keys).drop("partition")
     if keys:
-        return _process_series(
-            spark, tables, path, params, keys, order, flush, sensors, resume_from, cut_short
-        )
+        return _process_series(spark, tables, path, params, keys, order, flush, sensors, resume_from, by_file)
     step = params.step_us
     if resume_from is not None:
         mark = resume_from - 1
-    elif cut_short:
-        mark = None if state["open_from_s"] is None else state["open_from_s"] - 1
     else:
         mark = summary_mark(spark, path)
     first_us = first_s = before_s = None
@@ -245,7 +240,7 @@ def process_incremental(
             averaged = add_moving_averages(rows, params, names, most)
         else:
             averaged = add_history(spark, rows, path, first_us, until_us, params, keys)
-        _append(spark, to_summary(averaged, names), path, schema, params, names, first_s, cut_short)
+        append_once(to_summary(averaged), path, schema, params.partition_hours, since=first_s)
     finally:
         rows.unpersist()
     return read_summary(
@@ -253,109 +248,113 @@ def process_incremental(
     ).drop("partition")
 
 
-def _append(spark, rows, path, schema, params, names, first_s, cut_short, marked=True) -> None:
-    """Append once, with a note of where a write began that does not come to its end."""
-    if not cut_short:  # the note of an earlier write that was cut short stays until one succeeds
-        known = summary_mark(spark, path) if marked else None
-        write_state(spark, path, known, True, first_s)
-    append_once(rows, path, schema, params.partition_hours, names, since=first_s)
-    mark = None
-    if marked:
-        newest = read_summary(
-            spark, path, None if first_s is None else first_s - 1, partition_hours=params.partition_hours
-        )
-        mark = newest.agg(F.max("datetime_utc")).first()[0]
-        if mark is None:
-            mark = first_s - 1 if first_s is not None else None
-    write_state(spark, path, mark)
-
-
 def _process_series(
-    spark, tables, path, params, keys, order, flush, sensors, resume_from, cut_short
+    spark, tables, path, params, keys, order, flush, sensors, resume_from, by_file
 ) -> DataFrame:
     """``process_incremental`` for several series, each from its own mark on."""
     names = [f.name for f in keys]
     schema, step = schemas.summary(keys), params.step_us
-    stored = read_summary(spark, path, keys=keys)
-    known = stored.groupBy(*names).agg(F.max("datetime_utc").alias("_mark"))
-    if cut_short:
-        known = known.limit(0)  # all rows are computed again, stored ones stay as they are
-    elif resume_from is not None:
-        known = known.withColumn("_mark", F.least("_mark", F.lit(resume_from - 1)))
-    known = known.select(
-        *names, ((floor_to(seconds_to_us("_mark"), step) + F.lit(step))).alias("_first")
-    )
-    # Where each series begins (null: nothing is stored) and how far it may be written.
-    awaited = list(sensors or [s for s in SENSORS if s in tables])
-    lookahead = step if params.mode == "live" else 0
-    seen = freshness(long_frame(tables, keys=names, order=order), names)
-    if flush:
-        until = seen.groupBy(*names).agg((F.max("last_us") + F.lit(step)).alias("_until"))
-    else:
-        until = (
-            seen.where(F.col("source").isin(awaited))
-            .groupBy(*names)
-            .agg(F.count(F.lit(1)).alias("_n"), (F.min("last_us") - F.lit(lookahead)).alias("_until"))
-            .where(F.col("_n") == len(awaited))
-            .drop("_n")
-        )
-    bounds = match(until, known, names, "left").where("_first IS NULL OR _until >= _first").persist()
+    base = snapshots.opened(spark, path)
+    stored = nan_to_null(snapshots.read(spark, base, schema))
+    state = state_of(spark, base, stored, keys, params).persist()
+    raw = RawFiles(spark, tables, base, keys, order, params, by_file)
+    seen = raw.seen(state).persist()
     try:
-        lowest = bounds.agg(F.count(F.lit(1)), F.count("_first"), F.min("_first"), F.max("_until")).first()
-        if not lowest[0]:
-            return spark.createDataFrame([], schema)
-        # Without new series, raw rows before all marks need not be read.
-        low_s = (lowest[2] - step) // SECOND - 1 if lowest[0] == lowest[1] else None
-        long = long_frame(
-            tables, low_s, keys=names, order=order, partition_hours=params.raw_partition_hours
-        )
-        reach = F.col("us") >= F.col("_first") - F.lit(step)
-        own = match(long, bounds, names)
-        long = own.where(F.col("_first").isNull() | reach).select(*long.columns)
-        if params.mode == "batch":
-            # The last reading of each sensor before the stretch serves its first rows.
-            before = match(long_frame(tables, keys=names, order=order), bounds, names).where(~reach)
-            last = before.groupBy(*names, "source").agg(F.max("us").alias("us"))
-            before = match(before.select(*long.columns), last, [*names, "source", "us"], "left_semi")
-            long = long.unionByName(before)
-        rows = add_corrected_ph(align(long, params, names, order), params)
-        rows = match(rows, bounds, names).where(
-            (F.col("grid") <= F.col("_until")) & (F.col("_first").isNull() | (F.col("grid") >= F.col("_first")))
-        )
-        rows = rows.select(*names, "grid", "_first", *[c for c in rows.columns if c not in (*names, "grid", *bounds.columns)]).persist()
+        # Where each series begins (null: nothing is stored) and how far it may be written.
+        known = state.where("mark_s IS NOT NULL").select(*names, F.col("mark_s").alias("_mark"))
+        if resume_from is not None:
+            known = known.withColumn("_mark", F.least("_mark", F.lit(resume_from - 1)))
+        known = known.select(*names, (floor_to(seconds_to_us("_mark"), step) + F.lit(step)).alias("_first"))
+        awaited = list(sensors or [s for s in SENSORS if s in tables])
+        lookahead = step if params.mode == "live" else 0
+        if flush:
+            until = seen.groupBy(*names).agg((F.max("last_us") + F.lit(step)).alias("_until"))
+        else:
+            until = (
+                seen.where(F.col("source").isin(awaited))
+                .groupBy(*names)
+                .agg(F.count(F.lit(1)).alias("_n"), (F.min("last_us") - F.lit(lookahead)).alias("_until"))
+                .where(F.col("_n") == len(awaited))
+                .drop("_n")
+            )
+        bounds = match(until, known, names, "left").where("_first IS NULL OR _until >= _first").persist()
         try:
-            back = params.window_rows - 1
-            plain = rows.drop("_first").withColumn("_new", F.lit(True))
-            if back:
-                history = _series_history(stored, bounds, names, back, params).withColumn("_new", F.lit(False))
-                plain = plain.unionByName(history, allowMissingColumns=True)
-            averaged = add_moving_averages(plain, params, names).where("_new")
-            first_s = None if low_s is None else lowest[2] // SECOND
-            _append(spark, to_summary(averaged, names), path, schema, params, names, first_s, cut_short, marked=False)
+            lowest = bounds.agg(F.count(F.lit(1)), F.count("_first"), F.min("_first")).first()
+            if not lowest[0]:
+                _remember(spark, base, raw, state, seen, None, None, keys, params)
+                return spark.createDataFrame([], schema)
+            first_s = lowest[2] // SECOND if lowest[0] == lowest[1] else None
+            return _write_series(
+                spark, base, raw, state, seen, stored, bounds, first_s, keys, order, params, flush, resume_from
+            )
         finally:
-            rows.unpersist()
-        added = read_summary(spark, path, keys=keys).drop("partition")
-        return (
-            match(added, bounds, names)
-            .where(F.col("_first").isNull() | (seconds_to_us("datetime_utc") >= F.col("_first")))
-            .select(*added.columns)
-        )
+            bounds.unpersist()
     finally:
-        bounds.unpersist()
+        seen.unpersist()
+        state.unpersist()
 
 
-def _series_history(
-    stored: DataFrame, bounds: DataFrame, names: Sequence[str], back: int, params: Params
+def _write_series(
+    spark, base, raw, state, seen, stored, bounds, first_s, keys, order, params, flush, resume_from
 ) -> DataFrame:
-    """The last ``back`` rows of each series before the stretch that is written, ranked
-    per block of the series first, then among the few left."""
-    if params.ph_rows_only:
-        stored = stored.where(F.col("ph_total").isNotNull())
-    us = seconds_to_us("datetime_utc")
-    rows = match(stored, bounds, names).where(us < F.col("_first"))
-    rows = rows.withColumn("_block", floor_to("datetime_utc", params.step_us // SECOND * BLOCK_ROWS))
-    newest = F.col("datetime_utc").desc()
-    for part in ([*names, "_block"], names):
-        rank = F.row_number().over(Window.partitionBy(*part).orderBy(newest))
-        rows = rows.withColumn("_rank", rank).where(F.col("_rank") <= back)
-    return rows.select(*names, us.alias("grid"), *HISTORY)
+    names, step, schema = [f.name for f in keys], params.step_us, schemas.summary(keys)
+    hours = params.raw_partition_hours
+    low_s = None if first_s is None else first_s - step // SECOND - 1
+    long = long_frame(raw.holding(bounds), low_s, keys=names, order=order, partition_hours=hours)
+    reach = F.col("us") >= F.col("_first") - F.lit(step)
+    own = match(long, bounds, names)
+    long = own.where(F.col("_first").isNull() | reach).select(*long.columns)
+    if params.mode == "batch" and (earlier := raw.before(bounds)):
+        # The last reading of each sensor before the stretch serves its first rows.
+        before = match(long_frame(earlier, keys=names, order=order), bounds, names).where(~reach)
+        last = before.groupBy(*names, "source").agg(F.max("us").alias("us"))
+        before = match(before.select(*long.columns), last, [*names, "source", "us"], "left_semi")
+        long = long.unionByName(before)
+    rows = add_corrected_ph(align(long, params, names, order), params)
+    rows = match(rows, bounds, names).where(
+        (F.col("grid") <= F.col("_until")) & (F.col("_first").isNull() | (F.col("grid") >= F.col("_first")))
+    )
+    rows = rows.drop("_first", "_until").persist()
+    try:
+        back = params.window_rows - 1
+        plain = rows.withColumn("_new", F.lit(True))
+        if back:
+            if resume_from is None:
+                history = match(state.select(*names, F.inline("tail")), bounds, names, "left_semi")
+            else:  # rows before the stretch that is written again are not in the state
+                history = match(stored.withColumn("grid", seconds_to_us("datetime_utc")), bounds, names)
+                history = last_rows(history.where(F.col("grid") < F.col("_first")), names, back, params)
+            plain = plain.unionByName(history.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+        averaged = to_summary(add_moving_averages(plain, params, names).where("_new"), names)
+        new = averaged.select(*[f.name for f in schema])
+        if resume_from is not None or not is_known(base, params):
+            there = stored_since(spark, base, schema, first_s, params.partition_hours)
+            new = not_in(new, there, [*names, "datetime_utc"])
+        facts = _remember(spark, base, raw, state, seen, bounds, rows, keys, params, flush, commit=False)
+        made = commit_rows(new, base, params.partition_hours, first_s, facts)
+    finally:
+        rows.unpersist()
+    fresh = [n for n in made.files if n not in base.files]
+    return nan_to_null(snapshots.read(spark, made, schema, files=fresh)).drop("partition")
+
+
+def _remember(spark, base, raw, state, seen, bounds, rows, keys, params, flush=False, commit=True) -> dict:
+    """Put aside the state of the series after a run; what the next snapshot has to say of it."""
+    names = [f.name for f in keys]
+    if bounds is None:
+        if is_known(base, params) and not any(raw.new.values()):
+            return {}
+        rows = spark.createDataFrame([], T.StructType([*keys.fields, T.StructField("grid", T.LongType())]))
+        rows = rows.withColumns({c: F.lit(None).cast("double") for c in HISTORY})
+        until = spark.createDataFrame([], T.StructType([*keys.fields, T.StructField("mark_s", T.LongType())]))
+    elif flush:
+        # Rows at the end are closed early: a later reading may still add one after the last.
+        until = rows.groupBy(*names).agg(epoch_seconds(F.max("grid")).alias("mark_s"))
+    else:
+        until = bounds.select(*names, epoch_seconds(floor_to("_until", params.step_us)).alias("mark_s"))
+    after_run = next_state(state, rows, until, seen, keys, params)
+    name = snapshots.put_aside(after_run.coalesce(8), base, "series")
+    facts = facts_of(name, raw.logs, params)
+    if commit:
+        snapshots.commit(spark, base, facts={**facts, "series_writes": base.facts.get("writes")})
+    return facts

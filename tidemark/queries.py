@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.ph import corrected_ph
 from tidemark.functions.rows import conform, drop_empty, iso_times, nan_to_null, to_items
-from tidemark.functions.time import coerce_time, epoch_seconds, floor_to, iso_z_from_seconds
+from tidemark.functions.time import coerce_time, epoch_seconds, floor_to, iso_z_from_seconds, partition_name
 from tidemark.operators import lookup, quality
 from tidemark.operators.aggregate import (
     drop_repeats,
@@ -30,6 +30,7 @@ from tidemark.plans.incremental import process_incremental, state_summary
 from tidemark.plans.output import output_means, resample_summary
 from tidemark.plans.summary import add_corrected_ph, add_moving_averages, align, summarize
 from tidemark.session import prepare, scratch
+from tidemark.sinks import snapshots
 from tidemark.sinks.files import append_once, append_table, write_csv, write_parquet
 from tidemark.sinks.items import current_items, put_items
 from tidemark.sources import schemas
@@ -302,6 +303,20 @@ def rolling_mean_time_by_user(spark, sf):
     return _tidy(means.select("user_id", epoch_seconds("us").alias("datetime_utc"), "ph_total_mean", "n"))
 
 
+def rolling_mean_time_spikes(spark, sf):
+    """Some readings are 1e17, a fill value: windows without one are as if there were none."""
+    rows = long_events(spark, sf).where(F.col("source") == "ph")
+    rows = rows.withColumn("ph_total", F.when(F.col("id") % 97 == 0, F.lit(1e17)).otherwise(F.col("ph_total")))
+    means = rolling_mean_time(rows, (), "us", "ph_total", 6 * HOUR)
+    spiked = F.col("mean") > 1e9
+    return _tidy(
+        means.select(
+            epoch_seconds("us").alias("datetime_utc"), "n", spiked.alias("spiked"),
+            F.when(~spiked, F.col("mean")).alias("ph_total_mean"),
+        )
+    )
+
+
 # Summary
 
 
@@ -346,16 +361,55 @@ def _key(name: str) -> T.StructType:
 
 
 def late_series(spark, sf):
-    """One series is complete before the other's first reading arrives."""
-    path = scratch(spark, "summary")
+    """One series is complete before the other's first reading arrives, in files of its own."""
+    path, folders = scratch(spark, "summary"), _folders(spark)
     tables = {s: t.withColumn("ship", F.col("user_id") % 2) for s, t in raw_tables(spark, sf).items()}
-    first = {s: t.where("ship = 0") for s, t in tables.items()}
-    process_incremental(spark, first, path, LIVE, keys=_key("ship"), flush=True)
-    process_incremental(spark, tables, path, LIVE, keys=_key("ship"))
-    process_incremental(spark, tables, path, LIVE, keys=_key("ship"), flush=True)
+    _land_ships({s: t.where("ship = 0") for s, t in tables.items()}, folders)
+    run = lambda flush: process_incremental(
+        spark, _landed_ships(spark, folders), path, LIVE, keys=_key("ship"), flush=flush, by_file=True
+    )
+    run(True)
+    _land_ships({s: t.where("ship = 1") for s, t in tables.items()}, folders)
+    run(False)
+    run(True)
     return _tidy(read_summary(spark, path, keys=_key("ship")).drop("partition"))
 
 
+def _folders(spark) -> dict[str, str]:
+    landing = scratch(spark, "raw")
+    return {s: f"{landing}/{s}" for s in schemas.RAW}
+
+
+def _ship_schema(source: str) -> T.StructType:
+    return T.StructType([*schemas.RAW[source].fields, T.StructField("ship", T.LongType())])
+
+
+def _land_ships(tables, folders) -> None:
+    for source, table in tables.items():
+        conform(table, _ship_schema(source)).write.mode("append").parquet(folders[source])
+
+
+def _landed_ships(spark, folders) -> dict[str, DataFrame]:
+    return {s: spark.read.schema(_ship_schema(s)).parquet(path) for s, path in folders.items()}
+
+
+def snapshot_read(spark, sf):
+    """The rows of each snapshot of a table that grows in three runs and is compacted, read
+    after the last: a reader of an earlier one sees what was there then."""
+    path, tables = scratch(spark, "summary"), raw_tables(spark, sf)
+    numbers = []
+    for part in _slices(tables):
+        process_incremental(spark, part, path, LIVE)
+        numbers.append(snapshots.load(spark, path).version)
+    before = partition_name(END, LIVE.partition_hours)
+    numbers.append(snapshots.compact(spark, path, schemas.summary(), before).version)
+    parts = []
+    for run, version in enumerate(numbers, 1):
+        rows = snapshots.read(spark, snapshots.load(spark, path, version), schemas.summary())
+        parts.append(rows.drop("partition").withColumn("run", F.lit(run)))
+    return _tidy(lookup.union_all(parts))
+
+
 def rebuild_summary(spark, sf):
     """A rebuild replaces what an earlier run on part of the data left."""
     path = scratch(spark, "summary")
@@ -709,12 +763,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ph_moving_average_ph_only": ph_moving_average_ph_only,
     "rolling_mean_time": rolling_mean_time_query,
     "rolling_mean_time_by_user": rolling_mean_time_by_user,
+    "rolling_mean_time_spikes": rolling_mean_time_spikes,
     "underway_summary": underway_summary,
     "underway_summary_batch": underway_summary_batch,
     "underway_summary_by_user": underway_summary_by_user,
     "incremental_equals_batch": incremental_equals_batch,
     "incremental_batch_mode": incremental_batch_mode,
     "late_series": late_series,
+    "snapshot_read": snapshot_read,
     "rebuild_summary": rebuild_summary,
     "output_means": output_means_query,
     "output_means_by_user": output_means_by_user,

@@ -3,15 +3,14 @@ each timestamp once."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.time import epoch_seconds, partition_label, seconds_to_us, timestamp_to_us
+from tidemark.functions.time import epoch_seconds, partition_label, partition_name, seconds_to_us, timestamp_to_us
 from tidemark.operators.aggregate import first_arrival, not_in
-from tidemark.operators.lookup import label
-from tidemark.sources.schemas import partitioned
-from tidemark.sources.tables import read_or_empty
+from tidemark.sinks import snapshots
+from tidemark.sinks.snapshots import Snapshot
 
 TIME = "datetime_utc"
 
@@ -62,46 +61,54 @@ def append_once(
     keys: Sequence[str] = (),
     order: str | None = None,
     since: int | None = None,
-) -> None:
+) -> Snapshot:
     """Append the rows whose time (per series) is not stored yet; what was written
     first stays. Running it again with the same rows writes nothing. A missing time
     or series key is a value like any other.
 
     ``order`` picks the first of rows that share a time; without it times must be
     unique in ``df``. ``since`` (epoch seconds), a lower bound of the times in
-    ``df``, limits the stored rows that are read. One writer at a time.
+    ``df``, limits the stored rows that are read. One writer at a time. The rows are
+    there with the snapshot that is returned, all of them or none.
     """
     on = [*keys, TIME]
     rows = first_arrival(df, on, order) if order else df
-    stored = read_or_empty(df.sparkSession, path, partitioned(schema))
-    if since is not None:
-        undated = F.col("partition").isNull() & F.col(TIME).isNull()
-        dated = (F.col("partition") >= label(since - 1, partition_hours)) & (F.col(TIME) >= since)
-        stored = stored.where(dated | undated)
+    base = snapshots.opened(df.sparkSession, path)
+    stored = stored_since(df.sparkSession, base, schema, since, partition_hours)
     new = not_in(rows.select(*[f.name for f in schema]), stored, on)
-    write_parquet(new, path, "append", partition_hours)
-
-
-STATE = T.StructType(
-    [
-        T.StructField("mark_s", T.LongType()),
-        T.StructField("open", T.BooleanType()),
-        T.StructField("open_from_s", T.LongType()),
-    ]
-)
-
+    return commit_rows(new, base, partition_hours, since)
 
-def _state_path(path: str) -> str:
-    return path.rstrip("/") + ".state"
 
+def stored_since(
+    spark: SparkSession, base: Snapshot, schema: T.StructType, since: int | None, partition_hours: int
+) -> DataFrame:
+    """Stored rows from a time on, and those without a time."""
+    if since is None:
+        return snapshots.read(spark, base, schema)
+    stored = snapshots.read(spark, base, schema, partition_name(since - 1, partition_hours))
+    return stored.where(F.col(TIME).isNull() | (F.col(TIME) >= since))
 
-def read_state(spark: SparkSession, path: str):
-    """How far the table at ``path`` was written, and whether a write to it was cut
-    short (``open``) and from which time on (null: from the beginning). None if unknown."""
-    return read_or_empty(spark, _state_path(path), STATE).first()
 
-
-def write_state(spark: SparkSession, path: str, mark_s: int | None, open: bool = False, open_from_s: int | None = None) -> None:
-    """A row of its own beside the table: a run reads it instead of the whole table."""
-    row = spark.createDataFrame([(mark_s, open, open_from_s)], STATE)
-    row.coalesce(1).write.mode("overwrite").parquet(_state_path(path))
+def commit_rows(
+    new: DataFrame,
+    base: Snapshot,
+    partition_hours: int,
+    since: int | None = None,
+    facts: Mapping[str, object] | None = None,
+    replace: bool = False,
+) -> Snapshot:
+    """Write rows and commit them with ``facts`` and the new mark; ``replace`` drops all others.
+    ``since``: a lower bound of their times. Without rows and facts nothing is written."""
+    labelled = add_partition(new, partition_hours).hint("rebalance", "partition")
+    low = None if since is None else partition_name(since, partition_hours)
+    added, last, n = snapshots.write_files(labelled, base, low)
+    marks = [m for m in (last, None if replace else base.facts.get("mark_s")) if m is not None]
+    writes = base.facts.get("writes", 0) + bool(added or replace)
+    facts = {**(facts or {}), "mark_s": max(marks, default=None), "writes": writes}
+    if facts.get("series"):
+        facts["series_writes"] = writes
+    if facts.get("stream"):
+        facts["stream"] = {**facts["stream"], "writes": writes}
+    if not added and not replace and not facts.get("series"):
+        return base
+    return snapshots.commit(new.sparkSession, base, added, base.files if replace else (), facts)

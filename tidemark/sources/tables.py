@@ -8,9 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.rows import nan_to_null
-from tidemark.functions.time import coerce_time, seconds_to_us
+from tidemark.functions.time import coerce_time, partition_name, seconds_to_us
 from tidemark.operators.lookup import since, union_all
 from tidemark.params import SENSORS
+from tidemark.sinks import snapshots
 from tidemark.sources import schemas
 
 _ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
@@ -33,6 +34,12 @@ def read_or_empty(
         return spark.createDataFrame([], schema)
 
 
+def file_name(address: str) -> str:
+    """The address of a file as ``_metadata.file_path`` has it."""
+    scheme, found, path = address.partition(":///")
+    return f"{scheme}:/{path}" if found else address
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, columns: Sequence[str], **options: str) -> DataFrame:
     """Named columns of a database table; needs the database's JDBC driver.
     Pass partitionColumn, lowerBound, upperBound, numPartitions to read in parallel."""
@@ -62,10 +69,17 @@ def read_summary(
     keys: T.StructType | None = None,
     partition_hours: int | None = None,
 ) -> DataFrame:
-    """Summary rows after a mark, in no order (sort where the result leaves Spark).
-    With the hours of its partitions, earlier ones are not listed."""
-    stored = read_or_empty(spark, path, schemas.partitioned(schemas.summary(keys)))
-    return nan_to_null(after(stored, mark, partition_hours=partition_hours))
+    """Summary rows after a mark, in no order (sort where the result leaves Spark), of the
+    newest snapshot if the table has one. With the hours of its partitions, earlier ones
+    are not listed."""
+    schema = schemas.summary(keys)
+    snapshot = snapshots.load(spark, path)
+    if snapshot is None:
+        stored = after(read_or_empty(spark, path, schemas.partitioned(schema)), mark, partition_hours=partition_hours)
+    else:
+        low = partition_name(mark, partition_hours) if mark is not None and partition_hours else None
+        stored = after(snapshots.read(spark, snapshot, schema, low), mark)
+    return nan_to_null(stored)
 
 
 def long_frame(

@@ -3,31 +3,32 @@
 Raw tables are file streams. Every reading goes to the grid points it can serve;
 a grid row leaves the state when the watermarks of all sensors have passed it,
 complete and in time order. Each micro-batch then gets its pH and moving
-averages, which look back into the stored summary, and is appended once.
+averages, which look back into the stored summary or, for several series, into
+state of their own, and is appended once.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.functions.rows import nan_to_null, to_items
 from tidemark.functions.time import floor_to, seconds_to_us, timestamp_to_us
-from tidemark.operators.aggregate import match, not_in
+from tidemark.operators.aggregate import not_in
 from tidemark.operators.nearest import nearest_aggregates, nearest_candidates
 from tidemark.params import ALIGNED_COLUMNS, SECOND, SENSORS, Params, micros
 from tidemark.plans.incremental import add_history, summary_mark
 from tidemark.plans.summary import add_corrected_ph, to_summary
 from tidemark.session import STREAM_STATE_STORE, scratch
-from tidemark.sinks.files import add_partition, append_once
+from tidemark.sinks import snapshots
+from tidemark.sinks.files import add_partition, commit_rows, stored_since
 from tidemark.sinks.items import WriteBatch, write_items
 from tidemark.sources import schemas
 from tidemark.sources.tables import long_frame, read_summary
-
-FIRST = "_first_us"
+from tidemark.streaming.series import FIRST, with_series_means
 
 
 def stream_settings(spark: SparkSession, wait_for_all: bool = True) -> None:
@@ -92,22 +93,14 @@ def stream_align(
     return rows.select(*keys, "grid", FIRST, *ALIGNED_COLUMNS)
 
 
-def _from_first_reading(
-    spark: SparkSession, rows: DataFrame, path: str, params: Params, keys: T.StructType | None
-) -> DataFrame:
-    """Without the row one step before the first reading of a series, which a reading
-    that lies on the grid also reaches. Rows leave the state in time order, so only a
-    series with nothing stored can have it."""
-    names = [f.name for f in keys] if keys else []
-    begin = rows.groupBy(*names).agg(floor_to(F.min(FIRST), params.step_us).alias("_begin"))
-    if names:
-        begin = not_in(begin, read_summary(spark, path, keys=keys).select(*names).distinct(), names)
-        rows = match(rows, begin, names, "left")
-    elif summary_mark(spark, path) is None:
-        rows = rows.withColumn("_begin", begin.scalar())
-    else:
+def _from_first_reading(spark: SparkSession, rows: DataFrame, path: str, params: Params) -> DataFrame:
+    """Without the row one step before the first reading, which a reading that lies on the
+    grid also reaches. Rows leave the state in time order, so only a table with nothing
+    stored can have it."""
+    if summary_mark(spark, path) is not None:
         return rows.drop(FIRST)
-    return rows.where("_begin IS NULL OR grid >= _begin").drop("_begin", FIRST)
+    begin = rows.agg(floor_to(F.min(FIRST), params.step_us)).scalar()
+    return rows.where(F.col("grid") >= begin).drop(FIRST)
 
 
 def write_summary_stream(
@@ -118,38 +111,62 @@ def write_summary_stream(
     keys: T.StructType | None = None,
     write_batch: WriteBatch | None = None,
     available_now: bool = False,
+    also: Callable[[DataFrame, int], None] | None = None,
+    forget_after: str | None = None,
 ) -> StreamingQuery:
     """Append aligned rows to the summary at ``path``, with pH and moving averages.
 
     Each trigger runs every ``params.poll_interval``, or until the files present
-    are read with ``available_now``. A batch that is replayed after a failure
-    finds its rows stored and writes only what is missing.
+    are read with ``available_now``. The rows of a micro-batch are one commit, which names
+    the micro-batch: one that is replayed after a failure writes nothing twice. Stored rows
+    are compared with only where others have written to the table. ``also`` gets the rows
+    that a micro-batch has stored, and its number; it has to bear repetition.
+
+    Without series the rows looked back on are read from the end of the summary; for
+    several series (``keys``) they are kept in the stream's state, ``forget_after`` a
+    duration or for ever.
     """
 
     names = [f.name for f in keys] if keys else []
+    schema = schemas.summary(keys)
+    if names:
+        aligned = with_series_means(aligned, params, keys, forget_after)
 
-    def append(batch: DataFrame, _: int) -> None:
+    def append(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = add_corrected_ph(batch.withColumn("grid", timestamp_to_us("grid")), params)
+        rows = batch if names else add_corrected_ph(batch.withColumn("grid", timestamp_to_us("grid")), params)
         batch_rows = rows.persist()
-        rows = _from_first_reading(spark, batch_rows, path, params, keys)
         try:
+            rows = batch_rows if names else _from_first_reading(spark, batch_rows, path, params)
             first_us, last_us = rows.agg(F.min("grid"), F.max("grid")).first()
             if first_us is None:
                 return
             first_s = first_us // SECOND
-            averaged = to_summary(add_history(spark, rows, path, first_us, last_us, params, keys), names)
-            append_once(
-                averaged, path, schemas.summary(keys), params.partition_hours, names, since=first_s
-            )
+            if not names:
+                rows = add_history(spark, rows, path, first_us, last_us, params)
+            stored = _store_batch(spark, to_summary(rows, names), number, first_s)
             if write_batch:
-                # Rows come in time order, so these are the ones of this batch.
-                stored = read_summary(spark, path, first_s - 1, keys, params.partition_hours)
-                stored = stored.drop("partition")
                 write_items(to_items(stored), write_batch)
+            if also:
+                also(stored, number)
         finally:
             batch_rows.unpersist()
 
+    def _store_batch(spark: SparkSession, rows: DataFrame, number: int, first_s: int) -> DataFrame:
+        base = snapshots.opened(spark, path)
+        own = base.facts.get("stream") or {}
+        mine = own.get("checkpoint") == checkpoint
+        rows = rows.select(*schema.names)
+        if not (mine and own["batch"] >= number):
+            if base.files and not (mine and own["writes"] == base.facts.get("writes")):
+                there = stored_since(spark, base, schema, first_s, params.partition_hours)
+                rows = not_in(rows, there, [*names, "datetime_utc"])
+            stream = {"checkpoint": checkpoint, "batch": number}
+            made = commit_rows(rows, base, params.partition_hours, first_s, {"stream": stream})
+            return snapshots.read(spark, made, schema, files=made.files.keys() - base.files.keys()).drop("partition")
+        # Replayed: the rows are stored, what follows may not have had them.
+        return read_summary(spark, path, first_s - 1, keys, params.partition_hours).drop("partition")
+
     trigger = (
         {"availableNow": True}
         if available_now
@@ -225,13 +242,15 @@ class LateRows(StreamingQueryListener):
     progress of all queries, however long they run. Map tasks reduce readings that serve
     the same grid row before the state counts them.
 
-    Register with ``spark.streams.addListener`` before the queries start.
+    Register with ``spark.streams.addListener`` before the queries start. For readings of
+    each sensor, before any were combined, see ``inspect.late_readings``.
     """
 
     def __init__(self):
         self.late: dict[str, int] = {}
         self.batches: dict[str, int] = {}
-        self.seconds: dict[str, list[float]] = {}
+        self.seconds: dict[str, float] = {}
+        self.longest: dict[str, float] = {}
 
     def onQueryStarted(self, event):
         pass
@@ -242,7 +261,9 @@ class LateRows(StreamingQueryListener):
         late = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
         self.late[key] = self.late.get(key, 0) + late
         self.batches[key] = self.batches.get(key, 0) + 1
-        self.seconds.setdefault(key, []).append(progress.durationMs.get("triggerExecution", 0) / 1000)
+        took = progress.durationMs.get("triggerExecution", 0) / 1000
+        self.seconds[key] = self.seconds.get(key, 0.0) + took
+        self.longest[key] = max(took, self.longest.get(key, 0.0))
 
     def onQueryIdle(self, event):
         pass
