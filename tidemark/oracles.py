@@ -350,6 +350,14 @@ ORACLES: dict[str, str] = {
     "output_means_by_user": f"{means(('user_id',))} SELECT user_id, datetime_utc, {_rounded(SUMMARY)} FROM means",
     "output_mark": f"{MEANS} SELECT max(datetime_utc) AS datetime_utc FROM means",
     "streaming_summary": _summary("live", True, EMITTED),
+    "streaming_summary_by_user": _summary("live", True, EMITTED, ("user_id",)),
+    "streaming_restart": f"SELECT *, CAST(2 AS BIGINT) AS failures FROM ({_summary('live', True, EMITTED)})",
+    "stream_state": f"WITH {nearest()}, mark AS (SELECT min(m) AS w FROM (SELECT max(t) // {HOUR_S} * {HOUR_S} - {HOUR_S} AS m "
+    "FROM raw GROUP BY source)) SELECT count(DISTINCT g) AS n_rows, min(g) AS first_s, max(g) AS last_s, "
+    + ", ".join(f"max(g) FILTER (source = '{s}') AS {s}_s" for s in ("rhodamine", "ph", "tsg", "gps"))
+    + ", any_value(w) AS watermark_s FROM offered, mark WHERE g > w",
+    "late_readings": f"WITH {RAW} SELECT source, count(*) AS n_rows, "
+    f"count(*) FILTER (WHERE NOT ({IN_TIME})) AS n_late FROM raw GROUP BY source",
     "streaming_reset": _summary("live", True, EMITTED),
     "streaming_late_rows": f"SELECT *, true AS counted FROM ({summary('live', True, kept=IN_TIME)} "
     f"SELECT datetime_utc, {_rounded(SUMMARY)} FROM averaged WHERE {EMITTED})",

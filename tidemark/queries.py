@@ -6,7 +6,7 @@ epoch seconds and doubles are rounded, as the SQL in ``oracles`` does.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -44,6 +44,7 @@ from tidemark.sources.tables import (
     read_or_empty,
     read_summary,
 )
+from tidemark.streaming.inspect import late_readings, waiting_rows, watermark
 from tidemark.streaming.live import (
     LateRows,
     fresh_checkpoint,
@@ -55,6 +56,7 @@ from tidemark.streaming.live import (
     write_means_stream,
     write_summary_stream,
 )
+from tidemark.streaming.restart import run_with_restarts
 
 LIVE = Params(step="1h", output_step="6h", partition_hours=24)
 BATCH = Params(step="1h", output_step="6h", partition_hours=24, mode="batch")
@@ -364,12 +366,12 @@ def late_series(spark, sf):
     """One series is complete before the other's first reading arrives, in files of its own."""
     path, folders = scratch(spark, "summary"), _folders(spark)
     tables = {s: t.withColumn("ship", F.col("user_id") % 2) for s, t in raw_tables(spark, sf).items()}
-    _land_ships({s: t.where("ship = 0") for s, t in tables.items()}, folders)
+    _land_keyed({s: t.where("ship = 0") for s, t in tables.items()}, folders, "ship")
     run = lambda flush: process_incremental(
-        spark, _landed_ships(spark, folders), path, LIVE, keys=_key("ship"), flush=flush, by_file=True
+        spark, _landed(spark, folders, "ship"), path, LIVE, keys=_key("ship"), flush=flush, by_file=True
     )
     run(True)
-    _land_ships({s: t.where("ship = 1") for s, t in tables.items()}, folders)
+    _land_keyed({s: t.where("ship = 1") for s, t in tables.items()}, folders, "ship")
     run(False)
     run(True)
     return _tidy(read_summary(spark, path, keys=_key("ship")).drop("partition"))
@@ -380,17 +382,17 @@ def _folders(spark) -> dict[str, str]:
     return {s: f"{landing}/{s}" for s in schemas.RAW}
 
 
-def _ship_schema(source: str) -> T.StructType:
-    return T.StructType([*schemas.RAW[source].fields, T.StructField("ship", T.LongType())])
+def _keyed_schema(source: str, key: str) -> T.StructType:
+    return T.StructType([*schemas.RAW[source].fields, *_key(key).fields])
 
 
-def _land_ships(tables, folders) -> None:
+def _land_keyed(tables, folders, key) -> None:
     for source, table in tables.items():
-        conform(table, _ship_schema(source)).write.mode("append").parquet(folders[source])
+        conform(table, _keyed_schema(source, key)).write.mode("append").parquet(folders[source])
 
 
-def _landed_ships(spark, folders) -> dict[str, DataFrame]:
-    return {s: spark.read.schema(_ship_schema(s)).parquet(path) for s, path in folders.items()}
+def _landed(spark, folders, key) -> dict[str, DataFrame]:
+    return {s: spark.read.schema(_keyed_schema(s, key)).parquet(path) for s, path in folders.items()}
 
 
 def snapshot_read(spark, sf):
@@ -482,22 +484,89 @@ def _stream_folders(spark, tables):
     return {s: f"{landing}/{s}" for s in tables}, scratch(spark, "summary")
 
 
+def _in_parts(tables) -> Iterator[dict[str, DataFrame]]:
+    """The tables in three parts, one after the other in time."""
+    cuts = [None, MARK + 1234, END + 4321, None]
+    for low, high in zip(cuts, cuts[1:]):
+        parts = {s: after(t, low) for s, t in tables.items()}
+        if high is not None:
+            parts = {s: t.where(F.col("datetime_utc") <= high) for s, t in parts.items()}
+        yield parts
+
+
 def streaming_summary(spark, sf):
     """The raw tables land in three parts, each is streamed. Rows that later readings could
     still change have not been written."""
     tables = raw_tables(spark, sf)
     folders, path = _stream_folders(spark, tables)
     checkpoint = fresh_checkpoint(spark)
-    cuts = [None, MARK + 1234, END + 4321, None]
-    for low, high in zip(cuts, cuts[1:]):
-        parts = {s: after(t, low) for s, t in tables.items()}
-        if high is not None:
-            parts = {s: t.where(F.col("datetime_utc") <= high) for s, t in parts.items()}
+    for parts in _in_parts(tables):
         _land(parts, folders)
         _follow(spark, folders, path, checkpoint)
     return _tidy(read_summary(spark, path).drop("partition"))
 
 
+def streaming_summary_by_user(spark, sf):
+    """The same for several series: what averages look back on is kept in the stream's state."""
+    keys, tables = _key("user_id"), raw_tables(spark, sf)
+    folders, path = _stream_folders(spark, tables)
+    checkpoint = fresh_checkpoint(spark)
+    kinds = {s: _keyed_schema(s, "user_id") for s in tables}
+    for parts in _in_parts(tables):
+        _land_keyed(parts, folders, "user_id")
+        rows = stream_align(raw_streams(spark, folders, raw_schemas=kinds), LIVE, keys=("user_id",))
+        run_for(write_summary_stream(rows, path, checkpoint, LIVE, keys=keys, available_now=True))
+    return _tidy(read_summary(spark, path, keys=keys).drop("partition"))
+
+
+def streaming_restart(spark, sf):
+    """A sink fails twice after the rows of a micro-batch are stored: the stream starts again
+    and the rows are those of a stream without failures."""
+    tables = raw_tables(spark, sf)
+    folders, path = _stream_folders(spark, tables)
+    checkpoint, calls = fresh_checkpoint(spark), []
+
+    def sink(rows, number):
+        calls.append(number)
+        if len(calls) in (2, 3):
+            raise RuntimeError("the sink is away")
+
+    def start():
+        rows = stream_align(raw_streams(spark, folders), LIVE)
+        return write_summary_stream(rows, path, checkpoint, LIVE, available_now=True, also=sink)
+
+    failures = []
+    for parts in _in_parts(tables):
+        _land(parts, folders)
+        failures += run_with_restarts(start, wait_s=0.1)
+    n = F.lit(len(failures)).cast("bigint").alias("failures")
+    return _tidy(read_summary(spark, path).drop("partition")).select("*", n)
+
+
+def stream_state(spark, sf):
+    """What waits in a stream that has read all, and the mark up to which it has written."""
+    tables = raw_tables(spark, sf)
+    folders, path = _stream_folders(spark, tables)
+    checkpoint = fresh_checkpoint(spark)
+    _land(tables, folders)
+    _follow(spark, folders, path, checkpoint)
+    mark = F.lit(watermark(spark, checkpoint)).cast("bigint").alias("watermark_s")
+    return waiting_rows(spark, checkpoint).select("*", mark)
+
+
+def late_readings_query(spark, sf):
+    """Readings of six hours land after the rest was streamed: by sensor, how many were read
+    and how many of them were too late."""
+    tables = raw_tables(spark, sf)
+    folders, path = _stream_folders(spark, tables)
+    checkpoint, late = fresh_checkpoint(spark), F.col("datetime_utc").between(MARK, MARK + 6 * 3600)
+    for part in (~late, late):
+        _land({s: t.where(part) for s, t in tables.items()}, folders)
+        _follow(spark, folders, path, checkpoint)
+    landed = {s: spark.read.schema(schemas.RAW[s]).parquet(path) for s, path in folders.items()}
+    return late_readings(spark, checkpoint, landed, LIVE)
+
+
 def streaming_reset(spark, sf):
     """A stream that starts over with a new checkpoint writes no row twice."""
     tables = raw_tables(spark, sf)
@@ -776,6 +845,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "output_means_by_user": output_means_by_user,
     "output_mark": output_mark,
     "streaming_summary": streaming_summary,
+    "streaming_summary_by_user": streaming_summary_by_user,
+    "streaming_restart": streaming_restart,
+    "stream_state": stream_state,
+    "late_readings": late_readings_query,
     "streaming_reset": streaming_reset,
     "streaming_late_rows": streaming_late_rows,
     "streaming_means": streaming_means,

@@ -8,9 +8,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.time import floor_to, seconds_to_us, timestamp_to_us
+from tidemark.functions.time import floor_to, seconds_to_us
 from tidemark.operators.lookup import union_all
-from tidemark.params import Params
+from tidemark.params import SECOND, SENSORS, Params
 from tidemark.sinks.snapshots import _Store
 from tidemark.sources.tables import file_name
 
@@ -73,28 +73,35 @@ def files_of(spark: SparkSession, checkpoint: str) -> dict[tuple[int, int], list
     return out
 
 
-def waiting_rows(spark: SparkSession, checkpoint: str, keys: T.StructType | None = None) -> DataFrame:
-    """Rows in the state of the alignment, by series: how many wait, from when to when (epoch
-    seconds), and per sensor the latest waiting row that has a reading of it."""
+def waiting_rows(
+    spark: SparkSession, checkpoint: str, keys: T.StructType | None = None, operator: int = 0
+) -> DataFrame:
+    """Rows in the state of ``stream_align`` after its last micro-batch, by series: how many
+    wait, from when to when (epoch seconds), and per sensor the latest of them that it has a
+    reading for. One that lags behind the others holds them all back."""
     names = [f.name for f in keys] if keys else []
-    state = spark.read.format("statestore").option("operatorId", 0).load(checkpoint)
-    rows = state.select(F.col("key.*"), F.col("value"))
-    second = lambda c: F.unix_seconds(c)
-    values = state.schema["value"].dataType.names
-    sensors = _sensor_buffers(state.schema["value"].dataType)
+    state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    # The buffers have names of their own, repeated: first reading, then value and key by column.
+    columns = [c for own in SENSORS.values() for c in own]
+    fields = ["first_us", *(x for c in columns for x in (c, f"{c}_key"))]
+    kinds = [f.dataType for f in state.schema["value"].dataType.fields]
+    value = T.StructType([T.StructField(n, k) for n, k in zip(fields, kinds, strict=True)])
+    at = F.unix_seconds(F.col("key.grid"))
+    rows = state.select(*[F.col(f"key.`{n}`").alias(n) for n in names], at.alias("at"), F.col("value").cast(value).alias("v"))
     return rows.groupBy(*names).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.min(second(F.col("grid"))).alias("first_s"),
-        F.max(second(F.col("grid"))).alias("last_s"),
+        F.min("at").alias("first_s"),
+        F.max("at").alias("last_s"),
         *[
-            F.max(F.when(F.col("value")[values[i]].isNotNull(), second(F.col("grid")))).alias(f"{source}_s")
-            for source, i in sensors.items()
+            F.max(F.when(F.col(f"v.{own[0]}_key").isNotNull(), F.col("at"))).alias(f"{source}_s")
+            for source, own in SENSORS.items()
         ],
     )
 
 
-def _sensor_buffers(value: T.StructType) -> dict[str, int]:
-    raise NotImplementedError
+def watermark(spark: SparkSession, checkpoint: str) -> int:
+    """The watermark (epoch seconds) of the last micro-batch: rows up to it have been written."""
+    return max(b["watermark_us"] for b in batches(spark, checkpoint)) // SECOND
 
 
 def operators(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -122,7 +129,7 @@ def late_readings(
     for at, (source, table) in enumerate(tables.items()):
         own = {f: marks[batch] for (s, batch), files in read.items() if s == at for f in files}
         us = floor_to(seconds_to_us("datetime_utc"), params.unit_us)
-        later = floor_to(us, step) + F.when(floor_to(us, step) == us, F.lit(0)).otherwise(F.lit(step))
+        later = floor_to(us, step) + F.lit(step).cast("bigint")
         if own:
             name = F.col("_metadata.file_path")
             mark = F.lit(None).cast("bigint")

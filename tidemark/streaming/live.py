@@ -129,6 +129,8 @@ def write_summary_stream(
 
     names = [f.name for f in keys] if keys else []
     schema = schemas.summary(keys)
+    if forget_after and available_now:
+        raise ValueError("state that is forgotten by the clock needs a stream that keeps running")
     if names:
         aligned = with_series_means(aligned, params, keys, forget_after)
 

@@ -22,7 +22,8 @@ from tidemark.functions.time import timestamp_to_us
 from tidemark.params import ALIGNED_COLUMNS, Params, micros
 from tidemark.plans.summary import MEANS, add_corrected_ph
 
-FIRST = "_first_us"
+#: Spark renames columns that begin with an underscore on their way to Python.
+FIRST = "first_us"
 STATE = "grid bigint, ph_total array<double>, ph_corrected array<double>"
 #: Numbers that are averaged at once.
 CHUNK = 1 << 18
@@ -94,8 +95,8 @@ def with_series_means(
     )
     ttl_ms = None if forget_after is None else micros(forget_after) // 1000
     # A missing key is a series of its own.
-    rows = rows.withColumn("_key", F.to_json(F.struct(*names)))
-    return rows.groupBy("_key").transformWithStateInPandas(
+    rows = rows.withColumn("series_key", F.to_json(F.struct(*names)))
+    return rows.groupBy("series_key").transformWithStateInPandas(
         TrailingMeans([f.name for f in schema], params.window_rows, params.step_us, params.ph_rows_only, ttl_ms),
         schema,
         "Append",
