@@ -55,16 +55,20 @@ def _table(seed: int) -> np.ndarray:
 
 
 _POWERS: dict[int, np.ndarray] = {}
+#: Longer tables are made for one text and given back.
+KEPT = 1 << 19
 
 
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1), modulo 2**64."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        size = max(1024, 1 << (n - 1).bit_length())
-        factors = np.full(size, base, _U)
-        factors[0] = 1
-        have = _POWERS[base] = np.cumprod(factors, dtype=_U)
+        size = n if n > KEPT else max(1024, 1 << (n - 1).bit_length())
+        have = np.full(size, base, _U)
+        have[0] = 1
+        np.cumprod(have, out=have)
+        if size <= KEPT:
+            _POWERS[base] = have
     return have[:n]
 
 

@@ -16,10 +16,14 @@ from tidemark.session import scratch
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 2_000
+#: A batch of rows on its way to Python is held several times there.
+ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, unless PYTHONPATH or the working folder has it."""
+    """Give the executors this package, unless PYTHONPATH or the working folder has it; hand
+    rows to Python in small batches."""
+    spark.conf.set(ARROW_BYTES, BATCH_BYTES)
     package = pathlib.Path(__file__).resolve().parents[1]
     root = str(package.parent)
     known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]

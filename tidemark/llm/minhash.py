@@ -49,7 +49,7 @@ PIVOTS = 2
 MEMBERS = 128
 #: So many ids go to all tasks at most.
 SENT = 500_000
-SLICE = 1_000_000
+SLICE = 500_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

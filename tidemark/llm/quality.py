@@ -24,7 +24,6 @@ table gives no rows. Other columns are carried or ignored, whatever their names.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +45,7 @@ LEAST = 200
 STEPS = 4
 #: Distance classes per factor of two.
 FINE = 16
-SLICE = 1_500_000
+SLICE = 500_000
 
 
 def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -150,24 +149,25 @@ def _estimate_of(pairs: DataFrame) -> DataFrame:
 PARAMETERS = "key string, mean array<double>, inverse array<double>, n bigint"
 
 
-def _parameters(key: str, mean, covariance, n: int, scale: float = 1.0) -> pd.DataFrame:
-    inverse = np.linalg.inv(np.asarray(covariance) * scale + np.diag(np.square(FLOOR)))
-    return pd.DataFrame(
-        {"key": [key], "mean": [list(map(float, mean))], "inverse": [inverse.ravel().tolist()], "n": [n]}
-    )
+def _parameters(key: str, mean, covariance, n: int) -> dict:
+    inverse = np.linalg.inv(np.asarray(covariance) + np.diag(np.square(FLOOR)))
+    return {"key": [key], "mean": [list(map(float, mean))], "inverse": [inverse.ravel().tolist()], "n": [n]}
 
 
-def _first(rows: pd.DataFrame) -> pd.DataFrame:
-    row = rows.iloc[0]
+def _first(rows: pa.Table) -> pa.Table:
+    (row,) = rows.to_pylist()
     q = np.array([row[f"q{i}"] for i in range(N)], float)
     spread = (q[:, 2] - q[:, 0]) / 1.349
-    return _parameters(row["key"], q[:, 1], np.diag(spread**2), int(row["n"]))
+    return pa.table(_parameters(row["key"], q[:, 1], np.diag(spread**2), int(row["n"])))
 
 
-def _step(rows: pd.DataFrame) -> pd.DataFrame:
+def _step(rows: pa.Table) -> pa.Table:
     """Mean and covariance of the closest half, by distance class; a class in part by weight."""
-    rows = rows.sort_values("class")
-    count = rows["count"].to_numpy(float)
+    key = rows.column("key")[0].as_py()
+    rows = {c: rows.column(c).to_numpy() for c in rows.column_names if c != "key"}
+    order = np.argsort(rows["class"])
+    rows = {c: v[order] for c, v in rows.items()}
+    count = rows["count"].astype(float)
     before = np.cumsum(count) - count
     n = count.sum()
     half = min(n, (n + N + 1) // 2)
@@ -179,10 +179,9 @@ def _step(rows: pd.DataFrame) -> pd.DataFrame:
         for j in range(i, N):
             cross[i, j] = cross[j, i] = (np.array(rows[f"s{i}{j}"], float) * part).sum() / half
     # The distance in the middle, if the old estimate were the true one, would be MIDDLE.
-    middle = 2.0 ** ((rows["class"].to_numpy()[np.searchsorted(before + count, n / 2)] + 1) / FINE)
-    out = _parameters(rows["key"].iloc[0], mean, cross - np.outer(mean, mean), int(n))
-    out["scale"] = max(1.0, middle / MIDDLE)
-    return out
+    middle = 2.0 ** ((rows["class"][np.searchsorted(before + count, n / 2)] + 1) / FINE)
+    out = _parameters(key, mean, cross - np.outer(mean, mean), int(n))
+    return pa.table(out | {"scale": [max(1.0, float(middle) / MIDDLE)]})
 
 
 def robust_estimates(statistics: DataFrame) -> DataFrame:
@@ -203,12 +202,12 @@ def robust_estimates(statistics: DataFrame) -> DataFrame:
         vectors.groupBy("key")
         .agg(F.count("*").alias("n"), *quartiles)
         .groupBy("key")
-        .applyInPandas(_first, PARAMETERS),
+        .applyInArrow(_first, PARAMETERS),
         "quality-estimates",
     )
     for _ in range(STEPS):
         parameters = stored(_next(vectors, parameters), "quality-estimates")
-    final = _classes(vectors, parameters).groupBy("key").applyInPandas(
+    final = _classes(vectors, parameters).groupBy("key").applyInArrow(
         _scales, "key string, scale double"
     )
     return (
@@ -237,14 +236,14 @@ def _classes(vectors: DataFrame, parameters: DataFrame) -> DataFrame:
 
 
 def _next(vectors: DataFrame, parameters: DataFrame) -> DataFrame:
-    rows = _classes(vectors, parameters).groupBy("key").applyInPandas(
+    rows = _classes(vectors, parameters).groupBy("key").applyInArrow(
         _step, PARAMETERS + ", scale double"
     )
     return rows.drop("scale")
 
 
-def _scales(rows: pd.DataFrame) -> pd.DataFrame:
-    return _step(rows)[["key", "scale"]]
+def _scales(rows: pa.Table) -> pa.Table:
+    return _step(rows).select(["key", "scale"])
 
 
 def judged(statistics: DataFrame, estimates: DataFrame) -> DataFrame:

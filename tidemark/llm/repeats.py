@@ -42,9 +42,9 @@ from tidemark.llm.common import document_columns, other_columns, stored
 
 LEAST = 200
 KEY = 64
-SLICE = 4_000_000
+SLICE = 500_000
 #: Bytes of context that one transform covers, and contexts of one anchor that may be in it.
-BATCH = 1_000_000
+BATCH = 250_000
 HOT = 4096
 #: Common prefixes up to this length come from the first rounds of sorting.
 SEED = 28
@@ -296,23 +296,28 @@ def _transformed(least: int):
     """Repeated runs of the contexts of whole anchors, as many anchors at a time as ``BATCH`` takes."""
 
     def rows(batches):
-        held, size, last = [], 0, None
+        held, own, size, own_size = [], [], 0, 0  # whole anchors, and the one that is being read
 
-        def flush():
-            f, d, t, lo, raw = zip(*held)
+        def flush(rows):
+            f, d, t, lo, raw = zip(*rows)
             d, t, lo = np.array(d, np.int64), np.array(t, np.int32), np.array(lo, np.int64)
             return _span_batch(d, t, lo, repeated_in(list(raw), _numbers(d, t, lo), least))
 
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("f", "d", "t", "lo", "bytes"))):
-                if size >= BATCH and row[0] != last:
-                    yield flush()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[4])
-                last = row[0]
-        if held:
-            yield flush()
+                if own and row[0] != own[0][0]:
+                    if held and size + own_size > BATCH:
+                        yield flush(held)
+                        held, size = [], 0
+                    held, size = held + own, size + own_size
+                    own, own_size = [], 0
+                own.append(row)
+                own_size += len(row[4])
+        if held and size + own_size > BATCH:
+            yield flush(held)
+            held = []
+        if held or own:
+            yield flush(held + own)
 
     return rows
 
