@@ -94,6 +94,41 @@ def test_one_large_group_and_one_common_passage(spark):
     check(spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 85)
 
 
+@pytest.mark.parametrize("many, long", [(64, 512), (20, 90)])
+def test_many_near_copies_about_the_bound(spark, monkeypatch, many, long):
+    """Most pairs lie between 0.6 and 0.9: short sketches cannot tell them apart."""
+    monkeypatch.setattr(minhash, "MANY", many)
+    monkeypatch.setattr(minhash, "LONG", long)
+    rng = random.Random(many)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(rng, base, rng.randint(1, 4)))) for i in range(350)]
+    rows += [(1000 + i, " ".join(f"u{i}x{j}" for j in range(80))) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    check(frame, rows, 85)
+
+
+def test_keep_one_with_any_column_names(spark):
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(30))
+    rows = [(i, text(i % 4), i) for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, n int").selectExpr(
+        "*", "n AS __id", "n AS __", "n AS id", "n AS row", "n AS `a.b`", "n AS kept", "n AS component", "n AS number"
+    )
+    kept = minhash.keep_one(frame)
+    assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3]
+    packed = frame.select(common.other_columns(frame), "text").select(*common.document_columns(frame.columns))
+    assert packed.columns == frame.columns and packed.count() == 8
+
+
+def test_of_rows_that_repeat_an_id_the_compared_one_stays(spark):
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(30))
+    for seed in range(4):
+        own = [(1, text(seed)), (1, text(seed + 10)), (2, text(seed)), (3, text(seed + 10)), (1, "")]
+        frame = spark.createDataFrame(own, "doc_id bigint, text string")
+        kept = {(r.doc_id, r.text) for r in minhash.keep_one(frame).collect()}
+        # Whichever of its texts was compared, the document with that text goes and the other stays.
+        assert kept in ({(1, own[0][1]), (3, own[1][1])}, {(1, own[1][1]), (2, own[0][1])})
+
+
 def test_minhash_of_odd_rows(spark, odd, empty):
     found = minhash.near_duplicates(odd).collect()
     assert len(found) == 10

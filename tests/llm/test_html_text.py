@@ -122,3 +122,26 @@ def test_odd_rows(spark):
     found = html_text.main_text(frame).collect()
     assert sorted((r.page_id or 0, len(r.text)) for r in found) == [(0, 1), (1, 0), (2, 0), (2, 0), (3, 199_999)]
     assert html_text.main_text(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<article style="overflow:hidden"><p>Text</p></article>', "Text"),
+        ('<article><p>See <a href="/hidden-gems">hidden gems</a> here.</p></article>', "See hidden gems here."),
+        ('<article><p title="a hidden valley">Down there.</p></article>', "Down there."),
+        ('<article><div aria-hidden="false">Shown</div><div aria-hidden="true">Icon</div></article>', "Shown"),
+        ('<article><div data-id="menu">Dishes</div><div data-role="navigation">Routes</div></article>', "Dishes\n\nRoutes"),
+        ('<article><h2 id="notices">Notices</h2><p class="related work">Others did so.</p></article>', "Notices\n\nOthers did so."),
+        ('<article>Main</article><article class="comment">Nice post</article>', "Main"),
+        ('<article>Main<article class="user comment">Nice post</article></article>', "Main"),
+        ("<div><p>Text</p><article></article></div>", "Text"),
+        ('<div><p>Text</p><article><div hidden>No</div></article></div>', "Text"),
+        ("<article><p hidden>No</p><p HIDDEN=until-found>No</p><p class='x' hidden = ''>No</p><p>Yes</p></article>", "Yes"),
+        ('<article><div class="newsletter">Sign up</div><p>Yes</p></article>', "Yes"),
+        ("<article/><p>a</p>", "a"),
+    ],
+)
+def test_attributes_count_by_name_and_value(page, want):
+    inner, outer, found = html_text.blocks(page)
+    assert "\n\n".join(inner if found else outer) == want

@@ -65,7 +65,8 @@ def whole_text(column: str = "text") -> Column:
 def other_columns(docs: DataFrame) -> Column:
     """All columns but the text as one, ``doc``: no name of theirs can clash with others."""
     own = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    return F.struct(*own, F.lit(0).alias("__")).alias("doc")
+    filler = "_" * (1 + max(len(c) for c in docs.columns))
+    return F.struct(*own, F.lit(0).alias(filler)).alias("doc")
 
 
 def document_columns(columns: list[str]) -> list[Column]:

@@ -1,11 +1,12 @@
 """Main text of web pages: structure first, then a suffix array of each host.
 
 A page is read once, tag by tag. Text in menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and comments goes, by element, role or class. If the page
-has an ``article`` or ``main``, its blocks are the main text.
+adverts, forms, scripts, styles and comments goes, by element, role or class, or because it is hidden. If
+the page has an ``article`` or ``main`` with text, its blocks are the main text.
 
 Class and id words say little about an element that holds the page: they are not asked of
-html, body, main and outermost articles, nor where the name is a state (``has-sidebar``).
+html, body, main and outermost articles (but readers' comments, which may be articles too),
+nor where the name is a state (``has-sidebar``), nor of headings and paragraphs of an article (but those with listed class words only).
 Elements outside of articles that go for a part of a longer name (``layout-sidebar``) stay
 if the page's only articles, or all of its text, are inside them.
 
@@ -51,7 +52,8 @@ PARTS = re.compile(
     re.S | re.I,
 )
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-MARKS = re.compile(r"\b(class|id|role|hidden|aria-label)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# An attribute of a tag: its name, and its value in one of three forms.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
@@ -70,6 +72,12 @@ CLASSES = frozenset(
 )
 
 
+#: Elements of the text itself: inside an article their names say what they are about, unless
+#: the listed words are all there is.
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre dt dd td th caption figcaption".split())
+#: Class names of articles that are not the page's.
+REPLIES = frozenset("comment comments reply respond discussion".split())
+
 #: Parts of names that tell what a page has or shows, not what the element is.
 STATES = frozenset("has have with without no not".split())
 WHOLE = frozenset("html body main".split())
@@ -81,11 +89,15 @@ def _is_dropped(name: str, tag: str, inside: bool) -> tuple[bool, bool]:
         return True, False
     if " " not in tag and "\n" not in tag and "\t" not in tag:
         return False, False
-    named = name not in WHOLE and (inside or name != "article")
+    named = name not in WHOLE and (inside or name != "article") and not (inside and name in TEXTUAL)
     weak = False
-    for key, *values in MARKS.findall(tag):
+    for key, *values in ATTRIBUTE.findall(tag, len(name) + 1):
         key, value = key.lower(), "".join(values).lower()
-        if key == "hidden" or key == "role" and value in ROLES:
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in ROLES:
+            return True, False
+        if name == "article" and key == "class" and not REPLIES.isdisjoint(value.split()):
+            return True, False
+        if key == "class" and inside and name in TEXTUAL and value.split() and CLASSES.issuperset(value.split()):
             return True, False
         if key in ("class", "id") and named:
             for token in value.split():
@@ -102,9 +114,10 @@ def _is_dropped(name: str, tag: str, inside: bool) -> tuple[bool, bool]:
 def blocks(page: str) -> tuple[list[str], list[str], bool]:
     """(blocks of articles, other kept blocks, whether there is an article), in page order."""
     inner, outer, found, hid = _blocks(page, True)
+    found &= bool(inner) or not outer
     if hid and not found:
         again = _blocks(page, False)
-        if again[2] or not outer:
+        if again[2] and again[0] or not outer:
             return again[:3]
     return inner, outer, found
 

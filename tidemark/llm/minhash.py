@@ -10,7 +10,7 @@ equal shingle sets are one class, and classes are compared:
    at least one list. Frequent values, as of a passage in a third of all texts, come last
    and are seldom listed.
 2. Sketches are compared by estimating the similarity from the smallest values of the
-   union; pairs more than five standard deviations below ``t`` go.
+   union; pairs go that have fewer in common than all but 1e-7 of the pairs at ``t``.
 3. The rest is confirmed on full sets, exactly. Pairs are gathered in blocks of a cluster's
    members first, so a set is sent once per block and not once per pair; large clusters are
    cut into several blocks.
@@ -20,7 +20,9 @@ cluster) meet the others: the one whose retained values are the most common, as
 text are from which the others were made, and ``PIVOTS`` more; a list whose members are then linked with each other ends,
 so a group of m copies costs a few times m comparisons instead of m squared. In what is
 left, members of different components are compared in full, each pair in the first list it
-has in common, if enough retained values agree. So no link between components is lost.
+has in common, if enough retained values agree. So no link between components is lost. In
+lists of more than ``MANY`` members sketches of ``LONG`` values decide which pairs are compared:
+all that a set of so many shingles has.
 
 Texts with fewer words than a shingle are one shingle as a whole; texts without words
 (null and empty ones too) have no shingle, no links, and stand for themselves. Rows with a
@@ -47,6 +49,8 @@ WORDS = 5
 PIVOTS = 2
 #: Members on either side of a block of pairs, about.
 MEMBERS = 128
+#: Members of a list from which on longer sketches decide, and their length.
+MANY, LONG = 64, 512
 #: So many ids go to all tasks at most.
 SENT = 500_000
 SLICE = 500_000
@@ -177,15 +181,13 @@ def _prefixes(classes: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def _close(k: int, percent: int, *names: str):
-    """Whether two sketches (and set sizes) leave the similarity possible: the share of common
-    values among the k smallest of the union, less five standard deviations and a bit."""
+    """Whether two sketches (and set sizes) leave the similarity possible: of the k smallest
+    values of the union so many are common as in all but 1e-7 of similar pairs."""
     sketch_a, sketch_b, size_a, size_b = map(F.col, names)
-    p = percent / 100
     union = F.array_union(sketch_a, sketch_b)
     least = F.slice(F.array_sort(union), F.lit(1), F.lit(k))
-    m = F.size(least)
     both = F.array_intersect(sketch_a, sketch_b)
-    estimate = F.size(F.array_intersect(least, both)) >= p * m - 5.2 * F.sqrt(m * p * (1 - p)) - 1e-9
+    estimate = F.size(F.array_intersect(least, both)) >= _needed(k, percent)
     exact = F.size(both) * 100 >= F.size(union) * percent
     enough = F.size(both) >= F.least(_needed_of(size_a, k, percent), _needed_of(size_b, k, percent))
     return enough & F.when((size_a <= k) & (size_b <= k), exact).otherwise(estimate)
@@ -260,28 +262,51 @@ def _pivot_pairs(members: DataFrame) -> DataFrame:
     return met.where(F.col("id") != F.col("a")).select("a", "sa", F.col("id").alias("b"), F.col("size").alias("sb"))
 
 
-def _remaining_pairs(prefixes: DataFrame, classes: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
+def _long_sketches(docs: DataFrame, classes: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, long): the ``LONG`` smallest hashes of some classes, all of a set that has no more."""
+    texts = _texts(docs, classes, ids)
+    return full_sets(texts, n).select("id", F.slice("hashes", F.lit(1), F.lit(LONG)).alias("long"))
+
+
+def _remaining_pairs(
+    docs: DataFrame, prefixes: DataFrame, classes: DataFrame, found: DataFrame, n: int, k: int, percent: int
+) -> DataFrame:
     """(a, b): members of a list that are in different components and whose sketches leave the
-    similarity possible, each pair once."""
+    similarity possible, each pair once. Where a list has many members, most pairs of which a
+    short sketch cannot rule out, longer ones decide."""
     top = prefixes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = top.select("id", "size", "component", "listed", F.posexplode("listed").alias("at", "value"))
-    several = rows.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    rows = rows.join(several.where("lo <> hi").select("value"), "value", "left_semi")
+    several = rows.groupBy("value").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), (F.count("*") > MANY).alias("many")
+    )
+    rows = rows.join(several.where("lo <> hi").select("value", "many"), "value")
     rows = stored(rows, "minhash-members")
     if rows.isEmpty():
         return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    rows = rows.join(classes.select("id", "sketch"), "id").select(
-        "value", "id", "size", "component", "sketch", F.slice("listed", F.lit(1), F.col("at")).alias("before")
-    )
+    own = ("value", "id", "size", "component", "sketch", F.slice("listed", F.lit(1), F.col("at")).alias("before"))
+    few = rows.where("NOT many").join(classes.select("id", "sketch"), "id").select(*own)
+    pairs = _pairs_of_lists(few, k, percent)
+    many = rows.where("many").select("id").distinct()
+    if not many.isEmpty():
+        long = stored(_long_sketches(docs, classes, many, n), "minhash-long")
+        rows = rows.where("many").join(classes.select("id", "sketch"), "id").join(long, "id").select(*own, "long")
+        close = _close(LONG, percent, "longa", "longb", "sizea", "sizeb")
+        pairs = pairs.unionByName(_pairs_of_lists(rows, k, percent, close))
+    return pairs
+
+
+def _pairs_of_lists(rows: DataFrame, k: int, percent: int, *closer) -> DataFrame:
     a, b = (rows.select("value", *[F.col(c).alias(c + end) for c in rows.columns[1:]]) for end in "ab")
-    return (
+    met = (
         a.join(b, "value")
         .where((F.col("ida") < F.col("idb")) & (F.col("componenta") != F.col("componentb")))
         .where(_sizes_fit(percent, "sizea", "sizeb"))
         .where(~F.arrays_overlap("beforea", "beforeb"))
         .where(_close(k, percent, "sketcha", "sketchb", "sizea", "sizeb"))
-        .select(F.col("ida").alias("a"), F.col("idb").alias("b"))
     )
+    for condition in closer:
+        met = met.where(condition)
+    return met.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
 
 
 def _close_to_pivots(members: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -296,16 +321,20 @@ def _close_to_pivots(members: DataFrame, classes: DataFrame, k: int, percent: in
     return met.where(_close(k, percent, "sketcha", "sketchb", "sizea", "sizeb")).select("a", "b")
 
 
+def _texts(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text, whole) of some classes."""
+    ids = stored(ids.join(classes.select("id", "whole"), "id"), "minhash-ids")
+    if ids.count() <= SENT:  # about 100 bytes each; else the texts are shuffled
+        ids = F.broadcast(ids)
+    return docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
+
+
 def _linked(
     docs: DataFrame, classes: DataFrame, close: DataFrame, homes: DataFrame, n: int, percent: int
 ) -> DataFrame:
     """Pairs (a, b) that are similar, of stored ones that may be."""
     ids = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
-    ids = stored(ids.join(classes.select("id", "whole"), "id"), "minhash-ids")
-    if ids.count() <= SENT:  # about 100 bytes each; else the texts are shuffled
-        ids = F.broadcast(ids)
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
-    sets = stored(full_sets(texts, n), "minhash-sets")
+    sets = stored(full_sets(_texts(docs, classes, ids), n), "minhash-sets")
     return stored(_confirmed(_blocks(close, homes), sets, percent), "minhash-links")
 
 
@@ -320,7 +349,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, n: int, k: int, percent: i
     homes = stored(_homes(close), "minhash-homes")
     links = _linked(docs, classes, close, homes, n, percent)
     found = stored(components(links, "minhash"), "minhash-components")
-    more = stored(_remaining_pairs(prefixes, classes, found, k, percent), "minhash-close")
+    more = stored(_remaining_pairs(docs, prefixes, classes, found, n, k, percent), "minhash-close")
     if more.isEmpty():
         return found
     more = _linked(docs, classes, more, homes, n, percent)
@@ -358,23 +387,25 @@ def _with_components(sketches: DataFrame, classes: DataFrame, found: DataFrame)
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns.
 
-    Rows that repeat an id are one document: the row with the first text of them stays.
+    Rows that repeat an id are one document: the row stays whose text was compared (of equal
+    ones any). Columns may have any names.
     """
     verdicts = stored(near_duplicates(docs, percent), "minhash-verdicts")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col("doc_id").alias("row_id"), F.col("text").alias("row_text"))
     per_id = (
         verdicts.where("doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.count("*").alias("__n"), F.max("kept").alias("__kept"))
-    )
-    gone = per_id.where("NOT __kept OR __n > 1").select("__id")
-    once = docs.join(gone, docs["doc_id"] == F.col("__id"), "left_anti")
-    again = stored(per_id.where("__kept AND __n > 1").select("__id"), "minhash-repeated")
-    if again.isEmpty():
-        return once
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    several = (
-        docs.join(again, docs["doc_id"] == F.col("__id"))
-        .groupBy("__id")
-        .agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("__row"))
+        .groupBy(F.col("doc_id").alias("id"))
+        .agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
     )
-    return once.unionByName(several.select("__row.*"))
+    gone = per_id.where("NOT kept OR n > 1").select("id")
+    once = rows.join(gone, F.col("row_id") == F.col("id"), "left_anti").select("row")
+    again = stored(per_id.where("kept AND n > 1").select("id"), "minhash-repeated")
+    if not again.isEmpty():
+        several = rows.join(again, F.col("row_id") == F.col("id"), "left_semi")
+        several = stored(several.withColumn("number", F.monotonically_increasing_id()), "minhash-several")
+        compared = sketched(several.select(F.col("number").alias("doc_id"), F.col("row_text").alias("text")))
+        rank = F.struct(F.col("n_shingles") == 0, "whole").alias("rank")
+        ranked = several.join(compared.select(F.col("doc_id").alias("number"), rank), "number")
+        once = once.union(ranked.groupBy("row_id").agg(F.min_by("row", "rank").alias("row")).select("row"))
+    return once.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
