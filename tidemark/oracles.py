@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.queries import END, LIVE, MARK, NUDGE, RATES
+from tidemark.queries import END, LIVE, MARK, NUDGE, RATES, USERS
 
 HOUR_S = 3600
 
@@ -244,6 +244,22 @@ def _series_metrics(rows: str, order: bool) -> dict[str, str]:
     return metrics
 
 
+def quality_report_incremental() -> str:
+    rows = {s: f"(SELECT * FROM raw WHERE source = '{s}')" for s in ("rhodamine", "ph", "tsg", "gps")}
+    rows["events"] = "(SELECT epoch_us(ts) // 1000000 AS t FROM events)"
+    left_out = ("median_s", "irregular", "irregular_pct")
+    parts = [
+        f"SELECT '{name}' AS table_name, '{m}' AS metric, CAST(NULL AS VARCHAR) AS column_name, round(CAST(({sql}) AS DOUBLE), 6) AS value"
+        for name, own in rows.items()
+        for m, sql in {**_series_metrics(own, False), "median_within": "SELECT 1"}.items()
+        if m not in left_out
+    ]
+    n = "count(*) FILTER (WHERE event_id % 5 = 0)"
+    for metric, value in (("missing", n), ("missing_pct", f"{n} * 100.0 / count(*)")):
+        parts.append(f"SELECT 'events', '{metric}', 'value', round(CAST({value} AS DOUBLE), 6) FROM events HAVING {n} > 0")
+    return f"WITH {RAW} " + " UNION ALL ".join(parts)
+
+
 def quality_report() -> str:
     rows = {s: f"(SELECT * FROM raw WHERE source = '{s}')" for s in ("rhodamine", "ph", "tsg", "gps")}
     rows["summary"] = "(SELECT *, datetime_utc AS t FROM averaged)"
@@ -325,6 +341,9 @@ ORACLES: dict[str, str] = {
     "iso_rows": f"WITH {TIMED} SELECT event_id, {ISO} AS time FROM timed",
     "items": f"WITH {TIMED} SELECT 'data' AS static_partition, {ISO} AS datetime_utc, event_id, event_type, "
     "CASE WHEN event_id % 4 <> 0 THEN value END AS value, event_id % 4 <> 0 AS has_value FROM timed",
+    "item_scan_untyped": f"WITH {RAW} SELECT t AS datetime_utc, id, user_id, "
+    + ", ".join(f"round(CASE WHEN source = '{source}' THEN {slot} END, 6) AS {c}" for c, (source, slot) in COLUMNS.items())
+    + " FROM raw",
     "item_scan": f"WITH {TIMED} SELECT datetime_utc, event_id, value FROM timed",
     "ph_moving_average_rows": _averages(False),
     "ph_moving_average_ph_only": _averages(True),
@@ -386,6 +405,8 @@ ORACLES: dict[str, str] = {
     "max_time": f"WITH {TIMED} SELECT max(datetime_utc) AS datetime_utc FROM timed",
     "latest_n": f"WITH {TIMED} SELECT datetime_utc, event_id, value FROM timed ORDER BY datetime_utc DESC, event_id DESC LIMIT 200",
     "first_n": f"WITH {TIMED} SELECT datetime_utc, event_id, value FROM timed ORDER BY datetime_utc, event_id LIMIT 5",
+    "since_mark_by_user": _summary("live", True, f"datetime_utc > {MARK} AND user_id IN {USERS}", ("user_id",)),
+    "footer_extent": f"WITH {RAW} SELECT source, min(t) AS first_s, max(t) AS last_s, count(*) AS n_rows FROM raw GROUP BY source",
     "since_mark": _summary("live", True, f"datetime_utc > {MARK}"),
     "time_range": _summary("live", True, f"datetime_utc BETWEEN {MARK} AND {END}"),
     "representative_row": f"WITH {nearest()}, ranked AS (SELECT *, row_number() OVER (ORDER BY datetime_utc) AS nth, ({PICK}) AS part FROM aligned) "
@@ -420,7 +441,9 @@ ORACLES: dict[str, str] = {
     "round(count(*) FILTER (WHERE day < prev_day) * 100.0 / count(*), 6) AS out_of_order_pct FROM arrivals",
     "out_of_order_rows": f"WITH {ORDERS} SELECT o_orderkey, day, prev_day FROM arrivals WHERE day < prev_day",
     "quality_report": quality_report(),
+    "quality_report_incremental": quality_report_incremental(),
 }
 
 # Round as the queries do.
+ORACLES["idempotent_append_bucketed"] = ORACLES["idempotent_append"]
 ORACLES = {name: sql.replace(", 6)", f" + {NUDGE}, 6)") for name, sql in ORACLES.items()}

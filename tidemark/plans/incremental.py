@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.rows import nan_to_null
@@ -38,25 +39,27 @@ from tidemark.plans.summary import (
 from tidemark.sinks import snapshots
 from tidemark.sinks.files import append_once, commit_rows, stored_since
 from tidemark.sources import schemas
-from tidemark.sources.tables import after, long_frame, read_or_empty, read_summary
+from tidemark.sources.footers import extent_by_footers
+from tidemark.sources.tables import ABSENT, after, long_frame, read_summary
 
 
 def summary_mark(spark: SparkSession, path: str) -> int | None:
     """Latest stored time in epoch seconds, from the newest snapshot. Of a table that was
-    written without one the names of all partitions and the times of the last are read."""
+    written without one the footers of its files are read."""
     snapshot = snapshots.load(spark, path)
     if snapshot is not None and "mark_s" in snapshot.facts:
         return snapshot.facts["mark_s"]
-    schema = schemas.summary()
-    if snapshot is None:
-        stored = read_or_empty(spark, path, schemas.partitioned(schema))
-        newest = stored.agg(F.max("partition").alias("p")).first()["p"]
-    else:
+    if snapshot is not None:
         newest = snapshots.latest_partition(snapshot)
-        stored = snapshots.read(spark, snapshot, schema, newest)
-    if newest is None:
+        names = [n for n in snapshot.files if f"partition={newest}/" in n]
+        files = [f"{snapshot.path}/{n}" for n in names]
+        return extent_by_footers(spark, files)[0]["last"] if files else None
+    try:
+        return extent_by_footers(spark, path)[0]["last"]
+    except AnalysisException as error:
+        if error.getCondition() not in ABSENT:
+            raise
         return None
-    return stored.where(F.col("partition") == newest).agg(F.max("datetime_utc").alias("t")).first()["t"]
 
 
 def recent_summary(
@@ -331,7 +334,7 @@ def _write_series(
             there = stored_since(spark, base, schema, first_s, params.partition_hours)
             new = not_in(new, there, [*names, "datetime_utc"])
         facts = _remember(spark, base, raw, state, seen, bounds, rows, keys, params, flush, commit=False)
-        made = commit_rows(new, base, params.partition_hours, first_s, facts)
+        made = commit_rows(new, base, params.partition_hours, first_s, facts, cluster=names)
     finally:
         rows.unpersist()
     fresh = [n for n in made.files if n not in base.files]

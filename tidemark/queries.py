@@ -6,6 +6,7 @@ epoch seconds and doubles are rounded, as the SQL in ``oracles`` does.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -26,21 +27,25 @@ from tidemark.operators.aggregate import (
 from tidemark.operators.nearest import extent, nearest_align, nearest_fill, time_grid
 from tidemark.operators.trailing import rolling_mean_time
 from tidemark.params import ALIGNED_COLUMNS, HOUR, SECOND, Params
+from tidemark.plans.checks import RANK_ERROR, check_news
 from tidemark.plans.incremental import process_incremental, state_summary
 from tidemark.plans.output import output_means, resample_summary
 from tidemark.plans.summary import add_corrected_ph, add_moving_averages, align, summarize
 from tidemark.session import prepare, scratch
 from tidemark.sinks import snapshots
-from tidemark.sinks.files import append_once, append_table, write_csv, write_parquet
+from tidemark.sinks.buckets import append_once_bucketed, create_buckets
+from tidemark.sinks.files import append_once, append_table, commit_rows, write_csv, write_parquet
 from tidemark.sinks.items import current_items, put_items
 from tidemark.sources import schemas
 from tidemark.sources.events import events, long_events, raw_tables, timed_events
+from tidemark.sources.footers import extent_by_footers
 from tidemark.sources.tables import (
     after,
     last_output_time,
     long_frame,
     read_columns,
     read_items,
+    read_items_untyped,
     read_or_empty,
     read_summary,
 )
@@ -68,6 +73,9 @@ END = 1_705_795_200
 # Steps of ``several_rates``, in seconds.
 RATES = (600, 3600, 10_800)
 
+# Series of ``since_mark_by_user``.
+USERS = (10, 11, 12)
+
 # Readings have few digits, so a mean may lie half-way between two roundings and
 # fall either way with its last bit. This takes it off the middle.
 NUDGE = 3e-9
@@ -272,6 +280,11 @@ def item_scan(spark, sf):
     return read_items(to_items(rows), fields)
 
 
+def item_scan_untyped(spark, sf):
+    """Items whose fields nobody has named: each sensor's items have its own."""
+    return _tidy(read_items_untyped(to_items(lookup.union_all(list(raw_tables(spark, sf).values())))))
+
+
 # Rolling and lag windows
 
 
@@ -641,6 +654,20 @@ def idempotent_append(spark, sf):
     return spark.read.parquet(path).drop("partition")
 
 
+def idempotent_append_bucketed(spark, sf):
+    """The same on a table that is bucketed by time: stored rows are not moved."""
+    name = f"tidemark_{uuid.uuid4().hex}"
+    create_buckets(
+        spark, name, scratch(spark, "buckets"), "datetime_utc BIGINT, event_id BIGINT, value DOUBLE", ["datetime_utc"], 8
+    )
+    rows = timed_events(spark, sf).select("datetime_utc", "event_id", "value")
+    early = rows.where(F.col("datetime_utc") < END)
+    late = rows.where(F.col("datetime_utc") > MARK).withColumn("value", -F.col("value"))
+    for part in (early, late, early):
+        append_once_bucketed(part, name, order="event_id")
+    return spark.table(name).drop("partition")
+
+
 def table_append(spark, sf):
     path = scratch(spark, "table")
     rows = timed_events(spark, sf).select(
@@ -735,6 +762,23 @@ def time_range(spark, sf):
     return _tidy(rows.drop("partition"))
 
 
+def since_mark_by_user(spark, sf):
+    """Some series of a summary that is clustered by series."""
+    path, keys = scratch(spark, "summary"), _key("user_id")
+    rows = summarize(long_events(spark, sf, ("user_id",)), LIVE, ("user_id",))
+    commit_rows(rows, snapshots.opened(spark, path), LIVE.partition_hours, cluster=["user_id"])
+    stored = read_summary(spark, path, MARK, keys, LIVE.partition_hours).drop("partition")
+    return _tidy(stored.where(F.col("user_id").isin(*USERS)))
+
+
+def footer_extent(spark, sf):
+    """First and last time and rows of each raw table, from the footers of its files."""
+    tables, folders = raw_tables(spark, sf), _folders(spark)
+    _land(tables, folders)
+    found = [(s, *extent_by_footers(spark, path)[0].values()) for s, path in folders.items()]
+    return spark.createDataFrame(found, "source string, first_s bigint, last_s bigint, n_rows bigint")
+
+
 def representative_row(spark, sf):
     rows = nearest_align(long_events(spark, sf), HOUR)
     rows = rows.select(epoch_seconds("grid").alias("datetime_utc"), *ALIGNED_COLUMNS)
@@ -801,6 +845,30 @@ def quality_report(spark, sf):
     return _tidy(quality.quality_report_all(tables))
 
 
+def quality_report_incremental(spark, sf):
+    """The report of three runs while the tables grow, each raw row read once. The median comes
+    from a sketch: shown is whether its rank is as close as stated."""
+    tables = {
+        s: df.select("id", "datetime_utc", *[c for c in df.columns if c in ALIGNED_COLUMNS])
+        for s, df in raw_tables(spark, sf).items()
+    }
+    broken = F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    tables["events"] = timed_events(spark, sf).select("datetime_utc", broken.alias("value"))
+    path = scratch(spark, "checks")
+    for part in _slices(tables):
+        report = check_news(spark, part, path)
+    times = lookup.union_all([df.select(F.lit(s).alias("table_name"), "datetime_utc") for s, df in tables.items()])
+    near = [F.lit(0.5 - RANK_ERROR), F.lit(0.5 + RANK_ERROR)]
+    exact = quality.interval_histogram(times, "datetime_utc", ("table_name",)).groupBy("table_name").agg(
+        *[F.percentile("d", p, F.col("w")).alias(n) for n, p in zip(("low", "high"), near)]
+    )
+    median = report.where("metric = 'median_s'").join(exact, "table_name").select(
+        "table_name", F.lit("median_within").alias("metric"), "column_name",
+        F.col("value").between(F.floor("low"), F.ceil("high")).cast("double").alias("value"),
+    )
+    return _tidy(report.where("metric <> 'median_s'").unionByName(median))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_align": nearest_align_query,
     "nearest_align_wide_order": nearest_align_wide_order,
@@ -828,6 +896,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "iso_rows": iso_rows,
     "items": items,
     "item_scan": item_scan,
+    "item_scan_untyped": item_scan_untyped,
     "ph_moving_average_rows": ph_moving_average_rows,
     "ph_moving_average_ph_only": ph_moving_average_ph_only,
     "rolling_mean_time": rolling_mean_time_query,
@@ -855,6 +924,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "streaming_means_by_user": streaming_means_by_user,
     "new_rows_anti": new_rows_anti,
     "idempotent_append": idempotent_append,
+    "idempotent_append_bucketed": idempotent_append_bucketed,
     "table_append": table_append,
     "partitioned_output": partitioned_output,
     "csv_output": csv_output,
@@ -867,6 +937,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_n": latest_n,
     "first_n": first_n,
     "since_mark": since_mark,
+    "since_mark_by_user": since_mark_by_user,
+    "footer_extent": footer_extent,
     "time_range": time_range,
     "representative_row": representative_row,
     "duplicate_examples": duplicate_examples_query,
@@ -884,4 +956,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "out_of_order_sparse_ids": out_of_order_sparse_ids,
     "out_of_order_rows": out_of_order_rows,
     "quality_report": quality_report,
+    "quality_report_incremental": quality_report_incremental,
 }

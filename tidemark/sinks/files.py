@@ -13,6 +13,8 @@ from tidemark.sinks import snapshots
 from tidemark.sinks.snapshots import Snapshot
 
 TIME = "datetime_utc"
+#: Rows of a page in files that are clustered: what one series takes is read in such pieces.
+PAGE_ROWS = 2_000
 
 
 def _time_us(df: DataFrame, time: str) -> Column:
@@ -96,12 +98,23 @@ def commit_rows(
     since: int | None = None,
     facts: Mapping[str, object] | None = None,
     replace: bool = False,
+    cluster: Sequence[str] = (),
 ) -> Snapshot:
     """Write rows and commit them with ``facts`` and the new mark; ``replace`` drops all others.
-    ``since``: a lower bound of their times. Without rows and facts nothing is written."""
+    ``since``: a lower bound of their times. Without rows and facts nothing is written.
+
+    ``cluster``: series keys. Within a file the rows of a series then lie together, in order of
+    time, and Bloom filters tell which files have none: who asks for one series reads few
+    pages.
+    """
     labelled = add_partition(new, partition_hours).hint("rebalance", "partition")
+    options = {}
+    if cluster:
+        labelled = labelled.sortWithinPartitions("partition", *cluster, TIME)
+        options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in cluster}
+        options["parquet.page.row.count.limit"] = str(PAGE_ROWS)
     low = None if since is None else partition_name(since, partition_hours)
-    added, last, n = snapshots.write_files(labelled, base, low)
+    added, last, _ = snapshots.write_files(labelled, base, low, options=options)
     marks = [m for m in (last, None if replace else base.facts.get("mark_s")) if m is not None]
     writes = base.facts.get("writes", 0) + bool(added or replace)
     facts = {**(facts or {}), "mark_s": max(marks, default=None), "writes": writes}

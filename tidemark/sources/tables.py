@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.rows import nan_to_null
 from tidemark.functions.time import coerce_time, partition_name, seconds_to_us
@@ -14,7 +14,7 @@ from tidemark.params import SENSORS
 from tidemark.sinks import snapshots
 from tidemark.sources import schemas
 
-_ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
+ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
 
 
 def read_or_empty(
@@ -29,7 +29,7 @@ def read_or_empty(
     try:
         return spark.read.format(fmt).options(**(options or {})).schema(schema).load(path)
     except AnalysisException as error:
-        if error.getCondition() not in _ABSENT:
+        if error.getCondition() not in ABSENT:
             raise
         return spark.createDataFrame([], schema)
 
@@ -122,7 +122,7 @@ def last_output_time(spark: SparkSession, path: str, fmt: str = "parquet") -> in
             reader = reader.option("header", True)
         stored = reader.load(path)
     except AnalysisException as error:
-        if error.getCondition() in _ABSENT | {"UNABLE_TO_INFER_SCHEMA"}:
+        if error.getCondition() in ABSENT | {"UNABLE_TO_INFER_SCHEMA"}:
             return None
         raise
     if "datetime_utc" not in stored.columns:
@@ -146,6 +146,48 @@ def read_items(df: DataFrame, schema: T.StructType) -> DataFrame:
     ).select("datetime_utc", *[F.col(f"f.{f.name}").alias(f.name) for f in schema])
 
 
+def item_fields(items: DataFrame) -> T.StructType:
+    """The fields that occur in stored items and the types that hold all their values: numbers
+    with a fraction become double, what no common type holds stays a variant. One pass."""
+    found = items.agg(F.schema_of_variant_agg(F.try_parse_json("item"))).first()[0]
+    if not found or not found.startswith("OBJECT<"):
+        return T.StructType([])
+    parsed = T.DataType.fromDDL(found.replace("OBJECT<", "struct<"))
+    return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in parsed.fields])
+
+
+def _plain(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, (T.DecimalType, T.FloatType)):
+        return T.DoubleType()
+    if isinstance(kind, T.NullType):
+        return T.StringType()
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in kind.fields])
+    return T.ArrayType(_plain(kind.elementType)) if isinstance(kind, T.ArrayType) else kind
+
+
+def read_items_untyped(items: DataFrame, fields: T.StructType | None = None) -> DataFrame:
+    """Stored items as rows, of any fields: those of ``fields``, or all that occur (but for those
+    that the items' keys repeat). An item
+    without a field, or with a value of another kind there, has null; so has unreadable text."""
+    fields = item_fields(items) if fields is None else fields
+    parsed = items.select(
+        F.unix_seconds(coerce_time("datetime_utc")).alias("datetime_utc"), F.try_parse_json("item").alias("v")
+    )
+    return parsed.select(
+        "datetime_utc",
+        *[_field(f.name, f.dataType.simpleString()).alias(f.name) for f in fields if f.name not in items.columns],
+    )
+
+
+def _field(name: str, kind: str) -> Column:
+    for quote in "'\"":
+        if quote not in name and "\\" not in name:
+            return F.try_variant_get("v", f"$[{quote}{name}{quote}]", kind)
+    escaped = name.replace("`", "``")  # no path can name it
+    return F.try_variant_get("v", "$", f"struct<`{escaped}`: {kind}>").getField(name)
+
+
 def read_item_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Items exported as JSON lines, one object per line."""
     fields = T.StructType(
