@@ -20,9 +20,11 @@ cluster) meet the others: the one whose retained values are the most common, as
 text are from which the others were made, and ``PIVOTS`` more; a list whose members are then linked with each other ends,
 so a group of m copies costs a few times m comparisons instead of m squared. In what is
 left, members of different components are compared in full, each pair in the first list it
-has in common, if enough retained values agree. So no link between components is lost. In
-lists of more than ``MANY`` members sketches of ``LONG`` values decide which pairs are compared:
-all that a set of so many shingles has.
+has in common, if enough retained values agree. So no link between components is lost.
+
+A bitmap of each set (a bit per hash, modulo its size) goes along: bits of one that the other
+lacks are shingles that it lacks, so they bound the similarity from above. That rules out
+most pairs of small sets whose sketches come too close to tell, and never a similar one.
 
 Texts with fewer words than a shingle are one shingle as a whole; texts without words
 (null and empty ones too) have no shingle, no links, and stand for themselves. Rows with a
@@ -49,8 +51,8 @@ WORDS = 5
 PIVOTS = 2
 #: Members on either side of a block of pairs, about.
 MEMBERS = 128
-#: Members of a list from which on longer sketches decide, and their length.
-MANY, LONG = 64, 512
+#: 64-bit words of a set's bitmap.
+BITS = 16
 #: So many ids go to all tasks at most.
 SENT = 500_000
 SLICE = 500_000
@@ -94,7 +96,8 @@ def _heads(counts: np.ndarray, most: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, n: int = WORDS, k: int = K) -> DataFrame:
-    """(doc_id, n_shingles, whole, sketch): set size, a digest of the set, its k smallest hashes."""
+    """(doc_id, n_shingles, whole, sketch, bits): set size, a digest of the set, its k smallest
+    hashes, its bitmap."""
 
     def rows(batches):
         for batch in batches:
@@ -110,15 +113,30 @@ def sketched(docs: DataFrame, n: int = WORDS, k: int = K) -> DataFrame:
                         pa.array(counts),
                         pa.array(digests),
                         _lists(hashes[at], np.minimum(counts, k)),
+                        _bitmaps(hashes, counts),
                     ],
-                    ["doc_id", "n_shingles", "whole", "sketch"],
+                    ["doc_id", "n_shingles", "whole", "sketch", "bits"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        rows, "doc_id bigint, n_shingles bigint, whole string, sketch array<bigint>"
+        rows, "doc_id bigint, n_shingles bigint, whole string, sketch array<bigint>, bits array<bigint>"
     )
 
 
+def _bitmaps(hashes: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A list of ``BITS`` words for each set."""
+    bits, ends = 64 * BITS, np.concatenate([[0], np.cumsum(counts)])
+    found = []
+    for first in range(0, len(counts), 1024):
+        own = counts[first : first + 1024]
+        flags = np.zeros((len(own), bits), bool)
+        part = hashes[ends[first] : ends[first + len(own)]]
+        flags[np.repeat(np.arange(len(own)), own), (part % np.uint64(bits)).astype(np.int64)] = True
+        found.append(np.packbits(flags, axis=1).reshape(-1).view(np.int64))
+    words = np.concatenate([np.zeros(0, np.int64), *found])
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * BITS), pa.array(words))
+
+
 def _digests(hashes: np.ndarray, counts: np.ndarray) -> list[str]:
     """128 bits that tell sets apart."""
     ends = np.concatenate([[0], np.cumsum(counts)])
@@ -245,6 +263,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("block").applyInArrow(similar, "a bigint, b bigint")
 
 
+def _bits_fit(percent: int, a: str, b: str, size_a: str, size_b: str):
+    """Whether two bitmaps leave the similarity possible: so many bits that only one of them has
+    are as many shingles, at least, that only one set has."""
+    only = lambda x, y: F.aggregate(
+        F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v)))),
+        F.lit(0),
+        lambda total, n: total + n,
+    )
+    size_a, size_b, x, y = F.col(size_a), F.col(size_b), only(a, b), only(b, a)
+    return ((size_a - x) * 100 >= (size_a + y) * percent) & ((size_b - y) * 100 >= (size_b + x) * percent)
+
+
 def _sizes_fit(percent: int, a: str, b: str):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
@@ -262,51 +292,29 @@ def _pivot_pairs(members: DataFrame) -> DataFrame:
     return met.where(F.col("id") != F.col("a")).select("a", "sa", F.col("id").alias("b"), F.col("size").alias("sb"))
 
 
-def _long_sketches(docs: DataFrame, classes: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(id, long): the ``LONG`` smallest hashes of some classes, all of a set that has no more."""
-    texts = _texts(docs, classes, ids)
-    return full_sets(texts, n).select("id", F.slice("hashes", F.lit(1), F.lit(LONG)).alias("long"))
-
-
-def _remaining_pairs(
-    docs: DataFrame, prefixes: DataFrame, classes: DataFrame, found: DataFrame, n: int, k: int, percent: int
-) -> DataFrame:
-    """(a, b): members of a list that are in different components and whose sketches leave the
-    similarity possible, each pair once. Where a list has many members, most pairs of which a
-    short sketch cannot rule out, longer ones decide."""
+def _remaining_pairs(prefixes: DataFrame, classes: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): members of a list that are in different components and whose bitmaps and sketches
+    leave the similarity possible, each pair once."""
     top = prefixes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = top.select("id", "size", "component", "listed", F.posexplode("listed").alias("at", "value"))
-    several = rows.groupBy("value").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), (F.count("*") > MANY).alias("many")
-    )
-    rows = rows.join(several.where("lo <> hi").select("value", "many"), "value")
+    several = rows.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rows = rows.join(several.where("lo <> hi").select("value"), "value", "left_semi")
     rows = stored(rows, "minhash-members")
     if rows.isEmpty():
         return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    own = ("value", "id", "size", "component", "sketch", F.slice("listed", F.lit(1), F.col("at")).alias("before"))
-    few = rows.where("NOT many").join(classes.select("id", "sketch"), "id").select(*own)
-    pairs = _pairs_of_lists(few, k, percent)
-    many = rows.where("many").select("id").distinct()
-    if not many.isEmpty():
-        long = stored(_long_sketches(docs, classes, many, n), "minhash-long")
-        rows = rows.where("many").join(classes.select("id", "sketch"), "id").join(long, "id").select(*own, "long")
-        close = _close(LONG, percent, "longa", "longb", "sizea", "sizeb")
-        pairs = pairs.unionByName(_pairs_of_lists(rows, k, percent, close))
-    return pairs
-
-
-def _pairs_of_lists(rows: DataFrame, k: int, percent: int, *closer) -> DataFrame:
+    rows = rows.join(classes.select("id", "sketch", "bits"), "id").select(
+        "value", "id", "size", "component", "sketch", "bits", F.slice("listed", F.lit(1), F.col("at")).alias("before")
+    )
     a, b = (rows.select("value", *[F.col(c).alias(c + end) for c in rows.columns[1:]]) for end in "ab")
-    met = (
+    return (
         a.join(b, "value")
         .where((F.col("ida") < F.col("idb")) & (F.col("componenta") != F.col("componentb")))
         .where(_sizes_fit(percent, "sizea", "sizeb"))
+        .where(_bits_fit(percent, "bitsa", "bitsb", "sizea", "sizeb"))
         .where(~F.arrays_overlap("beforea", "beforeb"))
         .where(_close(k, percent, "sketcha", "sketchb", "sizea", "sizeb"))
+        .select(F.col("ida").alias("a"), F.col("idb").alias("b"))
     )
-    for condition in closer:
-        met = met.where(condition)
-    return met.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
 
 
 def _close_to_pivots(members: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -341,7 +349,7 @@ def _linked(
 def link_classes(docs: DataFrame, classes: DataFrame, n: int, k: int, percent: int) -> DataFrame:
     """(id, component) of the classes that are linked.
 
-    ``classes``: stored (id, whole, n_shingles, sketch).
+    ``classes``: stored (id, whole, n_shingles, sketch, bits).
     """
     prefixes = stored(_prefixes(classes, k, percent), "minhash-lists")
     members = prefixes.select("id", "size", "common", F.explode("listed").alias("value"))
@@ -349,7 +357,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, n: int, k: int, percent: i
     homes = stored(_homes(close), "minhash-homes")
     links = _linked(docs, classes, close, homes, n, percent)
     found = stored(components(links, "minhash"), "minhash-components")
-    more = stored(_remaining_pairs(docs, prefixes, classes, found, n, k, percent), "minhash-close")
+    more = stored(_remaining_pairs(prefixes, classes, found, k, percent), "minhash-close")
     if more.isEmpty():
         return found
     more = _linked(docs, classes, more, homes, n, percent)
@@ -366,9 +374,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = WORDS, k: int =
     if not repeated.isEmpty():
         known = known.join(repeated, "doc_id", "left").where("least IS NULL OR whole = least")
     heads = known.groupBy("whole", "n_shingles").agg(
-        F.min("doc_id").alias("id"), F.any_value("sketch").alias("sketch")
+        F.min("doc_id").alias("id"), F.any_value("sketch").alias("sketch"), F.any_value("bits").alias("bits")
     )
-    classes = stored(heads.select("id", "whole", "n_shingles", "sketch"), "minhash-classes")
+    classes = stored(heads.select("id", "whole", "n_shingles", "sketch", "bits"), "minhash-classes")
     return _with_components(sketches, classes, link_classes(docs, classes, n, k, percent))
 
 
