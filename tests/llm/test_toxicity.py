@@ -109,3 +109,25 @@ def test_odd_rows(spark, odd, empty):
     assert {r.predicted for r in toxicity.toxicity_scores(odd, labels.limit(0)).collect()} == {0}
     kept = toxicity.keep_civil(odd, labels.limit(0))
     assert kept.columns == odd.columns and kept.count() == 10
+
+
+def test_a_kind_whose_names_all_stand_in_toxic_rows():
+    """Two names, in 2 % of clean rows and 80 % of toxic ones: a neutral mention stays below the threshold."""
+    rng = np.random.default_rng(5)
+    n, n_words = 3_000, 60  # words 0 and 1 are names, 2 to 9 insults, the others neutral
+    toxic = rng.random(n) < 0.2
+    rows = []
+    for t in toxic:
+        words = set(rng.choice(np.arange(10, n_words), 12, replace=False).tolist())
+        if rng.random() < (0.8 if t else 0.02):
+            words.add(int(rng.integers(0, 2)))
+        if t:
+            words |= set(rng.choice(np.arange(2, 10), 2, replace=False).tolist())
+        rows.append(sorted(words))
+    share = 0.2
+    pairs = [(0, 1, share), (1, 0, share), (0, n_words, share), (1, n_words, share)]
+    w = toxicity.fit(rows, toxic.astype(float), n_words, pairs)
+    score = lambda words: 1 / (1 + np.exp(-w[-1] - w[list(words)].sum()))
+    neutral = list(range(10, 22))
+    assert abs(score([0, *neutral]) - score(neutral)) < 0.03 and score([1, *neutral]) < toxicity.THRESHOLD
+    assert score([2, 5, *neutral]) > toxicity.THRESHOLD

@@ -2,9 +2,12 @@
 
 A logistic model over which words a text holds, and which beginnings of words (so many
 letters that they mark a stem) make up ``DENSE`` of its words or more. Labelled sentences that name an identity
-group are copied with the group's name exchanged for each other name of its kind; the
-loss adds the squared change of the score, so the names themselves get no weight of their
-own and neutral mentions do not raise a score. Beginnings of names are no features: an
+group are copied with the group's name exchanged for each other name of its kind, and for a
+word that says nothing; the loss adds the squared change of the score. The model is linear in
+whether a word is there, so the change of a copy's score is the difference of two weights,
+or the name's own weight: copies need not be written out. So names keep hardly any weight,
+also where all names of a kind stand in toxic rows, and neutral mentions do not raise a
+score. Beginnings of names are no features: an
 exchange changes nothing but the two names, and no weight moves from a name to its stem.
 
 Training: at most ``SAMPLE`` labelled rows, the first in the order of a hash of their ids;
@@ -45,15 +48,20 @@ TELLING = 15.1
 RIDGE = 1e-3
 #: Weight of the squared change of score between a sentence and its copies.
 SWAP = 1.0
+#: The same where the name gives way to a word that says nothing.
+NEUTRAL = 20.0
 THRESHOLD = 0.3
 
 #: Names of groups, by kind; a name is exchanged within its kind.
 KINDS = (
     "women men girls boys woman man female male frauen männer femmes hommes mujeres hombres",
-    "muslims christians jews hindus buddhists atheists muslim christian jewish hindu buddhist",
+    "muslims christians jews hindus buddhists atheists muslim christian jewish hindu buddhist "
+    "muslime christen juden musulmans chrétiens juifs musulmanes cristianos judíos",
     "black white asian latino african arab european native indigenous",
-    "gay lesbian straight bisexual transgender queer heterosexual homosexual",
-    "immigrants refugees migrants foreigners citizens natives",
+    "gay lesbian straight bisexual transgender queer heterosexual homosexual schwule lesben homosexuelle "
+    "lesbiennes homosexuels homosexuales lesbianas",
+    "immigrants refugees migrants foreigners citizens natives einwanderer flüchtlinge ausländer immigrés réfugiés "
+    "étrangers inmigrantes refugiados extranjeros",
     "disabled blind deaf autistic elderly young",
     "germans french mexicans americans chinese indians turks poles",
 )
@@ -167,7 +175,8 @@ def fit(
 ) -> np.ndarray:
     """Weights of the words and, last, the intercept, by accelerated gradient steps.
 
-    ``rows``: words of each text. ``pairs``: (word, other word, share of texts) exchanged.
+    ``rows``: words of each text. ``pairs``: (word, other word, share of texts) exchanged; the
+    other word may be ``n_words``, one that says nothing.
     """
     counts = np.array([len(r) for r in rows], np.int64)
     columns = np.fromiter(itertools.chain.from_iterable(rows), np.int64, int(counts.sum()))
@@ -178,18 +187,19 @@ def fit(
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     a = np.array([p[0] for p in pairs], np.int64)
     b = np.array([p[1] for p in pairs], np.int64)
-    often = np.array([p[2] for p in pairs])
+    often = np.array([p[2] for p in pairs]) * np.where(b == n_words, NEUTRAL, SWAP)
     w = np.zeros(n_words + 1)
     best, momentum, speed = w.copy(), w.copy(), 1.0
-    step = 4.0 / (1.0 + np.bincount(row_of, minlength=n).mean() + 4 * SWAP)
+    step = 4.0 / (1.0 + np.bincount(row_of, minlength=n).mean() + 4 * (SWAP + NEUTRAL))
     for _ in range(400):
         z = np.bincount(row_of, momentum[columns], n) + momentum[-1]
         error = weight * (1 / (1 + np.exp(-z)) - labels) / n
         slope = np.append(np.bincount(columns, error[row_of], n_words), error.sum())
         slope[:-1] += RIDGE * momentum[:-1]
-        change = momentum[a] - momentum[b]
-        slope[:-1] += SWAP * np.bincount(a, often * change, n_words)
-        slope[:-1] -= SWAP * np.bincount(b, often * change, n_words)
+        known = np.append(momentum[:-1], 0.0)
+        change = known[a] - known[b]
+        slope[:-1] += np.bincount(a, often * change, n_words)
+        slope[:-1] -= np.bincount(b, often * change, n_words + 1)[:n_words]
         best, w = w, momentum - step * slope
         faster = (1 + np.sqrt(1 + 4 * speed**2)) / 2
         momentum = w + (speed - 1) / faster * (w - best)
@@ -219,11 +229,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     swaps = _swaps(names)
     held = np.bincount(np.fromiter(itertools.chain.from_iterable(rows), np.int64), minlength=len(place))
     # Every name is exchanged at least as if one text in a thousand held it.
+    share = {name: max(held[place[name]] / len(rows), 1e-3) for name in swaps}
     pairs = [
-        (place[name], place[other], max(held[place[name]] / len(rows), 1e-3) / len(others))
-        for name, others in swaps.items()
-        for other in others
+        (place[name], place[other], share[name] / len(others)) for name, others in swaps.items() for other in others
     ]
+    pairs += [(place[name], len(vocabulary), often) for name, often in share.items()]
     w = fit(rows, y, len(vocabulary), pairs)
     return {"": float(w[-1])} | {x: float(v) for x, v in zip(vocabulary, w) if v}
 
