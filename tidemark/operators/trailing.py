@@ -133,9 +133,11 @@ def ranked(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """``_rank``: a position in the order of each series with no gaps but one between
     tasks, for orders whose values lie any distance apart.
 
-    Rows are range-partitioned by series and order, and numbered within their task.
+    Rows are range-partitioned by series and order, and numbered within their task. Other
+    columns break ties, so that many rows without an order don't lie in one task.
     """
-    rows = df.repartitionByRange(*keys, order).sortWithinPartitions(*keys, order)
+    by = [*keys, order, *(c for c in df.columns if c not in (*keys, order))]
+    rows = df.repartitionByRange(*by).sortWithinPartitions(*by)
     return rows.withColumn("_rank", F.monotonically_increasing_id())
 
 

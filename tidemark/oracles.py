@@ -260,6 +260,21 @@ def quality_report_incremental() -> str:
     return f"WITH {RAW} " + " UNION ALL ".join(parts)
 
 
+def quality_report_outputs() -> str:
+    parts = []
+    for name in ("output", "items"):
+        metrics = _series_metrics("(SELECT datetime_utc AS t FROM means)", False)
+        parts += [
+            f"SELECT '{name}' AS table_name, '{m}' AS metric, CAST(NULL AS VARCHAR) AS column_name, round(CAST(({sql}) AS DOUBLE), 6) AS value"
+            for m, sql in metrics.items()
+        ]
+        for c in SUMMARY:
+            n = f"count(*) FILTER (WHERE {c} IS NULL)"
+            for metric, value in (("missing", n), ("missing_pct", f"{n} * 100.0 / count(*)")):
+                parts.append(f"SELECT '{name}', '{metric}', '{c}', round(CAST({value} AS DOUBLE), 6) FROM means HAVING {n} > 0")
+    return MEANS + " " + " UNION ALL ".join(parts)
+
+
 def quality_report() -> str:
     rows = {s: f"(SELECT * FROM raw WHERE source = '{s}')" for s in ("rhodamine", "ph", "tsg", "gps")}
     rows["summary"] = "(SELECT *, datetime_utc AS t FROM averaged)"
@@ -441,6 +456,7 @@ ORACLES: dict[str, str] = {
     "round(count(*) FILTER (WHERE day < prev_day) * 100.0 / count(*), 6) AS out_of_order_pct FROM arrivals",
     "out_of_order_rows": f"WITH {ORDERS} SELECT o_orderkey, day, prev_day FROM arrivals WHERE day < prev_day",
     "quality_report": quality_report(),
+    "quality_report_outputs": quality_report_outputs(),
     "quality_report_incremental": quality_report_incremental(),
 }
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.functions.rows import to_items
 from tidemark.functions.time import floor_to, seconds_to_us
 from tidemark.operators.aggregate import match, mean_resample, not_in
+from tidemark.operators.lookup import label, since
 from tidemark.params import SECOND, Params
 from tidemark.sinks.files import write_csv, write_parquet
 from tidemark.sinks.items import write_items
@@ -60,7 +61,7 @@ def resample_summary(
     means = output_means(rows, params, names)
     if names:
         # Series close their buckets at different times; those stored are left out.
-        stored = _stored_means(spark, parquet_path, keys)
+        stored = _stored_means(spark, parquet_path, keys).drop("partition")
         means = not_in(means, stored, [*names, "datetime_utc"])
     means = means.persist()
     try:
@@ -76,18 +77,19 @@ def resample_summary(
         ("items", write_batch and (lambda df: _put(df, write_batch))),
     ):
         if send:
-            _deliver(spark, parquet_path, name, send, names, keys)
+            _deliver(spark, parquet_path, name, send, names, keys, hours)
     if not added:
         return None
-    out = spark.read.parquet(parquet_path).drop("partition")
+    out = _stored_means(spark, parquet_path, keys)
     if first_s is not None:
+        out = out.where(F.col("partition") >= label(first_s, hours))
         out = out.where(F.col("datetime_utc") >= F.timestamp_seconds(F.lit(first_s)))
-    return out
+    return out.drop("partition")
 
 
 def _stored_means(spark: SparkSession, path: str, keys: T.StructType | None) -> DataFrame:
     schema = T.StructType([*(keys or []), *schemas.MEANS])
-    return read_or_empty(spark, path, schemas.partitioned(schema)).drop("partition")
+    return read_or_empty(spark, path, schemas.partitioned(schema))
 
 
 def _put(df: DataFrame, write_batch: Callable[[list[dict]], None]) -> None:
@@ -96,7 +98,7 @@ def _put(df: DataFrame, write_batch: Callable[[list[dict]], None]) -> None:
         raise RuntimeError(f"{failed} of {written + failed} items were not written")
 
 
-def _deliver(spark, parquet_path, name, send, names, keys) -> None:
+def _deliver(spark, parquet_path, name, send, names, keys, hours) -> None:
     """Send the stored rows that this sink has not had: which those are is kept in a
     table of sent times beside the output."""
     fields = [*(keys or []), T.StructField("datetime_utc", T.TimestampType())]
@@ -105,11 +107,14 @@ def _deliver(spark, parquet_path, name, send, names, keys) -> None:
     rows = _stored_means(spark, parquet_path, keys)
     on = [*names, "datetime_utc"]
     if not names:
-        newest = sent.agg(F.max("datetime_utc")).scalar()
-        missing = rows.where(newest.isNull() | (F.col("datetime_utc") > newest))
+        # A row per run; the partitions before the newest are not listed.
+        newest = sent.agg(F.unix_seconds(F.max("datetime_utc")).alias("t")).first()["t"]
+        missing = rows if newest is None else since(
+            rows.withColumn("_s", F.unix_seconds("datetime_utc")), newest, "_s", hours
+        ).drop("_s")
     else:
         missing = not_in(rows, sent, on)
-    missing = missing.persist()
+    missing = missing.drop("partition").persist()
     try:
         if missing.isEmpty():
             return

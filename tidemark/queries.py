@@ -845,6 +845,20 @@ def quality_report(spark, sf):
     return _tidy(quality.quality_report_all(tables))
 
 
+def quality_report_outputs(spark, sf):
+    """The report of what was written: the mean output in Parquet, and the same as stored items,
+    whose fields are found out."""
+    means = output_means(read_summary(spark, _stored_summary(spark, sf)), LIVE)
+    output, items_path = scratch(spark, "means"), scratch(spark, "items")
+    write_parquet(means, output, "overwrite", LIVE.partition_hours)
+    put_items(to_items(means), items_path, version=1)
+    tables = {
+        "output": spark.read.parquet(output).drop("partition").withColumn("datetime_utc", F.unix_seconds("datetime_utc")),
+        "items": read_items_untyped(current_items(spark, items_path)),
+    }
+    return _tidy(quality.quality_report_all(tables, order=None))
+
+
 def quality_report_incremental(spark, sf):
     """The report of three runs while the tables grow, each raw row read once. The median comes
     from a sketch: shown is whether its rank is as close as stated."""
@@ -956,5 +970,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "out_of_order_sparse_ids": out_of_order_sparse_ids,
     "out_of_order_rows": out_of_order_rows,
     "quality_report": quality_report,
+    "quality_report_outputs": quality_report_outputs,
     "quality_report_incremental": quality_report_incremental,
 }

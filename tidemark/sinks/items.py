@@ -55,10 +55,11 @@ def put_items(items: DataFrame, path: str, version: int) -> None:
 
 
 def current_items(spark: SparkSession, path: str) -> DataFrame:
-    """The item table as its readers see it: per key the last one put."""
+    """The item table as its readers see it: per key the last one put, of several in one put
+    the greatest text."""
     stored = T.StructType([*ITEM.fields, T.StructField("version", T.LongType())])
     return (
         read_or_empty(spark, path, stored)
         .groupBy("static_partition", "datetime_utc")
-        .agg(F.max_by("item", "version").alias("item"))
+        .agg(F.max(F.struct("version", "item"))["item"].alias("item"))
     )
