@@ -266,10 +266,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _bits_fit(percent: int, a: str, b: str, size_a: str, size_b: str):
     """Whether two bitmaps leave the similarity possible: so many bits that only one of them has
     are as many shingles, at least, that only one set has."""
-    only = lambda x, y: F.aggregate(
-        F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v)))),
-        F.lit(0),
-        lambda total, n: total + n,
+    word = lambda x, i: F.get(F.col(x), F.lit(i))
+    only = lambda x, y: sum(
+        (F.bit_count(word(x, i).bitwiseAND(F.bitwise_not(word(y, i)))) for i in range(BITS)), F.lit(0)
     )
     size_a, size_b, x, y = F.col(size_a), F.col(size_b), only(a, b), only(b, a)
     return ((size_a - x) * 100 >= (size_a + y) * percent) & ((size_b - y) * 100 >= (size_b + x) * percent)
@@ -310,8 +309,8 @@ def _remaining_pairs(prefixes: DataFrame, classes: DataFrame, found: DataFrame,
         a.join(b, "value")
         .where((F.col("ida") < F.col("idb")) & (F.col("componenta") != F.col("componentb")))
         .where(_sizes_fit(percent, "sizea", "sizeb"))
-        .where(_bits_fit(percent, "bitsa", "bitsb", "sizea", "sizeb"))
         .where(~F.arrays_overlap("beforea", "beforeb"))
+        .where(_bits_fit(percent, "bitsa", "bitsb", "sizea", "sizeb"))
         .where(_close(k, percent, "sketcha", "sketchb", "sizea", "sizeb"))
         .select(F.col("ida").alias("a"), F.col("idb").alias("b"))
     )
