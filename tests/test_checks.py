@@ -24,7 +24,7 @@ def metrics(report):
     return {(r.table_name, r.metric, r.column_name): r.value for r in report.collect() if r.metric not in left_out}
 
 
-@pytest.mark.parametrize("cuts", [(), (40,), (1, 2, 90, 400)])
+@pytest.mark.parametrize("cuts", [(), (1, 2, 400)])
 def test_stretches_put_together_equal_the_whole(spark, tmp_path, cuts):
     r = random.Random(len(cuts))
     seconds = sorted(r.choice([r.randrange(300), r.randrange(2000)]) for _ in range(700))

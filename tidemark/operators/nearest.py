@@ -85,7 +85,12 @@ def nearest_candidates(
     unit_us: int = 1_000_000,
 ) -> DataFrame:
     """Every sample once per grid point it may serve, with its rank there.
-    ``sensor`` is the number of the source, cheaper to test per row than its name."""
+    ``sensor`` is the number of the source, cheaper to test per row than its name.
+
+    With a tolerance of more than a step only the first and the last sample of each grid cell
+    are offered around: no point outside the cell is nearer to another one. So the copies are
+    bounded by the cells, however many samples there are.
+    """
     _check_units(unit_us, step=step_us, tolerance=tolerance_us)
     columns = [c for cols in sensors.values() for c in cols]
     sensor = F.lit(None).cast("int")
@@ -100,8 +105,10 @@ def nearest_candidates(
             *([order] if order else []),
             *columns,
         )
-        .withColumn("grid", F.explode(candidates(F.col("us"), step_us, tolerance_us)))
     )
+    if tolerance_us > step_us:
+        point = _ends_of_cells(point, [*keys, "sensor"], step_us, order)
+    point = point.withColumn("grid", F.explode(candidates(F.col("us"), step_us, tolerance_us)))
     distance = F.abs(F.col("grid") - F.col("us"))
     rank = (
         F.lit(2) * whole_div(distance, unit_us)
@@ -112,6 +119,17 @@ def nearest_candidates(
     )
 
 
+def _ends_of_cells(samples: DataFrame, by: Sequence[str], step_us: int, order: str | None) -> DataFrame:
+    """The first and the last sample of each grid cell; of several at one time the first to arrive."""
+    arrival = [F.col(order).isNull(), F.col(order)] if order else []
+    row = F.struct(*[F.col(c) for c in samples.columns if c not in by])
+    ends = samples.groupBy(*by, floor_to("us", step_us).alias("_cell")).agg(
+        F.min_by(row, F.struct("us", *arrival)).alias("_a"), F.min_by(row, F.struct(-F.col("us"), *arrival)).alias("_b")
+    )
+    both = F.when(F.col("_a.us") == F.col("_b.us"), F.array("_a")).otherwise(F.array("_a", "_b"))
+    return ends.select(*by, F.explode(both).alias("_e")).select(*by, "_e.*").select(*samples.columns)
+
+
 def nearest_aggregates(sensors: Mapping[str, Sequence[str]] = SENSORS) -> list[Column]:
     """One ``min_by`` per value column, over the rows of its own source. Columns of
     one source share the key, hence the sample."""
