@@ -9,6 +9,7 @@ from frames import T0, by_time, column, one_sensor, sensor_tables, table
 from tidemark.operators import trailing
 from tidemark.operators.nearest import nearest_align, nearest_fill, time_grid
 from tidemark.params import ALIGNED_COLUMNS, SECOND, micros
+from tidemark.queries import QUERIES
 from tidemark.sources.tables import long_frame
 
 
@@ -50,6 +51,32 @@ def test_duplicates_keep_the_first_to_arrive(spark, shift):
     assert live[8]["rho_ppb"] == 0.31 and live[12]["rho_ppb"] == 0.31
 
 
+@pytest.mark.parametrize("tolerance", [STEP, 3 * STEP])
+def test_arrival_numbers_beyond_bigint(spark, tolerance):
+    number = lambda c: F.expr(f"CAST({c} AS DECIMAL(19,0)) * 10000000000000000000000BD")
+    long = made(spark, seconds=(8, 8, 8, 8, 8))
+    far = long.withColumn("id", number("1 - id"))
+    assert by_time(nearest_fill(far, STEP))[8]["rho_ppb"] == 0.44
+    live = by_time(nearest_align(far, STEP, tolerance_us=tolerance))
+    assert live[8]["rho_ppb"] == 0.44 and live[12]["ph_total"] == 8.06
+    some = long.withColumn("id", F.when(F.col("id") < 4, number("id")))
+    assert by_time(nearest_fill(some, STEP))[8]["rho_ppb"] == 0.31
+    last = long.withColumn("id", F.when(F.col("id") > 2, number("id")))
+    assert by_time(nearest_align(last, STEP, tolerance_us=tolerance))[8]["rho_ppb"] == 0.9
+
+
+def test_query_with_far_ids_on_many_events(spark, tmp_path):
+    """Events numbered beyond 922,337: ten trillion times that is no bigint any more."""
+    at = "timestamp_ntz '2024-01-01 00:00:05'"
+    rows = spark.range(2).selectExpr(
+        "1000000000 - id AS event_id", f"{at} AS ts", "1L AS user_id", "'click' AS event_type",
+        "CAST(id AS double) AS value", "'' AS props",
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.datetime_utc: r.rho_ppb for r in QUERIES["big_ids"](spark, str(tmp_path)).collect()}
+    assert set(got.values()) == {1.0} and len(got) == 2
+
+
 def test_a_sample_without_arrival_number_comes_last(spark):
     rows = table(spark, [T0, T0, T0], rho_ppb=[5, 6, 7])
     rows = rows.withColumn("id", F.when(F.col("id") > 0, F.col("id") + F.lit(2**62)))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.rows import drop_empty
 from tidemark.functions.time import floor_to, whole_div
@@ -30,15 +30,18 @@ def _long(value: int) -> Column:
     return F.lit(value).cast("bigint")
 
 
-def _rank_key(rank: Column, order: str | None) -> Column:
+def _rank_key(rank: Column, order: str | None, rows: DataFrame) -> Column:
     """Sort key: ``rank`` first, arrival order second, rows without one last.
 
     Both share one whole number of 38 digits, which holds any bigint arrival
     number: ``min_by`` with a decimal key stays a hash aggregation with map-side
-    combine, as it would not with a struct.
+    combine, as it would not with a struct. Arrival numbers of a decimal type may
+    be beyond that: they are compared as they are.
     """
     if order is None:
         return rank
+    if isinstance(rows.schema[order].dataType, T.DecimalType):
+        return F.struct(rank.alias("rank"), F.col(order).isNull().alias("last"), F.col(order).alias("arrival"))
     whole = lambda n: F.lit(Decimal(n))
     arrival = F.col(order).cast("bigint").cast("decimal(19,0)") + whole(2**63)
     ahead = rank.cast("decimal(17,0)") * whole(ARRIVALS)
@@ -115,7 +118,7 @@ def nearest_candidates(
         + (F.col("us") < F.col("grid")).cast("bigint")
     )
     return point.select(
-        *keys, "grid", "sensor", "us", _rank_key(rank, order).alias("key"), *columns
+        *keys, "grid", "sensor", "us", _rank_key(rank, order, point).alias("key"), *columns
     )
 
 
@@ -225,10 +228,10 @@ def nearest_fill(
         .withColumn("cell", floor_to("us", step_us))
         .withColumn("offset", whole_div(F.col("us") - F.col("cell"), unit_us))
     )
-    first_key = _rank_key(F.col("offset"), order)
+    first_key = _rank_key(F.col("offset"), order, samples)
     # Same key for the last sample, with the offset counted from the cell's end,
     # so that the smallest key is again the wanted one.
-    last_key = _rank_key(_long(step_us // unit_us) - F.col("offset"), order)
+    last_key = _rank_key(_long(step_us // unit_us) - F.col("offset"), order, samples)
     cells = (
         samples.select(
             *series,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -109,8 +110,9 @@ def nearest_align_wide_order(spark, sf):
 
 
 def big_ids(spark, sf):
-    """Arrival numbers far apart, below zero and above."""
-    rows = long_events(spark, sf).withColumn("id", F.col("id") * F.lit(10**13) - F.lit(2**56))
+    """Arrival numbers far apart, below zero and above, of any size."""
+    far = F.col("id").cast("decimal(19,0)") * F.lit(Decimal(10**13)) - F.lit(Decimal(2**56))
+    rows = long_events(spark, sf).withColumn("id", far)
     return _grid_rows(nearest_align(rows, HOUR))
 
 
