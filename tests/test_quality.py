@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from frames import T0, table
 from tidemark.operators import quality, trailing
+from tidemark.queries import QUERIES
 
 
 @pytest.fixture(params=[1, 16_384])
@@ -55,6 +56,23 @@ def test_out_of_order(spark, blocks):
     assert sorted(ids) == list(seconds.index[late])
 
 
+def test_out_of_order_beyond_bigint(spark, blocks):
+    df, seconds = shuffled(spark, 60)
+    far = df.withColumn("id", F.expr("CAST(id AS DECIMAL(19,0)) * 10000000000000000000000BD"))
+    late = seconds.diff() < 0
+    assert quality.out_of_order(far, "datetime_utc", "id").first().out_of_order == late.sum() > 0
+    ids = [int(r.id) // 10**22 for r in quality.out_of_order_rows(far, "datetime_utc", "id").collect()]
+    assert sorted(ids) == list(seconds.index[late])
+
+
+def test_query_with_sparse_ids_on_many_orders(spark, tmp_path):
+    """Orders numbered beyond 8,388,607: times 2**40 that is no bigint any more."""
+    rows = spark.range(4).selectExpr("9000000 + id AS o_orderkey", "timestamp_seconds(864000 * (id % 3)) AS o_orderdate")
+    rows.write.parquet(f"{tmp_path}/orders.parquet")
+    row = QUERIES["out_of_order_sparse_ids"](spark, str(tmp_path)).first()
+    assert (row.n_rows, row.out_of_order, row.out_of_order_pct) == (4, 1, 25.0)
+
+
 def test_equal_times_are_in_order(spark):
     df = table(spark, [T0, T0, T0 + 1])
     assert quality.out_of_order(df, "datetime_utc", "id").first().out_of_order == 0

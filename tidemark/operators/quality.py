@@ -191,8 +191,12 @@ def duplicate_times(df: DataFrame, time: str, keys: Sequence[str] = ()) -> DataF
 
 def _arrivals(df: DataFrame, time: str, order: str, keys: Sequence[str]) -> DataFrame:
     """Each row with the time of the row that arrived before. Arrival numbers may lie
-    any distance apart: their ranks, which have no gaps, cut the series into blocks."""
-    rows = ranked(df.select(*keys, F.col(order).cast("bigint").alias(order), time), keys, order)
+    any distance apart: their ranks, which have no gaps, cut the series into blocks.
+    Decimal ones may be beyond bigint."""
+    number = F.col(order)
+    if not isinstance(df.schema[order].dataType, T.DecimalType):
+        number = number.cast("bigint")
+    rows = ranked(df.select(*keys, number.alias(order), time), keys, order)
     return with_previous(rows, keys, "_rank", {"prev_time": time})
 
 

@@ -827,8 +827,9 @@ def out_of_order(spark, sf):
 
 
 def out_of_order_sparse_ids(spark, sf):
-    """Arrival numbers 2**40 apart."""
-    rows = _dated_orders(spark, sf).withColumn("o_orderkey", F.col("o_orderkey") * F.lit(2**40))
+    """Arrival numbers 2**40 apart, of any size."""
+    far = F.col("o_orderkey").cast("decimal(19,0)") * F.lit(Decimal(2**40))
+    rows = _dated_orders(spark, sf).withColumn("o_orderkey", far)
     return _tidy(quality.out_of_order(rows, "day", "o_orderkey"))
 
 
