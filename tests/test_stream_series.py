@@ -1,6 +1,7 @@
 """Several series in a stream, restarts after errors, and looks into the state."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -14,7 +15,8 @@ from tidemark.sources.tables import long_frame, read_summary
 from tidemark.streaming.inspect import batches, late_readings, operators, waiting_rows, watermark
 from tidemark.streaming.live import raw_streams, run_for, stream_align, stream_settings, write_summary_stream
 from tidemark.streaming.restart import GivenUp, run_with_restarts
-from tidemark.streaming.series import window_means
+from tidemark.streaming import series
+from tidemark.streaming.series import FIRST, TrailingMeans, window_means
 
 KEYS = T.StructType([T.StructField("ship", T.StringType())])
 PARAMS = Params(step="10s", ma_window_s=120, ph_freq_hz=0.05, partition_hours=1)
@@ -57,6 +59,70 @@ def test_window_means_against_plain():
     assert spiked[3:].tolist() == [1.0, 1.0]
 
 
+class Entries(dict):
+    """The map of a group's state, counting what is asked of it."""
+
+    asked = 0
+
+    def getValue(self, key):
+        self.asked += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.asked += 1
+        self[key] = value
+
+
+@pytest.mark.parametrize("ph_rows_only", [True, False])
+def test_a_call_takes_many_series(ph_rows_only):
+    """Two micro-batches, each one call; series of which the second has no rows are not visited."""
+    r, n, step = np.random.default_rng(4), 5, 10
+    processor = TrailingMeans(["ship", "grid", "ph_total_ma", "ph_corrected_ma"], n, step, ph_rows_only, None)
+    processor.state = Entries()
+    ph = {(ship, g): r.random() if r.random() < 0.7 else np.nan for ship in range(40) for g in range(0, 400, step)}
+    got, visits = {}, []
+    for low, high, ships in ((0, 190, 40), (190, 400, 13)):
+        rows = [(f"k{ship}", str(ship), g, max(g, 23), v, v + 1) for (ship, g), v in ph.items() if low <= g < high and ship < ships]
+        frame = pd.DataFrame(rows, columns=["series_key", "ship", "grid", FIRST, "ph_total", "ph_corrected"])
+        frame = frame.sample(frac=1, random_state=1)
+        parts = [frame[:50], frame[50:51], frame[51:]]
+        before = processor.state.asked
+        for out in processor.handleInputRows((0,), iter(parts), None):
+            got |= {(int(x.ship), x.grid): (x.ph_total_ma, x.ph_corrected_ma) for x in out.itertuples()}
+        visits.append(processor.state.asked - before)
+    assert visits == [80, 26]
+    want = [(s, g) for s, g in ph if g >= 20 and (g < 190 or s < 13)]
+    assert sorted(got) == sorted(want)
+    for ship, at in want:
+        own = [v for (s, g), v in ph.items() if s == ship and 20 <= g <= at and not (ph_rows_only and np.isnan(v))][-n:]
+        own = [v for v in own if not np.isnan(v)]
+        mean = np.mean(own) if own and not (ph_rows_only and np.isnan(ph[ship, at])) else np.nan
+        assert got[ship, at] == pytest.approx((mean, mean + 1), nan_ok=True)
+
+
+def test_series_that_share_a_group(spark, tmp_path, monkeypatch):
+    """Whole numbers as keys keep all their digits beside a missing one."""
+    monkeypatch.setattr(series, "GROUPS", 1)
+    ships = [2**53 + 1, 2**53, None, 7]
+    key = T.StructType([T.StructField("ship", T.LongType())])
+    kinds = {s: T.StructType([*schemas.RAW[s].fields, *key.fields]) for s in schemas.RAW}
+    raw, path, checkpoint = str(tmp_path / "raw"), str(tmp_path / "s"), str(tmp_path / "c")
+    own = {ship: generated(spark, 120, seed=i) for i, ship in enumerate(ships)}
+    stream_settings(spark)
+    for low, high in ((0, 60), (60, 120)):
+        for ship, tables in own.items():
+            part = upto(tables, T0 + high - 1, T0 + low - 1)
+            land({s: t.withColumn("ship", F.lit(ship).cast("bigint")) for s, t in part.items()}, raw, kinds)
+        streams = raw_streams(spark, {s: f"{raw}/{s}" for s in schemas.RAW}, raw_schemas=kinds)
+        rows = stream_align(streams, PARAMS, keys=("ship",))
+        run_for(write_summary_stream(rows, path, checkpoint, PARAMS, keys=key, available_now=True))
+    rows = read_summary(spark, path, keys=key).drop("partition")
+    for ship, tables in own.items():
+        got = by_time(rows.where(F.col("ship").eqNullSafe(F.lit(ship).cast("bigint"))).drop("ship"), "datetime_utc")
+        assert_part_of(got, by_time(summarize(long_frame(tables), PARAMS), "datetime_utc"))
+        assert list(got) == list(range(0, 101, 10))
+
+
 def test_series_in_a_stream_equal_batch(spark, tmp_path):
     """Averages that reach over micro-batches, a missing key, a series that begins later. After
     the first micro-batch the stored rows can be lost: nobody reads them."""
