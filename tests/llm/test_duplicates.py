@@ -1,10 +1,12 @@
 """Links of texts and vectors against all pairs."""
 
 import collections
+import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -284,3 +286,56 @@ def test_no_link_below_the_bound(spark):
     frame = spark.createDataFrame([(i, v, 0) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>, label int")
     found = {r.vec_id: r.n_links for r in projection.link_vectors(frame).collect()}
     assert found == dict(enumerate(vector_links(vectors, [0] * 4).sum(1).tolist()))
+
+
+@pytest.mark.parametrize("percent, part, at_once", [(60, 1024, 1 << 13), (60, 7, 10), (85, 16, 1)])
+def test_members_of_a_list_are_compared_by_parts(monkeypatch, percent, part, at_once):
+    """Against the rules one pair at a time; blocks are cut over batches."""
+    monkeypatch.setattr(minhash, "PAIRS", at_once)
+    r, k = np.random.default_rng(part), 8
+    base = r.integers(0, 1 << 63, 14, dtype=np.uint64)
+    members, rows, wanted = [], [], set()
+    for i in range(60):
+        own = [h for h in base if r.random() < 0.8] or [base[0]]
+        own = np.sort(np.concatenate([own, r.integers(0, 1 << 63, r.integers(0, 3), dtype=np.uint64)]).astype(np.uint64))
+        bits = minhash._bitmaps(own, np.array([len(own)]))[0].as_py()
+        members.append((i, len(own), int(r.integers(0, 40)), [int(h) for h in own[:k]], bits, {int(h) for h in own}))
+    parts = -(-len(members) // part)
+    for value in (3, 9):
+        for i, size, component, sketch, bits, _ in members:
+            for other in range(parts):
+                x, y = sorted((i % parts, other))
+                rows.append((value, x, y, int(i % parts > other), i, size, component, sketch, bits))
+    rows.sort(key=lambda row: row[:4])
+    for a, size_a, component_a, sketch_a, bits_a, _ in members:
+        for b, size_b, component_b, sketch_b, bits_b, _ in members[a + 1 :]:
+            both, union = set(sketch_a) & set(sketch_b), set(sketch_a) | set(sketch_b)
+            x = sum(((u & ~v) & (2**64 - 1)).bit_count() for u, v in zip(bits_a, bits_b))
+            y = sum(((v & ~u) & (2**64 - 1)).bit_count() for u, v in zip(bits_a, bits_b))
+            need = minhash._needed(k, percent)
+            needs = [need if s > k else min(math.ceil(s * percent / 100), need) for s in (size_a, size_b)]
+            if size_a <= k and size_b <= k:
+                close = len(both) * 100 >= len(union) * percent
+            else:
+                close = len(set(sorted(union)[:k]) & both) >= need
+            sizes = size_a * 100 >= size_b * percent and size_b * 100 >= size_a * percent
+            fit = (size_a - x) * 100 >= (size_a + y) * percent and (size_b - y) * 100 >= (size_b + x) * percent
+            if component_a != component_b and sizes and fit and close and len(both) >= min(needs):
+                wanted.add((a, b))
+    names = ["value", "x", "y", "side", "id", "size", "component", "sketch", "bits"]
+    whole = pa.table({n: [row[c] for row in rows] for c, n in enumerate(names)})
+    cuts = [0, 1, 30, 31, len(rows) // 2, len(rows)]
+    batches = [whole.slice(a, b - a).combine_chunks().to_batches()[0] for a, b in zip(cuts, cuts[1:])]
+    got = [(x["a"], x["b"]) for out in minhash._compared(iter(batches), k, percent) for x in out.to_pylist()]
+    assert len(got) == 2 * len(wanted) and set(got) == wanted and 10 < len(wanted) < 1500
+
+
+def test_large_lists_give_the_same_groups(spark, monkeypatch):
+    """Texts that share a passage and differ otherwise, some of them alike: cut lists lose no link."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [f"{passage} " + " ".join(f"w{i // 2}x{j}" for j in range(25)) + (f" e{i}" if i % 2 else "") for i in range(160)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    whole = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs, 85, k=16).collect()}
+    monkeypatch.setattr(minhash, "LIST", 9)
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs, 85, k=16).collect()} == whole
+    assert whole == {(i, i - i % 2) for i in range(160)}

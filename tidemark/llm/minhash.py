@@ -19,8 +19,8 @@ A list does not give all its pairs. First some members of each (the same in all
 cluster) meet the others: the one whose retained values are the most common, as those of a
 text are from which the others were made, and ``PIVOTS`` more; a list whose members are then linked with each other ends,
 so a group of m copies costs a few times m comparisons instead of m squared. In what is
-left, members of different components are compared in full, each pair in the first list it
-has in common, if enough retained values agree. So no link between components is lost.
+left, members of different components are compared in full, a large list part by part, if
+enough retained values agree. So no link between components is lost.
 
 A bitmap of each set (a bit per hash, modulo its size) goes along: bits of one that the other
 lacks are shingles that it lacks, so they bound the similarity from above. That rules out
@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import LOWER, distinct, groups, mix, run_hashes, utf8, word_hashes, words
+from tidemark.llm.arrays import LOWER, distinct, flat_ranges, groups, mix, run_hashes, utf8, word_hashes, words
 from tidemark.llm.common import components, stored
 
 K = 64
@@ -53,6 +53,8 @@ PIVOTS = 2
 MEMBERS = 128
 #: 64-bit words of a set's bitmap.
 BITS = 16
+#: Members of a part of a list, about; pairs of them that are compared at once.
+LIST, PAIRS = 1024, 1 << 13
 #: So many ids go to all tasks at most.
 SENT = 500_000
 SLICE = 500_000
@@ -90,8 +92,6 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 def _heads(counts: np.ndarray, most: int) -> np.ndarray:
     """Indices of the first ``most`` items of each run."""
-    from tidemark.llm.arrays import flat_ranges
-
     return flat_ranges(np.cumsum(counts) - counts, np.minimum(counts, most))
 
 
@@ -263,19 +263,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("block").applyInArrow(similar, "a bigint, b bigint")
 
 
-def _bits_fit(percent: int, a: str, b: str, size_a: str, size_b: str):
-    """Whether two bitmaps leave the similarity possible: so many bits that only one of them has
-    are as many shingles, at least, that only one set has."""
-    # As one loop: written out, the join's generated code is too long to be compiled.
-    only = lambda x, y: F.aggregate(
-        F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v)))),
-        F.lit(0),
-        lambda total, n: total + n,
-    )
-    size_a, size_b, x, y = F.col(size_a), F.col(size_b), only(a, b), only(b, a)
-    return ((size_a - x) * 100 >= (size_a + y) * percent) & ((size_b - y) * 100 >= (size_b + x) * percent)
-
-
 def _sizes_fit(percent: int, a: str, b: str):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
@@ -297,25 +284,110 @@ def _remaining_pairs(prefixes: DataFrame, classes: DataFrame, found: DataFrame,
     """(a, b): members of a list that are in different components and whose bitmaps and sketches
     leave the similarity possible, each pair once."""
     top = prefixes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rows = top.select("id", "size", "component", "listed", F.posexplode("listed").alias("at", "value"))
-    several = rows.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    rows = rows.join(several.where("lo <> hi").select("value"), "value", "left_semi")
+    rows = top.select("id", "size", "component", F.explode("listed").alias("value"))
+    parts = F.ceil(F.count("*") / LIST).cast("int").alias("parts")
+    several = rows.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), parts)
+    rows = rows.join(several.where("lo <> hi").select("value", "parts"), "value")
     rows = stored(rows, "minhash-members")
     if rows.isEmpty():
         return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    rows = rows.join(classes.select("id", "sketch", "bits"), "id").select(
-        "value", "id", "size", "component", "sketch", "bits", F.slice("listed", F.lit(1), F.col("at")).alias("before")
-    )
-    a, b = (rows.select("value", *[F.col(c).alias(c + end) for c in rows.columns[1:]]) for end in "ab")
-    return (
-        a.join(b, "value")
-        .where((F.col("ida") < F.col("idb")) & (F.col("componenta") != F.col("componentb")))
-        .where(_sizes_fit(percent, "sizea", "sizeb"))
-        .where(~F.arrays_overlap("beforea", "beforeb"))
-        .where(_bits_fit(percent, "bitsa", "bitsb", "sizea", "sizeb"))
-        .where(_close(k, percent, "sketcha", "sketchb", "sizea", "sizeb"))
-        .select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+    rows = rows.join(classes.select("id", "sketch", "bits"), "id")
+    # A list of many members is compared part by part; members of part x meet those of part y in block (x, y).
+    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    block = ["value", "x", "y"]
+    rows = rows.select(
+        "value", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "size", "component", "sketch", "bits",
     )
+    rows = rows.repartition(*block).sortWithinPartitions(*block, "side")
+    return rows.mapInArrow(lambda batches: _compared(batches, k, percent), "a bigint, b bigint").distinct()
+
+
+def _compared(batches, k: int, percent: int):
+    """Pairs (a, b) of rows that lie together by block (value, x, y) and side."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        last = _block_starts(rows)[-1:]
+        if len(last):
+            yield from _pairs_of_blocks(rows.slice(0, last[0]), k, percent)
+            rows = rows.slice(last[0])
+        held = rows
+    if held is not None:
+        yield from _pairs_of_blocks(held, k, percent)
+
+
+def _block_starts(rows: pa.Table) -> np.ndarray:
+    fresh = np.zeros(rows.num_rows, bool)
+    fresh[:1] = True
+    for name in ("value", "x", "y"):
+        numbers = rows.column(name).to_numpy()
+        fresh[1:] |= numbers[1:] != numbers[:-1]
+    return np.flatnonzero(fresh)
+
+
+def _pairs_of_blocks(rows: pa.Table, k: int, percent: int):
+    starts, n = _block_starts(rows), rows.num_rows
+    ids, sizes, component, side = (rows.column(c).to_numpy() for c in ("id", "size", "component", "side"))
+    bits, _ = _matrix(rows.column("bits"), BITS)
+    bits = bits.view(np.uint64)
+    sketches, kept = _matrix(rows.column("sketch"), k)
+    needed = _needed(k, percent)
+    least = np.where(sizes > k, needed, np.minimum(np.ceil(sizes * percent / 100), needed))
+    block = np.repeat(np.arange(len(starts)), np.diff([*starts, n]))
+    ends = np.append(starts[1:], n)[block]
+    one_part = rows.column("x").to_numpy() == rows.column("y").to_numpy()
+    middle = (starts + np.bincount(block, side == 0, minlength=len(starts)).astype(np.int64))[block]
+    begin = np.where(one_part, np.arange(n) + 1, middle)
+    counts = np.where(side == 0, ends - begin, 0)
+    until = np.cumsum(counts)
+    first = 0
+    while first < n:
+        done = until[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(until, done + PAIRS, "right")))
+        a, b = np.repeat(np.arange(first, last), counts[first:last]), flat_ranges(begin[first:last], counts[first:last])
+        first = last
+        fit = component[a] != component[b]
+        a, b = a[fit], b[fit]
+        fit = (sizes[a] * 100 >= sizes[b] * percent) & (sizes[b] * 100 >= sizes[a] * percent)
+        a, b = a[fit], b[fit]
+        # Bits that only one of them has are as many shingles, at least, that only one set has.
+        only_a, only_b = _ones(bits[a] & ~bits[b]), _ones(bits[b] & ~bits[a])
+        fit = (sizes[a] - only_a) * 100 >= (sizes[a] + only_b) * percent
+        fit &= (sizes[b] - only_b) * 100 >= (sizes[b] + only_a) * percent
+        a, b = a[fit], b[fit]
+        # As in ``_close``.
+        both, estimate = _in_common(sketches[a], sketches[b], kept[a] + kept[b], k)
+        exact = both * 100 >= (kept[a] + kept[b] - both) * percent
+        fit = (both >= np.minimum(least[a], least[b])) & np.where(
+            (sizes[a] <= k) & (sizes[b] <= k), exact, estimate >= needed
+        )
+        a, b = ids[a[fit]], ids[b[fit]]
+        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _matrix(lists: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists as rows of one width, filled with the greatest number, and their lengths."""
+    lists = lists.combine_chunks()
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.full((len(lengths), width), np.iinfo(np.int64).max)
+    out[np.arange(width) < lengths[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    return out, lengths
+
+
+def _ones(words: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+
+
+def _in_common(a: np.ndarray, b: np.ndarray, lengths: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values that two sketches share, and how many of these are among the k least of the union."""
+    values = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    again = np.zeros(values.shape, bool)
+    again[:, 1:] = (values[:, 1:] == values[:, :-1]) & (np.arange(1, values.shape[1]) < lengths[:, None])
+    rank = np.cumsum(~again, axis=1, dtype=np.int32)
+    return again.sum(axis=1), (again & (rank <= k)).sum(axis=1)
 
 
 def _close_to_pivots(members: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
