@@ -263,6 +263,20 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("block").applyInArrow(similar, "a bigint, b bigint")
 
 
+def _bits_fit(percent: int, a: str, b: str, size_a: str, size_b: str):
+    """Whether two bitmaps leave the similarity possible: so many bits that only one of them has
+    are as many shingles, at least, that only one set has. ``_pairs_of_blocks`` has the same rule
+    on arrays; this one is for tables of pairs."""
+    # As one loop: written out, the join's generated code is too long to be compiled.
+    only = lambda x, y: F.aggregate(
+        F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v)))),
+        F.lit(0),
+        lambda total, n: total + n,
+    )
+    size_a, size_b, x, y = F.col(size_a), F.col(size_b), only(a, b), only(b, a)
+    return ((size_a - x) * 100 >= (size_a + y) * percent) & ((size_b - y) * 100 >= (size_b + x) * percent)
+
+
 def _sizes_fit(percent: int, a: str, b: str):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
