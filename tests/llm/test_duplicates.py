@@ -339,3 +339,48 @@ def test_large_lists_give_the_same_groups(spark, monkeypatch):
     monkeypatch.setattr(minhash, "LIST", 9)
     assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs, 85, k=16).collect()} == whole
     assert whole == {(i, i - i % 2) for i in range(160)}
+
+
+def test_pairs_of_a_family_never_become_rows(spark, monkeypatch):
+    """Texts of about 0.65 similarity, few of them alike: the rows follow the members, not their pairs."""
+    rng, base, made = random.Random(71), [f"w{i}" for i in range(1500)], []
+
+    def counted(df, name):
+        out = common.stored(df, name)
+        if name in ("minhash-members", "minhash-close"):
+            made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    for m in (30, 90):
+        rows = [(i, " ".join(edited(rng, base, 33))) for i in range(m)]
+        made.clear()
+        check(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), rows, 80)
+        members = dict(made)["minhash-members"]
+        close = [n for name, n in made if name == "minhash-close"][-1]
+        assert 0 < close <= members
+        # Fewer stars than members in each task.
+        assert close < m * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("at_once", [1, 1000])
+def test_stars_hold_all_pairs_of_a_task(at_once):
+    rng = random.Random(at_once)
+    pairs = [(rng.randrange(90), rng.randrange(90)) for _ in range(70)]
+    cut = lambda rows: pa.record_batch([pa.array([r[c] for r in rows], pa.int64()) for c in (0, 1)], ["a", "b"])
+    found = [x for out in common.local_stars(iter([cut(pairs[i : i + 7]) for i in range(0, 70, 7)]), at_once) for x in out.to_pylist()]
+    want = joined(90, [(a, b) for a, b in pairs if a != b])
+    assert {x["a"]: x["b"] for x in found} == {i: t for i, t in enumerate(want) if i != t} and len(found) < 90
+    assert not list(common.local_stars(iter([])))
+
+
+def test_families_are_compared_by_parts(spark, monkeypatch):
+    """Small parts of lists and families link the same documents; an id may come in several rows."""
+    rng, base = random.Random(72), [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(rng, base, rng.randint(1, 7)))) for i in range(120)]
+    frame = spark.createDataFrame(rows + rows[:20], "doc_id bigint, text string")
+    whole = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(frame, 85).collect()}
+    assert whole == {(i, c) for i, (_, c) in components_of(rows, 85).items()}
+    monkeypatch.setattr(minhash, "LIST", 9)
+    monkeypatch.setattr(minhash, "SHINGLES", 1000)
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(frame, 85).collect()} == whole

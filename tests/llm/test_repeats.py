@@ -2,12 +2,15 @@
 
 import collections
 import hashlib
+import os
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidemark.llm import repeats
+from tidemark.llm import common, repeats
 from tidemark.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -125,3 +128,28 @@ def test_spans():
             assert not mine[max(0, a - 1) : b + 1].any()
             mine[a:b] = True
         assert (mine == flags).all()
+
+
+def test_workers_hold_and_keep_little(spark):
+    """Slices of long batches are small, and workers give back what they freed."""
+    rng = np.random.default_rng(31)
+    texts = [bytes(rng.integers(97, 123, 4000).astype(np.uint8)).decode() for _ in range(500)]
+    batch = pa.record_batch(
+        [pa.array(range(500), pa.int64()), pa.array([0] * 500, pa.int32()), pa.array(texts)], ["d", "t", "text"]
+    )
+    rows = repeats._context_rows(200, 64)
+    for _ in rows([batch.slice(0, 100)]):  # tables of powers
+        pass
+    tracemalloc.start()
+    for _ in rows([batch]):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6, peak
+
+    def settings(batches):
+        for _ in batches:
+            yield pa.record_batch([pa.array([os.environ.get(k, "") for k in common.WORKER_MEMORY])], ["value"])
+
+    found = {r.value for r in spark.range(3).mapInArrow(settings, "value string").collect()}
+    assert found - {""} == set(common.WORKER_MEMORY.values()) and "" not in found

@@ -20,7 +20,10 @@ cluster) meet the others: the one whose retained values are the most common, as
 text are from which the others were made, and ``PIVOTS`` more; a list whose members are then linked with each other ends,
 so a group of m copies costs a few times m comparisons instead of m squared. In what is
 left, members of different components are compared in full, a large list part by part, if
-enough retained values agree. So no link between components is lost.
+enough retained values agree. So no link between components is lost. Here pairs never
+become rows: a task folds the pairs that may be similar into stars, whose components are
+families; members of a family get their full sets, meet again part by part, and what is
+confirmed becomes stars too. So rows grow with the members, whatever a family's size.
 
 A bitmap of each set (a bit per hash, modulo its size) goes along: bits of one that the other
 lacks are shingles that it lacks, so they bound the similarity from above. That rules out
@@ -44,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import LOWER, distinct, flat_ranges, groups, mix, run_hashes, utf8, word_hashes, words
-from tidemark.llm.common import components, stored
+from tidemark.llm.common import components, local_stars, stored, top_of
 
 K = 64
 WORDS = 5
@@ -55,9 +58,11 @@ MEMBERS = 128
 BITS = 16
 #: Members of a part of a list, about; pairs of them that are compared at once.
 LIST, PAIRS = 1024, 1 << 13
+#: Shingles of a part of a family, about: 4 MB of them.
+SHINGLES = 500_000
 #: So many ids go to all tasks at most.
 SENT = 500_000
-SLICE = 500_000
+SLICE = 250_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -294,9 +299,9 @@ def _pivot_pairs(members: DataFrame) -> DataFrame:
     return met.where(F.col("id") != F.col("a")).select("a", "sa", F.col("id").alias("b"), F.col("size").alias("sb"))
 
 
-def _remaining_pairs(prefixes: DataFrame, classes: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): members of a list that are in different components and whose bitmaps and sketches
-    leave the similarity possible, each pair once."""
+def _families(prefixes: DataFrame, classes: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, family): classes that meet in a list, in different components, with bitmaps and
+    sketches that leave the similarity possible; a family holds all that such pairs connect."""
     top = prefixes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = top.select("id", "size", "component", F.explode("listed").alias("value"))
     parts = F.ceil(F.count("*") / LIST).cast("int").alias("parts")
@@ -304,22 +309,46 @@ def _remaining_pairs(prefixes: DataFrame, classes: DataFrame, found: DataFrame,
     rows = rows.join(several.where("lo <> hi").select("value", "parts"), "value")
     rows = stored(rows, "minhash-members")
     if rows.isEmpty():
-        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"))
+        return rows.select("id", F.col("id").alias("family"))
     rows = rows.join(classes.select("id", "sketch", "bits"), "id")
-    # A list of many members is compared part by part; members of part x meet those of part y in block (x, y).
+    close = stored(_met(rows, k, percent), "minhash-close")
+    return stored(components(close, "minhash").withColumnRenamed("component", "family"), "minhash-families")
+
+
+def _linked_in_families(
+    docs: DataFrame, classes: DataFrame, families: DataFrame, found: DataFrame, n: int, k: int, percent: int
+) -> DataFrame:
+    """(a, b): links on full sets that connect the components of each family."""
+    members = families.select("id", F.col("family").alias("value")).join(
+        classes.select("id", F.col("n_shingles").alias("size"), "sketch", "bits"), "id"
+    )
+    parts = F.ceil(F.greatest(F.sum("size") / SHINGLES, F.count("*") / LIST)).cast("int").alias("parts")
+    parts = members.groupBy("value").agg(parts)
+    members = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    sets = stored(full_sets(_texts(docs, classes, families.select("id")), n), "minhash-sets")
+    sets = sets.groupBy("id").agg(F.any_value("hashes").alias("hashes"))  # rows may repeat an id
+    rows = members.join(parts, "value").join(sets, "id")
+    return stored(_met(rows, k, percent), "minhash-links")
+
+
+def _met(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): stars of the pairs that ``_compared`` finds among the rows of each value, which
+    are in ``parts`` parts: members of part x meet those of part y in block (x, y)."""
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    others = [c for c in rows.columns if c not in ("value", "parts")]
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     block = ["value", "x", "y"]
     rows = rows.select(
         "value", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "size", "component", "sketch", "bits",
+        (F.col("own") > F.col("other")).cast("int").alias("side"), *others,
     )
     rows = rows.repartition(*block).sortWithinPartitions(*block, "side")
-    return rows.mapInArrow(lambda batches: _compared(batches, k, percent), "a bigint, b bigint").distinct()
+    return rows.mapInArrow(lambda batches: local_stars(_compared(batches, k, percent)), "a bigint, b bigint")
 
 
 def _compared(batches, k: int, percent: int):
-    """Pairs (a, b) of rows that lie together by block (value, x, y) and side."""
+    """Pairs (a, b) of rows that lie together by block (value, x, y) and side: those that may be
+    similar, or, of rows with full sets, similar ones that connect the components."""
     held = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
@@ -357,6 +386,7 @@ def _pairs_of_blocks(rows: pa.Table, k: int, percent: int):
     begin = np.where(one_part, np.arange(n) + 1, middle)
     counts = np.where(side == 0, ends - begin, 0)
     until = np.cumsum(counts)
+    sets = _Sets(rows, percent) if "hashes" in rows.column_names else None
     first = 0
     while first < n:
         done = until[first - 1] if first else 0
@@ -378,10 +408,36 @@ def _pairs_of_blocks(rows: pa.Table, k: int, percent: int):
         fit = (both >= np.minimum(least[a], least[b])) & np.where(
             (sizes[a] <= k) & (sizes[b] <= k), exact, estimate >= needed
         )
-        a, b = ids[a[fit]], ids[b[fit]]
+        a, b = a[fit], b[fit]
+        if sets is not None:
+            fit = sets.connect(a, b)
+            a, b = a[fit], b[fit]
+        a, b = ids[a], ids[b]
         yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
+class _Sets:
+    """Full sets of rows, and which of the rows' components are linked so far."""
+
+    def __init__(self, rows: pa.Table, percent: int):
+        hashes = rows.column("hashes").combine_chunks()
+        lengths = hashes.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.ends, self.hashes = np.concatenate([[0], np.cumsum(lengths)]), hashes.flatten().to_numpy()
+        self.component, self.percent, self.top = rows.column("component").to_pylist(), percent, {}
+
+    def connect(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs are similar, of those whose components no similar pair before them connects."""
+        kept = np.zeros(len(a), bool)
+        for at, (i, j) in enumerate(zip(a.tolist(), b.tolist())):
+            u, v = top_of(self.top, self.component[i]), top_of(self.top, self.component[j])
+            if u != v:
+                x, y = (self.hashes[self.ends[r] : self.ends[r + 1]] for r in (i, j))
+                both = len(np.intersect1d(x, y, True))
+                if 100 * both >= self.percent * (len(x) + len(y) - both):
+                    kept[at], self.top[max(u, v)] = True, min(u, v)
+        return kept
+
+
 def _matrix(lists: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Lists as rows of one width, filled with the greatest number, and their lengths."""
     lists = lists.combine_chunks()
@@ -444,10 +500,10 @@ def link_classes(docs: DataFrame, classes: DataFrame, n: int, k: int, percent: i
     homes = stored(_homes(close), "minhash-homes")
     links = _linked(docs, classes, close, homes, n, percent)
     found = stored(components(links, "minhash"), "minhash-components")
-    more = stored(_remaining_pairs(prefixes, classes, found, k, percent), "minhash-close")
-    if more.isEmpty():
+    families = _families(prefixes, classes, found, k, percent)
+    if families.isEmpty():
         return found
-    more = _linked(docs, classes, more, homes, n, percent)
+    more = _linked_in_families(docs, classes, families, found, n, k, percent)
     edges = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
     return components(edges, "minhash")
 
