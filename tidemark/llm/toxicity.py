@@ -48,7 +48,7 @@ TELLING = 15.1
 RIDGE = 1e-3
 #: Weight of the squared change of score between a sentence and its copies.
 SWAP = 1.0
-#: The same where the name gives way to a word that says nothing.
+#: So many times that, where the name gives way to a word that says nothing.
 NEUTRAL = 20.0
 THRESHOLD = 0.3
 
@@ -187,10 +187,10 @@ def fit(
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     a = np.array([p[0] for p in pairs], np.int64)
     b = np.array([p[1] for p in pairs], np.int64)
-    often = np.array([p[2] for p in pairs]) * np.where(b == n_words, NEUTRAL, SWAP)
+    often = np.array([p[2] for p in pairs]) * SWAP * np.where(b == n_words, NEUTRAL, 1.0)
     w = np.zeros(n_words + 1)
     best, momentum, speed = w.copy(), w.copy(), 1.0
-    step = 4.0 / (1.0 + np.bincount(row_of, minlength=n).mean() + 4 * (SWAP + NEUTRAL))
+    step = 4.0 / (1.0 + np.bincount(row_of, minlength=n).mean() + 4 * SWAP * (1 + NEUTRAL))
     for _ in range(400):
         z = np.bincount(row_of, momentum[columns], n) + momentum[-1]
         error = weight * (1 / (1 + np.exp(-z)) - labels) / n
